@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretrieve.functions.text import preview, render_map, tokenize
-from sparkretrieve.operators import bm25
+from sparkretrieve.operators import bm25, chunking
 from sparkretrieve.sources import corpus
 
 TOP_K = 10
@@ -99,6 +99,50 @@ def q_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- M2: chunking ------------------------------------------------------------
+
+# Every character Python's str.strip() treats as whitespace.
+WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
+
+def q_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = chunking.chunk_documents(_documents(spark, sf_dir))
+    return chunks.select(
+        "chunk_id", "document_id", "source", "source_id", "title",
+        F.col("chunk_index").cast("bigint").alias("chunk_index"), "text",
+        render_map("metadata").alias("metadata"),
+    )
+
+
+def q_chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.chunk_summary(chunking.split_documents(_documents(spark, sf_dir)))
+
+
+def q_chunk_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = chunking.chunk_documents(_documents(spark, sf_dir))
+    return chunking.chunk_manifest(chunks, "chunks")
+
+
+def _lossless(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """Overlap 0 invariant: the chunks, in order and without whitespace, spell
+    the document without whitespace; no chunk is longer than ``size``."""
+    split = chunking.split_documents(_documents(spark, sf_dir), size, 0)
+    joined = F.regexp_replace(F.array_join("chunks", ""), WHITESPACE_RE, "")
+    longest = F.coalesce(F.array_max(F.transform("chunks", lambda c: F.length(c))), F.lit(0))
+    return split.select(
+        "document_id", F.md5(joined).alias("digest"), (longest <= size).alias("within_size")
+    )
+
+
+def q_chunk_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lossless(spark, sf_dir, chunking.DEFAULT_CHUNK_SIZE)
+
+
+def q_chunk_lossless_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lossless(spark, sf_dir, 100)
+
+
 QUERIES: dict[str, QueryBuilder] = {
     "canonical_documents": q_canonical_documents,
     "tokenize_terms": q_tokenize_terms,
@@ -106,6 +150,11 @@ QUERIES: dict[str, QueryBuilder] = {
     "bm25_idf": q_bm25_idf,
     "bm25_match": q_bm25_match,
     "bm25_topk": q_bm25_topk,
+    "chunk_documents": q_chunk_documents,
+    "chunk_summary": q_chunk_summary,
+    "chunk_manifest": q_chunk_manifest,
+    "chunk_lossless": q_chunk_lossless,
+    "chunk_lossless_small": q_chunk_lossless_small,
 }
 
 

@@ -70,6 +70,11 @@ def _with(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
 
+WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
+
+
 ORACLES: dict[str, str] = {
     "canonical_documents": _with(DOCS, """
 SELECT document_id, source, source_id, title, version, updated_at, text,
@@ -91,4 +96,9 @@ SELECT r.query_id, r.rank, r.chunk_id, c.document_id, c.title, round(r.score, 6)
        r.overlap, substring(c.text, 1, 700) AS preview
 FROM ranked r JOIN chunks c ON c.chunk_id = r.chunk_id
 WHERE r.rank <= {TOP_K}"""),
+    "chunk_lossless": _with(DOCS, f"""
+SELECT document_id, md5(regexp_replace(text, '{WHITESPACE_RE}', '', 'g')) AS digest,
+       TRUE AS within_size
+FROM docs"""),
 }
+ORACLES["chunk_lossless_small"] = ORACLES["chunk_lossless"]
