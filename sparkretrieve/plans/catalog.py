@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretrieve.functions.text import preview, render_map, tokenize
-from sparkretrieve.operators import bm25, chunking
+from sparkretrieve.functions.metadata import flatten_document_metadata
+from sparkretrieve.functions.text import safe_record_id
+from sparkretrieve.operators import bm25, chunking, embedding, knn, vectors
+from sparkretrieve.plans import search
 from sparkretrieve.sources import corpus
 
 TOP_K = 10
@@ -143,6 +146,90 @@ def q_chunk_lossless_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lossless(spark, sf_dir, 100)
 
 
+# --- M3/M6: vectors and embeddings -----------------------------------------
+
+HASH_DIMENSIONS = 64
+ENCODER = embedding.HashingEncoder(dimensions=HASH_DIMENSIONS)
+
+
+def q_metadata_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return docs.select("document_id", render_map(flatten_document_metadata()).alias("metadata"))
+
+
+def q_embedding_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = embedding.embedding_requests(_chunks(spark, sf_dir))
+    return req.select("record_id", "text", render_map("metadata").alias("metadata"))
+
+
+def q_safe_record_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = corpus.table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", safe_record_id("url").alias("safe_id"))
+
+
+def _doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.embed_chunks(_chunks(spark, sf_dir), ENCODER)
+
+
+def q_hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = _doc_vectors(spark, sf_dir)
+    cells = recs.select("record_id", F.posexplode("vector").alias("dim", "value"))
+    return cells.filter(F.col("value") != 0).select(
+        "record_id", F.col("dim").cast("bigint").alias("dim"),
+        F.round(F.col("value").cast("double"), SCORE_DIGITS).alias("value"),
+    )
+
+
+def q_embedding_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = embedding.embedding_manifest(_doc_vectors(spark, sf_dir), "embeddings")
+    return manifest.withColumn("dimensions", F.col("dimensions").cast("bigint"))
+
+
+def _embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.vector_records(corpus.table(spark, sf_dir, "embeddings"))
+
+
+def q_vector_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = vectors.validate_vector_records(_embedding_vectors(spark, sf_dir), HASH_DIMENSIONS)
+    return checked.select(
+        "record_id", F.size("vector").cast("bigint").alias("n_dims"),
+        F.coalesce(F.col("reject_reason"), F.lit("valid")).alias("status"),
+    )
+
+
+def q_index_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = vectors.build_vector_index(_embedding_vectors(spark, sf_dir), "cosine")
+    return index.info()
+
+
+def _self_knn(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    """Every vector of the table is a query: its top-k neighbours."""
+    vecs = _embedding_vectors(spark, sf_dir)
+    queries = vecs.select(F.col("record_id").alias("query_id"), "vector")
+    hits = knn.knn_search(vecs, queries, TOP_K, metric)
+    return hits.select("query_id", F.col("rank").cast("bigint").alias("rank"), "record_id", _round("score"))
+
+
+def q_knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _self_knn(spark, sf_dir, "cosine")
+
+
+def q_knn_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _self_knn(spark, sf_dir, "l2")
+
+
+def q_knn_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _self_knn(spark, sf_dir, "ip")
+
+
+def q_semantic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = search.semantic_search(_doc_vectors(spark, sf_dir), _queries(spark, sf_dir), ENCODER, TOP_K)
+    return res.select(
+        F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
+        "chunk_id", "document_id", _round("score"),
+    )
+
+
 QUERIES: dict[str, QueryBuilder] = {
     "canonical_documents": q_canonical_documents,
     "tokenize_terms": q_tokenize_terms,
@@ -155,6 +242,17 @@ QUERIES: dict[str, QueryBuilder] = {
     "chunk_manifest": q_chunk_manifest,
     "chunk_lossless": q_chunk_lossless,
     "chunk_lossless_small": q_chunk_lossless_small,
+    "metadata_flatten": q_metadata_flatten,
+    "embedding_request": q_embedding_request,
+    "safe_record_id": q_safe_record_id,
+    "hash_embed": q_hash_embed,
+    "embedding_manifest": q_embedding_manifest,
+    "vector_validate": q_vector_validate,
+    "index_info": q_index_info,
+    "knn_cosine": q_knn_cosine,
+    "knn_l2": q_knn_l2,
+    "knn_ip": q_knn_ip,
+    "semantic_search": q_semantic_search,
 }
 
 

@@ -75,6 +75,62 @@ WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A
 
 
 
+def _hash_cells(name: str, source: str) -> str:
+    """Hashing-encoder vectors (64 buckets) as sparse (record_id, dim, value)
+    rows, float32-rounded like the stored vectors. ``source`` yields (record_id, text)."""
+    return f""",
+{name}_tok AS (
+  SELECT record_id, lower(t) AS term
+  FROM (SELECT record_id, unnest(regexp_extract_all(text, '{TOKEN_RE}')) AS t FROM ({source}))),
+{name}_cnt AS (
+  SELECT record_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS dim,
+         sum(CASE WHEN ('0x' || substr(md5(term), 9, 1))::INT % 2 = 0 THEN 1 ELSE -1 END) AS c
+  FROM {name}_tok GROUP BY ALL),
+{name}_nrm AS (SELECT record_id, sqrt(sum(c * c)) AS nrm FROM {name}_cnt GROUP BY record_id),
+{name} AS (
+  SELECT record_id, dim, ((c / nrm)::FLOAT)::DOUBLE AS value
+  FROM {name}_cnt JOIN {name}_nrm USING (record_id) WHERE c <> 0)"""
+
+
+EMB = """
+ev AS (SELECT 'doc_' || CAST(vec_id AS VARCHAR) || '_chunk_0' AS record_id,
+              CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
+
+KNN_SCORE = {
+    "cosine": """CASE WHEN list_dot_product(q.v, q.v) = 0 OR list_dot_product(e.v, e.v) = 0 THEN 0.0
+         ELSE list_dot_product(q.v, e.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(e.v, e.v)))
+         END""",
+    "ip": "list_dot_product(q.v, e.v)",
+    "l2": "-list_sum(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - e.v[i]) * (q.v[i] - e.v[i])))",
+}
+
+
+def _knn(metric: str) -> str:
+    return _with(EMB + f""",
+pairs AS (SELECT q.record_id AS query_id, e.record_id, {KNN_SCORE[metric]} AS score FROM ev q, ev e),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, record_id) AS rank
+           FROM pairs)""", f"""
+SELECT query_id, rank, record_id, round(score, 6) AS score FROM ranked WHERE rank <= {TOP_K}""")
+
+
+SEMANTIC = (CHUNKS + _hash_cells("dv", "SELECT chunk_id AS record_id, text FROM chunks")
+            + _hash_cells("qv", "SELECT item_id AS record_id, text FROM benchmark WHERE trim(text) <> ''")
+            + """,
+dn AS (SELECT record_id, sqrt(sum(value * value)) AS n FROM dv GROUP BY record_id),
+qn AS (SELECT record_id, sqrt(sum(value * value)) AS n FROM qv GROUP BY record_id),
+dots AS (SELECT q.record_id AS query_id, d.record_id, sum(q.value * d.value) AS dot
+         FROM qv q JOIN dv d ON d.dim = q.dim GROUP BY ALL),
+pairs AS (
+  SELECT b.item_id AS query_id, c.chunk_id AS record_id,
+         CASE WHEN coalesce(qn.n, 0) = 0 OR coalesce(dn.n, 0) = 0 THEN 0.0
+              ELSE coalesce(dots.dot, 0.0) / (qn.n * dn.n) END AS score
+  FROM (SELECT item_id FROM benchmark WHERE trim(text) <> '') b CROSS JOIN chunks c
+  LEFT JOIN qn ON qn.record_id = b.item_id LEFT JOIN dn ON dn.record_id = c.chunk_id
+  LEFT JOIN dots ON dots.query_id = b.item_id AND dots.record_id = c.chunk_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, record_id) AS rank
+           FROM pairs)""")
+
+
 ORACLES: dict[str, str] = {
     "canonical_documents": _with(DOCS, """
 SELECT document_id, source, source_id, title, version, updated_at, text,
@@ -102,3 +158,47 @@ SELECT document_id, md5(regexp_replace(text, '{WHITESPACE_RE}', '', 'g')) AS dig
 FROM docs"""),
 }
 ORACLES["chunk_lossless_small"] = ORACLES["chunk_lossless"]
+
+ORACLES.update({
+    "metadata_flatten": _with(DOCS, """
+SELECT document_id,
+       'document_id=' || document_id || ';lang=' || lang || ';n_chars=' || CAST(n_chars AS VARCHAR)
+       || ';source=' || source || ';source_id=' || source_id || ';title=' || title
+       || ';updated_at=' || updated_at || ';version=' || version AS metadata
+FROM docs"""),
+    "embedding_request": _with(CHUNKS, """
+SELECT c.chunk_id AS record_id, c.text,
+       'chunk_id=' || c.chunk_id || ';chunk_index=0;document_id=' || c.document_id
+       || ';lang=' || d.lang || ';n_chars=' || CAST(d.n_chars AS VARCHAR)
+       || ';source=' || c.source || ';source_id=' || c.source_id || ';title=' || c.title
+       || ';updated_at=;version=1' AS metadata
+FROM chunks c JOIN docs d ON d.document_id = c.document_id"""),
+    "safe_record_id": """
+SELECT page_id, url, translate(url, ':/\\', '___') AS safe_id FROM pages""".strip(),
+    "hash_embed": _with(CHUNKS + _hash_cells("dv", "SELECT chunk_id AS record_id, text FROM chunks"), """
+SELECT record_id, CAST(dim AS BIGINT) AS dim, round(value, 6) AS value FROM dv"""),
+    "embedding_manifest": _with(CHUNKS, """
+SELECT chunk_id AS record_id, chunk_id, document_id, 'hashing' AS provider, 'md5-bucket-64' AS model,
+       CAST(64 AS BIGINT) AS dimensions,
+       'embeddings/' || translate(chunk_id, ':/\\', '___') || '.json' AS output_path
+FROM chunks"""),
+    "vector_validate": _with(EMB, """
+SELECT record_id, CAST(len(v) AS BIGINT) AS n_dims,
+       CASE WHEN v IS NULL OR len(v) = 0 THEN 'embedding record vector must be a non-empty list'
+            WHEN len(v) <> 64 THEN 'expected vector dimension 64, got ' || CAST(len(v) AS VARCHAR)
+                                   || ' for record_id=' || record_id
+            WHEN count(*) OVER (PARTITION BY record_id) > 1 THEN 'duplicate vector record_id: ' || record_id
+            ELSE 'valid' END AS status
+FROM ev"""),
+    "index_info": """
+SELECT 'exact' AS name, CAST(max(len(embedding)) AS BIGINT) AS dimensions, 'cosine' AS metric,
+       count(*) AS records_count
+FROM embeddings""".strip(),
+    "knn_cosine": _knn("cosine"),
+    "knn_l2": _knn("l2"),
+    "knn_ip": _knn("ip"),
+    "semantic_search": _with(SEMANTIC, f"""
+SELECT r.query_id, r.rank, r.record_id AS chunk_id, c.document_id, round(r.score, 6) AS score
+FROM ranked r JOIN chunks c ON c.chunk_id = r.record_id
+WHERE r.rank <= {TOP_K}"""),
+})
