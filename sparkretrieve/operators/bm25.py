@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sparkretrieve.checks import require_positive, require_rows
 from sparkretrieve.functions.text import tokenize
-from sparkretrieve.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from sparkretrieve.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_count, broadcast_if_bounded
 
 # The studied library's BM25 Okapi defaults.
 K1 = 1.5
@@ -148,13 +148,14 @@ def rank_matches(matches: DataFrame, top_k: int) -> DataFrame:
 
 
 def attach_chunks(ranked: DataFrame, chunks: DataFrame, columns: list[str],
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, *,
+                  upper_bound: int | None = None) -> DataFrame:
     """Late materialisation (C9): fetch chunk columns only for the top rows.
 
-    The ranked side is |queries| x k rows; broadcast it when measured small so
-    the chunk table is scanned once and never shuffled.
+    The ranked side is at most |queries| x k rows (``upper_bound``); broadcast
+    it when that is small so the chunk table is scanned once, never shuffled.
     """
-    side, _ = broadcast_if_bounded(ranked, max_broadcast_rows)
+    side, _ = broadcast_if_bounded(ranked, max_broadcast_rows, upper_bound=upper_bound)
     return chunks.select("chunk_id", *columns).join(side, "chunk_id")
 
 
@@ -173,5 +174,8 @@ def bm25_search(chunks: DataFrame, queries: DataFrame, top_k: int = 5, *,
     matches = bm25_matches(index, queries, query_id=query_id, query_col=query_col,
                            max_broadcast_rows=max_broadcast_rows)
     ranked = rank_matches(matches, top_k)
-    out = attach_chunks(ranked, chunks, list(columns), max_broadcast_rows)
+    if not columns:
+        return ranked.select("query_id", "rank", "chunk_id", "score", "overlap")
+    n_queries = bounded_count(queries, max_broadcast_rows)
+    out = attach_chunks(ranked, chunks, list(columns), max_broadcast_rows, upper_bound=n_queries * top_k)
     return out.select("query_id", "rank", "chunk_id", "score", "overlap", *columns)

@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkretrieve.checks import check_metric, require_positive
 from sparkretrieve.operators.sizing import bounded_count
@@ -40,7 +41,11 @@ DEFAULT_MAX_BROADCAST_QUERIES = 50_000
 DEFAULT_Q_BLOCK_ROWS = 20_000
 DEFAULT_V_BLOCK_ROWS = 100_000
 
-CANDIDATE_SCHEMA = "query_id string, record_id string, score double"
+
+
+def _candidate_schema(q: DataFrame) -> T.StructType:
+    return T.StructType([q.schema["query_id"], T.StructField("record_id", T.StringType()),
+                         T.StructField("score", T.DoubleType())])
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -88,7 +93,7 @@ def local_topk(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarra
 
 
 def _queries_frame(queries: DataFrame, query_id: str, vector_col: str) -> DataFrame:
-    return queries.select(F.col(query_id).cast("string").alias("query_id"),
+    return queries.select(F.col(query_id).alias("query_id"),
                           F.col(vector_col).cast("array<double>").alias("qvec"))
 
 
@@ -112,7 +117,7 @@ def _broadcast_candidates(q: DataFrame, v: DataFrame, metric: str, k: int) -> Da
             yield local_topk(q_ids, qm, batch["record_id"].to_numpy(dtype=object),
                              _matrix(batch["vec"]), metric, k)
 
-    return v.mapInPandas(score_batches, CANDIDATE_SCHEMA)
+    return v.mapInPandas(score_batches, _candidate_schema(q))
 
 
 def blocked_candidates(q: DataFrame, v: DataFrame, metric: str, k: int, *, n_queries: int,
@@ -132,7 +137,7 @@ def blocked_candidates(q: DataFrame, v: DataFrame, metric: str, k: int, *, n_que
         return local_topk(qpdf["query_id"].to_numpy(dtype=object), _matrix(qpdf["qvec"]),
                           vpdf["record_id"].to_numpy(dtype=object), _matrix(vpdf["vec"]), metric, k)
 
-    return qx.groupBy(*keys).cogroup(vx.groupBy(*keys)).applyInPandas(score_group, CANDIDATE_SCHEMA)
+    return qx.groupBy(*keys).cogroup(vx.groupBy(*keys)).applyInPandas(score_group, _candidate_schema(q))
 
 
 def rank_candidates(candidates: DataFrame, k: int) -> DataFrame:
@@ -166,10 +171,12 @@ def knn_search(vectors: DataFrame, queries: DataFrame, top_k: int, metric: str =
 
 
 def attach_records(results: DataFrame, vectors: DataFrame,
-                   columns: tuple[str, ...] = ("chunk_id", "document_id", "title")) -> DataFrame:
-    """Join record columns back to the (|queries| x k) result rows."""
+                   columns: tuple[str, ...] = ("chunk_id", "document_id", "title"), *,
+                   upper_bound: int | None = None) -> DataFrame:
+    """Join record columns back to the (at most |queries| x k) result rows;
+    the result side is broadcast when that bound is small."""
     from sparkretrieve.operators.sizing import broadcast_if_bounded
 
-    side, _ = broadcast_if_bounded(results)
+    side, _ = broadcast_if_bounded(results, upper_bound=upper_bound)
     recs = vectors.select(F.col("record_id").cast("string").alias("record_id"), *columns)
     return recs.join(side, "record_id")

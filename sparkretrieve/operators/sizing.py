@@ -19,9 +19,15 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, *,
+                         upper_bound: int | None = None) -> tuple[DataFrame, bool]:
     """(``broadcast(df)``, True) when ``df`` has at most ``max_rows`` rows,
-    else (``df``, False) so the caller can plan a shuffle join."""
-    if bounded_count(df, max_rows) <= max_rows:
+    else (``df``, False) so the caller can plan a shuffle join.
+
+    ``upper_bound`` is a proven bound on the row count (e.g. queries x k for a
+    top-k result); when given, the frame is not counted, which would run its
+    whole plan a second time."""
+    n = upper_bound if upper_bound is not None else bounded_count(df, max_rows)
+    if n <= max_rows:
         return F.broadcast(df), True
     return df, False

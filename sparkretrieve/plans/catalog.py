@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sparkretrieve.functions.text import preview, render_map, tokenize
 from sparkretrieve.functions.metadata import flatten_document_metadata
 from sparkretrieve.functions.text import safe_record_id
-from sparkretrieve.operators import bm25, chunking, embedding, knn, vectors
+from sparkretrieve.operators import bm25, chunking, embedding, evaluation, fusion, knn, vectors
 from sparkretrieve.plans import search
 from sparkretrieve.sources import corpus
 
@@ -230,6 +230,102 @@ def q_semantic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- M4: hybrid fusion -------------------------------------------------------
+
+LEG_K = 50
+EVAL_K = 5
+
+
+def _hybrid(spark: SparkSession, sf_dir: str, queries: DataFrame, top_k: int,
+            columns: tuple[str, ...] = ("document_id",)) -> DataFrame:
+    chunks = _chunks(spark, sf_dir)
+    return search.hybrid_search(chunks, _doc_vectors(spark, sf_dir), queries, ENCODER, top_k,
+                                bm25_top_k=LEG_K, semantic_top_k=LEG_K, columns=columns)
+
+
+def q_hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = _hybrid(spark, sf_dir, _queries(spark, sf_dir), TOP_K)
+    return res.select(
+        F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
+        "chunk_id", "document_id", F.round("fused_score", 9).alias("fused_score"),
+        _round("bm25_score"), _round("semantic_score"),
+        F.col("bm25_rank").cast("bigint").alias("bm25_rank"),
+        F.col("semantic_rank").cast("bigint").alias("semantic_rank"),
+        F.array_join("matched_by", ",").alias("matched_by"),
+    )
+
+
+def q_hybrid_matched_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fused candidate (up to 2 x 50 per query) with its provenance."""
+    chunks = _chunks(spark, sf_dir)
+    queries = _queries(spark, sf_dir)
+    lexical = bm25.bm25_search(chunks, queries, LEG_K, columns=())
+    hits = knn.knn_search(_doc_vectors(spark, sf_dir), embedding.embed_queries(queries, ENCODER), LEG_K)
+    semantic = hits.withColumnRenamed("record_id", "chunk_id")
+    cands = fusion.fusion_candidates(lexical, semantic)
+    return cands.select(
+        F.col("query_id").cast("bigint").alias("query_id"), "chunk_id",
+        F.round("fused_score", 9).alias("fused_score"), F.array_join("matched_by", ",").alias("matched_by"),
+    )
+
+
+# --- M5: evaluation -----------------------------------------------------------
+
+def _eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    postings = bm25.build_postings(docs.select(F.col("document_id").alias("chunk_id"), "text"))
+    postings = postings.select("term", F.col("chunk_id").alias("document_id"))
+    term_df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    items = corpus.table(spark, sf_dir, "benchmark")
+    return evaluation.contained_item_cases(items, docs, term_df, postings)
+
+
+def _bm25_retriever(spark: SparkSession, sf_dir: str):
+    chunks = _chunks(spark, sf_dir)
+    index = bm25.build_bm25_index(chunks)
+    return lambda q, k: bm25.bm25_search(chunks, q, k, index=index, columns=("document_id", "title"))
+
+
+def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.evaluate(_eval_cases(spark, sf_dir), _bm25_retriever(spark, sf_dir), EVAL_K)
+
+
+def _eval_rows(ev: DataFrame) -> DataFrame:
+    return ev.select(
+        F.col("case_id").cast("bigint").alias("case_id"), "hit", "matched_document_id", "matched_chunk_id",
+        F.col("matched_rank").cast("bigint").alias("matched_rank"), "n_results",
+    )
+
+
+def q_eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _eval_cases(spark, sf_dir).select("case_id", "query", "expected_document_id")
+
+
+def q_eval_hit_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _eval_rows(_evaluated(spark, sf_dir))
+
+
+def q_eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summ = evaluation.summarize(_evaluated(spark, sf_dir))
+    return summ.select("total_cases", "hits", "misses", _round("hit_rate"))
+
+
+def q_eval_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cases = _eval_cases(spark, sf_dir)
+    retriever = _bm25_retriever(spark, sf_dir)
+    results = retriever(cases.select(F.col("case_id").alias("query_id"), "query"), EVAL_K)
+    ev = evaluation.evaluate_results(cases, results)
+    rep = evaluation.misses_report(ev, results)
+    return rep.select(F.col("case_id").cast("bigint").alias("case_id"), "expected_document_id", "retrieved")
+
+
+def q_eval_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def retriever(q: DataFrame, k: int) -> DataFrame:
+        return _hybrid(spark, sf_dir, q, k, columns=("document_id",))
+
+    return _eval_rows(evaluation.evaluate(_eval_cases(spark, sf_dir), retriever, EVAL_K))
+
+
 QUERIES: dict[str, QueryBuilder] = {
     "canonical_documents": q_canonical_documents,
     "tokenize_terms": q_tokenize_terms,
@@ -253,8 +349,16 @@ QUERIES: dict[str, QueryBuilder] = {
     "knn_l2": q_knn_l2,
     "knn_ip": q_knn_ip,
     "semantic_search": q_semantic_search,
+    "hybrid_rrf": q_hybrid_rrf,
+    "hybrid_matched_by": q_hybrid_matched_by,
+    "eval_cases": q_eval_cases,
+    "eval_hit_at_k": q_eval_hit_at_k,
+    "eval_summary": q_eval_summary,
+    "eval_misses": q_eval_misses,
+    "eval_hybrid": q_eval_hybrid,
 }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_bm25_topk(spark, sf_dir)
+    """Hybrid search (BM25 + vector kNN, reciprocal rank fusion) for every benchmark query."""
+    return q_hybrid_rrf(spark, sf_dir)

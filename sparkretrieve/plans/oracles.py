@@ -113,7 +113,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sco
 SELECT query_id, rank, record_id, round(score, 6) AS score FROM ranked WHERE rank <= {TOP_K}""")
 
 
-SEMANTIC = (CHUNKS + _hash_cells("dv", "SELECT chunk_id AS record_id, text FROM chunks")
+SEM_CTES = (_hash_cells("dv", "SELECT chunk_id AS record_id, text FROM chunks")
             + _hash_cells("qv", "SELECT item_id AS record_id, text FROM benchmark WHERE trim(text) <> ''")
             + """,
 dn AS (SELECT record_id, sqrt(sum(value * value)) AS n FROM dv GROUP BY record_id),
@@ -127,8 +127,62 @@ pairs AS (
   FROM (SELECT item_id FROM benchmark WHERE trim(text) <> '') b CROSS JOIN chunks c
   LEFT JOIN qn ON qn.record_id = b.item_id LEFT JOIN dn ON dn.record_id = c.chunk_id
   LEFT JOIN dots ON dots.query_id = b.item_id AND dots.record_id = c.chunk_id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, record_id) AS rank
-           FROM pairs)""")
+sranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, record_id) AS rank
+            FROM pairs)""")
+SEMANTIC = CHUNKS + SEM_CTES
+
+HYBRID = BM25_RANKED + SEM_CTES + """,
+lex AS (SELECT query_id, chunk_id, rank, score FROM ranked WHERE rank <= 50),
+sem AS (SELECT query_id, record_id AS chunk_id, rank, score FROM sranked
+        WHERE rank <= 50 AND record_id IN (SELECT chunk_id FROM chunks)),
+lexagg AS (SELECT query_id, chunk_id, sum(1.0::DOUBLE / (60 + rank)) AS bf, max(rank) AS bm25_rank,
+                  arg_max(score, rank) AS bm25_score, min(rank) AS bfirst FROM lex GROUP BY ALL),
+semagg AS (SELECT query_id, chunk_id, sum(1.0::DOUBLE / (60 + rank)) AS sf, max(rank) AS semantic_rank,
+                  arg_max(score, rank) AS semantic_score, min(rank) AS sfirst FROM sem GROUP BY ALL),
+merged AS (
+  SELECT coalesce(l.query_id, s.query_id) AS query_id, coalesce(l.chunk_id, s.chunk_id) AS chunk_id,
+         coalesce(bf, 0.0) + coalesce(sf, 0.0) AS fused_score, bm25_score, semantic_score,
+         bm25_rank, semantic_rank, bfirst, sfirst,
+         CASE WHEN bm25_rank IS NOT NULL AND semantic_rank IS NOT NULL THEN 'bm25,semantic'
+              WHEN bm25_rank IS NOT NULL THEN 'bm25' ELSE 'semantic' END AS matched_by
+  FROM lexagg l FULL OUTER JOIN semagg s ON l.query_id = s.query_id AND l.chunk_id = s.chunk_id),
+fused AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(fused_score, 12) DESC,
+                               bfirst NULLS LAST, sfirst NULLS LAST) AS rank
+  FROM merged)"""
+
+CASES = """,
+cases AS (
+  SELECT b.item_id AS case_id, b.text AS query, 'doc_' || CAST(min(d.doc_id) AS VARCHAR) AS expected_document_id
+  FROM benchmark b JOIN documents d ON contains(d.text, b.text)
+  GROUP BY b.item_id, b.text)"""
+
+
+def _eval(results_cte: str) -> str:
+    """Per-case evaluation over ``res(case_id, rank, chunk_id, document_id)``."""
+    return results_cte + """,
+ev AS (
+  SELECT k.case_id, k.query, k.expected_document_id,
+         min(r.rank) FILTER (WHERE r.document_id = k.expected_document_id) AS matched_rank,
+         arg_min(r.chunk_id, r.rank) FILTER (WHERE r.document_id = k.expected_document_id) AS matched_chunk_id,
+         count(r.rank) AS n_results
+  FROM cases k LEFT JOIN res r ON r.case_id = k.case_id
+  GROUP BY ALL)"""
+
+
+EVAL_BM25 = BM25_RANKED + CASES + _eval(""",
+res AS (SELECT r.query_id AS case_id, r.rank, r.chunk_id, c.document_id, c.title, r.score
+        FROM ranked r JOIN chunks c ON c.chunk_id = r.chunk_id WHERE r.rank <= 5)""")
+
+EVAL_HYBRID = HYBRID + CASES + _eval(""",
+res AS (SELECT f.query_id AS case_id, f.rank, f.chunk_id, c.document_id
+        FROM fused f JOIN chunks c ON c.chunk_id = f.chunk_id WHERE f.rank <= 5)""")
+
+EVAL_ROWS = """
+SELECT case_id, matched_rank IS NOT NULL AS hit,
+       CASE WHEN matched_rank IS NOT NULL THEN expected_document_id END AS matched_document_id,
+       matched_chunk_id, matched_rank, n_results
+FROM ev"""
 
 
 ORACLES: dict[str, str] = {
@@ -199,6 +253,28 @@ FROM embeddings""".strip(),
     "knn_ip": _knn("ip"),
     "semantic_search": _with(SEMANTIC, f"""
 SELECT r.query_id, r.rank, r.record_id AS chunk_id, c.document_id, round(r.score, 6) AS score
-FROM ranked r JOIN chunks c ON c.chunk_id = r.record_id
+FROM sranked r JOIN chunks c ON c.chunk_id = r.record_id
 WHERE r.rank <= {TOP_K}"""),
+    "hybrid_rrf": _with(HYBRID, f"""
+SELECT f.query_id, f.rank, f.chunk_id, c.document_id, round(f.fused_score, 9) AS fused_score,
+       round(f.bm25_score, 6) AS bm25_score, round(f.semantic_score, 6) AS semantic_score,
+       f.bm25_rank, f.semantic_rank, f.matched_by
+FROM fused f JOIN chunks c ON c.chunk_id = f.chunk_id
+WHERE f.rank <= {TOP_K}"""),
+    "hybrid_matched_by": _with(HYBRID, """
+SELECT query_id, chunk_id, round(fused_score, 9) AS fused_score, matched_by FROM merged"""),
+    "eval_cases": _with(DOCS + CASES, """
+SELECT case_id, query, expected_document_id FROM cases"""),
+    "eval_hit_at_k": _with(EVAL_BM25, EVAL_ROWS),
+    "eval_summary": _with(EVAL_BM25, """
+SELECT count(*) AS total_cases, count(matched_rank) AS hits, count(*) - count(matched_rank) AS misses,
+       round(CASE WHEN count(*) > 0 THEN count(matched_rank) / count(*) ELSE 0.0 END, 6) AS hit_rate
+FROM ev"""),
+    "eval_misses": _with(EVAL_BM25, """
+SELECT ev.case_id, ev.expected_document_id,
+       coalesce((SELECT string_agg(printf('%s | %s | %s | score=%.4f', r.document_id, r.chunk_id, r.title, r.score),
+                                   chr(10) ORDER BY r.rank)
+                 FROM res r WHERE r.case_id = ev.case_id AND r.rank <= 3), 'no results') AS retrieved
+FROM ev WHERE ev.matched_rank IS NULL"""),
+    "eval_hybrid": _with(EVAL_HYBRID, EVAL_ROWS),
 })

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkretrieve.checks import check_metric, require_positive
 from sparkretrieve.operators import knn
 from sparkretrieve.operators.embedding import embed_queries
+from sparkretrieve.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_count
 
 
 def semantic_search(vectors: DataFrame, queries: DataFrame, encoder, top_k: int, metric: str = "cosine", *,
@@ -19,5 +20,38 @@ def semantic_search(vectors: DataFrame, queries: DataFrame, encoder, top_k: int,
     check_metric(metric)
     qv = embed_queries(queries, encoder, query_id, query_col)
     hits = knn.knn_search(vectors, qv, top_k, metric, **knn_options)
-    out = knn.attach_records(hits, vectors)
+    n_queries = bounded_count(queries, DEFAULT_MAX_BROADCAST_ROWS)
+    out = knn.attach_records(hits, vectors, upper_bound=n_queries * top_k)
     return out.select("query_id", "rank", "record_id", "chunk_id", "document_id", "title", "score")
+
+
+def hybrid_search(chunks: DataFrame, vectors: DataFrame, queries: DataFrame, encoder, top_k: int = 5, *,
+                  bm25_top_k: int = 50, semantic_top_k: int = 50, rrf_k: int = 60, bm25_weight: float = 1.0,
+                  semantic_weight: float = 1.0, metric: str = "cosine", bm25_index=None,
+                  query_id: str = "query_id", query_col: str = "query",
+                  columns: tuple[str, ...] = ("document_id", "title", "text", "metadata")) -> DataFrame:
+    """Both legs for every query, fused by reciprocal rank.
+
+    Blank queries are dropped (single-query callers reject them with
+    ``checks.check_query_text``). The legs are independent subplans; text and
+    metadata are fetched only for the final top-k rows.
+    """
+    from sparkretrieve.checks import check_fusion
+    from sparkretrieve.operators import bm25, fusion
+
+    require_positive(top_k, "top_k")
+    check_fusion(rrf_k, bm25_weight, semantic_weight)
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_col).alias("query"))
+    q = q.filter(F.trim("query") != "")
+    if bm25_index is None:
+        bm25_index = bm25.build_bm25_index(chunks)
+    n_queries = bounded_count(q, DEFAULT_MAX_BROADCAST_ROWS)
+    lexical = bm25.bm25_search(chunks, q, bm25_top_k, index=bm25_index, columns=())
+    hits = knn.knn_search(vectors, embed_queries(q, encoder), semantic_top_k, metric)
+    semantic = knn.attach_records(hits, vectors, ("chunk_id",), upper_bound=n_queries * semantic_top_k)
+    semantic = fusion.drop_unknown_chunks(semantic, chunks, upper_bound=n_queries * semantic_top_k)
+    fused = fusion.fuse(lexical, semantic, top_k, rrf_k=rrf_k, bm25_weight=bm25_weight,
+                        semantic_weight=semantic_weight)
+    if not columns:
+        return fused
+    return bm25.attach_chunks(fused, chunks, list(columns), upper_bound=n_queries * top_k)
