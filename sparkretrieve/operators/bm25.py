@@ -36,7 +36,7 @@ class BM25Index:
     postings: DataFrame  # term, chunk_id, dl, tf
     terms: DataFrame  # term, df, raw_idf, idf
     stats: DataFrame  # one row: n_chunks, total_tokens, avgdl, vocabulary, mean_idf
-    avgdl: Column  # scalar subquery
+    avgdl: Column  # literal (materialised index) or scalar subquery (lazy index)
     k1: float = K1
     b: float = B
 
@@ -48,46 +48,121 @@ def chunk_tokens(chunks: DataFrame, text_col: str = "text") -> DataFrame:
     ).withColumn("dl", F.size("tokens"))
 
 
-def build_postings(chunks: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, chunk_id, dl, tf). The explode and the partial aggregate run in
-    the scan task; only distinct (chunk, term) pairs are shuffled."""
+def chunk_term_rows(chunks: DataFrame, text_col: str = "text") -> DataFrame:
+    """(chunk_id, dl, terms ARRAY<STRUCT<term, tf>>): one row per chunk,
+    map-side only -- sort the tokens, then run-length encode; no shuffle is
+    needed for tf.
+
+    The sorted array and the run starts are separate columns so the lambdas
+    only read attributes (an expression inside a lambda would be evaluated
+    once per element)."""
     toks = chunk_tokens(chunks, text_col)
-    return (
-        toks.select("chunk_id", "dl", F.explode("tokens").alias("term"))
-        .groupBy("term", "chunk_id", "dl")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    ordered = toks.select("chunk_id", "dl", F.sort_array("tokens").alias("_ord"))
+    with_starts = ordered.select(
+        "chunk_id", "dl", "_ord",
+        F.filter(
+            F.sequence(F.lit(1), F.greatest(F.col("dl"), F.lit(1))),
+            lambda i: (i <= F.col("dl"))
+            & ((i == 1) | (F.element_at(F.col("_ord"), i) != F.try_element_at(F.col("_ord"), i - 1))),
+        ).alias("_starts"),
     )
+    return with_starts.select(
+        "chunk_id", "dl",
+        F.transform(
+            "_starts",
+            lambda st, j: F.struct(
+                F.element_at(F.col("_ord"), st).alias("term"),
+                (F.coalesce(F.try_element_at(F.col("_starts"), j + 2), F.col("dl") + 1) - st).alias("tf"),
+            ),
+        ).alias("terms"),
+    )
+
+
+def _explode_postings(rows: DataFrame) -> DataFrame:
+    # inline_outer + filter: a plain inline makes the optimizer infer a
+    # ``size(terms) > 0`` filter and push it below the projections, where it
+    # would re-run the whole per-row sort inside lambdas.
+    return (rows.select("chunk_id", "dl", F.inline_outer("terms"))
+            .filter(F.col("term").isNotNull())
+            .select("term", "chunk_id", "dl", F.col("tf").cast("int").alias("tf")))
+
+
+def build_postings(chunks: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, chunk_id, dl, tf), computed per chunk without a shuffle."""
+    return _explode_postings(chunk_term_rows(chunks, text_col))
+
+
+def _idf_columns(terms: DataFrame, n_chunks, mean_idf, epsilon: float) -> DataFrame:
+    raw = terms.withColumn("raw_idf", F.log(n_chunks - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    return raw, raw.withColumn(
+        "idf", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * mean_idf).otherwise(F.col("raw_idf")))
 
 
 def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K1, b: float = B,
-                     epsilon: float = EPSILON, postings: DataFrame | None = None,
+                     epsilon: float = EPSILON, materialize: bool = True, path: str | None = None,
                      validate: bool = False) -> BM25Index:
-    """corpus statistics and idf with the epsilon floor of the library.
+    """postings, vocabulary with idf, and corpus statistics.
 
     N counts every chunk, including those without tokens. raw idf below zero
     is replaced by ``epsilon`` times the mean raw idf over the whole
-    vocabulary. Statistics are scalar subqueries, so the index stays lazy.
+    vocabulary.
+
+    ``materialize=True`` (default) writes the postings and the vocabulary once
+    as Parquet tables in the shared checkpoint folder -- the corpus is
+    tokenised exactly once, and N, total tokens and the mean idf are gathered
+    with ``observe`` during those writes (no extra pass). ``False`` keeps
+    everything lazy with scalar subqueries (fine for small inputs).
     """
     if validate:
         require_rows(chunks, "chunk_records cannot be empty")
-    if postings is None:
-        postings = build_postings(chunks, text_col)
-    toks = chunk_tokens(chunks, text_col)
-    stats_row = toks.agg(
+    rows = chunk_term_rows(chunks, text_col)
+    if not materialize:
+        return _lazy_index(rows, k1, b, epsilon)
+
+    from pyspark.sql import Observation
+
+    from sparkretrieve.session import scratch_path
+
+    spark = chunks.sparkSession
+    base = path or scratch_path(spark, "bm25")
+    corpus_obs = Observation("bm25_corpus")
+    observed = rows.observe(
+        corpus_obs, F.count(F.lit(1)).alias("n_chunks"),
+        F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_tokens"))
+    _explode_postings(observed).write.mode("overwrite").parquet(f"{base}/postings")
+    postings = spark.read.parquet(f"{base}/postings")
+    cstats = corpus_obs.get
+    n_chunks, total = int(cstats["n_chunks"]), int(cstats["total_tokens"])
+
+    vocab_obs = Observation("bm25_vocabulary")
+    dfs = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    raw, _ = _idf_columns(dfs, F.lit(n_chunks), F.lit(0.0), epsilon)
+    raw.observe(vocab_obs, F.avg("raw_idf").alias("mean_idf"), F.count(F.lit(1)).alias("vocabulary")) \
+        .select("term", "df").write.mode("overwrite").parquet(f"{base}/terms")
+    vstats = vocab_obs.get
+    mean_idf = vstats["mean_idf"]
+    _, terms = _idf_columns(spark.read.parquet(f"{base}/terms"), F.lit(n_chunks),
+                            F.lit(mean_idf).cast("double"), epsilon)
+    avgdl = total / n_chunks if n_chunks else None
+    stats = spark.range(1).select(
+        F.lit(n_chunks).cast("bigint").alias("n_chunks"), F.lit(total).cast("bigint").alias("total_tokens"),
+        F.lit(avgdl).cast("double").alias("avgdl"), F.lit(int(vstats["vocabulary"])).cast("bigint").alias("vocabulary"),
+        F.lit(mean_idf).cast("double").alias("mean_idf"))
+    return BM25Index(postings=postings, terms=terms, stats=stats, avgdl=F.lit(avgdl).cast("double"), k1=k1, b=b)
+
+
+def _lazy_index(rows: DataFrame, k1: float, b: float, epsilon: float) -> BM25Index:
+    postings = _explode_postings(rows)
+    stats_row = rows.agg(
         F.count(F.lit(1)).alias("n_chunks"),
         F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_tokens"),
     )
     n_chunks = stats_row.select("n_chunks").scalar()
     avgdl = stats_row.select(F.try_divide(F.col("total_tokens").cast("double"), F.col("n_chunks"))).scalar()
-
     dfs = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = dfs.withColumn(
-        "raw_idf", F.log(n_chunks - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    )
+    raw, _ = _idf_columns(dfs, n_chunks, F.lit(0.0), epsilon)
     mean_idf = raw.agg(F.avg("raw_idf")).scalar()
-    terms = raw.withColumn(
-        "idf", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * mean_idf).otherwise(F.col("raw_idf"))
-    )
+    _, terms = _idf_columns(dfs, n_chunks, mean_idf, epsilon)
     stats = stats_row.select(
         "n_chunks", "total_tokens",
         F.try_divide(F.col("total_tokens").cast("double"), F.col("n_chunks")).alias("avgdl"),

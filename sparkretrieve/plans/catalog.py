@@ -27,7 +27,7 @@ QueryBuilder = Callable[[SparkSession, str], DataFrame]
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.canonical_documents(corpus.table(spark, sf_dir, "documents"))
+    return corpus.canonical_documents(corpus.balanced(corpus.table(spark, sf_dir, "documents")))
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +186,7 @@ def q_embedding_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.vector_records(corpus.table(spark, sf_dir, "embeddings"))
+    return corpus.vector_records(corpus.balanced(corpus.table(spark, sf_dir, "embeddings")))
 
 
 def q_vector_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,9 +273,9 @@ def q_hybrid_matched_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    postings = bm25.build_postings(docs.select(F.col("document_id").alias("chunk_id"), "text"))
-    postings = postings.select("term", F.col("chunk_id").alias("document_id"))
-    term_df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    doc_index = bm25.build_bm25_index(docs.select(F.col("document_id").alias("chunk_id"), "text"))
+    postings = doc_index.postings.select("term", F.col("chunk_id").alias("document_id"))
+    term_df = doc_index.terms.select("term", "df")
     items = corpus.table(spark, sf_dir, "benchmark")
     return evaluation.contained_item_cases(items, docs, term_df, postings)
 

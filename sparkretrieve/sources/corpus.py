@@ -21,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks (default: the
+    session's parallelism) when the scan yields fewer -- e.g. a file written
+    as one row group. Per-row work on text (tokenising, splitting, encoding)
+    then uses every core. A scan that is already split (any large input) is
+    left as it is, so this never adds a shuffle at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def canonical_documents(raw_documents: DataFrame) -> DataFrame:
     """Driver ``documents`` -> canonical document schema."""
     return raw_documents.select(
