@@ -18,7 +18,8 @@ from sparkretrieve.functions.metadata import flatten_document_metadata
 from sparkretrieve.functions.text import safe_record_id
 from sparkretrieve.operators import bm25, chunking, embedding, evaluation, fusion, knn, vectors
 from sparkretrieve.plans import search
-from sparkretrieve.sources import corpus
+from sparkretrieve.session import scratch_path
+from sparkretrieve.sources import corpus, dump
 
 TOP_K = 10
 SCORE_DIGITS = 6
@@ -326,6 +327,33 @@ def q_eval_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _eval_rows(evaluation.evaluate(_eval_cases(spark, sf_dir), retriever, EVAL_K))
 
 
+# --- M7: dump ingest -----------------------------------------------------------
+
+DUMP_TIMESTAMP = "2024-04-15T14:38:04Z"
+
+
+def _derived_dump(spark: SparkSession, sf_dir: str) -> str:
+    """Write the driver documents as a bz2 MediaWiki-style dump (Spark job),
+    return its folder. Title = first line, page id = doc_id, revision id =
+    n_chars."""
+    raw = corpus.balanced(corpus.table(spark, sf_dir, "documents"))
+    xml = dump.page_xml(
+        F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 80), F.col("doc_id").cast("string"),
+        F.col("n_chars").cast("string"), F.lit(DUMP_TIMESTAMP), F.col("text"))
+    path = scratch_path(spark, "dump")
+    raw.select(xml.alias("value")).write.option("compression", "bzip2").text(path)
+    return path
+
+
+def q_dump_page_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dump.read_pages(spark, _derived_dump(spark, sf_dir))
+
+
+def q_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dump.pages_to_documents(dump.read_pages(spark, _derived_dump(spark, sf_dir)))
+    return dump.ingest_manifest(docs, "canonical/wikipedia")
+
+
 QUERIES: dict[str, QueryBuilder] = {
     "canonical_documents": q_canonical_documents,
     "tokenize_terms": q_tokenize_terms,
@@ -356,6 +384,8 @@ QUERIES: dict[str, QueryBuilder] = {
     "eval_summary": q_eval_summary,
     "eval_misses": q_eval_misses,
     "eval_hybrid": q_eval_hybrid,
+    "dump_page_parse": q_dump_page_parse,
+    "ingest_manifest": q_ingest_manifest,
 }
 
 

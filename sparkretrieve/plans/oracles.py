@@ -278,3 +278,19 @@ SELECT ev.case_id, ev.expected_document_id,
 FROM ev WHERE ev.matched_rank IS NULL"""),
     "eval_hybrid": _with(EVAL_HYBRID, EVAL_ROWS),
 })
+
+PAGES = """
+pages_src AS (
+  SELECT left(split_part(text, chr(10), 1), 80) AS title, CAST(doc_id AS VARCHAR) AS page_id,
+         CAST(n_chars AS VARCHAR) AS revision_id, '2024-04-15T14:38:04Z' AS timestamp, text
+  FROM documents),
+pages_ok AS (SELECT * FROM pages_src WHERE title <> '' AND page_id <> '' AND revision_id <> '')"""
+
+ORACLES.update({
+    "dump_page_parse": _with(PAGES, "SELECT title, page_id, revision_id, timestamp, text FROM pages_ok"),
+    "ingest_manifest": _with(PAGES, """
+SELECT 'wikipedia_' || page_id AS document_id, 'wikipedia' AS source, page_id AS source_id, title,
+       revision_id AS version, timestamp AS updated_at,
+       'canonical/wikipedia/wikipedia_' || page_id || '.json' AS output_path, 'saved' AS status
+FROM pages_ok"""),
+})
