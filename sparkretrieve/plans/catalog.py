@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sparkretrieve.functions.text import preview, render_map, tokenize
 from sparkretrieve.functions.metadata import flatten_document_metadata
 from sparkretrieve.functions.text import safe_record_id
-from sparkretrieve.operators import bm25, chunking, embedding, evaluation, fusion, knn, vectors
+from sparkretrieve.operators import bm25, chunking, embedding, evaluation, fusion, ivf, knn, vectors
 from sparkretrieve.plans import search
 from sparkretrieve.session import scratch_path
 from sparkretrieve.sources import corpus, dump
@@ -354,6 +354,55 @@ def q_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.ingest_manifest(docs, "canonical/wikipedia")
 
 
+# --- M8: approximate kNN -------------------------------------------------------
+
+NLIST = 8
+
+
+def _ivf_self_search(spark: SparkSession, sf_dir: str, nprobe: int) -> DataFrame:
+    vecs = _embedding_vectors(spark, sf_dir)
+    index = ivf.train_ivf(vecs, NLIST, "cosine")
+    queries = vecs.select(F.col("record_id").alias("query_id"), "vector")
+    hits = ivf.ivf_search(index, queries, TOP_K, nprobe)
+    return hits.select("query_id", F.col("rank").cast("bigint").alias("rank"), "record_id", _round("score"))
+
+
+def q_ann_full_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IVF probing every cell: must equal exact cosine kNN."""
+    return _ivf_self_search(spark, sf_dir, NLIST)
+
+
+def q_ann_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IVF probing 2 of 8 cells (approximate: rows only)."""
+    return _ivf_self_search(spark, sf_dir, 2)
+
+
+# --- K1: streaming -------------------------------------------------------------
+
+def q_stream_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents land as 4 files; the stream takes one file per micro-batch,
+    chunks at overlap 0, and the lossless digest per document is rebuilt from
+    the streamed chunks (same oracle as chunk_lossless)."""
+    from sparkretrieve.streaming.ingest import run_chunk_stream
+
+    landing = scratch_path(spark, "landing")
+    _documents(spark, sf_dir).repartition(4).write.parquet(landing)
+    chunks, _ = run_chunk_stream(spark, landing, scratch_path(spark, "stream-out"),
+                                 chunk_size=chunking.DEFAULT_CHUNK_SIZE, chunk_overlap=0,
+                                 max_files_per_trigger=1)
+    per_doc = chunks.groupBy("document_id").agg(
+        F.array_sort(F.collect_list(F.struct("chunk_index", "text"))).alias("parts"),
+        F.max(F.length("text")).alias("longest"))
+    joined = F.array_join(F.transform("parts", lambda p: p["text"]), "")
+    streamed = per_doc.select("document_id", F.md5(F.regexp_replace(joined, WHITESPACE_RE, "")).alias("digest"),
+                              (F.col("longest") <= chunking.DEFAULT_CHUNK_SIZE).alias("within_size"))
+    # Documents without any chunk (blank text) still have a digest (of "").
+    all_docs = _documents(spark, sf_dir).select("document_id")
+    return all_docs.join(streamed, "document_id", "left").select(
+        "document_id", F.coalesce("digest", F.md5(F.lit(""))).alias("digest"),
+        F.coalesce("within_size", F.lit(True)).alias("within_size"))
+
+
 QUERIES: dict[str, QueryBuilder] = {
     "canonical_documents": q_canonical_documents,
     "tokenize_terms": q_tokenize_terms,
@@ -386,6 +435,9 @@ QUERIES: dict[str, QueryBuilder] = {
     "eval_hybrid": q_eval_hybrid,
     "dump_page_parse": q_dump_page_parse,
     "ingest_manifest": q_ingest_manifest,
+    "ann_full_probe": q_ann_full_probe,
+    "ann_ivf": q_ann_ivf,
+    "stream_chunk": q_stream_chunk,
 }
 
 

@@ -294,3 +294,5 @@ SELECT 'wikipedia_' || page_id AS document_id, 'wikipedia' AS source, page_id AS
        'canonical/wikipedia/wikipedia_' || page_id || '.json' AS output_path, 'saved' AS status
 FROM pages_ok"""),
 })
+ORACLES["ann_full_probe"] = ORACLES["knn_cosine"]
+ORACLES["stream_chunk"] = ORACLES["chunk_lossless"]
