@@ -127,9 +127,11 @@ def chunk_documents(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                     chunk_overlap: int = DEFAULT_CHUNK_OVERLAP) -> DataFrame:
     """E1+E2+C3: canonical documents -> chunk records (one row per chunk)."""
     split = split_documents(documents, chunk_size, chunk_overlap)
+    # posexplode_outer + filter: a plain posexplode makes the optimizer infer a
+    # ``size(chunks) > 0`` filter that would evaluate the splitter a second time.
     exploded = split.select(
-        "document_id", "flat", F.posexplode("chunks").alias("chunk_index", "text")
-    )
+        "document_id", "flat", F.posexplode_outer("chunks").alias("chunk_index", "text")
+    ).filter(F.col("text").isNotNull())
     return exploded.select(
         *chunk_record_columns(F.col("flat"), F.col("document_id"), F.col("chunk_index"), F.col("text"))
     )
