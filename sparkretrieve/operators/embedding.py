@@ -71,15 +71,19 @@ class HashingEncoder:
         return EncoderInfo("hashing", f"md5-bucket-{self.dimensions}", self.dimensions, self.max_batch_size)
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dimensions), dtype=np.float64)
-        cache: dict[str, tuple[int, int]] = {}
-        for i, text in enumerate(texts):
-            for tok in _TOKEN_RE.findall(text or ""):
-                tok = tok.lower()
-                bs = cache.get(tok)
-                if bs is None:
-                    bs = cache[tok] = bucket_and_sign(tok, self.dimensions)
-                out[i, bs[0]] += bs[1]
+        """Vectorised per batch: each distinct token is hashed once, counts are
+        scattered with one ``np.add.at``."""
+        n = len(texts)
+        out = np.zeros((n, self.dimensions), dtype=np.float64)
+        per_text = [[t.lower() for t in _TOKEN_RE.findall(text or "")] for text in texts]
+        lengths = np.fromiter((len(ts) for ts in per_text), dtype=np.int64, count=n)
+        if lengths.sum():
+            flat = [t for ts in per_text for t in ts]
+            vocab = {t: i for i, t in enumerate(dict.fromkeys(flat))}
+            table = np.array([bucket_and_sign(t, self.dimensions) for t in vocab], dtype=np.int64)
+            ids = np.fromiter((vocab[t] for t in flat), dtype=np.int64, count=len(flat))
+            rows = np.repeat(np.arange(n), lengths)
+            np.add.at(out, (rows, table[ids, 0]), table[ids, 1].astype(np.float64))
         if self.normalize:
             norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
             out = np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)

@@ -174,7 +174,9 @@ def _doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = _doc_vectors(spark, sf_dir)
-    cells = recs.select("record_id", F.posexplode("vector").alias("dim", "value"))
+    # posexplode_outer: a plain posexplode would infer a size(vector) > 0 filter
+    # and run the encoder twice.
+    cells = recs.select("record_id", F.posexplode_outer("vector").alias("dim", "value"))
     return cells.filter(F.col("value") != 0).select(
         "record_id", F.col("dim").cast("bigint").alias("dim"),
         F.round(F.col("value").cast("double"), SCORE_DIGITS).alias("value"),
