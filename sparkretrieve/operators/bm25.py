@@ -33,12 +33,17 @@ SCORE_RANK_DIGITS = 9
 
 @dataclass
 class BM25Index:
-    postings: DataFrame  # term, chunk_id, dl, tf
-    terms: DataFrame  # term, df, raw_idf, idf
+    postings: DataFrame  # term, chunk_id, dl, tf [, term_bucket]
+    terms: DataFrame  # term, df, raw_idf, idf [, term_bucket]
     stats: DataFrame  # one row: n_chunks, total_tokens, avgdl, vocabulary, mean_idf
     avgdl: Column  # literal (materialised index) or scalar subquery (lazy index)
     k1: float = K1
     b: float = B
+    term_buckets: int | None = None  # set when both tables are partitioned by term_bucket
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def chunk_tokens(chunks: DataFrame, text_col: str = "text") -> DataFrame:
@@ -100,7 +105,7 @@ def _idf_columns(terms: DataFrame, n_chunks, mean_idf, epsilon: float) -> DataFr
 
 def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K1, b: float = B,
                      epsilon: float = EPSILON, materialize: bool = True, path: str | None = None,
-                     validate: bool = False) -> BM25Index:
+                     term_buckets: int | None = None, validate: bool = False) -> BM25Index:
     """postings, vocabulary with idf, and corpus statistics.
 
     N counts every chunk, including those without tokens. raw idf below zero
@@ -110,7 +115,11 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
     ``materialize=True`` (default) writes the postings and the vocabulary once
     as Parquet tables in the shared checkpoint folder -- the corpus is
     tokenised exactly once, and N, total tokens and the mean idf are gathered
-    with ``observe`` during those writes (no extra pass). ``False`` keeps
+    with ``observe`` during those writes (no extra pass). Both tables are
+    partitioned by ``term_bucket`` (hash of the term, ``term_buckets`` values,
+    default the session parallelism; size it so a bucket is a few hundred MB),
+    so a query batch reads only the buckets of its terms (dynamic partition
+    pruning on the broadcast query side). ``False`` keeps
     everything lazy with scalar subqueries (fine for small inputs).
     """
     if validate:
@@ -125,20 +134,31 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
 
     spark = chunks.sparkSession
     base = path or scratch_path(spark, "bm25")
+    buckets = term_buckets or max(1, spark.sparkContext.defaultParallelism)
     corpus_obs = Observation("bm25_corpus")
     observed = rows.observe(
         corpus_obs, F.count(F.lit(1)).alias("n_chunks"),
         F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_tokens"))
-    _explode_postings(observed).write.mode("overwrite").parquet(f"{base}/postings")
+    # Postings clustered by term bucket (one shuffle at build time buys
+    # partition pruning for every later query batch), and each bucket written
+    # as ``spread`` files split by chunk: a stop word's postings, as long as
+    # the corpus, are then read -- and joined -- by ``spread`` tasks, not one.
+    spread = max(1, spark.sparkContext.defaultParallelism)
+    (_explode_postings(observed)
+     .withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+     .withColumn("_spread", F.pmod(F.xxhash64("chunk_id"), F.lit(spread)))
+     .repartition(buckets * spread, "term_bucket", "_spread").drop("_spread")
+     .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{base}/postings"))
     postings = spark.read.parquet(f"{base}/postings")
     cstats = corpus_obs.get
     n_chunks, total = int(cstats["n_chunks"]), int(cstats["total_tokens"])
 
     vocab_obs = Observation("bm25_vocabulary")
-    dfs = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    dfs = postings.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df"))
     raw, _ = _idf_columns(dfs, F.lit(n_chunks), F.lit(0.0), epsilon)
     raw.observe(vocab_obs, F.avg("raw_idf").alias("mean_idf"), F.count(F.lit(1)).alias("vocabulary")) \
-        .select("term", "df").write.mode("overwrite").parquet(f"{base}/terms")
+        .select("term", "df", "term_bucket").write.mode("overwrite").partitionBy("term_bucket") \
+        .parquet(f"{base}/terms")
     vstats = vocab_obs.get
     mean_idf = vstats["mean_idf"]
     _, terms = _idf_columns(spark.read.parquet(f"{base}/terms"), F.lit(n_chunks),
@@ -148,7 +168,8 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
         F.lit(n_chunks).cast("bigint").alias("n_chunks"), F.lit(total).cast("bigint").alias("total_tokens"),
         F.lit(avgdl).cast("double").alias("avgdl"), F.lit(int(vstats["vocabulary"])).cast("bigint").alias("vocabulary"),
         F.lit(mean_idf).cast("double").alias("mean_idf"))
-    return BM25Index(postings=postings, terms=terms, stats=stats, avgdl=F.lit(avgdl).cast("double"), k1=k1, b=b)
+    return BM25Index(postings=postings, terms=terms, stats=stats, avgdl=F.lit(avgdl).cast("double"), k1=k1, b=b,
+                     term_buckets=buckets)
 
 
 def _lazy_index(rows: DataFrame, k1: float, b: float, epsilon: float) -> BM25Index:
@@ -187,19 +208,26 @@ def bm25_matches(index: BM25Index, queries: DataFrame, *, query_id: str = "query
     """(query_id, chunk_id, score, overlap) for every chunk sharing at
     least one distinct token with the query, whatever the sign of its score."""
     qt = query_terms(queries, query_id, query_col)
+    keys = ["term"]
+    if index.term_buckets:
+        # The (always true) ``term <> ''`` is what lets the optimizer plan
+        # dynamic partition pruning of the bucketed index from this side.
+        qt = qt.filter(F.col("term") != "").withColumn(
+            "term_bucket", term_bucket(F.col("term"), index.term_buckets))
+        keys = ["term_bucket", "term"]
     qt_small, small = broadcast_if_bounded(qt, max_broadcast_rows)
-    terms = index.terms.select("term", "idf")
+    terms = index.terms.select(*keys, "idf")
     if small:
-        qt_idf = F.broadcast(qt_small.join(terms, "term"))
-        joined = index.postings.join(qt_idf, "term")
+        qt_idf = F.broadcast(qt_small.join(terms, keys))
+        joined = index.postings.join(qt_idf, keys)
     else:
         # Salt: each posting goes to one of S buckets, each query term to all S.
         salt = F.pmod(F.xxhash64("chunk_id"), F.lit(salt_buckets)).cast("int")
         postings = index.postings.withColumn("salt", salt)
-        qt_idf = qt.join(terms, "term").withColumn(
+        qt_idf = qt.join(terms, keys).withColumn(
             "salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
         )
-        joined = postings.join(qt_idf, ["term", "salt"])
+        joined = postings.join(qt_idf, [*keys, "salt"])
     tf = F.col("tf").cast("double")
     norm = F.lit(index.k1) * (F.lit(1.0 - index.b) + F.lit(index.b) * F.col("dl") / index.avgdl)
     contribution = F.col("qf") * F.col("idf") * tf * F.lit(index.k1 + 1.0) / (tf + norm)
