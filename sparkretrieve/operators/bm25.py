@@ -143,11 +143,12 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
     # partition pruning for every later query batch), and each bucket written
     # as ``spread`` files split by chunk: a stop word's postings, as long as
     # the corpus, are then read -- and joined -- by ``spread`` tasks, not one.
+    # ``rebalance`` lets AQE merge small partitions and split skewed ones.
     spread = max(1, spark.sparkContext.defaultParallelism)
     (_explode_postings(observed)
      .withColumn("term_bucket", term_bucket(F.col("term"), buckets))
      .withColumn("_spread", F.pmod(F.xxhash64("chunk_id"), F.lit(spread)))
-     .repartition(buckets * spread, "term_bucket", "_spread").drop("_spread")
+     .hint("rebalance", "term_bucket", "_spread").drop("_spread")
      .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{base}/postings"))
     postings = spark.read.parquet(f"{base}/postings")
     cstats = corpus_obs.get

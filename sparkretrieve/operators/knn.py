@@ -43,9 +43,10 @@ DEFAULT_V_BLOCK_ROWS = 100_000
 
 
 
-def _candidate_schema(q: DataFrame) -> T.StructType:
+def _candidate_schema(q: DataFrame, v: DataFrame | None = None, carry: tuple[str, ...] = ()) -> T.StructType:
+    extra = [v.schema[c] for c in carry] if v is not None else []
     return T.StructType([q.schema["query_id"], T.StructField("record_id", T.StringType()),
-                         T.StructField("score", T.DoubleType())])
+                         T.StructField("score", T.DoubleType()), *extra])
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -75,11 +76,12 @@ def score_matrix(q: np.ndarray, v: np.ndarray, metric: str) -> np.ndarray:
 
 
 def local_topk(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarray,
-               metric: str, k: int) -> pd.DataFrame:
+               metric: str, k: int, carried: dict[str, np.ndarray] | None = None) -> pd.DataFrame:
     """Top-k per query within one block, keeping every candidate whose score
     is within ``TIE_EPS`` of the k-th best so the global ranking stays exact."""
+    carried = carried or {}
     if len(q_ids) == 0 or len(v_ids) == 0:
-        return pd.DataFrame({"query_id": [], "record_id": [], "score": []})
+        return pd.DataFrame({"query_id": [], "record_id": [], "score": [], **{c: [] for c in carried}})
     s = score_matrix(q, v, metric)
     kk = min(k, s.shape[1])
     kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
@@ -89,7 +91,8 @@ def local_topk(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarra
         scores = -np.einsum("ij,ij->i", diff, diff)
     else:
         scores = s[rows, cols]
-    return pd.DataFrame({"query_id": q_ids[rows], "record_id": v_ids[cols], "score": scores})
+    return pd.DataFrame({"query_id": q_ids[rows], "record_id": v_ids[cols], "score": scores,
+                         **{c: arr[cols] for c, arr in carried.items()}})
 
 
 def _queries_frame(queries: DataFrame, query_id: str, vector_col: str) -> DataFrame:
@@ -97,12 +100,13 @@ def _queries_frame(queries: DataFrame, query_id: str, vector_col: str) -> DataFr
                           F.col(vector_col).cast("array<double>").alias("qvec"))
 
 
-def _vectors_frame(vectors: DataFrame, vector_col: str) -> DataFrame:
+def _vectors_frame(vectors: DataFrame, vector_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     return vectors.select(F.col("record_id").cast("string").alias("record_id"),
-                          F.col(vector_col).cast("array<double>").alias("vec"))
+                          F.col(vector_col).cast("array<double>").alias("vec"), *carry)
 
 
-def _broadcast_candidates(q: DataFrame, v: DataFrame, metric: str, k: int) -> DataFrame:
+def _broadcast_candidates(q: DataFrame, v: DataFrame, metric: str, k: int,
+                          carry: tuple[str, ...] = ()) -> DataFrame:
     spark = q.sparkSession
     pdf = q.toPandas()
     bq = spark.sparkContext.broadcast(
@@ -115,14 +119,15 @@ def _broadcast_candidates(q: DataFrame, v: DataFrame, metric: str, k: int) -> Da
             if len(batch) == 0:
                 continue
             yield local_topk(q_ids, qm, batch["record_id"].to_numpy(dtype=object),
-                             _matrix(batch["vec"]), metric, k)
+                             _matrix(batch["vec"]), metric, k,
+                             {c: batch[c].to_numpy(dtype=object) for c in carry})
 
-    return v.mapInPandas(score_batches, _candidate_schema(q))
+    return v.mapInPandas(score_batches, _candidate_schema(q, v, carry))
 
 
 def blocked_candidates(q: DataFrame, v: DataFrame, metric: str, k: int, *, n_queries: int,
                        n_vectors: int, q_block_rows: int, v_block_rows: int,
-                       key_cols: tuple[str, ...] = ()) -> DataFrame:
+                       key_cols: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
     """Cogroup (key, query block, vector block); each group is bounded by the
     block sizes. ``key_cols`` (e.g. an IVF cell) must be present on both sides."""
     n_qb = max(1, math.ceil(n_queries / q_block_rows))
@@ -135,9 +140,10 @@ def blocked_candidates(q: DataFrame, v: DataFrame, metric: str, k: int, *, n_que
 
     def score_group(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
         return local_topk(qpdf["query_id"].to_numpy(dtype=object), _matrix(qpdf["qvec"]),
-                          vpdf["record_id"].to_numpy(dtype=object), _matrix(vpdf["vec"]), metric, k)
+                          vpdf["record_id"].to_numpy(dtype=object), _matrix(vpdf["vec"]), metric, k,
+                          {c: vpdf[c].to_numpy(dtype=object) for c in carry})
 
-    return qx.groupBy(*keys).cogroup(vx.groupBy(*keys)).applyInPandas(score_group, _candidate_schema(q))
+    return qx.groupBy(*keys).cogroup(vx.groupBy(*keys)).applyInPandas(score_group, _candidate_schema(q, v, carry))
 
 
 def rank_candidates(candidates: DataFrame, k: int) -> DataFrame:
@@ -151,23 +157,25 @@ def knn_search(vectors: DataFrame, queries: DataFrame, top_k: int, metric: str =
                query_id: str = "query_id", query_vector: str = "vector", vector_col: str = "vector",
                strategy: str = "auto", max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES,
                q_block_rows: int = DEFAULT_Q_BLOCK_ROWS,
-               v_block_rows: int = DEFAULT_V_BLOCK_ROWS) -> DataFrame:
-    """H2: (query_id, rank, record_id, score) for every query.
+               v_block_rows: int = DEFAULT_V_BLOCK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """H2: (query_id, rank, record_id, score, *carry) for every query.
 
+    ``carry`` names vector-table columns (e.g. chunk_id) passed through the
+    scoring tasks, so no join back to the vector table is needed.
     ``top_k`` larger than the index simply returns every record; an empty
     index returns no rows.
     """
     require_positive(top_k, "top_k")
     check_metric(metric)
     q = _queries_frame(queries, query_id, query_vector)
-    v = _vectors_frame(vectors, vector_col)
+    v = _vectors_frame(vectors, vector_col, carry)
     n_q = bounded_count(q, max_broadcast_queries)
     if strategy == "broadcast" or (strategy == "auto" and n_q <= max_broadcast_queries):
-        cands = _broadcast_candidates(q, v, metric, top_k)
+        cands = _broadcast_candidates(q, v, metric, top_k, carry)
     else:
         cands = blocked_candidates(q, v, metric, top_k, n_queries=q.count(), n_vectors=v.count(),
-                                   q_block_rows=q_block_rows, v_block_rows=v_block_rows)
-    return rank_candidates(cands, top_k).select("query_id", "rank", "record_id", "score")
+                                   q_block_rows=q_block_rows, v_block_rows=v_block_rows, carry=carry)
+    return rank_candidates(cands, top_k).select("query_id", "rank", "record_id", "score", *carry)
 
 
 def attach_records(results: DataFrame, vectors: DataFrame,

@@ -19,10 +19,8 @@ def semantic_search(vectors: DataFrame, queries: DataFrame, encoder, top_k: int,
     require_positive(top_k, "top_k")
     check_metric(metric)
     qv = embed_queries(queries, encoder, query_id, query_col)
-    hits = knn.knn_search(vectors, qv, top_k, metric, **knn_options)
-    n_queries = bounded_count(queries, DEFAULT_MAX_BROADCAST_ROWS)
-    out = knn.attach_records(hits, vectors, upper_bound=n_queries * top_k)
-    return out.select("query_id", "rank", "record_id", "chunk_id", "document_id", "title", "score")
+    hits = knn.knn_search(vectors, qv, top_k, metric, carry=("chunk_id", "document_id", "title"), **knn_options)
+    return hits.select("query_id", "rank", "record_id", "chunk_id", "document_id", "title", "score")
 
 
 def hybrid_search(chunks: DataFrame, vectors: DataFrame, queries: DataFrame, encoder, top_k: int = 5, *,
@@ -47,8 +45,7 @@ def hybrid_search(chunks: DataFrame, vectors: DataFrame, queries: DataFrame, enc
         bm25_index = bm25.build_bm25_index(chunks)
     n_queries = bounded_count(q, DEFAULT_MAX_BROADCAST_ROWS)
     lexical = bm25.bm25_search(chunks, q, bm25_top_k, index=bm25_index, columns=())
-    hits = knn.knn_search(vectors, embed_queries(q, encoder), semantic_top_k, metric)
-    semantic = knn.attach_records(hits, vectors, ("chunk_id",), upper_bound=n_queries * semantic_top_k)
+    semantic = knn.knn_search(vectors, embed_queries(q, encoder), semantic_top_k, metric, carry=("chunk_id",))
     semantic = fusion.drop_unknown_chunks(semantic, chunks, upper_bound=n_queries * semantic_top_k)
     fused = fusion.fuse(lexical, semantic, top_k, rrf_k=rrf_k, bm25_weight=bm25_weight,
                         semantic_weight=semantic_weight)
