@@ -105,7 +105,8 @@ def _idf_columns(terms: DataFrame, n_chunks, mean_idf, epsilon: float) -> DataFr
 
 def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K1, b: float = B,
                      epsilon: float = EPSILON, materialize: bool = True, path: str | None = None,
-                     term_buckets: int | None = None, validate: bool = False) -> BM25Index:
+                     term_buckets: int | None = None, bucket_spread: int | None = None,
+                     validate: bool = False) -> BM25Index:
     """postings, vocabulary with idf, and corpus statistics.
 
     N counts every chunk, including those without tokens. raw idf below zero
@@ -115,11 +116,14 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
     ``materialize=True`` (default) writes the postings and the vocabulary once
     as Parquet tables in the shared checkpoint folder -- the corpus is
     tokenised exactly once, and N, total tokens and the mean idf are gathered
-    with ``observe`` during those writes (no extra pass). Both tables are
-    partitioned by ``term_bucket`` (hash of the term, ``term_buckets`` values,
-    default the session parallelism; size it so a bucket is a few hundred MB),
-    so a query batch reads only the buckets of its terms (dynamic partition
-    pruning on the broadcast query side). ``False`` keeps
+    with ``observe`` during those writes (no extra pass).
+
+    Layout choice: by default postings stay where the scan wrote them (no
+    shuffle; every term spread over all files), best for large query batches.
+    ``term_buckets=N`` partitions both tables by a hash bucket of the term, so
+    a small query batch reads only the buckets of its terms (dynamic partition
+    pruning from the broadcast query side) -- worth one build shuffle when an
+    index is large and queried in small batches. ``False`` keeps
     everything lazy with scalar subqueries (fine for small inputs).
     """
     if validate:
@@ -134,32 +138,38 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
 
     spark = chunks.sparkSession
     base = path or scratch_path(spark, "bm25")
-    buckets = term_buckets or max(1, spark.sparkContext.defaultParallelism)
     corpus_obs = Observation("bm25_corpus")
     observed = rows.observe(
         corpus_obs, F.count(F.lit(1)).alias("n_chunks"),
         F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_tokens"))
-    # Postings clustered by term bucket (one shuffle at build time buys
-    # partition pruning for every later query batch), and each bucket written
-    # as ``spread`` files split by chunk: a stop word's postings, as long as
-    # the corpus, are then read -- and joined -- by ``spread`` tasks, not one.
-    # ``rebalance`` lets AQE merge small partitions and split skewed ones.
-    spread = max(1, spark.sparkContext.defaultParallelism)
-    (_explode_postings(observed)
-     .withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-     .withColumn("_spread", F.pmod(F.xxhash64("chunk_id"), F.lit(spread)))
-     .hint("rebalance", "term_bucket", "_spread").drop("_spread")
-     .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{base}/postings"))
+    postings_out = _explode_postings(observed)
+    if term_buckets:
+        # Clustered by term bucket: one shuffle at build time buys partition
+        # pruning for later small query batches. Each bucket is written as
+        # ``bucket_spread`` files split by chunk, so a stop word's postings (as
+        # long as the corpus) are still read and joined by many tasks.
+        spread = bucket_spread or max(1, spark.sparkContext.defaultParallelism)
+        (postings_out.withColumn("term_bucket", term_bucket(F.col("term"), term_buckets))
+         .withColumn("_spread", F.pmod(F.xxhash64("chunk_id"), F.lit(spread)))
+         .repartition(term_buckets * spread, "term_bucket", "_spread").drop("_spread")
+         .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{base}/postings"))
+    else:
+        # Written by the scan tasks as they are: no shuffle, and every term's
+        # postings are spread over all files.
+        postings_out.write.mode("overwrite").parquet(f"{base}/postings")
     postings = spark.read.parquet(f"{base}/postings")
     cstats = corpus_obs.get
     n_chunks, total = int(cstats["n_chunks"]), int(cstats["total_tokens"])
 
     vocab_obs = Observation("bm25_vocabulary")
-    dfs = postings.groupBy("term_bucket", "term").agg(F.count(F.lit(1)).alias("df"))
+    keys = ["term_bucket", "term"] if term_buckets else ["term"]
+    dfs = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"))
     raw, _ = _idf_columns(dfs, F.lit(n_chunks), F.lit(0.0), epsilon)
-    raw.observe(vocab_obs, F.avg("raw_idf").alias("mean_idf"), F.count(F.lit(1)).alias("vocabulary")) \
-        .select("term", "df", "term_bucket").write.mode("overwrite").partitionBy("term_bucket") \
-        .parquet(f"{base}/terms")
+    writer = raw.observe(vocab_obs, F.avg("raw_idf").alias("mean_idf"), F.count(F.lit(1)).alias("vocabulary")) \
+        .select("term", "df", *keys[:-1]).write.mode("overwrite")
+    if term_buckets:
+        writer = writer.partitionBy("term_bucket")
+    writer.parquet(f"{base}/terms")
     vstats = vocab_obs.get
     mean_idf = vstats["mean_idf"]
     _, terms = _idf_columns(spark.read.parquet(f"{base}/terms"), F.lit(n_chunks),
@@ -170,7 +180,7 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
         F.lit(avgdl).cast("double").alias("avgdl"), F.lit(int(vstats["vocabulary"])).cast("bigint").alias("vocabulary"),
         F.lit(mean_idf).cast("double").alias("mean_idf"))
     return BM25Index(postings=postings, terms=terms, stats=stats, avgdl=F.lit(avgdl).cast("double"), k1=k1, b=b,
-                     term_buckets=buckets)
+                     term_buckets=term_buckets)
 
 
 def _lazy_index(rows: DataFrame, k1: float, b: float, epsilon: float) -> BM25Index:
