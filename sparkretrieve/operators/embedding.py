@@ -38,7 +38,20 @@ DEFAULT_DIMENSIONS = 384
 DEFAULT_MAX_BATCH_SIZE = 32
 
 _TOKEN_RE = re.compile(TOKEN_PATTERN)
-_MODELS: dict[tuple, Any] = {}  # per Python worker: loaded models by spec
+
+
+def _model_cache() -> dict:
+    """Loaded models by spec, kept per Python worker process (workers are
+    reused across tasks), whether this module was imported or shipped by value."""
+    import sys
+    import types
+
+    holder = sys.modules.get("_sparkretrieve_models")
+    if holder is None:
+        holder = types.ModuleType("_sparkretrieve_models")
+        holder.models = {}
+        sys.modules["_sparkretrieve_models"] = holder
+    return holder.models
 
 
 @dataclass(frozen=True)
@@ -110,7 +123,8 @@ class SentenceTransformerEncoder:
 
     def _model(self):
         key = ("st", self.model_name, self.device, id(self.model_loader))
-        if key not in _MODELS:
+        models = _model_cache()
+        if key not in models:
             loader = self.model_loader
             if loader is None:
                 try:
@@ -121,10 +135,10 @@ class SentenceTransformerEncoder:
                     ) from exc
             kwargs = {"device": self.device} if self.device is not None else {}
             try:
-                _MODELS[key] = loader(self.model_name, **kwargs)
+                models[key] = loader(self.model_name, **kwargs)
             except Exception as exc:  # noqa: BLE001
                 raise RuntimeError(f"could not load embedding model: {self.model_name}") from exc
-        return _MODELS[key]
+        return models[key]
 
     def encode(self, texts: list[str]) -> np.ndarray:
         if not texts:
