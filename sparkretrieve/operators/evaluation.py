@@ -72,20 +72,20 @@ def read_eval_cases(spark: SparkSession, path: str, *, validate: bool = True) ->
 
 # --- Cases from a corpus ------------------------------------------------------
 
-def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFrame,
-                         postings: DataFrame, *, item_id: str = "item_id", item_text: str = "text",
-                         max_unanchored: int = MAX_UNANCHORED_ITEMS) -> DataFrame:
+def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFrame | None = None,
+                         postings: DataFrame | None = None, *, item_id: str = "item_id",
+                         item_text: str = "text", max_unanchored: int = MAX_UNANCHORED_ITEMS) -> DataFrame:
     """Cases = (item, smallest document whose text contains the item).
 
     Containment is found with an equi-join, not a cross product: an item's
     *interior* tokens (those not touching its first or last character) are
-    whole tokens of any text containing it, so its rarest interior token
-    (lowest df) is joined with the postings to get candidates, which are then
-    checked with ``contains``. Items without an interior token (at most two
+    whole tokens of any text containing it, so one interior token per item
+    (the anchor) is joined with document tokens to get candidates, which are
+    then checked with ``contains``. With an index (``postings`` (term,
+    document_id) and ``term_df`` (term, df)) the rarest interior token is the
+    anchor; without one, the longest (ties: smallest) and the documents are
+    tokenised in the same pass. Items without an interior token (at most two
     tokens) are compared with every document through a size-checked broadcast.
-
-    ``postings`` is (term, document_id) at document level; ``term_df`` is
-    (term, df).
     """
     tok_char = f"^{TOKEN_PATTERN[:-1]}"  # one token character
     text = F.col(item_text)
@@ -99,22 +99,33 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
     )
     anchored = it.filter(F.size("interior") > 0)
     cand_terms = anchored.select("case_id", F.explode(F.array_distinct("interior")).alias("term"))
-    terms_side, _ = broadcast_if_bounded(cand_terms)
-    anchors = (term_df.select("term", "df").join(terms_side, "term")
-               .groupBy("case_id").agg(F.min_by("term", F.struct("df", "term")).alias("term")))
+    if term_df is not None and postings is not None:
+        terms_side, _ = broadcast_if_bounded(cand_terms)
+        anchors = (term_df.select("term", "df").join(terms_side, "term")
+                   .groupBy("case_id").agg(F.min_by("term", F.struct("df", "term")).alias("term")))
+        doc_terms = postings.select("term", "document_id")
+    else:
+        anchors = cand_terms.groupBy("case_id").agg(
+            F.min_by("term", F.struct(-F.length("term"), F.col("term"))).alias("term"))
+        # explode_outer + filter: a plain explode would tokenise twice (inferred filter).
+        doc_terms = (documents.select("document_id", F.explode_outer(F.array_distinct(tokenize("text"))).alias("term"))
+                     .filter(F.col("term").isNotNull()))
     anchor_side, _ = broadcast_if_bounded(anchors)
-    candidates = postings.select("term", "document_id").join(anchor_side, "term").select("case_id", "document_id")
+    candidates = doc_terms.join(anchor_side, "term").select("case_id", "document_id")
     docs = documents.select("document_id", F.col("source_id").cast("bigint").alias("_doc_key"), "text")
     queries = it.select("case_id", "query")
     q_side, _ = broadcast_if_bounded(queries)
-    checked = (candidates.join(q_side, "case_id").join(docs, "document_id")
-               .filter(F.col("text").contains(F.col("query"))))
+    # Candidate pairs are few (postings of one anchor per item): broadcast them,
+    # once counted, so the document texts are checked where they are scanned.
+    cand_side, _ = broadcast_if_bounded(candidates.join(q_side, "case_id"))
+    checked = docs.join(cand_side, "document_id").filter(F.col("text").contains(F.col("query")))
     found = checked.select("case_id", "query", "_doc_key", "document_id")
 
     unanchored = it.filter(F.size("interior") == 0).select("case_id", "query")
-    if bounded_count(unanchored, max_unanchored) > 0:
-        if bounded_count(unanchored, max_unanchored) > max_unanchored:
-            raise ValueError(f"more than {max_unanchored} items without an interior token")
+    n_unanchored = bounded_count(unanchored, max_unanchored)
+    if n_unanchored > max_unanchored:
+        raise ValueError(f"more than {max_unanchored} items without an interior token")
+    if n_unanchored > 0:
         extra = (docs.join(F.broadcast(unanchored), F.col("text").contains(F.col("query")))
                  .select("case_id", "query", "_doc_key", "document_id"))
         found = found.unionByName(extra)

@@ -276,11 +276,8 @@ def q_hybrid_matched_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    doc_index = bm25.build_bm25_index(docs.select(F.col("document_id").alias("chunk_id"), "text"))
-    postings = doc_index.postings.select("term", F.col("chunk_id").alias("document_id"))
-    term_df = doc_index.terms.select("term", "df")
     items = corpus.table(spark, sf_dir, "benchmark")
-    return evaluation.contained_item_cases(items, docs, term_df, postings)
+    return evaluation.contained_item_cases(items, docs)
 
 
 def _bm25_retriever(spark: SparkSession, sf_dir: str):

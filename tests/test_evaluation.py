@@ -97,3 +97,5 @@ def test_contained_item_cases(spark):
     cases = evaluation.contained_item_cases(items, docs, index.terms, postings)
     got = {(r.case_id, r.expected_document_id) for r in cases.collect()}
     assert got == {(10, "doc_1"), (11, "doc_1")}
+    no_index = evaluation.contained_item_cases(items, docs)
+    assert {(r.case_id, r.expected_document_id) for r in no_index.collect()} == got
