@@ -89,3 +89,8 @@ def test_manifest(spark):
     row = chunking.chunk_manifest(chunks, "out/chunks").collect()[0]
     assert row.asDict() == {"document_id": "wikipedia_1", "chunk_id": "wikipedia_1_chunk_0",
                             "output_path": "out/chunks/wikipedia_1_chunk_0.json", "status": "saved"}
+
+
+def test_short_text_is_one_stripped_chunk():
+    text = "  A short document.\nWith two lines.  "
+    assert split_text(text, 1200, 200) == [text.strip()]
