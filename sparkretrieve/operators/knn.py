@@ -7,7 +7,7 @@ A zero-norm vector has cosine 0.
 Two physical strategies, chosen by a measured size:
 
 * **broadcast** -- the query matrix (checked: at most ``max_broadcast_queries``
-  rows) is shipped once to every executor; the vector table is scanned in
+  rows and ``max_broadcast_values`` numbers) is shipped once to every executor; the vector table is scanned in
   place by ``mapInPandas`` and each Arrow batch is scored with one matrix
   product. No shuffle of the vector table.
 * **blocked** -- beyond the bound, queries are hashed into B blocks and
@@ -38,6 +38,7 @@ from sparkretrieve.operators.sizing import bounded_count
 RANK_DIGITS = 9
 TIE_EPS = 1e-9
 DEFAULT_MAX_BROADCAST_QUERIES = 50_000
+DEFAULT_MAX_BROADCAST_VALUES = 20_000_000  # query rows x dimensions: 160 MB as float64
 DEFAULT_Q_BLOCK_ROWS = 20_000
 DEFAULT_V_BLOCK_ROWS = 100_000
 
@@ -157,7 +158,8 @@ def knn_search(vectors: DataFrame, queries: DataFrame, top_k: int, metric: str =
                query_id: str = "query_id", query_vector: str = "vector", vector_col: str = "vector",
                strategy: str = "auto", max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES,
                q_block_rows: int = DEFAULT_Q_BLOCK_ROWS,
-               v_block_rows: int = DEFAULT_V_BLOCK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+               v_block_rows: int = DEFAULT_V_BLOCK_ROWS, carry: tuple[str, ...] = (),
+               max_broadcast_values: int = DEFAULT_MAX_BROADCAST_VALUES) -> DataFrame:
     """H2: (query_id, rank, record_id, score, *carry) for every query.
 
     ``carry`` names vector-table columns (e.g. chunk_id) passed through the
@@ -170,7 +172,11 @@ def knn_search(vectors: DataFrame, queries: DataFrame, top_k: int, metric: str =
     q = _queries_frame(queries, query_id, query_vector)
     v = _vectors_frame(vectors, vector_col, carry)
     n_q = bounded_count(q, max_broadcast_queries)
-    if strategy == "broadcast" or (strategy == "auto" and n_q <= max_broadcast_queries):
+    small = n_q <= max_broadcast_queries
+    if small and n_q:
+        dims = q.select(F.max(F.size("qvec")).alias("d")).first().d or 0
+        small = n_q * dims <= max_broadcast_values
+    if strategy == "broadcast" or (strategy == "auto" and small):
         cands = _broadcast_candidates(q, v, metric, top_k, carry)
     else:
         cands = blocked_candidates(q, v, metric, top_k, n_queries=q.count(), n_vectors=v.count(),

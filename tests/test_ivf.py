@@ -18,3 +18,16 @@ def test_full_probe_equals_exact_and_partial_probe_runs(spark):
     assert all(r.rank <= 5 for r in part)
     bigger = index.add(recs.limit(3).selectExpr("concat(record_id, 'x') AS record_id", "vector"))
     assert bigger.vectors.count() == 123
+
+
+def test_partial_probe_recall(spark):
+    rng = np.random.default_rng(11)
+    centers = rng.normal(size=(6, 8)) * 5
+    v = np.concatenate([c + rng.normal(size=(40, 8)) for c in centers]).astype(np.float32)
+    recs = spark.createDataFrame([(f"r{i:03d}", x.tolist()) for i, x in enumerate(v)], "record_id string, vector array<float>")
+    queries = recs.selectExpr("record_id AS query_id", "vector")
+    index = ivf.train_ivf(recs, nlist=6, metric="l2")
+    approx = {(r.query_id, r.record_id) for r in ivf.ivf_search(index, queries, 10, nprobe=2).collect()}
+    exact = {(r.query_id, r.record_id) for r in knn.knn_search(recs, queries, 10, "l2").collect()}
+    recall = len(approx & exact) / len(exact)
+    assert recall >= 0.9
