@@ -72,7 +72,7 @@ class IVFIndex:
 
 
 def train_ivf(vectors: DataFrame, nlist: int = DEFAULT_NLIST, metric: str = "cosine", *, seed: int = 7,
-              max_iter: int = 20, train_fraction: float | None = None) -> IVFIndex:
+              max_iter: int = 10, train_fraction: float | None = None) -> IVFIndex:
     """KMeans cells over the vector table (normalised first for cosine).
 
     ``train_fraction`` trains the centroids on a sample; every vector is still

@@ -74,3 +74,29 @@ def test_many_pages_many_files(spark, tmp_path):
     _dump(tmp_path, pages[1000:], "b.xml.bz2")
     df = dump.read_pages(spark, str(tmp_path))
     assert df.count() == 2000 and df.select("page_id").distinct().count() == 2000
+
+
+def test_bz2_dump_split_into_many_tasks_keeps_every_page_once(spark, tmp_path):
+    import random
+
+    rnd = random.Random(5)
+    words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa"]
+    pages = []
+    for i in range(1, 3001):
+        text = " ".join(rnd.choice(words) + str(rnd.randint(0, 99999)) for _ in range(60))
+        pages.append(PAGE.format(title=f"T{i}", pid=str(i), rev=REV.format(rid=str(10 * i), text=text)))
+    body = HEADER + "".join(pages) + "</mediawiki>\n"
+    path = tmp_path / "big.xml.bz2"
+    path.write_bytes(bz2.compress(body.encode("utf-8"), compresslevel=1))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(96 * 1024))
+    try:
+        lines = spark.read.option("lineSep", "</page>").text(str(path))
+        assert lines.rdd.getNumPartitions() > 3
+        df = dump.read_pages(spark, str(path))
+        rows = df.select("page_id", "revision_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 3000
+    assert {r.page_id for r in rows} == {str(i) for i in range(1, 3001)}
+    assert all(r.revision_id == str(10 * int(r.page_id)) for r in rows)
