@@ -112,7 +112,9 @@ def ivf_search(index: IVFIndex, queries: DataFrame, top_k: int, nprobe: int = DE
         return pd.Series([row.astype("int32").tolist() for row in nearest_cells(m, cents, metric, nprobe)])
 
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("qvec"))
-    probes = q.select("query_id", "qvec", F.explode(_probe(F.col("qvec"))).alias("cell"))
+    # explode_outer + filter: a plain explode would infer a size() filter that runs the probe UDF twice.
+    probes = (q.select("query_id", "qvec", F.explode_outer(_probe(F.col("qvec"))).alias("cell"))
+              .filter(F.col("cell").isNotNull()))
     v = index.vectors.select(F.col("record_id").cast("string").alias("record_id"),
                              F.col("vector").cast("array<double>").alias("vec"), "cell")
 
