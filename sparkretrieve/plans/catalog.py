@@ -139,6 +139,18 @@ def _lossless(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
     )
 
 
+def q_bm25_chunk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 top-k over the real chunks (1200/200 splitter output), as the
+    studied search command runs it. Rows only: the splitter has no SQL form;
+    tests compare it with a brute-force scorer."""
+    chunks = chunking.chunk_documents(_documents(spark, sf_dir))
+    res = bm25.bm25_search(chunks, _queries(spark, sf_dir), top_k=TOP_K, columns=("document_id", "title", "text"))
+    return res.select(
+        "query_id", F.col("rank").cast("bigint").alias("rank"), "chunk_id", "document_id", "title",
+        _round("score"), F.col("overlap").cast("bigint").alias("overlap"), preview("text").alias("preview"),
+    )
+
+
 def q_chunk_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lossless(spark, sf_dir, chunking.DEFAULT_CHUNK_SIZE)
 
@@ -413,6 +425,7 @@ QUERIES: dict[str, QueryBuilder] = {
     "chunk_summary": q_chunk_summary,
     "chunk_manifest": q_chunk_manifest,
     "chunk_lossless": q_chunk_lossless,
+    "bm25_chunk_search": q_bm25_chunk_search,
     "chunk_lossless_small": q_chunk_lossless_small,
     "metadata_flatten": q_metadata_flatten,
     "embedding_request": q_embedding_request,

@@ -93,3 +93,49 @@ def test_bucketed_index_equals_default_and_prunes(spark):
     plan = bm25.bm25_matches(bucketed, queries)._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
     assert bucketed.stats.first().asDict() == plain.stats.first().asDict()
+
+
+def _brute_force_bm25(chunks, query, k1=1.5, b=0.75, eps=0.25):
+    """Plain-Python scorer written from the BM25 Okapi rules, for cross-checking."""
+    import math
+    import re
+    from collections import Counter
+
+    tok = lambda t: [x.lower() for x in re.findall(r"[A-Za-z0-9_.$:/-]+", t)]
+    docs = {cid: tok(text) for cid, text in chunks}
+    n = len(docs)
+    avgdl = sum(len(d) for d in docs.values()) / n
+    df = Counter(t for d in docs.values() for t in set(d))
+    raw = {t: math.log(n - c + 0.5) - math.log(c + 0.5) for t, c in df.items()}
+    mean = sum(raw.values()) / len(raw)
+    idf = {t: (eps * mean if v < 0 else v) for t, v in raw.items()}
+    q = tok(query)
+    out = []
+    for cid, d in docs.items():
+        tf = Counter(d)
+        overlap = len(set(q) & set(d))
+        if not overlap:
+            continue
+        score = sum(idf.get(t, 0.0) * tf[t] * (k1 + 1) / (tf[t] + k1 * (1 - b + b * len(d) / avgdl)) for t in q)
+        out.append((cid, score, overlap))
+    out.sort(key=lambda r: (-round(r[1], 9), -r[2], r[0]))
+    return out
+
+
+def test_chunk_search_equals_brute_force(spark):
+    from tests.conftest import SF001
+    from sparkretrieve.operators import chunking
+    from sparkretrieve.sources import corpus
+
+    docs = corpus.canonical_documents(corpus.table(spark, SF001, "documents").orderBy("doc_id").limit(40))
+    chunks = chunking.chunk_documents(docs, 300, 50).select("chunk_id", "document_id", "title", "text", "metadata")
+    local = [(r.chunk_id, r.text) for r in chunks.collect()]
+    bench = corpus.table(spark, SF001, "benchmark").orderBy("item_id").limit(5).collect()
+    queries = spark.createDataFrame([(r.item_id, r.text) for r in bench], "query_id long, query string")
+    got = bm25.bm25_search(chunks, queries, top_k=7).collect()
+    for r in bench:
+        expect = _brute_force_bm25(local, r.text)[:7]
+        mine = sorted((x for x in got if x.query_id == r.item_id), key=lambda x: x.rank)
+        assert [x.chunk_id for x in mine] == [e[0] for e in expect]
+        assert [round(x.score, 6) for x in mine] == [round(e[1], 6) for e in expect]
+        assert [x.overlap for x in mine] == [e[2] for e in expect]
