@@ -78,20 +78,30 @@ def score_matrix(q: np.ndarray, v: np.ndarray, metric: str) -> np.ndarray:
 
 def local_topk(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarray,
                metric: str, k: int, carried: dict[str, np.ndarray] | None = None) -> pd.DataFrame:
-    """Top-k per query within one block, keeping every candidate whose score
-    is within ``TIE_EPS`` of the k-th best so the global ranking stays exact."""
+    """Exactly min(k, n) candidates per query within one block, ordered like
+    the global ranking: score rounded to ``RANK_DIGITS`` (desc), then
+    record_id. Even if a third of the vectors are identical copies, a block
+    emits k rows per query, never the whole tie group."""
     carried = carried or {}
     if len(q_ids) == 0 or len(v_ids) == 0:
         return pd.DataFrame({"query_id": [], "record_id": [], "score": [], **{c: [] for c in carried}})
     s = score_matrix(q, v, metric)
     kk = min(k, s.shape[1])
     kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
+    # Superset: everything within TIE_EPS of the k-th best (ties and rounding).
     rows, cols = np.nonzero(s >= (kth - TIE_EPS)[:, None])
     if metric == "l2":
         diff = q[rows] - v[cols]
         scores = -np.einsum("ij,ij->i", diff, diff)
     else:
         scores = s[rows, cols]
+    id_rank = np.empty(len(v_ids), dtype=np.int64)
+    id_rank[np.argsort(v_ids, kind="stable")] = np.arange(len(v_ids))
+    order = np.lexsort((id_rank[cols], -np.round(scores, RANK_DIGITS), rows))
+    rows, cols, scores = rows[order], cols[order], scores[order]
+    first = np.searchsorted(rows, rows, side="left")
+    keep = (np.arange(len(rows)) - first) < kk
+    rows, cols, scores = rows[keep], cols[keep], scores[keep]
     return pd.DataFrame({"query_id": q_ids[rows], "record_id": v_ids[cols], "score": scores,
                          **{c: arr[cols] for c, arr in carried.items()}})
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.functions.text import preview, render_map, tokenize
+from sparkretrieve.functions.text import first_line_title, preview, render_map, tokenize
 from sparkretrieve.functions.metadata import flatten_document_metadata
 from sparkretrieve.functions.text import safe_record_id
 from sparkretrieve.operators import bm25, chunking, embedding, evaluation, fusion, ivf, knn, vectors
@@ -349,7 +349,7 @@ def _derived_dump(spark: SparkSession, sf_dir: str) -> str:
     n_chars."""
     raw = corpus.balanced(corpus.table(spark, sf_dir, "documents"))
     xml = dump.page_xml(
-        F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 80), F.col("doc_id").cast("string"),
+        first_line_title("text"), F.col("doc_id").cast("string"),
         F.col("n_chars").cast("string"), F.lit(DUMP_TIMESTAMP), F.col("text"))
     path = scratch_path(spark, "dump")
     raw.select(xml.alias("value")).write.option("compression", "bzip2").text(path)

@@ -106,3 +106,11 @@ def test_index_info_and_add(spark):
 def test_mixed_dimensions_rejected(spark):
     with pytest.raises(ValueError, match="expected vector dimension"):
         vectors.build_vector_index(_records(spark, [[1.0, 0.0], [1.0]]))
+
+
+def test_local_topk_emits_k_rows_even_for_a_huge_tie_group():
+    q = np.array([[1.0, 0.0]])
+    v = np.array([[1.0, 0.0]] * 500 + [[0.0, 1.0]])
+    ids = np.array([f"r{i:04d}" for i in range(501)], dtype=object)
+    out = knn.local_topk(np.array(["q"], dtype=object), q, ids, v, "cosine", 3)
+    assert list(out["record_id"]) == ["r0000", "r0001", "r0002"]
