@@ -52,3 +52,26 @@ def hybrid_search(chunks: DataFrame, vectors: DataFrame, queries: DataFrame, enc
     if not columns:
         return fused
     return bm25.attach_chunks(fused, chunks, list(columns), upper_bound=n_queries * top_k)
+
+
+def query_table(spark, query: str, *, reject_blank: bool = True) -> DataFrame:
+    """A one-row queries table (query_id 0) for single-query callers; blank
+    queries are rejected with the studied message, as semantic and hybrid
+    search do."""
+    from sparkretrieve.checks import check_query_text
+
+    text = check_query_text(query) if reject_blank else query
+    return spark.createDataFrame([(0, text)], "query_id long, query string")
+
+
+def semantic_search_one(vectors: DataFrame, query: str, encoder, top_k: int, metric: str = "cosine") -> DataFrame:
+    """H7 for one query string (the studied call shape)."""
+    require_positive(top_k, "top_k")
+    return semantic_search(vectors, query_table(vectors.sparkSession, query), encoder, top_k, metric)
+
+
+def hybrid_search_one(chunks: DataFrame, vectors: DataFrame, query: str, encoder, top_k: int = 5,
+                      **options) -> DataFrame:
+    """I6 for one query string; results ordered by rank."""
+    q = query_table(chunks.sparkSession, query)
+    return hybrid_search(chunks, vectors, q, encoder, top_k, **options).orderBy("rank")

@@ -86,3 +86,32 @@ def test_chunk_id_defaults_to_record_id(spark):
 def test_safe_record_id(spark):
     df = spark.createDataFrame([("wiki:doc/chunk\\1",)], "x string")
     assert df.select(safe_record_id("x").alias("y")).first().y == "wiki_doc_chunk_1"
+
+
+class _TinyModel:
+    def encode(self, sentences, *, batch_size, normalize_embeddings, show_progress_bar):
+        return np.array([[float(len(s)), 1.0, 0.0] for s in sentences])
+
+
+def _tiny_loader(name, **kwargs):
+    return _TinyModel()
+
+
+def test_sentence_encoder_in_spark_with_fake_model(spark):
+    enc = embedding.SentenceTransformerEncoder("fake/model", dimensions=3, max_batch_size=2, model_loader=_tiny_loader)
+    df = spark.createDataFrame([("a", "xx"), ("b", "yyyy"), ("c", "z")], "record_id string, text string")
+    rows = {r.record_id: r for r in embedding.embed_requests(df.withColumn("metadata", F.create_map()), enc).collect()}
+    assert rows["b"].vector == [4.0, 1.0, 0.0]
+    assert (rows["a"].provider, rows["a"].model, rows["a"].dimensions) == ("huggingface", "fake/model", 3)
+
+
+def test_single_query_calls(spark):
+    from sparkretrieve.plans.search import hybrid_search_one, semantic_search_one
+
+    chunks = _chunks(spark)
+    enc = embedding.HashingEncoder(8)
+    vecs = embedding.embed_chunks(chunks, enc)
+    assert semantic_search_one(vecs, "alpha", enc, 1).first().chunk_id == "doc_1_chunk_0"
+    assert hybrid_search_one(chunks, vecs, "alpha beta", enc, 3).first().chunk_id == "doc_1_chunk_0"
+    with pytest.raises(ValueError, match="query must be a non-empty string"):
+        hybrid_search_one(chunks, vecs, "   ", enc)
