@@ -21,7 +21,6 @@ from sparkretrieve.operators.sizing import broadcast_if_bounded, bounded_count
 Retriever = Callable[[DataFrame, int], DataFrame]
 
 CASE_SCHEMA = "case_id bigint, query string, expected_document_id string, expected_chunk_id string"
-MAX_UNANCHORED_ITEMS = 10_000
 
 
 # --- A6 / D8: JSONL cases -----------------------------------------------------
@@ -74,7 +73,7 @@ def read_eval_cases(spark: SparkSession, path: str, *, validate: bool = True) ->
 
 def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFrame | None = None,
                          postings: DataFrame | None = None, *, item_id: str = "item_id",
-                         item_text: str = "text", max_unanchored: int = MAX_UNANCHORED_ITEMS) -> DataFrame:
+                         item_text: str = "text") -> DataFrame:
     """Cases = (item, smallest document whose text contains the item).
 
     Containment is found with an equi-join, not a cross product: an item's
@@ -85,7 +84,8 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
     document_id) and ``term_df`` (term, df)) the rarest interior token is the
     anchor; without one, the longest (ties: smallest) and the documents are
     tokenised in the same pass. Items without an interior token (at most two
-    tokens) are compared with every document through a size-checked broadcast.
+    tokens) are anchored on their first characters instead (``_ngram_matches``).
+    Empty items are not cases (a case needs a non-empty query).
     """
     tok_char = f"^{TOKEN_PATTERN[:-1]}"  # one token character
     text = F.col(item_text)
@@ -121,14 +121,9 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
     checked = docs.join(cand_side, "document_id").filter(F.col("text").contains(F.col("query")))
     found = checked.select("case_id", "query", "_doc_key", "document_id")
 
-    unanchored = it.filter(F.size("interior") == 0).select("case_id", "query")
-    n_unanchored = bounded_count(unanchored, max_unanchored)
-    if n_unanchored > max_unanchored:
-        raise ValueError(f"more than {max_unanchored} items without an interior token")
-    if n_unanchored > 0:
-        extra = (docs.join(F.broadcast(unanchored), F.col("text").contains(F.col("query")))
-                 .select("case_id", "query", "_doc_key", "document_id"))
-        found = found.unionByName(extra)
+    unanchored = it.filter((F.size("interior") == 0) & (F.length("query") > 0)).select("case_id", "query")
+    if bounded_count(unanchored, 0) > 0:
+        found = found.unionByName(_ngram_matches(unanchored, docs))
 
     best = found.groupBy("case_id", "query").agg(
         F.min_by("document_id", F.struct("_doc_key", "document_id")).alias("expected_document_id"))
@@ -138,6 +133,30 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
     )
 
 
+def _ngram_matches(items: DataFrame, docs: DataFrame, n_max: int = 3) -> DataFrame:
+    """Exact containment for items without an interior token, still as an
+    equi-join: a text containing the item contains its first ``n`` characters
+    (n = min(len, n_max)). Documents are cut into character n-grams of only
+    the lengths needed, semi-joined with the broadcast item n-grams, and the
+    few candidates checked with ``contains``. Runs only when such items exist."""
+    ua = items.withColumn("n", F.least(F.length("query"), F.lit(n_max))).withColumn(
+        "gram", F.expr("substring(query, 1, n)"))
+    lengths = sorted({r.n for r in ua.select("n").distinct().collect()})  # at most n_max values
+    ua_side, _ = broadcast_if_bounded(ua.select("n", "gram", "case_id", "query"))
+    grams = None
+    for n in lengths:
+        cut = F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length("text") - n + 1, F.lit(1))),
+            lambda i: F.substring(F.col("text"), i, n)))
+        part = (docs.select("document_id", F.lit(n).alias("n"), F.explode_outer(cut).alias("gram"))
+                .filter(F.length("gram") == n))
+        grams = part if grams is None else grams.unionByName(part)
+    candidates = grams.join(ua_side, ["n", "gram"]).select("case_id", "query", "document_id").distinct()
+    cand_side, _ = broadcast_if_bounded(candidates)
+    return (docs.join(cand_side, "document_id").filter(F.col("text").contains(F.col("query")))
+            .select("case_id", "query", "_doc_key", "document_id"))
+
+
 # --- J1-J3, J5, D10 -------------------------------------------------------------
 
 def evaluate(cases: DataFrame, retriever: Retriever, top_k: int) -> DataFrame:

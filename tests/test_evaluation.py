@@ -90,12 +90,13 @@ def test_contained_item_cases(spark):
         [("doc_1", "1", "alpha beta gamma delta."), ("doc_2", "2", "xx beta gamma delta yy"),
          ("doc_3", "3", "beta gamma")],
         "document_id string, source_id string, text string")
-    items = spark.createDataFrame([(10, "beta gamma delta"), (11, "ta gam"), (12, "zzz qqq rrr")],
+    items = spark.createDataFrame([(10, "beta gamma delta"), (11, "ta gam"), (12, "zzz qqq rrr"),
+                                   (13, "ta"), (14, "amma d"), (15, "q")],
                                   "item_id long, text string")
     index = bm25.build_bm25_index(docs.selectExpr("document_id AS chunk_id", "text"))
     postings = index.postings.selectExpr("term", "chunk_id AS document_id")
     cases = evaluation.contained_item_cases(items, docs, index.terms, postings)
     got = {(r.case_id, r.expected_document_id) for r in cases.collect()}
-    assert got == {(10, "doc_1"), (11, "doc_1")}
+    assert got == {(10, "doc_1"), (11, "doc_1"), (13, "doc_1"), (14, "doc_1")}
     no_index = evaluation.contained_item_cases(items, docs)
     assert {(r.case_id, r.expected_document_id) for r in no_index.collect()} == got
