@@ -38,13 +38,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a fresh scratch folder
-    chosen and registered, so that later calls agree on it.
+    Only a local session without one (tests) gets a fresh scratch folder,
+    registered so that later calls agree on it; on a cluster a missing
+    setting is an error, never a machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # Local runs (tests) only: one scratch folder for this session.
         configured = tempfile.mkdtemp(prefix="sparkretrieve-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
