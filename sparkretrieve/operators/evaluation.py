@@ -115,9 +115,10 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
     docs = documents.select("document_id", F.col("source_id").cast("bigint").alias("_doc_key"), "text")
     queries = it.select("case_id", "query")
     q_side, _ = broadcast_if_bounded(queries)
-    # Candidate pairs are few (postings of one anchor per item): broadcast them,
-    # once counted, so the document texts are checked where they are scanned.
-    cand_side, _ = broadcast_if_bounded(candidates.join(q_side, "case_id"))
+    # Candidate pairs are few (postings of one anchor per item). They are
+    # written once (the corpus is tokenised once), counted from that table and
+    # broadcast, so the document texts are checked where they are scanned.
+    cand_side, _ = broadcast_if_bounded(_written(candidates.join(q_side, "case_id"), "eval-candidates"))
     checked = docs.join(cand_side, "document_id").filter(F.col("text").contains(F.col("query")))
     found = checked.select("case_id", "query", "_doc_key", "document_id")
 
@@ -133,6 +134,16 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
     )
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Write a small intermediate table to the shared checkpoint folder and
+    read it back (cuts lineage; counting it no longer re-runs its plan)."""
+    from sparkretrieve.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _ngram_matches(items: DataFrame, docs: DataFrame, n_max: int = 3) -> DataFrame:
     """Exact containment for items without an interior token, still as an
     equi-join: a text containing the item contains its first ``n`` characters
@@ -152,7 +163,7 @@ def _ngram_matches(items: DataFrame, docs: DataFrame, n_max: int = 3) -> DataFra
                 .filter(F.length("gram") == n))
         grams = part if grams is None else grams.unionByName(part)
     candidates = grams.join(ua_side, ["n", "gram"]).select("case_id", "query", "document_id").distinct()
-    cand_side, _ = broadcast_if_bounded(candidates)
+    cand_side, _ = broadcast_if_bounded(_written(candidates, "eval-ngram-candidates"))
     return (docs.join(cand_side, "document_id").filter(F.col("text").contains(F.col("query")))
             .select("case_id", "query", "_doc_key", "document_id"))
 
