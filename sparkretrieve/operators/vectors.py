@@ -66,7 +66,13 @@ def with_duplicate_check(records: DataFrame, existing: DataFrame | None = None)
     if existing is not None:
         dup = dup.unionByName(existing.select("record_id").join(records.select("record_id"), "record_id", "left_semi"))
     dup = dup.distinct().withColumn("_dup", F.lit(True))
-    dup_side, _ = broadcast_if_bounded(dup)
+    # The duplicate-id list is small; written once, its size check does not
+    # aggregate the whole vector table a second time.
+    from sparkretrieve.session import scratch_path
+
+    path = scratch_path(records.sparkSession, "dup-ids")
+    dup.write.parquet(path)
+    dup_side, _ = broadcast_if_bounded(records.sparkSession.read.parquet(path))
     out = records.join(dup_side, "record_id", "left")
     msg = F.concat(F.lit("duplicate vector record_id: "), F.col("record_id"))
     return out.withColumn(
