@@ -40,6 +40,7 @@ class BM25Index:
     k1: float = K1
     b: float = B
     term_buckets: int | None = None  # set when both tables are partitioned by term_bucket
+    path: str | None = None  # where a materialised index lives (see load_bm25_index)
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -179,8 +180,21 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
         F.lit(n_chunks).cast("bigint").alias("n_chunks"), F.lit(total).cast("bigint").alias("total_tokens"),
         F.lit(avgdl).cast("double").alias("avgdl"), F.lit(int(vstats["vocabulary"])).cast("bigint").alias("vocabulary"),
         F.lit(mean_idf).cast("double").alias("mean_idf"))
+    stats.withColumn("term_buckets", F.lit(term_buckets).cast("int")).write.mode("overwrite").parquet(f"{base}/stats")
     return BM25Index(postings=postings, terms=terms, stats=stats, avgdl=F.lit(avgdl).cast("double"), k1=k1, b=b,
-                     term_buckets=term_buckets)
+                     term_buckets=term_buckets, path=base)
+
+
+def load_bm25_index(spark, path: str, *, k1: float = K1, b: float = B, epsilon: float = EPSILON) -> BM25Index:
+    """Reopen an index written by ``build_bm25_index`` (build once, query
+    many batches): postings and vocabulary are read as tables, the one-row
+    statistics give N, avgdl and the mean idf."""
+    row = spark.read.parquet(f"{path}/stats").first()
+    _, terms = _idf_columns(spark.read.parquet(f"{path}/terms"), F.lit(int(row.n_chunks)),
+                            F.lit(row.mean_idf).cast("double"), epsilon)
+    stats = spark.read.parquet(f"{path}/stats").drop("term_buckets")
+    return BM25Index(postings=spark.read.parquet(f"{path}/postings"), terms=terms, stats=stats,
+                     avgdl=F.lit(row.avgdl).cast("double"), k1=k1, b=b, term_buckets=row.term_buckets, path=path)
 
 
 def _lazy_index(rows: DataFrame, k1: float, b: float, epsilon: float) -> BM25Index:

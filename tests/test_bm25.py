@@ -139,3 +139,16 @@ def test_chunk_search_equals_brute_force(spark):
         assert [x.chunk_id for x in mine] == [e[0] for e in expect]
         assert [round(x.score, 6) for x in mine] == [round(e[1], 6) for e in expect]
         assert [x.overlap for x in mine] == [e[2] for e in expect]
+
+
+def test_index_saved_once_and_reloaded(spark):
+    chunks = _chunks(spark, ["a x b", "a y", "a z z", "b b x", ""])
+    queries = _queries(spark, "a x", "b z")
+    for buckets in (None, 3):
+        built = bm25.build_bm25_index(chunks, term_buckets=buckets)
+        loaded = bm25.load_bm25_index(spark, built.path)
+        assert loaded.stats.first().asDict() == built.stats.first().asDict()
+        assert loaded.term_buckets == buckets
+        key = lambda idx: sorted((r.query_id, r.chunk_id, round(r.score, 9), r.overlap)
+                                 for r in bm25.bm25_matches(idx, queries).collect())
+        assert key(loaded) == key(built)
