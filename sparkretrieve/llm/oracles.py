@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sparkretrieve.llm import sharding
-from sparkretrieve.llm.queries import SHARDS, SLOTS
+from sparkretrieve.llm import sharding, url_filter
+from sparkretrieve.llm.queries import SHARDS, SLOTS, URL_RULES
 
 # White space and letters of the contracts.
 _WS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -33,6 +33,69 @@ FROM marked GROUP BY doc_id
 """
 
 
+def _op2() -> str:
+    order, folds, step = url_filter.MAX_ORDER, url_filter.HELD_OUT_FOLDS, url_filter.BIN
+    fits = [(text, action, f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))")
+            for action, text in sorted(URL_RULES, key=lambda r: -len(r[1]))
+            for h, p in [(text[:text.index("/")], text[text.index("/"):])]]
+    rule = " ".join(f"WHEN {f} THEN '{t}'" for t, _, f in fits)
+    action = " ".join(f"WHEN {f} THEN '{a}'" for _, a, f in fits)
+    levels = []
+    for j in range(order + 1):
+        even = "(1.0::DOUBLE / (count(*) OVER c))"
+        la, lr = (even, even) if j == 0 else ("lo.pa", "lo.pr")
+        join = "" if j == 0 else f"JOIN p{j - 1} lo ON lo.g = substr(l.g, 2)"
+        levels.append(f"""
+l{j} AS (SELECT substr(gram, {order + 1 - j}) AS g, sum(a)::DOUBLE AS a, sum(r)::DOUBLE AS r
+  FROM counts GROUP BY 1),
+q{j} AS (SELECT l.g, a, r, sum(a) OVER c AS na, sum(r) OVER c AS nr,
+    (count(*) FILTER (WHERE a > 0) OVER c)::DOUBLE AS ta, (count(*) FILTER (WHERE r > 0) OVER c)::DOUBLE AS tr,
+    {la}::DOUBLE AS la, {lr}::DOUBLE AS lr
+  FROM l{j} l {join} WINDOW c AS (PARTITION BY substr(l.g, 1, {j}))),
+p{j} AS (SELECT g, CASE WHEN na + ta > 0 THEN (a + ta * la) / (na + ta) ELSE la END AS pa,
+    CASE WHEN nr + tr > 0 THEN (r + tr * lr) / (nr + tr) ELSE lr END AS pr FROM q{j}),""")
+    return f"""
+WITH u AS (
+  SELECT coalesce(url, '') AS url, count(*) AS copies,
+         CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages GROUP BY coalesce(url, ''), 3),
+parts AS (
+  SELECT url, copies, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UP}', '{_LOW}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         ('0x' || substr(md5(url), 1, 8))::BIGINT % {folds} = 0 AS held_out
+  FROM u),
+urls AS (SELECT *, CASE {rule} END AS rule, CASE {action} END AS action FROM parts),
+chars AS (SELECT url, action, held_out, copies, repeat(chr(2), {order}) || url || chr(3) AS s FROM urls),
+grams AS (
+  SELECT url, action, held_out, copies, substr(s, k, {order + 1}) AS gram
+  FROM (SELECT *, unnest(range(1, length(s) - {order} + 1)) AS k FROM chars)),
+counts AS (
+  SELECT gram, sum(CASE WHEN action = 'allow' AND NOT held_out THEN copies ELSE 0 END) AS a,
+         sum(CASE WHEN action = 'block' AND NOT held_out THEN copies ELSE 0 END) AS r
+  FROM grams GROUP BY gram),{"".join(levels)}
+deltas AS (SELECT g AS gram, round((ln(pa) - ln(pr)) * 1e6)::BIGINT AS delta FROM p{order}),
+scored AS (
+  SELECT url, action, held_out, copies, sum(delta)::BIGINT AS total, count(*) AS n,
+         floor(sum(delta)::DOUBLE / (count(*) * {step}))::BIGINT AS bin
+  FROM grams JOIN deltas USING (gram) GROUP BY url, action, held_out, copies),
+bins AS (
+  SELECT bin, sum(CASE WHEN action = 'allow' THEN copies ELSE 0 END)::DOUBLE AS a,
+         sum(CASE WHEN action = 'block' THEN copies ELSE 0 END)::DOUBLE AS r
+  FROM scored WHERE action IS NOT NULL AND held_out GROUP BY bin),
+steps AS (
+  SELECT bin, (sum(a) OVER o) - a AS lost, (sum(r) OVER ()) - (sum(r) OVER o) + r AS let,
+         sum(a) OVER () AS na, sum(r) OVER () AS nr FROM bins WINDOW o AS (ORDER BY bin)),
+best AS (
+  SELECT bin AS threshold FROM steps WHERE na > 0 AND nr > 0
+  ORDER BY lost / na + let / nr, abs(bin), bin LIMIT 1)
+SELECT p.page_id, host, path, urls.rule,
+       coalesce(urls.action, CASE WHEN bin >= coalesce((SELECT threshold FROM best), bin)
+                             THEN 'allow' ELSE 'block' END) AS verdict,
+       round(total::DOUBLE / n / 1e6, 6) AS score
+FROM pages p JOIN urls ON urls.url = coalesce(p.url, '') JOIN scored ON scored.url = urls.url
+"""
+
+
 def _op4() -> str:
     names = ", ".join(f"'{s}'" for s in SHARDS)
     slots = ", ".join(str(k + 1) for k in sharding.lookup_table(SHARDS, SLOTS))
@@ -45,6 +108,7 @@ SELECT doc_id, slot, ([{names}])[([{slots}])[slot + 1]] AS shard FROM placed
 
 
 ORACLES: dict[str, str] = {
+    "op2_url_filter": _op2(),
     "op4_maglev_sharding": _op4(),
     "op7_exact_dedup": OP7,
     "op8_line_dedup": OP8,

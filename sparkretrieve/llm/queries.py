@@ -8,12 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.llm import bpe, exact_dedup, line_dedup, packing, sharding, simhash
+from sparkretrieve.llm import bpe, exact_dedup, line_dedup, packing, sharding, simhash, url_filter
 from sparkretrieve.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 SLOTS = 16_381
 
+# Fixed values of the URL filter's contract.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
 
 def tokenizer_path() -> str:
     """The vocabulary file of the public byte-level tokenizer."""
@@ -30,6 +33,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.withColumn("score", F.round("score", 6))
+
+
 def op4_maglev_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.assign_shards(docs, F.col("doc_id"), SHARDS, SLOTS)
@@ -58,5 +66,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op4_maglev_sharding, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing)
+    f.__name__: f for f in (op1_simhash, op2_url_filter, op4_maglev_sharding, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing)
 }
