@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.llm import bpe, exact_dedup, line_dedup, packing, sharding, simhash, url_filter
+from sparkretrieve.llm import bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, url_filter
 from sparkretrieve.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -38,6 +38,17 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("score", F.round("score", 6))
 
 
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    train = F.coalesce(_fold(5) != 1, F.lit(False))
+    scored = lm_score.score_texts(docs, train)
+    return scored.withColumn("held_out", F.coalesce(_fold(5) == 1, F.lit(False)))
+
+
 def op4_maglev_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.assign_shards(docs, F.col("doc_id"), SHARDS, SLOTS)
@@ -66,5 +77,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_url_filter, op4_maglev_sharding, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing)
+    f.__name__: f for f in (op1_simhash, op2_url_filter, op3_lm_score, op4_maglev_sharding, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing)
 }
