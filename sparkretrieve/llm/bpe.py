@@ -156,7 +156,7 @@ class _WordCache(dict):
 
 
 def codec(path: str) -> BpeCodec:
-    return process_cache(("bpe", path), lambda: BpeCodec(path))
+    return process_cache("bpe", path, lambda: BpeCodec(path))
 
 
 def _mapped(df: DataFrame, column: str, added: dict[str, str], fn: Callable[[BpeCodec, Any], tuple], path: str,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -47,17 +48,30 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def process_cache(key: Any, make: Callable[[], Any]) -> Any:
-    """``make()`` once per Python worker process and ``key``; workers are
-    reused across tasks, and functions shipped by value have no module state."""
+def process_cache(kind: str, key: Any, make: Callable[[], Any]) -> Any:
+    """``make()``, kept per Python worker process until another ``key`` of the
+    same kind is asked for; workers are reused across tasks, and functions
+    shipped by value have no module state."""
     holder = sys.modules.get("_sparkretrieve_llm_cache")
     if holder is None:
         holder = types.ModuleType("_sparkretrieve_llm_cache")
         holder.values = {}
         sys.modules["_sparkretrieve_llm_cache"] = holder
-    if key not in holder.values:
-        holder.values[key] = make()
-    return holder.values[key]
+    if holder.values.get(kind, (None,))[0] != key:
+        holder.values.pop(kind, None)
+        holder.values[kind] = (key, make())
+    return holder.values[kind][1]
+
+
+class Shared:
+    """A broadcast value with a name that is the same in every task."""
+
+    def __init__(self, spark: SparkSession, value: Any) -> None:
+        self.broadcast, self.id = spark.sparkContext.broadcast(value), uuid.uuid4().hex
+
+    @property
+    def value(self) -> Any:
+        return self.broadcast.value
 
 
 def map_batches(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],

@@ -45,7 +45,7 @@ def _encoder(path: str):
         return tiktoken.Encoding("packing", pat_str=pattern,
                                  mergeable_ranks=bpe.id_of, special_tokens=bpe.special)
 
-    return process_cache(("packing", path), make)
+    return process_cache("packing", path, make)
 
 
 def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

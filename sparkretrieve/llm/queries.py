@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.llm import bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, url_filter
+from sparkretrieve.llm import bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, toxicity, url_filter
 from sparkretrieve.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -54,6 +54,13 @@ def op4_maglev_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, F.col("doc_id"), SHARDS, SLOTS)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    return toxicity.score_toxicity(docs, labels, ~held_out).withColumn("held_out", held_out)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip_digests(docs, tokenizer_path())
@@ -77,5 +84,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_url_filter, op3_lm_score, op4_maglev_sharding, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing)
+    f.__name__: f for f in (op1_simhash, op2_url_filter, op3_lm_score, op4_maglev_sharding, op5_toxicity, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing)
 }
