@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.llm import bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, toxicity, url_filter
+from sparkretrieve.llm import ann, bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, toxicity, url_filter
 from sparkretrieve.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -83,6 +83,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path(), max_tokens=2048, end_id=0)
 
 
+def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_url_filter, op3_lm_score, op4_maglev_sharding, op5_toxicity, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing)
+    f.__name__: f for f in (op1_simhash, op2_url_filter, op3_lm_score, op4_maglev_sharding, op5_toxicity, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing,
+        op10_multiprobe_lsh)
 }
