@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from sparkretrieve.llm.common import Shared, map_batches, materialise
 
 TABLES = 2
-PROJECTIONS = 14
-WIDTH = 0.75  # of an interval, in units of the root mean square length of vectors
-SUCCESS = 0.97
+PROJECTIONS = 20
+WIDTH = 0.35  # of an interval, in units of the root mean square length of vectors
+SUCCESS = 0.8
 FIRST_CANDIDATES = 64
 QUERY_BLOCK = 8192
 
