@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkretrieve.llm.common import connected_components, map_batches, materialise
+from sparkretrieve.llm.common import connected_components, free_name, map_batches, materialise
 
 BITS = 64
 SEED = 42
@@ -59,16 +59,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp long): the fingerprint's 64 bits as a signed long, one row per row."""
+def fingerprints(docs: DataFrame, keys: list[str], text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """(keys, fp long): the fingerprint's 64 bits as a signed long, one row per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            values = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            yield {id_col: batch.column(0), "fp": pa.array(np.asarray(values, np.uint64).view(np.int64))}
+            values = [fingerprint(t, shingle) for t in batch.column(len(keys)).to_pylist()]
+            yield {k: batch.column(i) for i, k in enumerate(keys)} | {
+                "fp": pa.array(np.asarray(values, np.uint64).view(np.int64))}
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), f"`{id_col}` {kind}, fp long", run)
+    fields = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
+    return map_batches(docs.select(*keys, text_col), f"{fields}, fp long", run)
 
 
 def _signed(x: int) -> int:
@@ -127,6 +128,15 @@ def links(nodes: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.union(stars.distinct())
 
 
+def _roots(prints: DataFrame, id_col: str, radius: int) -> DataFrame:
+    """(fp, root, least): the smallest fingerprint of each fingerprint's
+    component, and the smallest identifier that has the fingerprint."""
+    nodes = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
+    found = connected_components(links(nodes, radius).select("a", "b"))
+    return nodes.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left") \
+        .select("fp", F.coalesce("component", "fp").alias("root"), "least")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, radius: int = 2) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 lowercase hex digits)
@@ -138,12 +148,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     identifier is null only where all are. Repeated rows share a component.
     Other columns are not read. An empty table gives an empty result.
     """
-    prints = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
-    found = connected_components(links(nodes, radius).select("a", "b"))
-    roots = nodes.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left") \
-        .select("fp", F.coalesce("component", "fp").alias("root"), "least")
+    prints = materialise(fingerprints(docs, [id_col], text_col, shingle), "fingerprints")
+    roots = _roots(prints, id_col, radius)
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = roots.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       shingle: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs`` that stay if of each group of near-duplicates only
+    the row with the smallest identifier does (null identifiers last; among
+    rows of one identifier, one text is chosen by its hash, and of repeated
+    rows one stays). Groups and odd values as in ``near_duplicates``; all
+    columns are kept."""
+    content = free_name(docs, "_content")
+    marked = docs.withColumn(content, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    prints = materialise(fingerprints(marked, [id_col, content], text_col, shingle), "fingerprints")
+    roots = _roots(prints, id_col, radius)
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(content).alias("c")))
+    # One row per fingerprint first, so that a group of copies costs one row a task.
+    heads = prints.groupBy("fp").agg(first.alias("head")).join(roots, "fp") \
+        .groupBy("root").agg(F.min("head").alias("head")).select("head.id", "head.c")
+    kept = marked.join(heads, marked[id_col].eqNullSafe(heads["id"]) & (marked[content] == heads["c"]), "left_semi")
+    return kept.dropDuplicates([id_col, content]).select(*docs.columns)

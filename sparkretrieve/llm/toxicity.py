@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from sparkretrieve.llm.common import Shared, map_batches, materialise, process_cache
 
 MAX_LABELS = 1_000_000
-MAX_FIT_ROWS = 50_000
+MAX_FIT_ROWS = 20_000
 LEXICON = 50_000
 MIN_DOCS = 3
 MIN_ODDS = 1.0
@@ -226,9 +226,9 @@ def _lexicon(words: DataFrame, trigrams: np.ndarray, n_bad: int, n_good: int) ->
 STATS = ("most", "second", "strong", "weak", "share")
 
 
-def _evidence(docs: DataFrame, text_col: str, shared) -> DataFrame:
-    """``docs`` with the STATS of each text in place of the text column."""
-    kept = [f for f in docs.schema if f.name != text_col]
+def _evidence(docs: DataFrame, text_col: str, shared: Shared, keep_text: bool = False) -> DataFrame:
+    """``docs`` with the STATS of each text, and without it unless ``keep_text``."""
+    kept = [f for f in docs.schema if keep_text or f.name != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         trigrams, lexicon = shared.value
@@ -271,9 +271,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int =
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
-                   text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """One row per row of ``docs``: its columns but the text, and score (0 to 1)
-    and predicted (1 if score >= 0.5).
+                   text_col: str = "text", label_col: str = "toxic", keep_text: bool = False) -> DataFrame:
+    """One row per row of ``docs``: its columns (the text only with
+    ``keep_text``), and score (0 to 1) and predicted (1 if score >= 0.5).
 
     ``labels``: (id_col, label_col) with 0 or 1; null labels and identifiers
     are not used, and of repeated identifiers the larger label counts.
@@ -301,10 +301,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
     trigrams = _trigrams(words)
     lexicon = _lexicon(words, trigrams, size.get(1, 0), size.get(0, 0)) if len(size) == 2 else {}
     shared = Shared(spark, (trigrams, lexicon))
-    found = materialise(_evidence(docs, text_col, shared), "evidence")
 
-    sample = found.select(F.col(id_col).alias("_id"), *STATS).join(usable.filter(fits), "_id") \
-        .orderBy(F.xxhash64("_id")).limit(MAX_FIT_ROWS).collect()
+    chosen = usable.filter(fits).orderBy(F.xxhash64("_id")).limit(MAX_FIT_ROWS)
+    labelled = docs.select(id_col, text_col).join(F.broadcast(chosen), docs[id_col] == F.col("_id"))
+    sample = _evidence(labelled.select(text_col, "_label"), text_col, shared).collect() if lexicon else []
     y = np.asarray([r["_label"] for r in sample], float)
     if lexicon and 0 < y.sum() < len(y):
         w = fit_logistic(np.asarray([[r[s] for s in STATS] for r in sample]), y)
@@ -314,6 +314,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
         score = 1 / (1 + F.exp(-z))
     else:
         score = F.lit(0.0)
+    found = _evidence(docs, text_col, shared, keep_text)
     return found.withColumn("score", score).drop(*STATS) \
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
