@@ -227,7 +227,7 @@ def pack_pieces(pieces: DataFrame, size: int = MAX_TOKENS) -> DataFrame:
     # The i-th piece of its length: counted in salted groups, shifted by what
     # the groups before hold.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(4 * parts, int(histogram.sum()) >> 16)
+    salts = max(parts, int(histogram.sum()) >> 16)
     columns = pieces.columns
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
     shifts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n")) \
