@@ -111,7 +111,7 @@ def twice_seen_filter(docs: DataFrame, text_col: str, min_chars: int, bits: int)
 
 def _filter_bits(docs: DataFrame, text_col: str) -> int:
     """A power of two of at least BITS_PER_LINE bits per line, within the bounds."""
-    breaks = F.length(text_col) - F.length(F.translate(text_col, "\n", "")) + 1
+    breaks = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1
     lines = docs.select(F.sum(breaks).alias("n")).first()["n"] or 1
     return min(MAX_BITS, max(MIN_BITS, 1 << int(lines * BITS_PER_LINE - 1).bit_length()))
 
