@@ -10,6 +10,9 @@
 3. For each confirmed key the document that keeps it is chosen, and each
    document gets the digests of the keys it loses.
 
+A key that very many documents hold is joined by broadcast; the number of
+such keys is bounded by the number of partitions.
+
 The filters grow with the number of lines up to ``MAX_BITS`` (64 MB), the
 proven bound of what is broadcast. Beyond about 5e7 distinct lines per filter
 the filters fill up: more lines become suspects and are shuffled, and the
@@ -32,6 +35,7 @@ MIN_BITS, MAX_BITS = 1 << 20, 1 << 29
 BITS_PER_LINE = 16
 PROBES = 4
 BLOCK_BYTES = 1 << 16
+HOT_KEYS = 8  # per shuffle partition
 
 
 def line_key(line: str) -> bytes:
@@ -154,8 +158,19 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # Exact: distinct documents per key, pre-aggregated before each shuffle.
     per_doc = suspects.groupBy("key", "id").agg(F.lit(1).alias("one"))
     confirmed = per_doc.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")) \
-        .filter(F.col("n") >= min_docs).select("key", "keeper")
-    losers = suspects.join(confirmed, "key").filter(~F.col("id").eqNullSafe(F.col("keeper")))
+        .filter(F.col("n") >= min_docs)
+    confirmed = materialise(confirmed, "confirmed")
+    # Keys of very many documents are looked up where their rows are: there are
+    # at most HOT_KEYS of them per partition, whatever the data. The others meet
+    # their rows in a shuffle.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(100, suspects.count() // (HOT_KEYS * parts))
+    hot = confirmed.filter(F.col("n") > limit).select("key", F.col("keeper").alias("hot_keeper"), F.lit(True).alias("hot"))
+    marked = suspects.join(F.broadcast(hot), "key", "left")
+    cold = marked.filter(F.col("hot").isNull()).select("key", "id") \
+        .join(confirmed.filter(F.col("n") <= limit).select("key", "keeper"), "key")
+    losers = marked.filter("hot").select("key", "id", F.col("hot_keeper").alias("keeper")).unionByName(cold) \
+        .filter(~F.col("id").eqNullSafe(F.col("keeper")))
     lost = free_name(docs, "_lost")
     # The digests of a document's own lines: bounded by that document.
     drops = losers.groupBy(F.col("id").alias("_drop_id")) \
