@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 TOKEN_PATTERN = r"[A-Za-z0-9_.$:/-]+"
 PREVIEW_CHARS = 700
 
+# Every character Python's str.strip() treats as white space.
+WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -32,17 +36,22 @@ def preview(text: Column | str, n: int = PREVIEW_CHARS) -> Column:
     return F.substring(_col(text), 1, n)
 
 
-def first_line_title(text: Column | str, max_chars: int = 80) -> Column:
-    """Title rule of the corpus adapter: first line, at most ``max_chars``."""
-    return F.substring(F.substring_index(_col(text), "\n", 1), 1, max_chars)
+def py_strip(text: Column | str) -> Column:
+    """Without the white space at both ends that Python's ``str.strip`` removes."""
+    return F.regexp_replace(_col(text), rf"\A{WHITESPACE_RE}+|{WHITESPACE_RE}+\z", "")
+
+
+def is_blank(text: Column | str) -> Column:
+    """True for null, empty and all-white-space strings."""
+    return _col(text).isNull() | (py_strip(text) == "")
+
+
+def first_line_title(text: Column | str) -> Column:
+    """Title rule of the corpus adapter: the whole first line."""
+    return F.substring_index(_col(text), "\n", 1)
 
 
 def render_map(m: Column | str) -> Column:
     """Map -> ``k=v;k=v`` sorted by key, for stable comparison output."""
     entries = F.transform(F.map_entries(_col(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return F.array_join(F.array_sort(entries), ";")
-
-
-def render_array(a: Column | str, sep: str = ",") -> Column:
-    """Array of strings -> joined string (order kept)."""
-    return F.array_join(_col(a), sep)

@@ -262,6 +262,15 @@ def bm25_matches(index: BM25Index, queries: DataFrame, *, query_id: str = "query
     )
 
 
+def match_summary(index: BM25Index, queries: DataFrame, **options) -> DataFrame:
+    """D2 per query: how many chunks match, their lowest and highest score, and
+    the most distinct query terms one of them holds. Two aggregates, no match
+    rows leave the engine."""
+    return bm25_matches(index, queries, **options).groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("matches"), F.min("score").alias("lowest"), F.max("score").alias("highest"),
+        F.max("overlap").alias("most_overlap"))
+
+
 def rank_matches(matches: DataFrame, top_k: int) -> DataFrame:
     """order by (score desc, overlap desc), ties in corpus (chunk_id) order.
 

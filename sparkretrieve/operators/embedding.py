@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from sparkretrieve.checks import check_model_name, require_positive
 from sparkretrieve.functions.metadata import embedding_request_metadata, empty_string_map
-from sparkretrieve.functions.text import TOKEN_PATTERN, safe_record_id
+from sparkretrieve.functions.text import TOKEN_PATTERN, py_strip, safe_record_id
 
 # The sentence-encoder defaults of the studied provider.
 DEFAULT_MODEL = "BAAI/bge-small-en-v1.5"
@@ -111,6 +111,7 @@ class SentenceTransformerEncoder:
     normalize: bool = True
     device: str | None = None
     model_loader: Any = field(default=None, compare=False)
+    cache_name: str = ""  # tells loaders apart in a worker's cache
 
     def __post_init__(self) -> None:
         check_model_name(self.model_name)
@@ -122,7 +123,7 @@ class SentenceTransformerEncoder:
         return EncoderInfo("huggingface", self.model_name, self.dimensions, self.max_batch_size)
 
     def _model(self):
-        key = ("st", self.model_name, self.device, id(self.model_loader))
+        key = ("st", self.model_name, self.device, self.cache_name)
         models = _model_cache()
         if key not in models:
             loader = self.model_loader
@@ -236,7 +237,7 @@ def embed_queries(queries: DataFrame, encoder, query_id: str = "query_id",
     """Strip each query and embed it; blank queries have nothing to embed
     and are dropped (single-query callers reject them eagerly with
     ``checks.check_query_text``)."""
-    stripped = F.trim(F.col(query_col))
+    stripped = py_strip(query_col)
     return queries.filter(stripped != "").select(
         F.col(query_id).alias("query_id"), embed_column(stripped, encoder).alias("vector"),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretrieve.checks import require_positive
-from sparkretrieve.functions.text import TOKEN_PATTERN, tokenize
+from sparkretrieve.functions.text import TOKEN_PATTERN, is_blank, py_strip, tokenize
 from sparkretrieve.operators.sizing import broadcast_if_bounded, bounded_count
 
 Retriever = Callable[[DataFrame, int], DataFrame]
@@ -41,15 +41,15 @@ def read_eval_cases(spark: SparkSession, path: str, *, validate: bool = True) ->
     except AnalysisException as exc:
         raise FileNotFoundError(f"Evaluation dataset not found: {path}") from exc
     lines = lines.withColumn("_pos", F.monotonically_increasing_id())
-    rows = lines.filter(F.trim("value") != "")
-    v = F.try_parse_json(F.trim("value"))
+    rows = lines.filter(~is_blank("value"))
+    v = F.try_parse_json(py_strip("value"))
     qt, dt, ct = _type_of(v, "$.query"), _type_of(v, "$.expected_document_id"), _type_of(v, "$.expected_chunk_id")
     q = F.try_variant_get(v, "$.query", "string")
     d = F.try_variant_get(v, "$.expected_document_id", "string")
     reason = (
         F.when(v.isNull(), F.lit("invalid JSON"))
-        .when((qt != "STRING") | qt.isNull() | (F.trim(q) == ""), F.lit("query must be a non-empty string"))
-        .when((dt != "STRING") | dt.isNull() | (F.trim(d) == ""),
+        .when((qt != "STRING") | qt.isNull() | is_blank(q), F.lit("query must be a non-empty string"))
+        .when((dt != "STRING") | dt.isNull() | is_blank(d),
               F.lit("expected_document_id must be a non-empty string"))
         .when(ct.isNotNull() & ~ct.isin("STRING", "VOID"), F.lit("expected_chunk_id must be a string or null"))
     )
@@ -112,7 +112,7 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
                      .filter(F.col("term").isNotNull()))
     anchor_side, _ = broadcast_if_bounded(anchors)
     candidates = doc_terms.join(anchor_side, "term").select("case_id", "document_id")
-    docs = documents.select("document_id", F.col("source_id").cast("bigint").alias("_doc_key"), "text")
+    docs = documents.select("document_id", F.struct(F.col("source_id").try_cast("bigint").alias("n"), F.col("source_id").alias("s")).alias("_doc_key"), "text")
     queries = it.select("case_id", "query")
     q_side, _ = broadcast_if_bounded(queries)
     # Candidate pairs are few (postings of one anchor per item). They are
@@ -129,7 +129,7 @@ def contained_item_cases(items: DataFrame, documents: DataFrame, term_df: DataFr
     best = found.groupBy("case_id", "query").agg(
         F.min_by("document_id", F.struct("_doc_key", "document_id")).alias("expected_document_id"))
     return best.select(
-        F.col("case_id").cast("bigint").alias("case_id"), "query", "expected_document_id",
+        F.col("case_id"), "query", "expected_document_id",
         F.lit(None).cast("string").alias("expected_chunk_id"),
     )
 

@@ -34,12 +34,14 @@ def _leg(ranked: DataFrame, name: str, weight: float, rrf_k: int) -> DataFrame:
 
 
 def drop_unknown_chunks(semantic: DataFrame, chunks: DataFrame, *, upper_bound: int | None = None) -> DataFrame:
-    """D3: keep semantic rows whose chunk exists; ranks are left as they were."""
+    """D3: keep semantic rows whose chunk exists; ranks are left as they were.
+    A row is kept once, however often its chunk id occurs in ``chunks``."""
     known = chunks.select("chunk_id")
     side, small = broadcast_if_bounded(semantic, upper_bound=upper_bound)
     if small:
         # Few result rows: semi-join them against the chunk scan without shuffling chunks.
-        return known.join(side, "chunk_id", "inner")
+        # (query_id, rank) names a row, so repeated chunk ids do not repeat it.
+        return known.join(side, "chunk_id", "inner").dropDuplicates(["query_id", "rank"]).select(*semantic.columns)
     return semantic.join(known, "chunk_id", "left_semi")
 
 

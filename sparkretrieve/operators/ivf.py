@@ -1,54 +1,54 @@
 """Approximate kNN with an inverted-file (IVF) index (H3, H4).
 
-Stands in for the single-machine graph index: ``pyspark.ml`` KMeans splits
-the vector table into ``nlist`` cells; a query is scored only against the
-vectors of its ``nprobe`` nearest cells. With ``nprobe = nlist`` every cell
-is probed and the result equals exact search.
-
-Work is planned per (cell, query block, vector block) cogroup. Block counts
-are derived per cell from the cell sizes, so a hot cell -- even one holding a
-third of all vectors, or probed by most queries -- is split into groups of
-bounded size instead of landing in one task. The cell-size table has at most
-``nlist`` rows (a parameter), which is what makes its broadcast safe.
+Stands in for the single-machine graph index: centroids (``pyspark.ml`` KMeans,
+or given ones) split the vector table into cells; a query is compared only with the
+vectors of its ``nprobe`` nearest cells. With ``nprobe = nlist`` every cell is
+probed and the result equals exact search.
+
+The index is one table, written once and partitioned by cell, and its
+centroids beside it. A search reads the probed cells only (partition pruning)
+and needs no shuffle of vectors: like in ``knn``, a block of queries is shipped
+to the tasks, and a task keeps k rows per query. A hot cell is many files, and
+so many tasks. The caller chooses ``nlist``; about the square root of the
+number of vectors keeps cells and centroids balanced.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkretrieve.checks import check_metric, require_positive
 from sparkretrieve.operators import knn
+from sparkretrieve.session import scratch_path
 
 DEFAULT_NLIST = 16
 DEFAULT_NPROBE = 4
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
-    n = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
-
-
 def nearest_cells(q: np.ndarray, centroids: np.ndarray, metric: str, nprobe: int) -> np.ndarray:
-    """Indices of the ``nprobe`` best centroids per query row."""
-    if metric == "cosine":
-        score = _unit(q) @ centroids.T
-    elif metric == "ip":
-        score = q @ centroids.T
-    else:
-        score = -(((q[:, None, :] - centroids[None, :, :]) ** 2).sum(axis=2))
+    """Indices of the ``nprobe`` best centroids per query row, best first, ties
+    to the smaller index; in blocks of rows, one product each."""
     p = min(nprobe, centroids.shape[0])
-    return np.argsort(-score, axis=1, kind="stable")[:, :p]
+    if metric == "cosine":
+        q = knn._normalise(q)
+    half = 0.5 * np.einsum("ij,ij->i", centroids, centroids) if metric == "l2" else 0.0
+    out = [np.argsort(half - q[k:k + knn.TILE_QUERIES] @ centroids.T, axis=1, kind="stable")[:, :p]
+           for k in range(0, len(q), knn.TILE_QUERIES)]
+    return np.concatenate(out) if out else np.zeros((0, p), np.int64)
 
 
 @dataclass
 class IVFIndex:
-    vectors: DataFrame  # record_id, chunk_id, document_id, title, vector, metadata, cell
+    path: str
+    vectors: DataFrame  # the record columns and cell
     centroids: np.ndarray
     metric: str = "cosine"
 
@@ -56,27 +56,54 @@ class IVFIndex:
     def nlist(self) -> int:
         return int(self.centroids.shape[0])
 
-    def assign(self, records: DataFrame, vector_col: str = "vector") -> DataFrame:
-        """Cell of each record with the current centroids (H4: adds keep the cells)."""
-        cents, metric = self.centroids, self.metric
+    @property
+    def dimensions(self) -> int:
+        return int(self.centroids.shape[1])
 
-        @F.pandas_udf(T.IntegerType())
-        def _cell(vs: pd.Series) -> pd.Series:
-            m = np.stack([np.asarray(v, dtype=np.float64) for v in vs]) if len(vs) else np.zeros((0, cents.shape[1]))
-            return pd.Series(nearest_cells(m, cents, metric, 1)[:, 0].astype("int32") if len(vs) else [])
+    def add(self, embedding_records: DataFrame, strict: bool = True) -> IVFIndex:
+        """H4: validate all records against this index (wrong length, blank or
+        known ids), then append them to their cells; the centroids stay."""
+        from sparkretrieve.operators import vectors
 
-        return records.withColumn("cell", _cell(F.col(vector_col)))
+        checked = vectors.validate_vector_records(embedding_records, self.dimensions, existing=self.vectors)
+        valid, _ = vectors.split_valid(checked, strict=strict)
+        _write(valid.select(*[c for c in self.vectors.columns if c != "cell"]), self.path, self.centroids,
+               self.metric, "append")
+        return load_ivf_index(self.vectors.sparkSession, self.path)
 
-    def add(self, records: DataFrame) -> "IVFIndex":
-        return IVFIndex(self.vectors.unionByName(self.assign(records)), self.centroids, self.metric)
 
+def _write(records: DataFrame, path: str, centroids: np.ndarray, metric: str, mode: str) -> None:
+    @F.pandas_udf(T.IntegerType())
+    def cell(vs: pd.Series) -> pd.Series:
+        m = knn._matrix(vs, centroids.shape[1])
+        return pd.Series(nearest_cells(m, centroids, metric, 1)[:, 0].astype("int32"))
+
+    records.withColumn("cell", cell(F.col("vector").cast("array<double>"))) \
+        .write.mode(mode).partitionBy("cell").parquet(f"{path}/vectors")
 
-def train_ivf(vectors: DataFrame, nlist: int = DEFAULT_NLIST, metric: str = "cosine", *, seed: int = 7,
-              max_iter: int = 10, train_fraction: float | None = None) -> IVFIndex:
-    """KMeans cells over the vector table (normalised first for cosine).
 
-    ``train_fraction`` trains the centroids on a sample; every vector is still
-    assigned to a cell, so no row is left out of the index."""
+def build_ivf_index(vectors: DataFrame, centroids: np.ndarray, metric: str = "cosine",
+                    path: str | None = None) -> IVFIndex:
+    """Write the index for given centroids (normalised ones for cosine)."""
+    check_metric(metric)
+    spark = vectors.sparkSession
+    path = path or scratch_path(spark, "ivf")
+    centroids = np.asarray(centroids, dtype=np.float64)
+    _write(vectors, path, centroids, metric, "overwrite")
+    spark.createDataFrame([(metric, json.dumps(centroids.tolist()))], "metric string, centroids string") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    return load_ivf_index(spark, path)
+
+
+def load_ivf_index(spark: SparkSession, path: str) -> IVFIndex:
+    """Reopen an index written by ``build_ivf_index`` or ``train_ivf``."""
+    row = spark.read.parquet(f"{path}/centroids").first()
+    return IVFIndex(path, spark.read.parquet(f"{path}/vectors"), np.asarray(json.loads(row["centroids"])), row["metric"])
+
+
+def train_ivf(vectors: DataFrame, nlist: int = DEFAULT_NLIST, metric: str = "cosine", *, seed: int = 7,
+              max_iter: int = 10, path: str | None = None) -> IVFIndex:
+    """KMeans cells over all vectors (normalised first for cosine), then the index."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -87,59 +114,38 @@ def train_ivf(vectors: DataFrame, nlist: int = DEFAULT_NLIST, metric: str = "cos
         norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
         vec = F.when(norm > 0, F.transform(vec, lambda x: x / norm)).otherwise(vec)
     train = vectors.select(array_to_vector(vec).alias("features"))
-    if train_fraction is not None:
-        train = train.sample(fraction=train_fraction, seed=seed)
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="features").fit(train)
-    centroids = np.array([c for c in model.clusterCenters()], dtype=np.float64)
-    index = IVFIndex(vectors, centroids, metric)
-    return IVFIndex(index.assign(vectors), centroids, metric)
+    return build_ivf_index(vectors, np.array(list(model.clusterCenters()), dtype=np.float64), metric, path)
 
 
 def ivf_search(index: IVFIndex, queries: DataFrame, top_k: int, nprobe: int = DEFAULT_NPROBE, *,
-               query_id: str = "query_id", query_vector: str = "vector",
-               q_block_rows: int = knn.DEFAULT_Q_BLOCK_ROWS,
-               v_block_rows: int = knn.DEFAULT_V_BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, record_id, score) over the probed cells."""
+               query_id: str = "query_id", query_vector: str = "vector", carry: tuple[str, ...] = (),
+               max_block_rows: int = knn.MAX_BLOCK_ROWS) -> DataFrame:
+    """(query_id, rank, record_id, score, *carry) over the probed cells."""
     require_positive(top_k, "top_k")
     require_positive(nprobe, "nprobe")
-    cents, metric = index.centroids, index.metric
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _probe(vs: pd.Series) -> pd.Series:
-        if len(vs) == 0:
-            return pd.Series([], dtype=object)
-        m = np.stack([np.asarray(v, dtype=np.float64) for v in vs])
-        return pd.Series([row.astype("int32").tolist() for row in nearest_cells(m, cents, metric, nprobe)])
-
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("qvec"))
-    # explode_outer + filter: a plain explode would infer a size() filter that runs the probe UDF twice.
-    probes = (q.select("query_id", "qvec", F.explode_outer(_probe(F.col("qvec"))).alias("cell"))
-              .filter(F.col("cell").isNotNull()))
+    spark, metric = index.vectors.sparkSession, index.metric
+    schema = knn.candidate_schema(queries, query_id, index.vectors, carry)
     v = index.vectors.select(F.col("record_id").cast("string").alias("record_id"),
-                             F.col("vector").cast("array<double>").alias("vec"), "cell")
-
-    sizes = (v.groupBy("cell").agg(F.count(F.lit(1)).alias("nv"))
-             .join(probes.groupBy("cell").agg(F.count(F.lit(1)).alias("nq")), "cell"))
-    blocks = F.broadcast(sizes.select(
-        "cell",
-        F.greatest(F.lit(1), F.ceil(F.col("nq") / q_block_rows)).cast("int").alias("n_qb"),
-        F.greatest(F.lit(1), F.ceil(F.col("nv") / v_block_rows)).cast("int").alias("n_vb"),
-    ))
-    qx = (probes.join(blocks, "cell")
-          .withColumn("qb", F.pmod(F.xxhash64("query_id"), F.col("n_qb")).cast("int"))
-          .withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("n_vb") - 1)))
-          .select("cell", "qb", "vb", "query_id", "qvec"))
-    vx = (v.join(blocks, "cell")
-          .withColumn("vb", F.pmod(F.xxhash64("record_id"), F.col("n_vb")).cast("int"))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("n_qb") - 1)))
-          .select("cell", "qb", "vb", "record_id", "vec"))
-
-    def score_group(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
-        return knn.local_topk(qpdf["query_id"].to_numpy(dtype=object), knn._matrix(qpdf["qvec"]),
-                              vpdf["record_id"].to_numpy(dtype=object), knn._matrix(vpdf["vec"]), metric, top_k)
-
-    schema = T.StructType([q.schema["query_id"], T.StructField("record_id", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
-    keys = ["cell", "qb", "vb"]
-    cands = qx.groupBy(*keys).cogroup(vx.groupBy(*keys)).applyInPandas(score_group, schema)
-    return knn.rank_candidates(cands, top_k).select("query_id", "rank", "record_id", "score")
+                             F.col("vector").cast("array<double>").alias("vec"), "cell", *carry)
+    found = None
+    for ids, q in knn.query_blocks(queries, query_id, query_vector, dimensions=index.dimensions, max_rows=max_block_rows):
+        cells = nearest_cells(q, index.centroids, metric, nprobe)
+        asked = np.zeros((index.nlist, len(q)), bool)
+        asked[cells.ravel(), np.repeat(np.arange(len(q)), cells.shape[1])] = True
+        shared = spark.sparkContext.broadcast((ids, q, asked))
+
+        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            q_ids, qm, by_cell = shared.value
+            top = knn.TopK(qm, metric, top_k, carry)
+            for batch in batches:
+                for cell, part in batch.groupby("cell", sort=False):
+                    top.add(knn._matrix(part["vec"]), [part[c].to_numpy(dtype=object) for c in top.columns], by_cell[cell])
+            yield from top.frames(q_ids)
+
+        probed = v.filter(F.col("cell").isin([int(c) for c in np.unique(cells)]))
+        part = probed.mapInPandas(scan, schema)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = spark.createDataFrame([], schema)
+    return knn.rank_candidates(found, top_k).select("query_id", "rank", "record_id", "score", *carry)

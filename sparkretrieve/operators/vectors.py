@@ -9,20 +9,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkretrieve.checks import check_metric, require_positive
 from sparkretrieve.functions.metadata import empty_string_map
+from sparkretrieve.functions.text import is_blank
 from sparkretrieve.operators.sizing import broadcast_if_bounded
 
 VECTOR_COLUMNS = ("record_id", "chunk_id", "document_id", "title", "vector", "metadata")
 
 
-def _blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
-
-
 def to_vector_records(embedding_records: DataFrame) -> DataFrame:
     """Embedding record -> vector record columns (title null/empty -> "",
     elements cast to float, missing metadata -> {}), plus ``reject_reason``
@@ -30,9 +27,9 @@ def to_vector_records(embedding_records: DataFrame) -> DataFrame:
     vec = F.col("vector")
     reason = (
         F.when(vec.isNull() | (F.size(vec) <= 0), F.lit("embedding record vector must be a non-empty list"))
-        .when(_blank(F.col("record_id")), F.lit("embedding record record_id must be a non-empty string"))
-        .when(_blank(F.col("chunk_id")), F.lit("embedding record chunk_id must be a non-empty string"))
-        .when(_blank(F.col("document_id")), F.lit("embedding record document_id must be a non-empty string"))
+        .when(is_blank(F.col("record_id")), F.lit("embedding record record_id must be a non-empty string"))
+        .when(is_blank(F.col("chunk_id")), F.lit("embedding record chunk_id must be a non-empty string"))
+        .when(is_blank(F.col("document_id")), F.lit("embedding record document_id must be a non-empty string"))
     )
     return embedding_records.select(
         "record_id", "chunk_id", "document_id",
@@ -62,9 +59,12 @@ def with_duplicate_check(records: DataFrame, existing: DataFrame | None = None)
     Duplicate ids are found by an aggregate (partial counts, no hot group) and
     joined back; the id list is broadcast only when measured small.
     """
-    dup = records.groupBy("record_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("record_id")
+    # Blank ids are rejected for being blank; they never meet in one group.
+    records = records.withColumn("_key", F.when(~is_blank("record_id"), F.col("record_id")))
+    keyed = records.filter(F.col("_key").isNotNull()).select(F.col("_key"))
+    dup = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key")
     if existing is not None:
-        dup = dup.unionByName(existing.select("record_id").join(records.select("record_id"), "record_id", "left_semi"))
+        dup = dup.unionByName(existing.select(F.col("record_id").alias("_key")).join(keyed, "_key", "left_semi"))
     dup = dup.distinct().withColumn("_dup", F.lit(True))
     # The duplicate-id list is small; written once, its size check does not
     # aggregate the whole vector table a second time.
@@ -73,11 +73,12 @@ def with_duplicate_check(records: DataFrame, existing: DataFrame | None = None)
     path = scratch_path(records.sparkSession, "dup-ids")
     dup.write.parquet(path)
     dup_side, _ = broadcast_if_bounded(records.sparkSession.read.parquet(path))
-    out = records.join(dup_side, "record_id", "left")
+    hit = records.filter(F.col("_key").isNotNull()).join(dup_side, "_key", "left")
+    out = hit.unionByName(records.filter(F.col("_key").isNull()).withColumn("_dup", F.lit(None).cast("boolean")))
     msg = F.concat(F.lit("duplicate vector record_id: "), F.col("record_id"))
     return out.withColumn(
         "reject_reason", F.coalesce(F.col("reject_reason"), F.when(F.col("_dup"), msg))
-    ).drop("_dup")
+    ).drop("_dup", "_key")
 
 
 def validate_vector_records(embedding_records: DataFrame, dimensions: int, *,

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.functions.text import first_line_title, preview, render_map, tokenize
 from sparkretrieve.functions.metadata import flatten_document_metadata
-from sparkretrieve.functions.text import safe_record_id
+from sparkretrieve.functions.text import WHITESPACE_RE, first_line_title, preview, render_map, safe_record_id, tokenize
 from sparkretrieve.operators import bm25, chunking, embedding, evaluation, fusion, ivf, knn, vectors
 from sparkretrieve.plans import search
 from sparkretrieve.session import scratch_path
@@ -84,12 +84,11 @@ def q_bm25_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bm25_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = _chunks(spark, sf_dir)
-    index = bm25.build_bm25_index(chunks)
-    matches = bm25.bm25_matches(index, _queries(spark, sf_dir))
-    return matches.select(
-        "query_id", "chunk_id", _round("score"), F.col("overlap").cast("bigint").alias("overlap")
-    )
+    """Per query: the chunks that share a token with it, and their lowest and highest score."""
+    index = bm25.build_bm25_index(_chunks(spark, sf_dir))
+    return bm25.match_summary(index, _queries(spark, sf_dir)).select(
+        "query_id", F.col("matches").cast("bigint").alias("matches"), _round("lowest"), _round("highest"),
+        F.col("most_overlap").cast("bigint").alias("most_overlap"))
 
 
 def q_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,11 +104,6 @@ def q_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- M2: chunking ------------------------------------------------------------
 
-# Every character Python's str.strip() treats as whitespace.
-WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-
-
 def q_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = chunking.chunk_documents(_documents(spark, sf_dir))
     return chunks.select(
@@ -221,24 +215,28 @@ def q_index_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.info()
 
 
-def _self_knn(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
-    """Every vector of the table is a query: its top-k neighbours."""
-    vecs = _embedding_vectors(spark, sf_dir)
-    queries = vecs.select(F.col("record_id").alias("query_id"), "vector")
-    hits = knn.knn_search(vecs, queries, TOP_K, metric)
-    return hits.select("query_id", F.col("rank").cast("bigint").alias("rank"), "record_id", _round("score"))
+def _query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark texts as 64-dimensional queries."""
+    return embedding.embed_queries(_queries(spark, sf_dir), ENCODER)
+
+
+def _knn(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    """Every benchmark text against all embeddings."""
+    hits = knn.knn_search(_embedding_vectors(spark, sf_dir), _query_vectors(spark, sf_dir), TOP_K, metric)
+    return hits.select(F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
+                       "record_id", _round("score"))
 
 
 def q_knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _self_knn(spark, sf_dir, "cosine")
+    return _knn(spark, sf_dir, "cosine")
 
 
 def q_knn_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _self_knn(spark, sf_dir, "l2")
+    return _knn(spark, sf_dir, "l2")
 
 
 def q_knn_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _self_knn(spark, sf_dir, "ip")
+    return _knn(spark, sf_dir, "ip")
 
 
 def q_semantic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,25 +369,45 @@ def q_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- M8: approximate kNN -------------------------------------------------------
 
-NLIST = 8
+NLIST, NPROBE = 8, 2
 
 
-def _ivf_self_search(spark: SparkSession, sf_dir: str, nprobe: int) -> DataFrame:
-    vecs = _embedding_vectors(spark, sf_dir)
-    index = ivf.train_ivf(vecs, NLIST, "cosine")
-    queries = vecs.select(F.col("record_id").alias("query_id"), "vector")
+def _fixed_centroids(vecs: DataFrame) -> np.ndarray:
+    """The vectors of the ``NLIST`` smallest identifiers, normalised: centroids
+    that SQL can name too, so that a partial probe has an exact oracle."""
+    rows = vecs.orderBy(F.length("document_id"), "document_id").limit(NLIST).select("vector").collect()
+    return knn._normalise(knn._matrix([r["vector"] for r in rows]))
+
+
+def _ann(index: ivf.IVFIndex, queries: DataFrame, nprobe: int) -> DataFrame:
     hits = ivf.ivf_search(index, queries, TOP_K, nprobe)
-    return hits.select("query_id", F.col("rank").cast("bigint").alias("rank"), "record_id", _round("score"))
+    return hits.select(F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
+                       "record_id", _round("score"))
 
 
 def q_ann_full_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IVF probing every cell: must equal exact cosine kNN."""
-    return _ivf_self_search(spark, sf_dir, NLIST)
+    """IVF over trained cells, probing every cell: must equal exact cosine kNN."""
+    index = ivf.train_ivf(_embedding_vectors(spark, sf_dir), NLIST, "cosine")
+    return _ann(index, _query_vectors(spark, sf_dir), NLIST)
 
 
 def q_ann_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IVF probing 2 of 8 cells (approximate: rows only)."""
-    return _ivf_self_search(spark, sf_dir, 2)
+    """IVF over fixed cells, probing 2 of 8."""
+    vecs = _embedding_vectors(spark, sf_dir)
+    index = ivf.build_ivf_index(vecs, _fixed_centroids(vecs))
+    return _ann(index, _query_vectors(spark, sf_dir), NPROBE)
+
+
+def q_ann_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the exact neighbours each probe width finds."""
+    vecs = _embedding_vectors(spark, sf_dir)
+    index = ivf.build_ivf_index(vecs, _fixed_centroids(vecs))
+    queries = _query_vectors(spark, sf_dir)
+    exact = _knn(spark, sf_dir, "cosine").select("query_id", "record_id")
+    found = [_ann(index, queries, n).select("query_id", "record_id").join(exact, ["query_id", "record_id"], "left_semi")
+             .agg(F.count(F.lit(1)).alias("found")).select(F.lit(n).cast("bigint").alias("nprobe"), "found")
+             for n in (1, NPROBE, NLIST)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 # --- K1: streaming -------------------------------------------------------------
@@ -453,6 +471,7 @@ QUERIES: dict[str, QueryBuilder] = {
     "ingest_manifest": q_ingest_manifest,
     "ann_full_probe": q_ann_full_probe,
     "ann_ivf": q_ann_ivf,
+    "ann_recall": q_ann_recall,
     "stream_chunk": q_stream_chunk,
 }
 

@@ -9,12 +9,18 @@ from __future__ import annotations
 
 TOP_K = 10
 TOKEN_RE = "[A-Za-z0-9_.$:/-]+"
+WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{WHITESPACE_RE}+|{WHITESPACE_RE}+$', '', 'g')"
 
 DOCS = """
 docs AS (
   SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS document_id, source,
          CAST(doc_id AS VARCHAR) AS source_id,
-         left(split_part(text, chr(10), 1), 80) AS title,
+         split_part(text, chr(10), 1) AS title,
          '1' AS version, '' AS updated_at, coalesce(text, '') AS text, lang, n_chars
   FROM documents)"""
 
@@ -70,11 +76,6 @@ def _with(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
 
-WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-
-
-
 def _hash_cells(name: str, source: str) -> str:
     """Hashing-encoder vectors (64 buckets) as sparse (record_id, dim, value)
     rows, float32-rounded like the stored vectors. ``source`` yields (record_id, text)."""
@@ -93,9 +94,18 @@ def _hash_cells(name: str, source: str) -> str:
 
 
 EMB = """
-ev AS (SELECT 'doc_' || CAST(vec_id AS VARCHAR) || '_chunk_0' AS record_id,
+ev AS (SELECT 'doc_' || CAST(vec_id AS VARCHAR) || '_chunk_0' AS record_id, vec_id,
               CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
 
+# Benchmark texts as dense 64-dimensional vectors, against all embeddings.
+QUERY_VECTORS = EMB + _hash_cells("qv", f"SELECT item_id AS record_id, text FROM benchmark WHERE {_strip('text')} <> ''") + f""",
+qd AS (SELECT b.item_id AS query_id,
+              list_transform(range(0, 64), lambda i: coalesce(list_extract(list_filter(
+                list_zip(dims, vals), lambda z: z[1] = i), 1)[2], 0.0::DOUBLE)) AS v
+       FROM benchmark b LEFT JOIN (SELECT record_id, list(dim) AS dims, list(value) AS vals FROM qv GROUP BY 1) x
+         ON x.record_id = b.item_id
+       WHERE {_strip('b.text')} <> '')"""
+
 KNN_SCORE = {
     "cosine": """CASE WHEN list_dot_product(q.v, q.v) = 0 OR list_dot_product(e.v, e.v) = 0 THEN 0.0
          ELSE list_dot_product(q.v, e.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(e.v, e.v)))
@@ -105,17 +115,33 @@ KNN_SCORE = {
 }
 
 
-def _knn(metric: str) -> str:
-    return _with(EMB + f""",
-pairs AS (SELECT q.record_id AS query_id, e.record_id, {KNN_SCORE[metric]} AS score FROM ev q, ev e),
+def _knn_ctes(metric: str, only: str = "") -> str:
+    return f""",
+pairs AS (SELECT q.query_id, e.record_id, {KNN_SCORE[metric]} AS score FROM qd q, ev e{only}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, record_id) AS rank
-           FROM pairs)""", f"""
-SELECT query_id, rank, record_id, round(score, 6) AS score FROM ranked WHERE rank <= {TOP_K}""")
+           FROM pairs)"""
+
+
+_KNN_ROWS = f"SELECT query_id, rank, record_id, round(score, 6) AS score FROM ranked WHERE rank <= {TOP_K}"
+
+# IVF over fixed cells: the vectors of the eight smallest ids are the centroids.
+IVF_CELLS = QUERY_VECTORS + """,
+cents AS (SELECT row_number() OVER (ORDER BY vec_id) AS cell, v FROM ev ORDER BY vec_id LIMIT 8),
+cell_of AS (SELECT e.record_id, arg_max(c.cell, list_cosine_similarity(e.v, c.v)) AS cell
+            FROM ev e, cents c GROUP BY e.record_id),
+probes AS (SELECT q.query_id, c.cell, row_number() OVER (
+             PARTITION BY q.query_id ORDER BY list_cosine_similarity(q.v, c.v) DESC, c.cell) AS turn
+           FROM qd q, cents c)"""
+
+
+def _probed(nprobe: int) -> str:
+    return f""" JOIN cell_of USING (record_id)
+  WHERE EXISTS (SELECT 1 FROM probes p WHERE p.query_id = q.query_id AND p.cell = cell_of.cell AND turn <= {nprobe})"""
 
 
 SEM_CTES = (_hash_cells("dv", "SELECT chunk_id AS record_id, text FROM chunks")
-            + _hash_cells("qv", "SELECT item_id AS record_id, text FROM benchmark WHERE trim(text) <> ''")
-            + """,
+            + _hash_cells("qv", f"SELECT item_id AS record_id, text FROM benchmark WHERE {_strip('text')} <> ''")
+            + f""",
 dn AS (SELECT record_id, sqrt(sum(value * value)) AS n FROM dv GROUP BY record_id),
 qn AS (SELECT record_id, sqrt(sum(value * value)) AS n FROM qv GROUP BY record_id),
 dots AS (SELECT q.record_id AS query_id, d.record_id, sum(q.value * d.value) AS dot
@@ -124,7 +150,7 @@ pairs AS (
   SELECT b.item_id AS query_id, c.chunk_id AS record_id,
          CASE WHEN coalesce(qn.n, 0) = 0 OR coalesce(dn.n, 0) = 0 THEN 0.0
               ELSE coalesce(dots.dot, 0.0) / (qn.n * dn.n) END AS score
-  FROM (SELECT item_id FROM benchmark WHERE trim(text) <> '') b CROSS JOIN chunks c
+  FROM (SELECT item_id FROM benchmark WHERE {_strip('text')} <> '') b CROSS JOIN chunks c
   LEFT JOIN qn ON qn.record_id = b.item_id LEFT JOIN dn ON dn.record_id = c.chunk_id
   LEFT JOIN dots ON dots.query_id = b.item_id AND dots.record_id = c.chunk_id),
 sranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, record_id) AS rank
@@ -200,7 +226,9 @@ FROM cstats, mean"""),
     "bm25_idf": _with(BM25_INDEX, """
 SELECT term, df, round(idf, 9) AS idf FROM idf"""),
     "bm25_match": _with(BM25_MATCH, """
-SELECT query_id, chunk_id, round(score, 6) AS score, overlap FROM matches"""),
+SELECT query_id, count(*) AS matches, round(min(score), 6) AS lowest, round(max(score), 6) AS highest,
+       max(overlap) AS most_overlap
+FROM matches GROUP BY query_id"""),
     "bm25_topk": _with(BM25_RANKED, f"""
 SELECT r.query_id, r.rank, r.chunk_id, c.document_id, c.title, round(r.score, 6) AS score,
        r.overlap, substring(c.text, 1, 700) AS preview
@@ -248,9 +276,9 @@ FROM ev"""),
 SELECT 'exact' AS name, CAST(max(len(embedding)) AS BIGINT) AS dimensions, 'cosine' AS metric,
        count(*) AS records_count
 FROM embeddings""".strip(),
-    "knn_cosine": _knn("cosine"),
-    "knn_l2": _knn("l2"),
-    "knn_ip": _knn("ip"),
+    "knn_cosine": _with(QUERY_VECTORS + _knn_ctes("cosine"), _KNN_ROWS),
+    "knn_l2": _with(QUERY_VECTORS + _knn_ctes("l2"), _KNN_ROWS),
+    "knn_ip": _with(QUERY_VECTORS + _knn_ctes("ip"), _KNN_ROWS),
     "semantic_search": _with(SEMANTIC, f"""
 SELECT r.query_id, r.rank, r.record_id AS chunk_id, c.document_id, round(r.score, 6) AS score
 FROM sranked r JOIN chunks c ON c.chunk_id = r.record_id
@@ -281,7 +309,7 @@ FROM ev WHERE ev.matched_rank IS NULL"""),
 
 PAGES = """
 pages_src AS (
-  SELECT left(split_part(text, chr(10), 1), 80) AS title, CAST(doc_id AS VARCHAR) AS page_id,
+  SELECT split_part(text, chr(10), 1) AS title, CAST(doc_id AS VARCHAR) AS page_id,
          CAST(n_chars AS VARCHAR) AS revision_id, '2024-04-15T14:38:04Z' AS timestamp, text
   FROM documents),
 pages_ok AS (SELECT * FROM pages_src WHERE title <> '' AND page_id <> '' AND revision_id <> '')"""
@@ -295,4 +323,18 @@ SELECT 'wikipedia_' || page_id AS document_id, 'wikipedia' AS source, page_id AS
 FROM pages_ok"""),
 })
 ORACLES["ann_full_probe"] = ORACLES["knn_cosine"]
+ORACLES["ann_ivf"] = _with(IVF_CELLS + _knn_ctes("cosine", _probed(2)), _KNN_ROWS)
+ORACLES["ann_recall"] = _with(IVF_CELLS + f""",
+scored AS (SELECT q.query_id, e.record_id, {KNN_SCORE["cosine"]} AS score, turn
+           FROM qd q, ev e JOIN cell_of USING (record_id) JOIN probes ON probes.cell = cell_of.cell
+           WHERE probes.query_id = q.query_id),
+widths AS (SELECT unnest([1, 2, 8])::BIGINT AS nprobe),
+probed AS (SELECT nprobe, query_id, record_id, row_number() OVER (
+             PARTITION BY nprobe, query_id ORDER BY round(score, 9) DESC, record_id) AS rank
+           FROM scored, widths WHERE turn <= nprobe),
+exact AS (SELECT query_id, record_id FROM probed WHERE nprobe = 8 AND rank <= 10)""", """
+SELECT nprobe, count(e.query_id) AS found
+FROM widths LEFT JOIN (SELECT * FROM probed WHERE rank <= 10) p USING (nprobe)
+LEFT JOIN exact e ON e.query_id = p.query_id AND e.record_id = p.record_id
+GROUP BY nprobe""")
 ORACLES["stream_chunk"] = ORACLES["chunk_lossless"]

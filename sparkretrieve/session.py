@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Scratch tables of this process, by session application id.
+_scratch: dict[str, list[str]] = {}
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "sparkretrieve") -> SparkSession:
@@ -38,9 +42,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without one (tests) gets a fresh scratch folder,
-    registered so that later calls agree on it; on a cluster a missing
-    setting is an error, never a machine-local folder.
+    Only a local session, whose tasks all run on this machine, gets a folder of
+    its own where none is set; on a cluster a missing setting is an error,
+    never a machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -48,8 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        # Local runs (tests) only: one scratch folder for this session.
-        configured = tempfile.mkdtemp(prefix="sparkretrieve-ckpt-")
+        if spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the executors")
+        configured = os.path.join(tempfile.gettempdir(), f"sparkretrieve-{spark.sparkContext.applicationId}")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
@@ -57,6 +62,33 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique table location under the shared checkpoint folder."""
+    """A new, unique table location under the shared checkpoint folder. It is
+    removed by ``drop_scratch``, at the latest when this process ends."""
     root = checkpoint_root(spark)
-    return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a table location with the file system that Spark uses for it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process made; returns how many. Frames
+    that still read them must not be used afterwards."""
+    return sum(remove_path(spark, p) for p in _scratch.pop(spark.sparkContext.applicationId, []))
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    try:
+        drop_scratch(spark)
+    except Exception:  # noqa: BLE001 - the JVM may be going down already
+        pass

@@ -40,8 +40,8 @@ def test_metrics_match_numpy_and_paths_agree(spark, metric):
     recs = _records(spark, [x.tolist() for x in v])
     qs = _queries(spark, [x.tolist() for x in q])
     k = 4
-    a = knn.knn_search(recs, qs, k, metric, strategy="broadcast")
-    b = knn.knn_search(recs, qs, k, metric, strategy="blocked", q_block_rows=3, v_block_rows=17)
+    a = knn.knn_search(recs, qs, k, metric, max_block_rows=100)
+    b = knn.knn_search(recs, qs, k, metric, max_block_rows=3)
     ra = sorted((r.query_id, r.rank, r.record_id, round(r.score, 9)) for r in a.collect())
     rb = sorted((r.query_id, r.rank, r.record_id, round(r.score, 9)) for r in b.collect())
     assert ra == rb
@@ -108,9 +108,46 @@ def test_mixed_dimensions_rejected(spark):
         vectors.build_vector_index(_records(spark, [[1.0, 0.0], [1.0]]))
 
 
-def test_local_topk_emits_k_rows_even_for_a_huge_tie_group():
-    q = np.array([[1.0, 0.0]])
+def test_topk_keeps_k_rows_even_of_a_huge_tie_group():
+    top = knn.TopK(np.array([[1.0, 0.0]]), "cosine", 3)
     v = np.array([[1.0, 0.0]] * 500 + [[0.0, 1.0]])
-    ids = np.array([f"r{i:04d}" for i in range(501)], dtype=object)
-    out = knn.local_topk(np.array(["q"], dtype=object), q, ids, v, "cosine", 3)
+    for at in (300, 0):  # in two batches, the later ids first
+        ids = np.array([f"r{i:04d}" for i in range(at, at + 300)][:501 - at], dtype=object)
+        top.add(v[at:at + 300], [ids])
+    (out,) = top.frames(np.array(["q"], dtype=object))
     assert list(out["record_id"]) == ["r0000", "r0001", "r0002"]
+
+
+@pytest.mark.parametrize("size,step", [(1000.0, 1e-5), (10_000.0, 1e-4), (1.0, 1e-9)])
+def test_l2_finds_close_neighbours_of_long_vectors(size, step):
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        q = rng.normal(size=(3, 16)) * size
+        v = np.concatenate([q[:1] + rng.normal(size=(40, 16)) * step, rng.normal(size=(40, 16)) * size])
+        top = knn.TopK(q, "l2", 5)
+        top.add(v, [np.array([f"r{i:02d}" for i in range(80)], dtype=object)])
+        (out,) = top.frames(np.arange(3))
+        for i in range(3):
+            s = np.round(-((v - q[i]) ** 2).sum(axis=1), knn.RANK_DIGITS)
+            want = sorted(range(80), key=lambda j: (-s[j], j))[:5]
+            assert list(out[out["query_id"] == i]["record_id"]) == [f"r{j:02d}" for j in want]
+
+
+def test_tiles_are_small():
+    """A tile's arrays stay below 512 MB whatever the block and the table."""
+    assert knn.TILE_QUERIES * knn.TILE_VECTORS * 60 < 512 << 20
+    assert knn.MAX_BLOCK_BYTES < 512 << 20
+
+
+def test_query_of_wrong_length(spark):
+    recs = _records(spark, [[1.0, 0.0], [0.0, 1.0]])
+    with pytest.raises(ValueError, match="expected query dimension 2, got 3"):
+        knn.knn_search(recs, _queries(spark, [[1.0, 0.0, 0.0]]), 1)
+
+
+def test_white_space_ids_are_blank(spark):
+    recs = spark.createDataFrame([("\t\n", "c", "d", None, [1.0], None), ("\t\n", "c", "d", None, [1.0], None),
+                                  (None, "c", "d", None, [1.0], None), ("a", "\u3000", "d", None, [1.0], None)], SCHEMA)
+    got = [r.reject_reason for r in vectors.validate_vector_records(recs, 1).collect()]
+    assert sorted(got) == ["embedding record chunk_id must be a non-empty string"] \
+        + ["embedding record record_id must be a non-empty string"] * 3
