@@ -1,13 +1,15 @@
 """Parameter guards (D4) and empty-input checks.
 
 Guards run eagerly while a plan is being built, so a bad parameter fails
-before any job starts. Message texts are part of the contract.
+before any job starts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# The message texts below and the metrics equal those of the
+# studied library, as callers match on them.
 SUPPORTED_METRICS = ("cosine", "l2", "ip")
 
 

@@ -105,7 +105,7 @@ def _idf_columns(terms: DataFrame, n_chunks, mean_idf, epsilon: float) -> DataFr
 
 
 def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K1, b: float = B,
-                     epsilon: float = EPSILON, materialize: bool = True, path: str | None = None,
+                     epsilon: float = EPSILON, path: str | None = None,
                      term_buckets: int | None = None, bucket_spread: int | None = None,
                      validate: bool = False) -> BM25Index:
     """postings, vocabulary with idf, and corpus statistics.
@@ -114,7 +114,7 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
     is replaced by ``epsilon`` times the mean raw idf over the whole
     vocabulary.
 
-    ``materialize=True`` (default) writes the postings and the vocabulary once
+    The build writes the postings and the vocabulary once
     as Parquet tables in the shared checkpoint folder -- the corpus is
     tokenised exactly once, and N, total tokens and the mean idf are gathered
     with ``observe`` during those writes (no extra pass).
@@ -124,15 +124,11 @@ def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K
     ``term_buckets=N`` partitions both tables by a hash bucket of the term, so
     a small query batch reads only the buckets of its terms (dynamic partition
     pruning from the broadcast query side) -- worth one build shuffle when an
-    index is large and queried in small batches. ``False`` keeps
-    everything lazy with scalar subqueries (fine for small inputs).
+    index is large and queried in small batches.
     """
     if validate:
         require_rows(chunks, "chunk_records cannot be empty")
     rows = chunk_term_rows(chunks, text_col)
-    if not materialize:
-        return _lazy_index(rows, k1, b, epsilon)
-
     from pyspark.sql import Observation
 
     from sparkretrieve.session import scratch_path
@@ -197,27 +193,6 @@ def load_bm25_index(spark, path: str, *, k1: float = K1, b: float = B, epsilon:
                      avgdl=F.lit(row.avgdl).cast("double"), k1=k1, b=b, term_buckets=row.term_buckets, path=path)
 
 
-def _lazy_index(rows: DataFrame, k1: float, b: float, epsilon: float) -> BM25Index:
-    postings = _explode_postings(rows)
-    stats_row = rows.agg(
-        F.count(F.lit(1)).alias("n_chunks"),
-        F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_tokens"),
-    )
-    n_chunks = stats_row.select("n_chunks").scalar()
-    avgdl = stats_row.select(F.try_divide(F.col("total_tokens").cast("double"), F.col("n_chunks"))).scalar()
-    dfs = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw, _ = _idf_columns(dfs, n_chunks, F.lit(0.0), epsilon)
-    mean_idf = raw.agg(F.avg("raw_idf")).scalar()
-    _, terms = _idf_columns(dfs, n_chunks, mean_idf, epsilon)
-    stats = stats_row.select(
-        "n_chunks", "total_tokens",
-        F.try_divide(F.col("total_tokens").cast("double"), F.col("n_chunks")).alias("avgdl"),
-        dfs.agg(F.count(F.lit(1))).scalar().alias("vocabulary"),
-        mean_idf.alias("mean_idf"),
-    )
-    return BM25Index(postings=postings, terms=terms, stats=stats, avgdl=avgdl, k1=k1, b=b)
-
-
 def query_terms(queries: DataFrame, query_id: str = "query_id", query_col: str = "query") -> DataFrame:
     """(query_id, term, qf): repeated query tokens count repeatedly."""
     return (

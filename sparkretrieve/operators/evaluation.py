@@ -20,6 +20,8 @@ from sparkretrieve.operators.sizing import broadcast_if_bounded, bounded_count
 
 Retriever = Callable[[DataFrame, int], DataFrame]
 
+MAX_GRAMS = 1000  # more different grams are matched in the join instead of within each text
+
 CASE_SCHEMA = "case_id bigint, query string, expected_document_id string, expected_chunk_id string"
 
 
@@ -141,7 +143,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _ngram_matches(items: DataFrame, docs: DataFrame, n_max: int = 3) -> DataFrame:
@@ -154,11 +156,18 @@ def _ngram_matches(items: DataFrame, docs: DataFrame, n_max: int = 3) -> DataFra
         "gram", F.expr("substring(query, 1, n)"))
     lengths = sorted({r.n for r in ua.select("n").distinct().collect()})  # at most n_max values
     ua_side, _ = broadcast_if_bounded(ua.select("n", "gram", "case_id", "query"))
+    wanted = {n: [r.gram for r in ua.filter(F.col("n") == n).select("gram").distinct().limit(MAX_GRAMS + 1).collect()]
+              for n in lengths}
     grams = None
     for n in lengths:
-        cut = F.array_distinct(F.transform(
+        cut = F.transform(
             F.sequence(F.lit(1), F.greatest(F.length("text") - n + 1, F.lit(1))),
-            lambda i: F.substring(F.col("text"), i, n)))
+            lambda i: F.substring(F.col("text"), i, n))
+        if len(wanted[n]) <= MAX_GRAMS:
+            # Few grams are asked for: everything else is dropped inside the array.
+            cut = F.array_intersect(F.array(*[F.lit(g) for g in wanted[n]]), cut)
+        else:
+            cut = F.array_distinct(cut)
         part = (docs.select("document_id", F.lit(n).alias("n"), F.explode_outer(cut).alias("gram"))
                 .filter(F.length("gram") == n))
         grams = part if grams is None else grams.unionByName(part)
@@ -175,11 +184,19 @@ def evaluate(cases: DataFrame, retriever: Retriever, top_k: int) -> DataFrame:
 
     The match is the first result (lowest rank) whose document equals the
     expected document and, when an expected chunk is given, whose chunk does
-    too.
+    too. Cases and results are written once: whatever the retriever does with
+    its queries, neither is computed again.
     """
+    cases, results = run_cases(cases, retriever, top_k)
+    return evaluate_results(cases, results)
+
+
+def run_cases(cases: DataFrame, retriever: Retriever, top_k: int) -> tuple[DataFrame, DataFrame]:
+    """(cases, results), both as written tables: at most ``top_k`` rows a case."""
     require_positive(top_k, "top_k")
+    cases = _written(cases, "eval-cases")
     results = retriever(cases.select(F.col("case_id").alias("query_id"), "query"), top_k)
-    return evaluate_results(cases, results)
+    return cases, _written(results, "eval-results")
 
 
 def evaluate_results(cases: DataFrame, results: DataFrame) -> DataFrame:

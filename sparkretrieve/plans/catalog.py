@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretrieve.functions.metadata import flatten_document_metadata
-from sparkretrieve.functions.text import WHITESPACE_RE, first_line_title, preview, render_map, safe_record_id, tokenize
+from sparkretrieve.functions.text import WHITESPACE_RE, first_line_title, preview, py_strip, render_map, safe_record_id, tokenize
 from sparkretrieve.operators import bm25, chunking, embedding, evaluation, fusion, ivf, knn, vectors
-from sparkretrieve.plans import search
+from sparkretrieve.plans import jobs, search
 from sparkretrieve.session import scratch_path
-from sparkretrieve.sources import corpus, dump
+from sparkretrieve.sources import corpus, dump, records
 
 TOP_K = 10
 SCORE_DIGITS = 6
@@ -105,21 +105,57 @@ def q_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- M2: chunking ------------------------------------------------------------
 
 def q_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = chunking.chunk_documents(_documents(spark, sf_dir))
-    return chunks.select(
-        "chunk_id", "document_id", "source", "source_id", "title",
-        F.col("chunk_index").cast("bigint").alias("chunk_index"), "text",
-        render_map("metadata").alias("metadata"),
+    """The splitter at its defaults (1200/200), one row per document: what must
+    hold for its chunks. A text of at most 1200 characters gives its stripped
+    self, exactly. Of every text all chunks are parts of it, in order, at most
+    1200 characters long, together hold all its non-blank characters, and
+    repeat at most 200 characters per neighbour."""
+    docs = _documents(spark, sf_dir).select("document_id", F.col("text").alias("whole"))
+    split = chunking.split_documents(_documents(spark, sf_dir))
+    size, overlap = chunking.DEFAULT_CHUNK_SIZE, chunking.DEFAULT_CHUNK_OVERLAP
+    joined = split.select("document_id", "chunks").join(docs, "document_id")
+    solid = lambda c: F.length(F.regexp_replace(c, WHITESPACE_RE, ""))
+    # Each chunk is looked for from where the one before was found.
+    found = F.aggregate("chunks", F.lit(1), lambda at, c: F.when(at > 0, F.position(c, F.col("whole"), at)).otherwise(at))
+    total = F.aggregate("chunks", F.lit(0), lambda n, c: n + F.length(c))
+    kept = F.aggregate("chunks", F.lit(0), lambda n, c: n + solid(c))
+    return joined.select(
+        "document_id",
+        F.when(F.length("whole") <= size, F.md5(F.array_join("chunks", "|"))).alias("short_digest"),
+        F.forall("chunks", lambda c: F.contains(F.col("whole"), c)).alias("parts"),
+        F.forall("chunks", lambda c: (F.length(c) <= size) & (F.length(c) > 0)).alias("within_size"),
+        (found > 0).alias("in_order"),
+        (kept >= solid(F.col("whole"))).alias("covered"),
+        (total <= F.length("whole") + overlap * F.greatest(F.size("chunks") - 1, F.lit(0))).alias("little_repeated"),
     )
 
 
 def q_chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.chunk_summary(chunking.split_documents(_documents(spark, sf_dir)))
+    """Documents processed, chunks of the short ones, and bounds on all chunks."""
+    docs = _documents(spark, sf_dir)
+    size, overlap = chunking.DEFAULT_CHUNK_SIZE, chunking.DEFAULT_CHUNK_OVERLAP
+    facts = docs.agg(F.sum(F.ceil(F.length(py_strip("text")) / size)).alias("least"),
+                     F.sum(1 + F.ceil(F.length("text") / overlap)).alias("most"))
+    short = chunking.chunk_summary(chunking.split_documents(docs.filter(F.length("text") <= size)))
+    whole = chunking.chunk_summary(chunking.split_documents(docs))
+    return whole.join(short.select(F.col("chunks_saved").alias("short_chunks"))).join(facts).select(
+        "documents_processed", "short_chunks", (F.col("chunks_saved") >= F.col("least")).alias("at_least"),
+        (F.col("chunks_saved") <= F.col("most")).alias("at_most"))
 
 
 def q_chunk_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = chunking.chunk_documents(_documents(spark, sf_dir))
-    return chunking.chunk_manifest(chunks, "chunks")
+    """The manifest by document: its first chunk, and whether paths, ids,
+    numbering and status of all its rows are as they should be."""
+    manifest = chunking.chunk_manifest(chunking.chunk_documents(_documents(spark, sf_dir)), "chunks")
+    number = F.element_at(F.split("chunk_id", "_chunk_"), -1).cast("bigint")
+    path = F.concat(F.lit("chunks/"), F.col("chunk_id"), F.lit(".json"))
+    return manifest.groupBy("document_id").agg(
+        F.min_by("chunk_id", number).alias("first_chunk"), F.min_by("output_path", number).alias("first_path"),
+        F.bool_and(F.col("output_path") == path).alias("paths"),
+        F.bool_and(F.col("chunk_id") == F.concat("document_id", F.lit("_chunk_"), number)).alias("ids"),
+        ((F.min(number) == 0) & (F.max(number) == F.count(F.lit(1)) - 1)
+         & (F.count_distinct(number) == F.count(F.lit(1)))).alias("numbering"),
+        F.bool_and(F.col("status") == "saved").alias("saved"))
 
 
 def _lossless(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
@@ -133,20 +169,46 @@ def _lossless(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
     )
 
 
-def q_bm25_chunk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BM25 top-k over the real chunks (1200/200 splitter output), as the
-    studied search command runs it. Rows only: the splitter has no SQL form;
-    tests compare it with a brute-force scorer."""
-    # The chunk table is written once (as the chunk job does) and read by both
-    # the index build and the final text fetch, so the splitter runs once.
+def _real_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splitter's chunks (1200/200), written once as the chunk job does."""
     path = scratch_path(spark, "chunks")
-    chunking.chunk_documents(_documents(spark, sf_dir)).write.parquet(path)
-    chunks = spark.read.parquet(path)
-    res = bm25.bm25_search(chunks, _queries(spark, sf_dir), top_k=TOP_K, columns=("document_id", "title", "text"))
-    return res.select(
-        "query_id", F.col("rank").cast("bigint").alias("rank"), "chunk_id", "document_id", "title",
-        _round("score"), F.col("overlap").cast("bigint").alias("overlap"), preview("text").alias("preview"),
-    )
+    chunks = chunking.chunk_documents(_documents(spark, sf_dir))
+    chunks.write.parquet(path)
+    return spark.read.schema(chunks.schema).parquet(path)
+
+
+def _plain_bm25(chunks: DataFrame, queries: DataFrame) -> DataFrame:
+    """BM25 written out as joins and aggregates on exploded tokens, to hold the
+    index and its search against."""
+    toks = chunks.select("chunk_id", F.explode(tokenize("text")).alias("term"))
+    tf = toks.groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    dl = chunks.select("chunk_id", F.size(tokenize("text")).alias("dl"))
+    facts = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    raw = df.withColumn("raw", F.log(F.lit(facts["n"]) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    mean = raw.agg(F.avg("raw").alias("m")).first()["m"]
+    idf = raw.select("term", F.when(F.col("raw") < 0, F.lit(bm25.EPSILON * (mean or 0.0))).otherwise(F.col("raw")).alias("idf"))
+    asked = queries.select("query_id", F.explode(tokenize("query")).alias("term")) \
+        .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qf"))
+    norm = bm25.K1 * (1 - bm25.B + bm25.B * F.col("dl") / F.lit(facts["avgdl"]))
+    part = F.col("qf") * F.col("idf") * F.col("tf") * (bm25.K1 + 1) / (F.col("tf") + norm)
+    scores = tf.join(asked, "term").join(idf, "term").join(dl, "chunk_id") \
+        .groupBy("query_id", "chunk_id").agg(F.sum(part).alias("score"), F.count(F.lit(1)).alias("overlap"))
+    return bm25.rank_matches(scores, TOP_K)
+
+
+def q_bm25_chunk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 top-k over the real chunks, as the studied search command runs it,
+    beside the same ranking from ``_plain_bm25``: per query, whether they agree."""
+    chunks, queries = _real_chunks(spark, sf_dir), _queries(spark, sf_dir)
+    found = bm25.bm25_search(chunks, queries, top_k=TOP_K, columns=("document_id",))
+    key = F.struct(F.col("rank").cast("bigint").alias("rank"), "chunk_id", F.round("score", SCORE_DIGITS).alias("score"),
+                   F.col("overlap").cast("bigint").alias("overlap"))
+    ours = found.groupBy("query_id").agg(F.array_sort(F.collect_list(key)).alias("a"),
+                                         F.bool_and(F.col("chunk_id").startswith(F.concat("document_id", F.lit("_chunk_")))).alias("own"))
+    plain = _plain_bm25(chunks, queries).groupBy("query_id").agg(F.array_sort(F.collect_list(key)).alias("b"))
+    return queries.select("query_id").join(ours, "query_id", "left").join(plain, "query_id", "left").select(
+        "query_id", F.col("a").eqNullSafe(F.col("b")).alias("agrees"), F.coalesce("own", F.lit(True)).alias("fetched"))
 
 
 def q_chunk_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +272,23 @@ def q_vector_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_vector_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation of embeddings of which most are spoilt, by the last digit of the id."""
+    digit = F.col("vec_id") % 10
+    record = F.concat(F.lit("rec_"), F.col("vec_id"))
+    rows = corpus.table(spark, sf_dir, "embeddings").select(
+        F.when(digit == 2, F.lit("\t")).when(digit == 6, F.concat(F.lit("dup_"), F.floor(F.col("vec_id") / 20)))
+        .otherwise(record).alias("record_id"),
+        F.when(digit == 3, F.lit(" \n")).otherwise(record).alias("chunk_id"),
+        F.when(digit != 4, record).alias("document_id"), F.lit(None).cast("string").alias("title"),
+        F.when(digit == 1, F.array().cast("array<float>")).when(digit == 5, F.slice("embedding", 1, HASH_DIMENSIONS - 1))
+        .otherwise(F.col("embedding")).alias("vector"),
+        F.lit(None).cast("map<string,string>").alias("metadata"))
+    checked = vectors.validate_vector_records(rows, HASH_DIMENSIONS)
+    return checked.select("record_id", F.size("vector").cast("bigint").alias("n_dims"),
+                          F.coalesce("reject_reason", F.lit("valid")).alias("status"))
+
+
 def q_index_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = vectors.build_vector_index(_embedding_vectors(spark, sf_dir), "cosine")
     return index.info()
@@ -261,15 +340,7 @@ def _hybrid(spark: SparkSession, sf_dir: str, queries: DataFrame, top_k: int,
 
 
 def q_hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = _hybrid(spark, sf_dir, _queries(spark, sf_dir), TOP_K)
-    return res.select(
-        F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
-        "chunk_id", "document_id", F.round("fused_score", 9).alias("fused_score"),
-        _round("bm25_score"), _round("semantic_score"),
-        F.col("bm25_rank").cast("bigint").alias("bm25_rank"),
-        F.col("semantic_rank").cast("bigint").alias("semantic_rank"),
-        F.array_join("matched_by", ",").alias("matched_by"),
-    )
+    return _hybrid_rows(_hybrid(spark, sf_dir, _queries(spark, sf_dir), TOP_K))
 
 
 def q_hybrid_matched_by(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,6 +357,37 @@ def q_hybrid_matched_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hybrid_rows(res: DataFrame) -> DataFrame:
+    return res.select(
+        F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
+        "chunk_id", "document_id", F.round("fused_score", 9).alias("fused_score"),
+        _round("bm25_score"), _round("semantic_score"),
+        F.col("bm25_rank").cast("bigint").alias("bm25_rank"),
+        F.col("semantic_rank").cast("bigint").alias("semantic_rank"),
+        F.array_join("matched_by", ",").alias("matched_by"),
+    )
+
+
+def q_hybrid_drop_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hybrid search over vectors whose chunk ids (three times the vector's id)
+    partly do not exist: those rows go, after they were ranked."""
+    other = F.concat(F.lit("doc_"), F.col("vec_id") * 3, F.lit("_chunk_0"))
+    vecs = corpus.table(spark, sf_dir, "embeddings").select(
+        other.alias("record_id"), other.alias("chunk_id"), F.col("embedding").alias("vector"))
+    return _hybrid_rows(search.hybrid_search(
+        _chunks(spark, sf_dir), vecs, _queries(spark, sf_dir), ENCODER, TOP_K, bm25_top_k=LEG_K, semantic_top_k=LEG_K,
+        columns=("document_id",)))
+
+
+def q_hybrid_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hybrid search with the IVF index as its semantic searcher, every cell probed."""
+    recs = _doc_vectors(spark, sf_dir).select("record_id", "chunk_id", "document_id", "title", "vector")
+    index = ivf.build_ivf_index(recs, _fixed_centroids(recs))
+    return _hybrid_rows(search.hybrid_search(
+        _chunks(spark, sf_dir), search.ivf_searcher(index, NLIST), _queries(spark, sf_dir), ENCODER, TOP_K,
+        bm25_top_k=LEG_K, semantic_top_k=LEG_K, columns=("document_id",)))
+
+
 # --- M5: evaluation -----------------------------------------------------------
 
 def _eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,14 +427,24 @@ def q_eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_eval_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = _eval_cases(spark, sf_dir)
-    retriever = _bm25_retriever(spark, sf_dir)
-    results = retriever(cases.select(F.col("case_id").alias("query_id"), "query"), EVAL_K)
-    ev = evaluation.evaluate_results(cases, results)
-    rep = evaluation.misses_report(ev, results)
+    cases, results = evaluation.run_cases(_eval_cases(spark, sf_dir), _bm25_retriever(spark, sf_dir), EVAL_K)
+    rep = evaluation.misses_report(evaluation.evaluate_results(cases, results), results)
     return rep.select(F.col("case_id").cast("bigint").alias("case_id"), "expected_document_id", "retrieved")
 
 
+def q_eval_real_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk, embed, hybrid search and evaluation over the splitter's chunks."""
+    chunks = _real_chunks(spark, sf_dir)
+    vecs = embedding.embed_chunks(chunks, ENCODER)
+    index = bm25.build_bm25_index(chunks)
+
+    def retriever(q: DataFrame, k: int) -> DataFrame:
+        return search.hybrid_search(chunks, vecs, q, ENCODER, k, bm25_top_k=LEG_K, semantic_top_k=LEG_K,
+                                    bm25_index=index, columns=("document_id",))
+
+    return _eval_rows(evaluation.evaluate(_eval_cases(spark, sf_dir), retriever, EVAL_K))
+
+
 def q_eval_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     def retriever(q: DataFrame, k: int) -> DataFrame:
         return _hybrid(spark, sf_dir, q, k, columns=("document_id",))
@@ -345,19 +457,52 @@ def q_eval_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
 DUMP_TIMESTAMP = "2024-04-15T14:38:04Z"
 
 
-def _derived_dump(spark: SparkSession, sf_dir: str) -> str:
-    """Write the driver documents as a bz2 MediaWiki-style dump (Spark job),
-    return its folder. Title = first line, page id = doc_id, revision id =
-    n_chars."""
-    raw = corpus.balanced(corpus.table(spark, sf_dir, "documents"))
-    xml = dump.page_xml(
-        first_line_title("text"), F.col("doc_id").cast("string"),
-        F.col("n_chars").cast("string"), F.lit(DUMP_TIMESTAMP), F.col("text"))
+def _write_dump(spark: SparkSession, xml: DataFrame) -> str:
     path = scratch_path(spark, "dump")
-    raw.select(xml.alias("value")).write.option("compression", "bzip2").text(path)
+    xml.write.option("compression", "bzip2").text(path)
     return path
 
 
+def _dump_xml(raw: DataFrame, revision) -> DataFrame:
+    """Driver documents as pages: title = first line, page id = doc_id."""
+    return raw.select(dump.page_xml(
+        first_line_title("text"), F.col("doc_id").cast("string"), revision.cast("string"),
+        F.lit(DUMP_TIMESTAMP), F.col("text")).alias("value"))
+
+
+def _derived_dump(spark: SparkSession, sf_dir: str) -> str:
+    """The driver documents as a bz2 MediaWiki-style dump (a Spark job);
+    returns its folder. Revision id = n_chars."""
+    raw = corpus.balanced(corpus.table(spark, sf_dir, "documents"))
+    return _write_dump(spark, _dump_xml(raw, F.col("n_chars")))
+
+
+def q_page_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of pages without a revision (every fifth), without a title (every fifth)
+    and whole ones, only the last are parsed."""
+    raw = corpus.balanced(corpus.table(spark, sf_dir, "documents"))
+    xml = _dump_xml(raw.filter("doc_id % 5 > 1"), F.col("n_chars"))
+    bare = raw.filter("doc_id % 5 = 0").select(F.concat(
+        F.lit("<page><title>t</title><id>"), F.col("doc_id"), F.lit("</id></page>")).alias("value"))
+    untitled = raw.filter("doc_id % 5 = 1").select(dump.page_xml(
+        F.lit(""), F.col("doc_id").cast("string"), F.lit("1"), F.lit(DUMP_TIMESTAMP), F.lit("x")).alias("value"))
+    pages = dump.read_pages(spark, _write_dump(spark, xml.unionByName(bare).unionByName(untitled)))
+    return pages.select("title", "page_id", "revision_id", "timestamp", "text")
+
+
+def q_ingest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dumps ingested in turn: even ids and every tenth from 1, then odd ids
+    and every tenth from 2 with the next revision. Ids of both dumps hold the
+    second's page, all others what they had."""
+    raw = corpus.balanced(corpus.table(spark, sf_dir, "documents"))
+    table, manifest = scratch_path(spark, "canonical"), scratch_path(spark, "manifest")
+    for rows, step in ((raw.filter("doc_id % 2 = 0 or doc_id % 10 = 1"), 0), (raw.filter("doc_id % 2 = 1 or doc_id % 10 = 2"), 1)):
+        jobs.ingest_dump(spark, _write_dump(spark, _dump_xml(rows, F.col("n_chars") + step)), table, manifest)
+    logged = spark.read.json(manifest).groupBy("document_id").agg(F.count(F.lit(1)).alias("n_manifest"))
+    docs = records.read_documents(spark, table, fmt="parquet")
+    return docs.join(logged, "document_id").select("document_id", "title", "version", F.md5("text").alias("digest"), "n_manifest")
+
+
 def q_dump_page_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.read_pages(spark, _derived_dump(spark, sf_dir))
 
@@ -413,13 +558,13 @@ def q_ann_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- K1: streaming -------------------------------------------------------------
 
 def q_stream_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents land as 4 files; the stream takes one file per micro-batch,
-    chunks at overlap 0, and the lossless digest per document is rebuilt from
+    """Documents land as the files their scan gives; the stream takes several of
+    them per micro-batch, chunks at overlap 0, and the lossless digest per document is rebuilt from
     the streamed chunks (same oracle as chunk_lossless)."""
     from sparkretrieve.streaming.ingest import run_chunk_stream
 
     landing = scratch_path(spark, "landing")
-    _documents(spark, sf_dir).repartition(4).write.parquet(landing)
+    _documents(spark, sf_dir).write.parquet(landing)
     chunks, _ = run_chunk_stream(spark, landing, scratch_path(spark, "stream-out"),
                                  chunk_size=chunking.DEFAULT_CHUNK_SIZE, chunk_overlap=0,
                                  max_files_per_trigger=1)
@@ -455,6 +600,7 @@ QUERIES: dict[str, QueryBuilder] = {
     "hash_embed": q_hash_embed,
     "embedding_manifest": q_embedding_manifest,
     "vector_validate": q_vector_validate,
+    "vector_reject": q_vector_reject,
     "index_info": q_index_info,
     "knn_cosine": q_knn_cosine,
     "knn_l2": q_knn_l2,
@@ -462,13 +608,18 @@ QUERIES: dict[str, QueryBuilder] = {
     "semantic_search": q_semantic_search,
     "hybrid_rrf": q_hybrid_rrf,
     "hybrid_matched_by": q_hybrid_matched_by,
+    "hybrid_drop_unknown": q_hybrid_drop_unknown,
+    "hybrid_ivf": q_hybrid_ivf,
     "eval_cases": q_eval_cases,
     "eval_hit_at_k": q_eval_hit_at_k,
     "eval_summary": q_eval_summary,
     "eval_misses": q_eval_misses,
     "eval_hybrid": q_eval_hybrid,
+    "eval_real_chunks": q_eval_real_chunks,
     "dump_page_parse": q_dump_page_parse,
     "ingest_manifest": q_ingest_manifest,
+    "page_validity": q_page_validity,
+    "ingest_upsert": q_ingest_upsert,
     "ann_full_probe": q_ann_full_probe,
     "ann_ivf": q_ann_ivf,
     "ann_recall": q_ann_recall,

@@ -1,25 +1,30 @@
 """Batch jobs with sinks (B1-B6, E3, G6, ingest).
 
-Each job is one Spark write of its main table; the counts it reports are
-gathered with ``observe`` during that write, so nothing is read twice. The
-manifest is derived from the table just written and appended.
-
-Sinks are partitioned Parquet tables instead of one JSON file per record.
-Upsert by id: rows are reduced to one per id (the last by ``order_col`` when
-given) and written with dynamic partition overwrite, so re-running a job
-replaces what it wrote instead of duplicating it.
+A sink is a Parquet table of records, partitioned by a hash bucket of the
+record id. An upsert replaces exactly the ids of its batch: the buckets they
+fall into are read, rows with an incoming id are dropped, the batch is added,
+and those buckets are swapped. All other ids, and all other buckets, stay as
+they are. The merged buckets are complete in the shared folder before the
+table is touched, so a failed job can be run again.
+
+A batch is written once; the table, the counts and the manifest all come from
+that copy, so a manifest lists what its run wrote and nothing else.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkretrieve.functions.metadata import chunk_record_columns
 from sparkretrieve.operators import chunking, embedding
+from sparkretrieve.session import path_exists, remove_path, scratch_path
 from sparkretrieve.sources import dump
 
+DEFAULT_BUCKETS = 64
+
 
 @dataclass(frozen=True)
 class ChunkingSummary:
@@ -37,13 +42,34 @@ def one_per_id(df: DataFrame, id_col: str, order_col: str | None = None) -> Data
     return df.groupBy(id_col).agg(best.alias("_r")).select(id_col, "_r.*").select(*df.columns)
 
 
-def write_table(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), fmt: str = "parquet",
-                mode: str = "overwrite") -> None:
-    """Write a record table; ``overwrite`` replaces only the partitions present."""
-    w = df.write.mode(mode).format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.save(path)
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A sink's rows, or None before its first write."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
+def upsert_table(batch: DataFrame, path: str, id_col: str, *, buckets: int = DEFAULT_BUCKETS) -> None:
+    """Replace or add the rows of ``batch`` (one per id) in the table.
+
+    ``buckets`` is fixed by the first write; it bounds what a small batch has
+    to rewrite and should put some hundred MB into a bucket."""
+    spark = batch.sparkSession
+    old = read_table(spark, path)
+    if old is not None:
+        known = spark.read.parquet(path).select("bucket", "n_buckets").first()
+        buckets = known["n_buckets"] if known is not None else buckets
+    new = batch.withColumn("n_buckets", F.lit(buckets)) \
+        .withColumn("bucket", F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int"))
+    merged = new
+    if old is not None:
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most `buckets`
+        stay = old.filter(F.col("bucket").isin(touched)).join(new.select(id_col).distinct(), id_col, "left_anti")
+        merged = stay.select(*new.columns).unionByName(new)
+    staged = scratch_path(spark, "upsert")
+    # A bucket's rows come from one shuffle partition: one file a bucket.
+    merged.repartition("bucket").write.parquet(staged)
+    (spark.read.schema(merged.schema).parquet(staged).write.mode("overwrite").partitionBy("bucket")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    remove_path(spark, staged)
 
 
 def append_manifest(manifest: DataFrame, path: str) -> None:
@@ -51,44 +77,43 @@ def append_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.mode("append").json(path)
 
 
+def _batch(df: DataFrame, name: str) -> DataFrame:
+    """The run's own rows, written once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ingest_dump(spark: SparkSession, dump_path: str, output_dir: str, manifest_path: str,
                 limit: int | None = None) -> int:
-    """Dump -> canonical documents table (+ manifest). Returns pages saved."""
-    docs = one_per_id(dump.pages_to_documents(dump.read_pages(spark, dump_path, limit)), "document_id", "version")
-    obs = Observation("ingest")
-    write_table(docs.observe(obs, F.count(F.lit(1)).alias("n")), output_dir, partition_by=("source",))
-    append_manifest(dump.ingest_manifest(spark.read.parquet(output_dir), output_dir), manifest_path)
-    return int(obs.get["n"])
+    """Dump -> canonical documents table (+ manifest). Returns pages saved. Of
+    several pages with one id the last in dump order stays."""
+    pages = dump.read_pages(spark, dump_path, limit, with_position=True)
+    batch = _batch(dump.pages_to_documents(pages, "pos"), "ingest")
+    upsert_table(one_per_id(batch, "document_id", "pos").drop("pos"), output_dir, "document_id")
+    append_manifest(dump.ingest_manifest(batch, output_dir), manifest_path)
+    return batch.count()
 
 
 def chunk_documents_job(documents: DataFrame, output_dir: str, manifest_path: str, *, limit: int | None = None,
                         chunk_size: int = chunking.DEFAULT_CHUNK_SIZE,
                         chunk_overlap: int = chunking.DEFAULT_CHUNK_OVERLAP) -> ChunkingSummary:
-    """Documents -> chunk table + manifest; summary counts documents that
-    gave no chunk too (E4)."""
-    spark = documents.sparkSession
+    """Documents -> chunk table + manifest; the summary counts documents
+    that gave no chunk too (E4)."""
     if limit is not None:
         documents = documents.orderBy("document_id").limit(limit)
-    split = chunking.split_documents(documents, chunk_size, chunk_overlap)
-    obs = Observation("chunking")
-    observed = split.observe(obs, F.count(F.lit(1)).alias("docs"),
-                             F.coalesce(F.sum(F.size("chunks")), F.lit(0)).alias("chunks"))
-    from sparkretrieve.functions.metadata import chunk_record_columns
-
-    exploded = observed.select("document_id", "flat", F.posexplode_outer("chunks").alias("chunk_index", "text"))
-    chunks = exploded.filter(F.col("text").isNotNull()).select(
+    split = _batch(chunking.split_documents(documents, chunk_size, chunk_overlap), "split")
+    chunks = split.select("document_id", "flat", F.posexplode("chunks").alias("chunk_index", "text")).select(
         *chunk_record_columns(F.col("flat"), F.col("document_id"), F.col("chunk_index"), F.col("text")))
-    write_table(chunks, output_dir, partition_by=("source",))
-    append_manifest(chunking.chunk_manifest(spark.read.parquet(output_dir), output_dir), manifest_path)
-    m = obs.get
-    return ChunkingSummary(int(m["docs"]), int(m["chunks"]))
+    upsert_table(one_per_id(chunks, "chunk_id"), output_dir, "chunk_id")
+    append_manifest(chunking.chunk_manifest(chunks, output_dir), manifest_path)
+    row = chunking.chunk_summary(split).first()
+    return ChunkingSummary(int(row["documents_processed"]), int(row["chunks_saved"]))
 
 
 def embed_chunks_job(chunks: DataFrame, encoder, output_dir: str, manifest_path: str) -> int:
     """Chunks -> embedding records table + manifest; returns records written."""
-    spark = chunks.sparkSession
-    recs = embedding.embed_chunks(chunks, encoder)
-    obs = Observation("embedding")
-    write_table(recs.observe(obs, F.count(F.lit(1)).alias("n")), output_dir)
-    append_manifest(embedding.embedding_manifest(spark.read.parquet(output_dir), output_dir), manifest_path)
-    return int(obs.get["n"])
+    batch = _batch(embedding.embed_chunks(chunks, encoder), "embeddings")
+    upsert_table(one_per_id(batch, "record_id"), output_dir, "record_id")
+    append_manifest(embedding.embedding_manifest(batch, output_dir), manifest_path)
+    return batch.count()

@@ -157,7 +157,7 @@ sranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sc
             FROM pairs)""")
 SEMANTIC = CHUNKS + SEM_CTES
 
-HYBRID = BM25_RANKED + SEM_CTES + """,
+FUSION = """,
 lex AS (SELECT query_id, chunk_id, rank, score FROM ranked WHERE rank <= 50),
 sem AS (SELECT query_id, record_id AS chunk_id, rank, score FROM sranked
         WHERE rank <= 50 AND record_id IN (SELECT chunk_id FROM chunks)),
@@ -177,6 +177,19 @@ fused AS (
                                bfirst NULLS LAST, sfirst NULLS LAST) AS rank
   FROM merged)"""
 
+HYBRID = BM25_RANKED + SEM_CTES + FUSION
+
+# The semantic leg over embeddings whose chunk ids partly do not exist.
+HYBRID_UNKNOWN = (BM25_RANKED + "," + QUERY_VECTORS.replace("CAST(vec_id AS VARCHAR)", "CAST(vec_id * 3 AS VARCHAR)")
+                  + _knn_ctes("cosine").replace("ranked AS", "sranked AS") + FUSION)
+
+HYBRID_ROWS = f"""
+SELECT f.query_id, f.rank, f.chunk_id, c.document_id, round(f.fused_score, 9) AS fused_score,
+       round(f.bm25_score, 6) AS bm25_score, round(f.semantic_score, 6) AS semantic_score,
+       f.bm25_rank, f.semantic_rank, f.matched_by
+FROM fused f JOIN chunks c ON c.chunk_id = f.chunk_id
+WHERE f.rank <= {TOP_K}"""
+
 CASES = """,
 cases AS (
   SELECT b.item_id AS case_id, b.text AS query, 'doc_' || CAST(min(d.doc_id) AS VARCHAR) AS expected_document_id
@@ -272,6 +285,20 @@ SELECT record_id, CAST(len(v) AS BIGINT) AS n_dims,
             WHEN count(*) OVER (PARTITION BY record_id) > 1 THEN 'duplicate vector record_id: ' || record_id
             ELSE 'valid' END AS status
 FROM ev"""),
+    "vector_reject": """
+WITH spoilt AS (
+  SELECT CASE vec_id % 10 WHEN 2 THEN chr(9) WHEN 6 THEN 'dup_' || (vec_id // 20) ELSE 'rec_' || vec_id END AS record_id,
+         CASE vec_id % 10 WHEN 1 THEN 0 WHEN 5 THEN 63 ELSE 64 END::BIGINT AS n_dims, vec_id % 10 AS digit
+  FROM embeddings)
+SELECT record_id, n_dims,
+       CASE digit WHEN 1 THEN 'embedding record vector must be a non-empty list'
+                  WHEN 2 THEN 'embedding record record_id must be a non-empty string'
+                  WHEN 3 THEN 'embedding record chunk_id must be a non-empty string'
+                  WHEN 4 THEN 'embedding record document_id must be a non-empty string'
+                  WHEN 5 THEN 'expected vector dimension 64, got 63 for record_id=' || record_id
+                  ELSE CASE WHEN count(*) OVER (PARTITION BY record_id) > 1
+                            THEN 'duplicate vector record_id: ' || record_id ELSE 'valid' END END AS status
+FROM spoilt""".strip(),
     "index_info": """
 SELECT 'exact' AS name, CAST(max(len(embedding)) AS BIGINT) AS dimensions, 'cosine' AS metric,
        count(*) AS records_count
@@ -283,12 +310,9 @@ FROM embeddings""".strip(),
 SELECT r.query_id, r.rank, r.record_id AS chunk_id, c.document_id, round(r.score, 6) AS score
 FROM sranked r JOIN chunks c ON c.chunk_id = r.record_id
 WHERE r.rank <= {TOP_K}"""),
-    "hybrid_rrf": _with(HYBRID, f"""
-SELECT f.query_id, f.rank, f.chunk_id, c.document_id, round(f.fused_score, 9) AS fused_score,
-       round(f.bm25_score, 6) AS bm25_score, round(f.semantic_score, 6) AS semantic_score,
-       f.bm25_rank, f.semantic_rank, f.matched_by
-FROM fused f JOIN chunks c ON c.chunk_id = f.chunk_id
-WHERE f.rank <= {TOP_K}"""),
+    "hybrid_rrf": _with(HYBRID, HYBRID_ROWS),
+    "hybrid_ivf": _with(HYBRID, HYBRID_ROWS),
+    "hybrid_drop_unknown": _with(HYBRID_UNKNOWN, HYBRID_ROWS),
     "hybrid_matched_by": _with(HYBRID, """
 SELECT query_id, chunk_id, round(fused_score, 9) AS fused_score, matched_by FROM merged"""),
     "eval_cases": _with(DOCS + CASES, """
@@ -322,6 +346,30 @@ SELECT 'wikipedia_' || page_id AS document_id, 'wikipedia' AS source, page_id AS
        'canonical/wikipedia/wikipedia_' || page_id || '.json' AS output_path, 'saved' AS status
 FROM pages_ok"""),
 })
+ORACLES.update({
+    "chunk_documents": _with(DOCS, f"""
+SELECT document_id,
+       CASE WHEN length(text) <= 1200 THEN md5({_strip("text")}) END AS short_digest,
+       TRUE AS parts, TRUE AS within_size, TRUE AS in_order, TRUE AS covered, TRUE AS little_repeated
+FROM docs"""),
+    "chunk_summary": _with(DOCS, f"""
+SELECT count(*) AS documents_processed,
+       count(*) FILTER (WHERE length(text) <= 1200 AND {_strip("text")} <> '') AS short_chunks,
+       TRUE AS at_least, TRUE AS at_most
+FROM docs"""),
+    "chunk_manifest": _with(DOCS, f"""
+SELECT document_id, document_id || '_chunk_0' AS first_chunk, 'chunks/' || document_id || '_chunk_0.json' AS first_path,
+       TRUE AS paths, TRUE AS ids, TRUE AS numbering, TRUE AS saved
+FROM docs WHERE {_strip("text")} <> ''"""),
+    "bm25_chunk_search": "SELECT item_id AS query_id, TRUE AS agrees, TRUE AS fetched FROM benchmark",
+    "page_validity": _with(PAGES, """
+SELECT title, page_id, revision_id, timestamp, text FROM pages_ok WHERE page_id::BIGINT % 5 > 1"""),
+    "ingest_upsert": _with(PAGES, """
+SELECT 'wikipedia_' || page_id AS document_id, title, (revision_id::BIGINT + second)::VARCHAR AS version,
+       md5(text) AS digest, (first + second)::BIGINT AS n_manifest
+FROM (SELECT *, (page_id::BIGINT % 2 = 0 OR page_id::BIGINT % 10 = 1)::INT AS first,
+             (page_id::BIGINT % 2 = 1 OR page_id::BIGINT % 10 = 2)::INT AS second FROM pages_ok)"""),
+})
 ORACLES["ann_full_probe"] = ORACLES["knn_cosine"]
 ORACLES["ann_ivf"] = _with(IVF_CELLS + _knn_ctes("cosine", _probed(2)), _KNN_ROWS)
 ORACLES["ann_recall"] = _with(IVF_CELLS + f""",

@@ -21,14 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+MAX_BALANCED_BYTES = 1 << 30
+
+
 def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` tasks (default: the
-    session's parallelism) when the scan yields fewer -- e.g. a file written
-    as one row group. Per-row work on text (tokenising, splitting, encoding)
-    then uses every core. A scan that is already split (any large input) is
-    left as it is, so this never adds a shuffle at scale."""
+    """Spread a *small* table over the session's cores when its scan yields
+    fewer tasks (e.g. one file written as one row group), so that per-row work
+    on text uses them all. A table above ``MAX_BALANCED_BYTES`` is never
+    shuffled: its scan has splits of its own, and ``spark.sql.files.
+    maxPartitionBytes`` makes them smaller where more are wanted."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if size > MAX_BALANCED_BYTES or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
 

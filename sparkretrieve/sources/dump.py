@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_XML_SCHEMA = "title string, id string, revision struct<id: string, timestamp: string, text: string>"
-XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
+# A malformed page is an error, as for any XML parser; it never just disappears.
+XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
 
 
 def page_records(lines: DataFrame) -> DataFrame:
@@ -32,25 +33,28 @@ def parse_pages(records: DataFrame) -> DataFrame:
     """A2 + D1: page fields; pages without a revision, or with an empty title,
     page id or revision id are dropped. Missing timestamp / text become ""."""
     p = F.from_xml(F.col("xml"), PAGE_XML_SCHEMA, XML_OPTIONS)
-    parsed = records.select("pos", p.alias("p"))
+    # Behind an outer generator each page is parsed once; a plain projection
+    # would be repeated in the filter that is pushed below it.
+    parsed = records.select("pos", F.inline_outer(F.array(p)))
     valid = (
-        F.col("p.revision").isNotNull()
-        & (F.coalesce(F.col("p.title"), F.lit("")) != "")
-        & (F.coalesce(F.col("p.id"), F.lit("")) != "")
-        & (F.coalesce(F.col("p.revision.id"), F.lit("")) != "")
+        F.col("revision").isNotNull()
+        & (F.coalesce(F.col("title"), F.lit("")) != "")
+        & (F.coalesce(F.col("id"), F.lit("")) != "")
+        & (F.coalesce(F.col("revision.id"), F.lit("")) != "")
     )
     return parsed.filter(valid).select(
         "pos",
-        F.col("p.title").alias("title"),
-        F.col("p.id").alias("page_id"),
-        F.col("p.revision.id").alias("revision_id"),
-        F.coalesce(F.col("p.revision.timestamp"), F.lit("")).alias("timestamp"),
-        F.coalesce(F.col("p.revision.text"), F.lit("")).alias("text"),
+        "title",
+        F.col("id").alias("page_id"),
+        F.col("revision.id").alias("revision_id"),
+        F.coalesce(F.col("revision.timestamp"), F.lit("")).alias("timestamp"),
+        F.coalesce(F.col("revision.text"), F.lit("")).alias("text"),
     )
 
 
-def read_pages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """A1: pages of a dump file or folder (.xml or .xml.bz2).
+def read_pages(spark: SparkSession, path: str, limit: int | None = None, *, with_position: bool = False) -> DataFrame:
+    """A1: pages of a dump file or folder (.xml or .xml.bz2), with their place
+    in the dump (``pos``) on request.
 
     ``limit`` keeps the first N *valid* pages in dump order (top-N on the
     file position, so only N rows are ever held)."""
@@ -58,11 +62,11 @@ def read_pages(spark: SparkSession, path: str, limit: int | None = None) -> Data
     pages = parse_pages(page_records(lines))
     if limit is not None:
         pages = pages.orderBy("pos").limit(limit)
-    return pages.drop("pos")
+    return pages if with_position else pages.drop("pos")
 
 
-def pages_to_documents(pages: DataFrame) -> DataFrame:
-    """Fixed page -> canonical document mapping."""
+def pages_to_documents(pages: DataFrame, *keep: str) -> DataFrame:
+    """Fixed page -> canonical document mapping (and columns to ``keep``)."""
     return pages.select(
         F.concat(F.lit("wikipedia_"), F.col("page_id")).alias("document_id"),
         F.lit("wikipedia").alias("source"),
@@ -72,6 +76,7 @@ def pages_to_documents(pages: DataFrame) -> DataFrame:
         F.col("timestamp").alias("updated_at"),
         "text",
         F.create_map(F.lit("page_id"), F.col("page_id"), F.lit("revision_id"), F.col("revision_id")).alias("metadata"),
+        *keep,
     )
 
 

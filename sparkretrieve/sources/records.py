@@ -38,7 +38,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, missin
         if fmt == "json":
             return (spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
                     .option("pathGlobFilter", "*.json").json(path))
-        return spark.read.schema(schema).format(fmt).load(path)
+        # Sinks are partitioned; only the record's own columns are read.
+        return spark.read.schema(schema).format(fmt).load(path).select(*schema.fieldNames())
     except AnalysisException as exc:
         raise FileNotFoundError(f"{missing_message}: {path}") from exc
 

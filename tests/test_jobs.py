@@ -64,6 +64,59 @@ def test_ingest_job(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "man")).count() == 3
 
 
+def _dump(tmp_path, name, pages):
+    body = "<mediawiki>" + "".join(
+        f"<page><title>T{i}</title><id>{i}</id><revision><id>{rev}</id><text>{text}</text></revision></page>"
+        for i, rev, text in pages) + "</mediawiki>"
+    p = tmp_path / name
+    p.write_text(body)
+    return str(p)
+
+
+def test_second_dump_keeps_what_it_does_not_hold(spark, tmp_path):
+    out, man = str(tmp_path / "docs"), str(tmp_path / "man")
+    first = _dump(tmp_path, "a.xml", [(i, 1, f"old {i}") for i in range(5)])
+    second = _dump(tmp_path, "b.xml", [(3, 2, "new 3"), (7, 2, "new 7"), (8, 2, "new 8")])
+    assert jobs.ingest_dump(spark, first, out, man) == 5
+    assert jobs.ingest_dump(spark, second, out, man) == 3
+    docs = {r.source_id: (r.version, r.text) for r in records.read_documents(spark, out, fmt="parquet").collect()}
+    assert docs == {"0": ("1", "old 0"), "1": ("1", "old 1"), "2": ("1", "old 2"), "3": ("2", "new 3"), "4": ("1", "old 4"),
+                    "7": ("2", "new 7"), "8": ("2", "new 8")}
+    # Each run logs its own pages only.
+    assert sorted(r["source_id"] for r in spark.read.json(man).collect()) == ["0", "1", "2", "3", "3", "4", "7", "8"]
+
+
+def test_last_page_in_dump_order_wins(spark, tmp_path):
+    path = _dump(tmp_path, "d.xml", [(1, 9, "nine"), (1, 10, "ten"), (2, 10, "ten"), (2, 9, "nine")])
+    jobs.ingest_dump(spark, path, str(tmp_path / "docs"), str(tmp_path / "man"))
+    docs = {r.source_id: r.text for r in records.read_documents(spark, str(tmp_path / "docs"), fmt="parquet").collect()}
+    assert docs == {"1": "ten", "2": "nine"}
+
+
+def test_chunk_and_embedding_sinks_keep_other_ids(spark, tmp_path):
+    chunks, vecs, man = str(tmp_path / "chunks"), str(tmp_path / "vecs"), str(tmp_path / "man")
+    docs = [spark.createDataFrame([(f"d{i}", "s", str(i), "T", "1", "", f"text {i} {word}", {})], records.DOCUMENT_SCHEMA)
+            for i, word in ((1, "old"), (2, "old"), (1, "new"))]
+    for d in docs:
+        jobs.chunk_documents_job(d, chunks, man)
+    got = {r.chunk_id: r.text for r in records.read_chunks(spark, chunks, fmt="parquet").collect()}
+    assert got == {"d1_chunk_0": "text 1 new", "d2_chunk_0": "text 2 old"}
+    table = records.read_chunks(spark, chunks, fmt="parquet")
+    for part in (table.filter("document_id = 'd1'"), table.filter("document_id = 'd2'"), table.filter("document_id = 'd1'")):
+        assert jobs.embed_chunks_job(part, HashingEncoder(8), vecs, str(tmp_path / "vman")) == 1
+    assert sorted(r.record_id for r in records.read_vector_records(spark, vecs, fmt="parquet").collect()) == \
+        ["d1_chunk_0", "d2_chunk_0"]
+    assert spark.read.json(str(tmp_path / "vman")).count() == 3
+
+
+def test_malformed_page_is_an_error(spark, tmp_path):
+    path = tmp_path / "bad.xml"
+    path.write_text("<mediawiki><page><title>A</title><id>1</id><revision><id>1</id><text>x</text></revision></page>"
+                    "<page><title>B</title><id>2</id><revision><id>2</id><text>x</revision></page></mediawiki>")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        jobs.ingest_dump(spark, str(path), str(tmp_path / "docs"), str(tmp_path / "man"))
+
+
 def test_stream_chunks_equal_batch(spark, tmp_path):
     from sparkretrieve.operators import chunking
     from sparkretrieve.streaming.ingest import run_chunk_stream
