@@ -1,27 +1,37 @@
-"""Lexical retrieval: BM25 Okapi over postings tables.
-
-Instead of scoring the whole corpus per query, the index is a postings table
-(term, chunk_id, tf, dl) plus a vocabulary table (term, df, idf). A batch of
-queries is tokenised into (query_id, term, qf); the join on ``term`` touches
-only postings of query terms, and a (query_id, chunk_id) group holds at most
-one row per distinct query term, so no group grows with the corpus.
-
-Skew: a stop word's postings are as long as the corpus. The query-term side
-is broadcast when its measured size allows it (map-side join, no shuffle of
-postings at all); otherwise both sides are salted on ``term`` so a hot term is
-spread over ``salt_buckets`` tasks.
+"""Lexical retrieval: BM25 Okapi over an inverted index.
+
+Index. Chunks are tokenised once, and counted inside their row. Every task
+packs its chunks into *blocks* of at most ``BLOCK_CHUNKS`` chunks: one row per
+(term, block) with the places and frequencies of the term in the block, and
+one row per block with its chunk ids and lengths. Rows are partitioned by a
+hash bucket of the term, so a search reads the buckets of its terms only.
+
+Search. Query terms (bounded blocks of queries, shipped to the tasks) pick
+packed rows; these meet by block, are scored there, and each block hands on at
+most k rows per query. What is shuffled are the postings of the query's terms
+and then k rows per query and block, never all matches.
+
+Skew: a stop word's postings are as long as the corpus, but they are one row
+per block, and a block is bounded.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkretrieve.checks import require_positive, require_rows
 from sparkretrieve.functions.text import tokenize
 from sparkretrieve.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_count, broadcast_if_bounded
+from sparkretrieve.session import scratch_path
 
 # The studied library's BM25 Okapi defaults.
 K1 = 1.5
@@ -29,31 +39,28 @@ B = 0.75
 EPSILON = 0.25
 
 SCORE_RANK_DIGITS = 9
+BLOCK_CHUNKS = 4096
+DEFAULT_TERM_BUCKETS = 16
+BLOCK_IDS = -1  # the bucket of the rows that hold a block's chunk ids
+MAX_QUERY_TERMS = 500_000  # (query, term) pairs shipped at a time
 
 
 @dataclass
 class BM25Index:
-    postings: DataFrame  # term, chunk_id, dl, tf [, term_bucket]
-    terms: DataFrame  # term, df, raw_idf, idf [, term_bucket]
+    path: str
+    postings: DataFrame  # term, block, places, tfs [, ids, lengths in the block's own row], term_bucket
+    terms: DataFrame  # term, df, raw_idf, idf, term_bucket
     stats: DataFrame  # one row: n_chunks, total_tokens, avgdl, vocabulary, mean_idf
-    avgdl: Column  # literal (materialised index) or scalar subquery (lazy index)
+    avgdl: float | None
+    term_buckets: int
     k1: float = K1
     b: float = B
-    term_buckets: int | None = None  # set when both tables are partitioned by term_bucket
-    path: str | None = None  # where a materialised index lives (see load_bm25_index)
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def chunk_tokens(chunks: DataFrame, text_col: str = "text") -> DataFrame:
-    """(chunk_id, tokens, dl): one row per chunk, tokens kept in order."""
-    return chunks.select(
-        "chunk_id", tokenize(text_col).alias("tokens")
-    ).withColumn("dl", F.size("tokens"))
-
-
 def chunk_term_rows(chunks: DataFrame, text_col: str = "text") -> DataFrame:
     """(chunk_id, dl, terms ARRAY<STRUCT<term, tf>>): one row per chunk,
     map-side only -- sort the tokens, then run-length encode; no shuffle is
@@ -62,7 +69,7 @@ def chunk_term_rows(chunks: DataFrame, text_col: str = "text") -> DataFrame:
     The sorted array and the run starts are separate columns so the lambdas
     only read attributes (an expression inside a lambda would be evaluated
     once per element)."""
-    toks = chunk_tokens(chunks, text_col)
+    toks = chunks.select("chunk_id", tokenize(text_col).alias("tokens")).withColumn("dl", F.size("tokens"))
     ordered = toks.select("chunk_id", "dl", F.sort_array("tokens").alias("_ord"))
     with_starts = ordered.select(
         "chunk_id", "dl", "_ord",
@@ -74,123 +81,131 @@ def chunk_term_rows(chunks: DataFrame, text_col: str = "text") -> DataFrame:
     )
     return with_starts.select(
         "chunk_id", "dl",
+        F.transform("_starts", lambda st: F.element_at(F.col("_ord"), st)).alias("terms"),
         F.transform(
-            "_starts",
-            lambda st, j: F.struct(
-                F.element_at(F.col("_ord"), st).alias("term"),
-                (F.coalesce(F.try_element_at(F.col("_starts"), j + 2), F.col("dl") + 1) - st).alias("tf"),
-            ),
-        ).alias("terms"),
+            "_starts", lambda st, j: (F.coalesce(F.try_element_at(F.col("_starts"), j + 2), F.col("dl") + 1) - st)
+        ).alias("tfs"),
     )
 
 
-def _explode_postings(rows: DataFrame) -> DataFrame:
-    # inline_outer + filter: a plain inline makes the optimizer infer a
-    # ``size(terms) > 0`` filter and push it below the projections, where it
-    # would re-run the whole per-row sort inside lambdas.
-    return (rows.select("chunk_id", "dl", F.inline_outer("terms"))
-            .filter(F.col("term").isNotNull())
-            .select("term", "chunk_id", "dl", F.col("tf").cast("int").alias("tf")))
-
-
-def build_postings(chunks: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, chunk_id, dl, tf), computed per chunk without a shuffle."""
-    return _explode_postings(chunk_term_rows(chunks, text_col))
-
-
-def _idf_columns(terms: DataFrame, n_chunks, mean_idf, epsilon: float) -> DataFrame:
-    raw = terms.withColumn("raw_idf", F.log(n_chunks - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-    return raw, raw.withColumn(
-        "idf", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * mean_idf).otherwise(F.col("raw_idf")))
+_PACKED = T.StructType([
+    T.StructField("term", T.StringType()), T.StructField("block", T.LongType()),
+    T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("tfs", T.ArrayType(T.IntegerType())),
+    T.StructField("ids", T.ArrayType(T.StringType())), T.StructField("lengths", T.ArrayType(T.IntegerType()))])
+_PACKED_ARROW = pa.schema([("term", pa.string()), ("block", pa.int64()), ("places", pa.list_(pa.int32())),
+                           ("tfs", pa.list_(pa.int32())), ("ids", pa.list_(pa.string())), ("lengths", pa.list_(pa.int32()))])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of chunk rows -> one row per (term, block), and the block's own."""
+    from pyspark import TaskContext
+
+    block = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK_CHUNKS):
+            part = batch.slice(at, BLOCK_CHUNKS)
+            # Places follow the order of ids, which is also the order of ties.
+            part = part.take(pa.compute.sort_indices(part.column("chunk_id")))
+            n_terms = np.asarray(pa.compute.list_value_length(part.column("terms")).fill_null(0))
+            words = pa.compute.list_flatten(part.column("terms")).dictionary_encode()
+            codes = words.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(codes, kind="stable")
+            places = np.repeat(np.arange(part.num_rows, dtype=np.int32), n_terms)[order]
+            tfs = pa.compute.list_flatten(part.column("tfs")).to_numpy(zero_copy_only=False).astype(np.int32)[order]
+            sizes = np.bincount(codes, minlength=len(words.dictionary)) if len(codes) else np.zeros(0, np.int64)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            n = len(sizes)
+            yield pa.RecordBatch.from_arrays([
+                words.dictionary.cast(pa.string()), pa.array(np.full(n, block)),
+                pa.ListArray.from_arrays(offsets, pa.array(places)), pa.ListArray.from_arrays(offsets, pa.array(tfs)),
+                pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.list_(pa.int32()))], schema=_PACKED_ARROW)
+            yield pa.RecordBatch.from_pylist([{
+                "term": None, "block": block, "places": None, "tfs": None,
+                "ids": part.column("chunk_id").to_pylist(), "lengths": part.column("dl").to_pylist()}], schema=_PACKED_ARROW)
+            block += 1
+
+
+def _idf_columns(terms: DataFrame, n_chunks: int, mean_idf: float | None, epsilon: float) -> DataFrame:
+    raw = terms.withColumn("raw_idf", F.log(F.lit(n_chunks) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    return raw.withColumn("idf", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * F.lit(mean_idf).cast("double"))
+                          .otherwise(F.col("raw_idf")))
 
 
 def build_bm25_index(chunks: DataFrame, *, text_col: str = "text", k1: float = K1, b: float = B,
                      epsilon: float = EPSILON, path: str | None = None,
-                     term_buckets: int | None = None, bucket_spread: int | None = None,
-                     validate: bool = False) -> BM25Index:
-    """postings, vocabulary with idf, and corpus statistics.
+                     term_buckets: int = DEFAULT_TERM_BUCKETS, validate: bool = False) -> BM25Index:
+    """postings, vocabulary with idf, and corpus statistics, as tables under
+    ``path`` (default: the shared scratch folder).
 
     N counts every chunk, including those without tokens. raw idf below zero
     is replaced by ``epsilon`` times the mean raw idf over the whole
-    vocabulary.
-
-    The build writes the postings and the vocabulary once
-    as Parquet tables in the shared checkpoint folder -- the corpus is
-    tokenised exactly once, and N, total tokens and the mean idf are gathered
-    with ``observe`` during those writes (no extra pass).
-
-    Layout choice: by default postings stay where the scan wrote them (no
-    shuffle; every term spread over all files), best for large query batches.
-    ``term_buckets=N`` partitions both tables by a hash bucket of the term, so
-    a small query batch reads only the buckets of its terms (dynamic partition
-    pruning from the broadcast query side) -- worth one build shuffle when an
-    index is large and queried in small batches.
+    vocabulary. A chunk id must be unique; a repeated one is an error.
+
+    ``term_buckets`` should grow with the vocabulary: a search for t terms
+    reads at most t of them. Statistics are aggregated from the written
+    tables, so a task that runs twice counts once.
     """
     if validate:
         require_rows(chunks, "chunk_records cannot be empty")
-    rows = chunk_term_rows(chunks, text_col)
-    from pyspark.sql import Observation
-
-    from sparkretrieve.session import scratch_path
-
     spark = chunks.sparkSession
     base = path or scratch_path(spark, "bm25")
-    corpus_obs = Observation("bm25_corpus")
-    observed = rows.observe(
-        corpus_obs, F.count(F.lit(1)).alias("n_chunks"),
-        F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_tokens"))
-    postings_out = _explode_postings(observed)
-    if term_buckets:
-        # Clustered by term bucket: one shuffle at build time buys partition
-        # pruning for later small query batches. Each bucket is written as
-        # ``bucket_spread`` files split by chunk, so a stop word's postings (as
-        # long as the corpus) are still read and joined by many tasks.
-        spread = bucket_spread or max(1, spark.sparkContext.defaultParallelism)
-        (postings_out.withColumn("term_bucket", term_bucket(F.col("term"), term_buckets))
-         .withColumn("_spread", F.pmod(F.xxhash64("chunk_id"), F.lit(spread)))
-         .repartition(term_buckets * spread, "term_bucket", "_spread").drop("_spread")
-         .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{base}/postings"))
-    else:
-        # Written by the scan tasks as they are: no shuffle, and every term's
-        # postings are spread over all files.
-        postings_out.write.mode("overwrite").parquet(f"{base}/postings")
-    postings = spark.read.parquet(f"{base}/postings")
-    cstats = corpus_obs.get
-    n_chunks, total = int(cstats["n_chunks"]), int(cstats["total_tokens"])
-
-    vocab_obs = Observation("bm25_vocabulary")
-    keys = ["term_bucket", "term"] if term_buckets else ["term"]
-    dfs = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"))
-    raw, _ = _idf_columns(dfs, F.lit(n_chunks), F.lit(0.0), epsilon)
-    writer = raw.observe(vocab_obs, F.avg("raw_idf").alias("mean_idf"), F.count(F.lit(1)).alias("vocabulary")) \
-        .select("term", "df", *keys[:-1]).write.mode("overwrite")
-    if term_buckets:
-        writer = writer.partitionBy("term_bucket")
-    writer.parquet(f"{base}/terms")
-    vstats = vocab_obs.get
-    mean_idf = vstats["mean_idf"]
-    _, terms = _idf_columns(spark.read.parquet(f"{base}/terms"), F.lit(n_chunks),
-                            F.lit(mean_idf).cast("double"), epsilon)
-    avgdl = total / n_chunks if n_chunks else None
-    stats = spark.range(1).select(
+    # One build shuffle, of packed rows: a bucket is spread over tasks by block.
+    spread = max(1, spark.sparkContext.defaultParallelism // term_buckets)
+    packed = chunk_term_rows(chunks, text_col).mapInArrow(_pack, _PACKED)
+    packed.withColumn("term_bucket", F.when(F.col("term").isNull(), F.lit(BLOCK_IDS))
+                      .otherwise(term_bucket(F.col("term"), term_buckets))) \
+        .withColumn("_spread", F.pmod(F.xxhash64("block"), F.lit(spread))) \
+        .repartition("term_bucket", "_spread").drop("_spread") \
+        .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{base}/postings")
+    postings = _read_postings(spark, base)
+
+    blocks = postings.filter(F.col("term_bucket") == BLOCK_IDS)
+    ids = blocks.select(F.explode("ids").alias("chunk_id"))
+    twice = ids.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk_id").first()
+    if twice is not None:
+        raise ValueError(f"duplicate chunk_id: {twice['chunk_id']}")
+    counts = blocks.agg(
+        F.coalesce(F.sum(F.size("ids")), F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)), F.lit(0)).alias("total")).first()
+    n_chunks, total = int(counts["n"]), int(counts["total"])
+
+    postings.filter(F.col("term_bucket") != BLOCK_IDS).groupBy("term_bucket", "term") \
+        .agg(F.sum(F.size("places")).cast("bigint").alias("df")) \
+        .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{base}/terms")
+    raw = _idf_columns(_read_terms(spark, base), n_chunks, None, epsilon)
+    facts = raw.agg(F.avg("raw_idf").alias("mean_idf"), F.count(F.lit(1)).alias("vocabulary")).first()
+    spark.range(1).select(
         F.lit(n_chunks).cast("bigint").alias("n_chunks"), F.lit(total).cast("bigint").alias("total_tokens"),
-        F.lit(avgdl).cast("double").alias("avgdl"), F.lit(int(vstats["vocabulary"])).cast("bigint").alias("vocabulary"),
-        F.lit(mean_idf).cast("double").alias("mean_idf"))
-    stats.withColumn("term_buckets", F.lit(term_buckets).cast("int")).write.mode("overwrite").parquet(f"{base}/stats")
-    return BM25Index(postings=postings, terms=terms, stats=stats, avgdl=F.lit(avgdl).cast("double"), k1=k1, b=b,
-                     term_buckets=term_buckets, path=base)
+        F.lit(total / n_chunks if n_chunks else None).cast("double").alias("avgdl"),
+        F.lit(facts["vocabulary"]).cast("bigint").alias("vocabulary"),
+        F.lit(facts["mean_idf"]).cast("double").alias("mean_idf"),
+        F.lit(term_buckets).alias("term_buckets")).coalesce(1).write.mode("overwrite").parquet(f"{base}/stats")
+    return load_bm25_index(spark, base, k1=k1, b=b, epsilon=epsilon)
+
+
+def _read_postings(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*_PACKED.fields, T.StructField("term_bucket", T.IntegerType())])
+    return spark.read.schema(schema).parquet(f"{path}/postings")
+
+
+def _read_terms(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("term string, df bigint, term_bucket int").parquet(f"{path}/terms")
 
 
-def load_bm25_index(spark, path: str, *, k1: float = K1, b: float = B, epsilon: float = EPSILON) -> BM25Index:
-    """Reopen an index written by ``build_bm25_index`` (build once, query
-    many batches): postings and vocabulary are read as tables, the one-row
-    statistics give N, avgdl and the mean idf."""
+def load_bm25_index(spark: SparkSession, path: str, *, k1: float = K1, b: float = B, epsilon: float = EPSILON) -> BM25Index:
+    """Reopen an index written by ``build_bm25_index`` (build once, query many batches)."""
     row = spark.read.parquet(f"{path}/stats").first()
-    _, terms = _idf_columns(spark.read.parquet(f"{path}/terms"), F.lit(int(row.n_chunks)),
-                            F.lit(row.mean_idf).cast("double"), epsilon)
-    stats = spark.read.parquet(f"{path}/stats").drop("term_buckets")
-    return BM25Index(postings=spark.read.parquet(f"{path}/postings"), terms=terms, stats=stats,
-                     avgdl=F.lit(row.avgdl).cast("double"), k1=k1, b=b, term_buckets=row.term_buckets, path=path)
+    terms = _idf_columns(_read_terms(spark, path), int(row.n_chunks), row.mean_idf, epsilon)
+    return BM25Index(path=path, postings=_read_postings(spark, path), terms=terms,
+                     stats=spark.read.parquet(f"{path}/stats").drop("term_buckets"), avgdl=row.avgdl,
+                     term_buckets=row.term_buckets, k1=k1, b=b)
+
+
+def term_chunks(index: BM25Index) -> DataFrame:
+    """(term, chunk_id): the postings one by one."""
+    ids = index.postings.filter(F.col("term_bucket") == BLOCK_IDS).select("block", "ids")
+    rows = index.postings.filter(F.col("term_bucket") != BLOCK_IDS).select("term", "block", "places")
+    return rows.join(ids, "block").select("term", F.explode(F.transform("places", lambda p: F.get("ids", p))).alias("chunk_id"))
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", query_col: str = "query") -> DataFrame:
@@ -202,48 +217,111 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", query_col: str =
     )
 
 
-def bm25_matches(index: BM25Index, queries: DataFrame, *, query_id: str = "query_id",
-                 query_col: str = "query", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 salt_buckets: int = 16) -> DataFrame:
+def _query_blocks(index: BM25Index, queries: DataFrame, query_id: str, query_col: str) -> Iterator[list]:
+    """Bounded lists of (query_id, [(term, weight, bucket)]) with weight = qf * idf."""
+    weighted = query_terms(queries, query_id, query_col) \
+        .withColumn("term_bucket", term_bucket(F.col("term"), index.term_buckets)) \
+        .join(index.terms.select("term_bucket", "term", "idf"), ["term_bucket", "term"]) \
+        .groupBy("query_id").agg(F.collect_list(F.struct(
+            "term", (F.col("qf") * F.col("idf")).alias("weight"), "term_bucket")).alias("terms"))
+    block, size = [], 0
+    for row in weighted.toLocalIterator():
+        block.append((row["query_id"], [tuple(t) for t in row["terms"]]))
+        size += len(row["terms"])
+        if size >= MAX_QUERY_TERMS:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def _scorer(shared, k1: float, b: float, avgdl: float, names: list[str], reduce):
+    """The function that scores one block's postings for a block of queries."""
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        heads = pdf[pdf["term"].isna()]
+        ids = np.asarray(heads["ids"].iloc[0], dtype=object)
+        lengths = np.asarray(heads["lengths"].iloc[0], dtype=np.float64)
+        body = pdf[~pdf["term"].isna()]
+        parts = {}
+        for term, places, tfs in zip(body["term"], body["places"], body["tfs"], strict=True):
+            places, tf = np.asarray(places, np.int64), np.asarray(tfs, np.float64)
+            parts[term] = places, tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * lengths[places] / avgdl))
+        out: list[list] = [[] for _ in names]
+        for query, terms in shared.value if parts else []:
+            scores, overlap = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
+            for term, weight in terms:
+                if term in parts:
+                    places, part = parts[term]
+                    scores[places] += weight * part
+                    overlap[places] += 1
+            match = np.flatnonzero(overlap)
+            if len(match):
+                columns = reduce(scores[match], overlap[match], ids[match])
+                out[0] += [query] * len(columns[0])
+                for k, c in enumerate(columns):
+                    out[k + 1] += list(c)
+        return pd.DataFrame({n: pd.Series(c, dtype=None if c else object) for n, c in zip(names, out, strict=True)})
+
+    return score
+
+
+def _score_blocks(index: BM25Index, queries: DataFrame, reduce, fields: list[T.StructField], query_id: str,
+                  query_col: str) -> DataFrame:
+    """Score every block for every query; ``reduce(scores, overlap, ids)`` of the
+    chunks that match gives a query's rows of a block as lists of ``fields``."""
+    spark = queries.sparkSession
+    schema = T.StructType([T.StructField("query_id", queries.schema[query_id].dataType), *fields])
+    found = None
+    for block in _query_blocks(index, queries, query_id, query_col):
+        shared = spark.sparkContext.broadcast([(q, [(t, w) for t, w, _ in terms]) for q, terms in block])
+        buckets = sorted({bucket for _, terms in block for _, _, bucket in terms})
+        names = sorted({t for _, terms in block for t, _, _ in terms})
+        wanted = spark.createDataFrame([(t,) for t in names], "term string")  # at most MAX_QUERY_TERMS and one query's terms
+        rows = index.postings.filter(F.col("term_bucket").isin(buckets)).join(F.broadcast(wanted), "term", "left_semi") \
+            .select("block", "term", "places", "tfs", "ids", "lengths")
+        own = index.postings.filter(F.col("term_bucket") == BLOCK_IDS).select("block", "term", "places", "tfs", "ids", "lengths")
+
+        part = rows.unionByName(own).groupBy("block").applyInPandas(
+            _scorer(shared, index.k1, index.b, index.avgdl, schema.names, reduce), schema)
+        found = part if found is None else found.unionByName(part)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+_MATCH = [T.StructField("chunk_id", T.StringType()), T.StructField("score", T.DoubleType()),
+          T.StructField("overlap", T.LongType())]
+
+
+def bm25_matches(index: BM25Index, queries: DataFrame, *, query_id: str = "query_id", query_col: str = "query",
+                 top_k: int | None = None) -> DataFrame:
     """(query_id, chunk_id, score, overlap) for every chunk sharing at
-    least one distinct token with the query, whatever the sign of its score."""
-    qt = query_terms(queries, query_id, query_col)
-    keys = ["term"]
-    if index.term_buckets:
-        # The (always true) ``term <> ''`` is what lets the optimizer plan
-        # dynamic partition pruning of the bucketed index from this side.
-        qt = qt.filter(F.col("term") != "").withColumn(
-            "term_bucket", term_bucket(F.col("term"), index.term_buckets))
-        keys = ["term_bucket", "term"]
-    qt_small, small = broadcast_if_bounded(qt, max_broadcast_rows)
-    terms = index.terms.select(*keys, "idf")
-    if small:
-        qt_idf = F.broadcast(qt_small.join(terms, keys))
-        joined = index.postings.join(qt_idf, keys)
-    else:
-        # Salt: each posting goes to one of S buckets, each query term to all S.
-        salt = F.pmod(F.xxhash64("chunk_id"), F.lit(salt_buckets)).cast("int")
-        postings = index.postings.withColumn("salt", salt)
-        qt_idf = qt.join(terms, keys).withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-        )
-        joined = postings.join(qt_idf, [*keys, "salt"])
-    tf = F.col("tf").cast("double")
-    norm = F.lit(index.k1) * (F.lit(1.0 - index.b) + F.lit(index.b) * F.col("dl") / index.avgdl)
-    contribution = F.col("qf") * F.col("idf") * tf * F.lit(index.k1 + 1.0) / (tf + norm)
-    return joined.groupBy("query_id", "chunk_id").agg(
-        F.sum(contribution).alias("score"),
-        F.count(F.lit(1)).alias("overlap"),
-    )
+    least one distinct token with the query, whatever the sign of its score;
+    with ``top_k`` the best so many of each block."""
+
+    def best(scores: np.ndarray, overlap: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
+        if top_k is not None and len(scores) > top_k:
+            rounded = np.round(scores, SCORE_RANK_DIGITS)
+            floor = np.partition(rounded, len(rounded) - top_k)[len(rounded) - top_k]
+            near = np.flatnonzero(rounded >= floor - 2 * 10.0 ** -SCORE_RANK_DIGITS)
+            # Places follow the order of ids: a stable sort breaks ties by id.
+            order = near[np.lexsort((-overlap[near], -rounded[near]))][:top_k]
+            scores, overlap, ids = scores[order], overlap[order], ids[order]
+        return [ids, scores, overlap]
+
+    return _score_blocks(index, queries, best, _MATCH, query_id, query_col)
 
 
-def match_summary(index: BM25Index, queries: DataFrame, **options) -> DataFrame:
+def match_summary(index: BM25Index, queries: DataFrame, *, query_id: str = "query_id",
+                  query_col: str = "query") -> DataFrame:
     """D2 per query: how many chunks match, their lowest and highest score, and
-    the most distinct query terms one of them holds. Two aggregates, no match
-    rows leave the engine."""
-    return bm25_matches(index, queries, **options).groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("matches"), F.min("score").alias("lowest"), F.max("score").alias("highest"),
-        F.max("overlap").alias("most_overlap"))
+    the most distinct query terms one of them holds: one row per query and
+    block leaves a task."""
+    fields = [T.StructField("n", T.LongType()), T.StructField("low", T.DoubleType()),
+              T.StructField("high", T.DoubleType()), T.StructField("most", T.LongType())]
+    rows = _score_blocks(index, queries, lambda s, o, i: [[len(s)], [s.min()], [s.max()], [o.max()]], fields,
+                         query_id, query_col)
+    return rows.groupBy("query_id").agg(F.sum("n").alias("matches"), F.min("low").alias("lowest"),
+                                        F.max("high").alias("highest"), F.max("most").alias("most_overlap"))
 
 
 def rank_matches(matches: DataFrame, top_k: int) -> DataFrame:
@@ -266,9 +344,17 @@ def attach_chunks(ranked: DataFrame, chunks: DataFrame, columns: list[str],
 
     The ranked side is at most |queries| x k rows (``upper_bound``); broadcast
     it when that is small so the chunk table is scanned once, never shuffled.
+    A chunk table read from a sink (partitioned by a hash ``bucket`` of the id,
+    see ``plans.jobs``) is read in the buckets of the wanted ids only.
     """
+    keys = ["chunk_id"]
+    if {"bucket", "n_buckets"} <= set(chunks.columns):
+        first = chunks.select("n_buckets").first()
+        if first is not None:
+            keys = ["bucket", "chunk_id"]
+            ranked = ranked.withColumn("bucket", F.pmod(F.xxhash64("chunk_id"), F.lit(first["n_buckets"])).cast("int"))
     side, _ = broadcast_if_bounded(ranked, max_broadcast_rows, upper_bound=upper_bound)
-    return chunks.select("chunk_id", *columns).join(side, "chunk_id")
+    return chunks.select(*keys, *columns).join(side, keys).drop("bucket")
 
 
 def bm25_search(chunks: DataFrame, queries: DataFrame, top_k: int = 5, *,
@@ -283,8 +369,7 @@ def bm25_search(chunks: DataFrame, queries: DataFrame, top_k: int = 5, *,
     require_positive(top_k, "top_k")
     if index is None:
         index = build_bm25_index(chunks)
-    matches = bm25_matches(index, queries, query_id=query_id, query_col=query_col,
-                           max_broadcast_rows=max_broadcast_rows)
+    matches = bm25_matches(index, queries, query_id=query_id, query_col=query_col, top_k=top_k)
     ranked = rank_matches(matches, top_k)
     if not columns:
         return ranked.select("query_id", "rank", "chunk_id", "score", "overlap")

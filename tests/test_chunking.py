@@ -20,13 +20,16 @@ def test_split_goldens(text, size, overlap, expected):
     assert split_text(text, size, overlap) == expected
 
 
+def _words(a, b):
+    return " ".join(f"w{i:02d}" for i in range(a, b + 1))
+
+
 def test_split_words_golden():
-    text = " ".join(f"word{i}" for i in range(500))
-    chunks = split_text(text, 300, 50)
-    assert len(chunks) == 16
-    assert max(len(c) for c in chunks) == 299
-    assert chunks[0].endswith("word43")
-    assert chunks[1].startswith("word37")
+    """Pieces are 3, then 4 characters: five words fill 19. At most 7 stay, which
+    is one piece, so every later chunk starts with the last word of the one
+    before and takes three more."""
+    chunks = split_text(_words(0, 29), 19, 7)
+    assert chunks == [_words(0, 4), *[_words(k, k + 3) for k in range(4, 28, 3)], _words(28, 29)]
 
 
 def test_strip_is_unicode():
@@ -48,7 +51,7 @@ def test_guards(size, overlap, message):
 
 def _doc(spark, text, metadata=None):
     return spark.createDataFrame(
-        [("wikipedia_1", "wikipedia", "1", "Python", "10", "2024-04-15T14:38:04Z", text,
+        [("wikipedia_1", "wikipedia", "1", "Tides", "10", "2024-04-15T14:38:04Z", text,
           metadata or {"page_id": "1", "revision_id": "10"})],
         "document_id string, source string, source_id string, title string, version string, "
         "updated_at string, text string, metadata map<string,string>",
@@ -56,8 +59,8 @@ def _doc(spark, text, metadata=None):
 
 
 def test_chunk_records_lineage(spark):
-    text = " ".join(f"word{i}" for i in range(500))
-    rows = chunking.chunk_documents(_doc(spark, text), 300, 50).orderBy("chunk_index").collect()
+    text = _words(0, 29)
+    rows = chunking.chunk_documents(_doc(spark, text), 19, 7).orderBy("chunk_index").collect()
     assert len(rows) > 1
     first = rows[0]
     assert first.chunk_id == "wikipedia_1_chunk_0"
@@ -68,7 +71,7 @@ def test_chunk_records_lineage(spark):
     assert meta["chunk_index"] == "0"
     assert set(meta) == {"document_id", "source", "source_id", "title", "version", "updated_at",
                          "page_id", "revision_id", "chunk_index", "chunk_id"}
-    assert [r.text for r in rows] == split_text(text, 300, 50)
+    assert [r.text for r in rows] == split_text(text, 19, 7)
 
 
 def test_metadata_title_override_reaches_columns(spark):

@@ -27,13 +27,13 @@ def _dump(tmp_path, pages, name="dump.xml.bz2"):
 
 
 def test_single_page(spark, tmp_path):
-    path = _dump(tmp_path, [PAGE.format(title="Python", pid="1",
-                                        rev=REV.format(rid="10", text="Python is a programming language."))])
+    path = _dump(tmp_path, [PAGE.format(title="Tides", pid="1",
+                                        rev=REV.format(rid="10", text="Tides follow the moon twice a day."))])
     rows = dump.read_pages(spark, path).collect()
     assert len(rows) == 1
     r = rows[0]
     assert (r.title, r.page_id, r.revision_id, r.timestamp, r.text) == (
-        "Python", "1", "10", "2024-04-15T14:38:04Z", "Python is a programming language.")
+        "Tides", "1", "10", "2024-04-15T14:38:04Z", "Tides follow the moon twice a day.")
 
 
 def test_validity_rules_entities_and_spaces(spark, tmp_path):

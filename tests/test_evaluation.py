@@ -17,8 +17,8 @@ def _results(spark, rows):
 
 
 def test_hit_miss_and_chunk_match(spark):
-    cases = _cases(spark, [(1, "python", "doc_a", None), (2, "pasta", "doc_x", None),
-                           (3, "guido", "doc_b", "doc_b_chunk_1")])
+    cases = _cases(spark, [(1, "harbour", "doc_a", None), (2, "ferry", "doc_x", None),
+                           (3, "maple", "doc_b", "doc_b_chunk_1")])
     results = _results(spark, [(1, 1, "doc_a_chunk_0", "doc_a", "A", 1.0),
                                (2, 1, "doc_a_chunk_0", "doc_a", "A", 0.5),
                                (3, 1, "doc_b_chunk_0", "doc_b", "B", 0.9),
@@ -63,11 +63,11 @@ def _write(tmp_path, lines):
 def test_read_cases(spark, tmp_path):
     path = _write(tmp_path, [json.dumps({"query": "python", "expected_document_id": "wikipedia_1",
                                          "expected_chunk_id": None}), "",
-                             json.dumps({"query": "guido", "expected_document_id": "wikipedia_2",
+                             json.dumps({"query": "maple", "expected_document_id": "wikipedia_2",
                                          "expected_chunk_id": "wikipedia_2_chunk_0"})])
     rows = evaluation.read_eval_cases(spark, path).orderBy("case_id").collect()
     assert [(r.query, r.expected_document_id, r.expected_chunk_id) for r in rows] == [
-        ("python", "wikipedia_1", None), ("guido", "wikipedia_2", "wikipedia_2_chunk_0")]
+        ("harbour", "wikipedia_1", None), ("maple", "wikipedia_2", "wikipedia_2_chunk_0")]
 
 
 def test_read_cases_errors(spark, tmp_path):
@@ -94,7 +94,7 @@ def test_contained_item_cases(spark):
                                    (13, "ta"), (14, "amma d"), (15, "q")],
                                   "item_id long, text string")
     index = bm25.build_bm25_index(docs.selectExpr("document_id AS chunk_id", "text"))
-    postings = index.postings.selectExpr("term", "chunk_id AS document_id")
+    postings = bm25.term_chunks(index).selectExpr("term", "chunk_id AS document_id")
     cases = evaluation.contained_item_cases(items, docs, index.terms, postings)
     got = {(r.case_id, r.expected_document_id) for r in cases.collect()}
     assert got == {(10, "doc_1"), (11, "doc_1"), (13, "doc_1"), (14, "doc_1")}

@@ -10,10 +10,10 @@ def _leg(spark, rows):
 
 
 def test_fusion_order_and_provenance(spark):
-    bm = _leg(spark, [(1, "chunk_python", 1, 2.0)])
-    sem = _leg(spark, [(1, "chunk_guido", 1, 0.9), (1, "chunk_python", 2, 0.8)])
+    bm = _leg(spark, [(1, "moon", 1, 2.0)])
+    sem = _leg(spark, [(1, "tide", 1, 0.9), (1, "moon", 2, 0.8)])
     rows = fusion.fuse(bm, sem, 5).orderBy("rank").collect()
-    assert [r.chunk_id for r in rows] == ["chunk_python", "chunk_guido"]
+    assert [r.chunk_id for r in rows] == ["moon", "tide"]
     assert rows[0].matched_by == ["bm25", "semantic"] and rows[1].matched_by == ["semantic"]
     assert rows[0].fused_score == pytest.approx(0.0325224749)
     assert rows[1].fused_score == pytest.approx(0.0163934426)
@@ -21,7 +21,7 @@ def test_fusion_order_and_provenance(spark):
 
 
 def test_drop_rule_keeps_rank_gap(spark):
-    chunks = spark.createDataFrame([("chunk_a",), ("chunk_python",)], "chunk_id string")
+    chunks = spark.createDataFrame([("chunk_a",), ("moon",)], "chunk_id string")
     sem = _leg(spark, [(1, "missing", 1, 0.9), (1, "chunk_a", 2, 0.5)])
     kept = fusion.drop_unknown_chunks(sem, chunks)
     rows = fusion.fuse(_leg(spark, []), kept, 5).collect()
@@ -56,14 +56,14 @@ def test_hybrid_search_end_to_end(spark):
     from sparkretrieve.plans.search import hybrid_search
 
     chunks = spark.createDataFrame(
-        [("c1", "d1", "w", "1", "Python", 0, "Python is a programming language.", {}),
-         ("c2", "d2", "w", "2", "Guido", 0, "Guido created Python in 1991.", {}),
-         ("c3", "d3", "w", "3", "Pasta", 0, "Cooking pasta requires boiling water.", {})],
+        [("c1", "d1", "w", "1", "Moon", 0, "The moon pulls at the sea.", {}),
+         ("c2", "d2", "w", "2", "Tide", 0, "High tide follows the moon by an hour.", {}),
+         ("c3", "d3", "w", "3", "Rope", 0, "A bowline knot holds under load.", {})],
         "chunk_id string, document_id string, source string, source_id string, title string, "
         "chunk_index int, text string, metadata map<string,string>")
     enc = HashingEncoder(32)
     vecs = embed_chunks(chunks, enc)
-    queries = spark.createDataFrame([(1, "python language"), (2, "   ")], "query_id long, query string")
+    queries = spark.createDataFrame([(1, "moon sea."), (2, "   ")], "query_id long, query string")
     res = hybrid_search(chunks, vecs, queries, enc, top_k=2).collect()
     assert {r.query_id for r in res} == {1}
     assert res and all(r.rank <= 2 for r in res)
