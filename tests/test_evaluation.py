@@ -61,7 +61,7 @@ def _write(tmp_path, lines):
 
 
 def test_read_cases(spark, tmp_path):
-    path = _write(tmp_path, [json.dumps({"query": "python", "expected_document_id": "wikipedia_1",
+    path = _write(tmp_path, [json.dumps({"query": "harbour", "expected_document_id": "wikipedia_1",
                                          "expected_chunk_id": None}), "",
                              json.dumps({"query": "maple", "expected_document_id": "wikipedia_2",
                                          "expected_chunk_id": "wikipedia_2_chunk_0"})])
