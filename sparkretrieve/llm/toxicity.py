@@ -21,6 +21,7 @@ bounded by parameters, and only they are broadcast.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -55,7 +56,10 @@ CLASSES = 64
 def words_of(text: str | None) -> list[str]:
     """Lower-case words; three or more single letters, digits or symbols in a row are joined."""
     words = (text or "").lower().split()
-    if sum(len(w) == 1 for w in words) < 3:
+    if len(words) < 3:
+        return words
+    one = np.fromiter(map(len, words), np.int64, len(words)) == 1
+    if not (one[2:] & one[1:-1] & one[:-2]).any():
         return words
     out, run = [], []
     for w in [*words, ""]:
@@ -76,9 +80,12 @@ def stripped(word: str) -> str:
     return word
 
 
+_TRIPLE = re.compile(r"(.)\1\1")
+
+
 def looks_disguised(word: str) -> bool:
     if word.isalpha():
-        return any(a == b == c for a, b, c in zip(word, word[1:], word[2:], strict=False))
+        return _TRIPLE.search(word) is not None
     return any(c.isalpha() for c in word)
 
 
@@ -223,6 +230,24 @@ def _lexicon(words: DataFrame, trigrams: np.ndarray, n_bad: int, n_good: int) ->
     return {r["feature"]: r["odds"] for r in best.collect()}
 
 
+class _Odds(dict):
+    """The strongest log-odds of a raw word, computed when first asked for."""
+
+    def __init__(self, trigrams: np.ndarray, lexicon: dict[str, float]) -> None:
+        super().__init__()
+        self.trigrams, self.lexicon = trigrams, lexicon
+        self.starts = {f[:3] for f in lexicon}
+
+    def __missing__(self, word: str) -> float:
+        clear = clear_word(word, self.trigrams)
+        # Every feature of a word starts with the word's first three letters.
+        odds = 0.0 if clear[:3] not in self.starts else \
+            max(self.lexicon.get(f, 0.0) for f in features_of(clear))
+        if len(self) < CACHE_WORDS and len(word) <= 64:
+            self[word] = odds
+        return odds
+
+
 STATS = ("most", "second", "strong", "weak", "share")
 
 
@@ -232,19 +257,13 @@ def _evidence(docs: DataFrame, text_col: str, shared: Shared, keep_text: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         trigrams, lexicon = shared.value
-        cache: dict[str, float] = process_cache("toxicity", shared.id, dict)
-
-        def odds(word: str) -> float:
-            s = max((lexicon.get(f, 0.0) for f in features_of(clear_word(word, trigrams))), default=0.0)
-            if len(cache) < CACHE_WORDS and len(word) <= 64:
-                cache[word] = s
-            return s
+        look_up = process_cache("toxicity", shared.id, lambda: _Odds(trigrams, lexicon)).__getitem__
 
         for batch in batches:
             out: dict[str, list] = {s: [] for s in STATS}
             for text in batch.column(text_col).to_pylist():
                 own = set(words_of(text))
-                found = sorted((s for w in own if (s := cache[w] if w in cache else odds(w)) > 0), reverse=True)
+                found = sorted(filter(None, map(look_up, own)), reverse=True)
                 strong = sum(s >= STRONG_ODDS for s in found)
                 for name, v in zip(STATS, (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0,
                                            math.log1p(strong), math.log1p(len(found)),
