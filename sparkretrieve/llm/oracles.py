@@ -91,7 +91,7 @@ best AS (
 SELECT p.page_id, host, path, urls.rule,
        coalesce(urls.action, CASE WHEN bin >= coalesce((SELECT threshold FROM best), bin)
                              THEN 'allow' ELSE 'block' END) AS verdict,
-       round(total::DOUBLE / n / 1e6, 6) AS score
+       total::DOUBLE / n / 1e6::DOUBLE AS score
 FROM pages p JOIN urls ON urls.url = coalesce(p.url, '') JOIN scored ON scored.url = urls.url
 """
 

@@ -34,8 +34,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
-    return judged.withColumn("score", F.round("score", 6))
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
 def _fold(folds: int) -> Column:

@@ -155,8 +155,7 @@ def test_near_duplicates(docs):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, stay))
 
 
-@pytest.mark.parametrize("radius", [1, 2, 3])
-@pytest.mark.parametrize("limit", [2, 24])
+@pytest.mark.parametrize("radius,limit", [(1, 2), (2, 2), (2, 24), (3, 2)])
 def test_links_in_large_buckets(spark, radius, limit, monkeypatch):
     """Pairs, and the way for large buckets, connect the same fingerprints."""
     monkeypatch.setattr(simhash, "PAIR_LIMIT", limit)
