@@ -1,17 +1,19 @@
 """Size checks that stand in front of every broadcast.
 
-A side is broadcast only after its row count has been measured against a
-bound; beyond the bound the caller takes a shuffle path instead.
+A side is broadcast only after its rows and bytes have been measured against
+bounds; beyond either the caller takes a shuffle path instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a narrow key table (ids, a term, a few numbers) that are safe to
-# ship to every executor: a few hundred MB at most.
+# Rows of a narrow key table (ids, a term, a few numbers), and bytes of any
+# table, that are safe to ship to every executor; Spark's own limit is 8 GB.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:
@@ -19,15 +21,34 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
+def _field_bytes(name: str, kind: T.DataType) -> Column:
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(c))) + 16
+    return F.lit(8)
+
+
+def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of at most ``max_rows + 1`` rows."""
+    size = sum((_field_bytes(f.name, f.dataType) for f in df.schema), F.lit(16))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return int(row["n"]), int(row["b"])
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, *,
-                         upper_bound: int | None = None) -> tuple[DataFrame, bool]:
-    """(``broadcast(df)``, True) when ``df`` has at most ``max_rows`` rows,
-    else (``df``, False) so the caller can plan a shuffle join.
-
-    ``upper_bound`` is a proven bound on the row count (e.g. queries x k for a
-    top-k result); when given, the frame is not counted, which would run its
-    whole plan a second time."""
-    n = upper_bound if upper_bound is not None else bounded_count(df, max_rows)
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+                         upper_bound: int | None = None,
+                         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """(``broadcast(df)``, True) when ``df`` has at most ``max_rows`` rows and
+    ``max_bytes`` bytes, else (``df``, False) so the caller can plan a shuffle join.
+
+    ``upper_bound`` is a proven bound on the row count of narrow rows (e.g.
+    queries x k for a top-k result); when given, the frame is not measured,
+    which would run its whole plan a second time."""
+    if upper_bound is not None:
+        small = upper_bound <= max_rows
+    else:
+        n, size = bounded_size(df, max_rows)
+        small = n <= max_rows and size <= max_bytes
+    return (F.broadcast(df), True) if small else (df, False)
