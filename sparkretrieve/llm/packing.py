@@ -36,11 +36,15 @@ FIT_STEPS = 150
 
 
 def _encoder(path: str):
-    """Encodes a text to a numpy array of ids; the same ids as ``bpe`` gives."""
+    """Encodes a text to a numpy array of ids; the same ids as ``bpe`` gives, for
+    vocabularies whose merged tokens are numbered in the order of their merges."""
     import tiktoken
 
     def make():
         bpe = codec(path)
+        made = [bpe.id_of[a + b] for a, b in bpe.rank]
+        if any(a >= b for a, b in zip(made, made[1:], strict=False)):
+            raise ValueError("the vocabulary's ids do not follow its merges")
         pattern = WORD_PATTERN.replace(r"\p{White_Space}", r"\s").replace(r"\P{White_Space}", r"\S")
         return tiktoken.Encoding("packing", pat_str=pattern,
                                  mergeable_ranks=bpe.id_of, special_tokens=bpe.special)
