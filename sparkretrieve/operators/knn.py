@@ -166,6 +166,9 @@ def scan_block(vectors: DataFrame, block: tuple[np.ndarray, np.ndarray], metric:
         ids, q = shared.value
         top = TopK(q, metric, k, carry)
         for batch in batches:
+            # Here and not as a DataFrame filter, which would compute a vector
+            # column that is an expression (an encoder) twice.
+            batch = batch[batch["vec"].notna()]
             if len(batch):
                 top.add(_matrix(batch["vec"]), [batch[c].to_numpy(dtype=object) for c in top.columns])
         yield from top.frames(ids)
@@ -189,12 +192,13 @@ def knn_search(vectors: DataFrame, queries: DataFrame, top_k: int, metric: str =
     ``carry`` names vector-table columns (e.g. chunk_id) passed through the
     scoring tasks, so no join back to the vector table is needed. ``top_k``
     larger than the index simply returns every record; an empty index returns
-    no rows. A query of another length than the vectors is an error.
+    no rows. A query of another length than the vectors (``dimensions``, or
+    the length of the first vector) is an error.
     """
     require_positive(top_k, "top_k")
     check_metric(metric)
     v = vectors.select(F.col("record_id").cast("string").alias("record_id"),
-                       F.col(vector_col).cast("array<double>").alias("vec"), *carry).filter(F.col("vec").isNotNull())
+                       F.col(vector_col).cast("array<double>").alias("vec"), *carry)
     schema = candidate_schema(queries, query_id, vectors, carry)
     dimensions = dimensions or vector_dimensions(vectors, vector_col)
     found = None

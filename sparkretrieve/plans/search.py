@@ -29,8 +29,11 @@ def ivf_searcher(index: ivf.IVFIndex, nprobe: int = ivf.DEFAULT_NPROBE) -> Searc
     return lambda queries, k, carry: ivf.ivf_search(index, queries, k, nprobe, carry=carry)
 
 
-def _searcher(vectors: DataFrame | Searcher, metric: str, options: dict) -> Searcher:
-    return exact_searcher(vectors, metric, **options) if isinstance(vectors, DataFrame) else vectors
+def _searcher(vectors: DataFrame | Searcher, metric: str, encoder, options: dict) -> Searcher:
+    """Vectors of a table are as long as the encoder's, so none is looked at for it."""
+    if not isinstance(vectors, DataFrame):
+        return vectors
+    return exact_searcher(vectors, metric, **{"dimensions": encoder.info.dimensions, **options})
 
 
 def semantic_search(vectors: DataFrame | Searcher, queries: DataFrame, encoder, top_k: int, metric: str = "cosine", *,
@@ -41,7 +44,7 @@ def semantic_search(vectors: DataFrame | Searcher, queries: DataFrame, encoder,
     require_positive(top_k, "top_k")
     check_metric(metric)
     qv = embed_queries(queries, encoder, query_id, query_col)
-    hits = _searcher(vectors, metric, knn_options)(qv, top_k, ("chunk_id", "document_id", "title"))
+    hits = _searcher(vectors, metric, encoder, knn_options)(qv, top_k, ("chunk_id", "document_id", "title"))
     return hits.select("query_id", "rank", "record_id", "chunk_id", "document_id", "title", "score")
 
 
@@ -68,7 +71,7 @@ def hybrid_search(chunks: DataFrame, vectors: DataFrame | Searcher, queries: Dat
         bm25_index = bm25.build_bm25_index(chunks)
     n_queries = bounded_count(q, DEFAULT_MAX_BROADCAST_ROWS)
     lexical = bm25.bm25_search(chunks, q, bm25_top_k, index=bm25_index, columns=())
-    semantic = _searcher(vectors, metric, {})(embed_queries(q, encoder), semantic_top_k, ("chunk_id",))
+    semantic = _searcher(vectors, metric, encoder, {})(embed_queries(q, encoder), semantic_top_k, ("chunk_id",))
     semantic = fusion.drop_unknown_chunks(semantic, chunks, upper_bound=n_queries * semantic_top_k)
     fused = fusion.fuse(lexical, semantic, top_k, rrf_k=rrf_k, bm25_weight=bm25_weight,
                         semantic_weight=semantic_weight)
