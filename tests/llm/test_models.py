@@ -169,6 +169,51 @@ def test_bit_model_is_a_distribution():
     assert np.allclose(scorer.scores(sorted(some), 2), alone[[some.index(w) for w in sorted(some)]])
 
 
+def test_bit_counts_grow_and_do_not_mix():
+    """Far more contexts than any fixed table has slots: an unseen one stays unseen, a seen one keeps its own counts."""
+    rng = np.random.default_rng(3)
+    words = sorted({bytes(w) for w in rng.integers(97, 123, (60_000, 12), dtype=np.uint8)})
+    code = mixing.prefix_code(np.bincount(np.frombuffer(b" ".join(words), np.uint8), minlength=256))
+    counts = np.zeros((lm_score.MAX_CLASSES, len(words)), np.int64)
+    counts[1] = np.arange(1, len(words) + 1)
+    tables = mixing.fill(*mixing.evidence(words, counts), code)
+    exact = mixing.empty_tables()
+    mixing.count_bits(exact, mixing.decisions(words, code), counts[1].astype(float), 1)
+    d = mixing.decisions(words[:200], code)
+    for j, (a, b) in enumerate(zip(tables, exact, strict=True)):
+        assert np.count_nonzero(a.keys) == np.count_nonzero(b.keys)
+        key = mixing._keys(d, j, 1)
+        assert np.allclose(a.counts[a.find(key)], b.counts[b.find(key)])
+    # The last decisions of a word belong to it alone.
+    last = mixing._keys(d, 4, 1)[np.append(d.first[1:], len(d.bit)) - 1][d.place[d.starts + 12]]
+    assert tables[4].counts[tables[4].find(last)].sum(axis=1).tolist() == counts[1][:200].tolist()
+    new = mixing.decisions([bytes([65]) + w for w in words[:200]], code)
+    unseen = mixing._keys(new, 4, 1)[new.byte > new.place[1]]
+    assert (tables[4].find(unseen) == len(tables[4].keys) - 1).all()
+
+
+def test_lm_score_does_not_depend_on_blocks(spark, monkeypatch):
+    """Blocks get from the shards what all others have counted."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    words = lm_score.count_words(docs, "text", F.lit(True), F.lit(0)).toArrow()
+    tokens, counts = lm_score._weights(words.sort_by("word"))
+    keys, n = mixing.evidence(tokens, counts)
+    want = dict(zip(keys.tolist(), n.tolist(), strict=True))
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 4096)
+    monkeypatch.setattr(lm_score, "SHARD_BYTES", 8192)
+    blocks = lm_score.materialise(lm_score._blocks(spark.createDataFrame(words).repartition(4).sortWithinPartitions("word")), "words")
+    told = lm_score._bit_counts(blocks, sum(map(len, tokens))).toArrow()
+    assert len(set(told.column("block").to_pylist())) > 10
+    got = [x for k, c in lm_score._entries(told) for x in zip(k.tolist(), c.tolist(), strict=True)]
+    assert all(want[k] == c for k, c in got)
+    # Every context that two blocks have is told to each of them, whole.
+    asked = collections.Counter()
+    for block in blocks.select("block").distinct().toArrow().column(0).to_pylist():
+        own, _ = mixing.evidence(*lm_score._weights(blocks.filter(F.col("block") == block).toArrow())) if block % 3 == 0 else (np.zeros(0, np.uint64), None)
+        asked.update(set((own >> np.uint64(11)).tolist()))
+    assert {c for c, times in asked.items() if times > 1} <= {k >> 11 for k, _ in got}
+
+
 def test_prefix_code_is_complete():
     start, size, node, bit = mixing.prefix_code(np.random.default_rng(0).integers(0, 10_000, 256))
     assert sum(2.0 ** -s for s in size) == 1
