@@ -4,10 +4,12 @@
    one word that was spaced out. Every distinct word is counted once.
 2. A character trigram model is counted from the distinct words of all
    documents. A word that looks disguised (letters mixed with digits or
-   symbols, or a letter three times in a row) spans a lattice: each run of a
-   character may stand for letters that look like it, for fewer copies, or for
-   nothing, each at a cost. The Viterbi path of the lattice under the trigram
-   model is the restored word.
+   symbols, no letter at all, symbols like letters at its ends, or a letter
+   three times in a row) spans a lattice: each run of a character may stand for
+   letters that look like it, for fewer copies, or for nothing, each at a cost.
+   So does a run of short tokens with an uncommon one among them, where a space
+   may end a word or stand for nothing. The Viterbi path of the lattice under
+   the trigram model is the restored word, or words.
 3. From labelled rows, restored words and their beginnings get log-odds; a
    bounded lexicon of the most telling ones is kept. A document is described
    by its strongest evidence, and a logistic regression, fitted on labelled
@@ -15,7 +17,7 @@
 
 Only distinct words are shuffled. The lexicon, the trigram model and the
 labels used (at most ``MAX_LABELS``, chosen by a hash of the identifier) are
-bounded by parameters, and only they are broadcast.
+bounded by parameters, and only they and the common short words are broadcast.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +43,24 @@ STRONG_ODDS = 3.0
 BEGINNINGS = (3, 4, 5, 6)
 CACHE_WORDS = 300_000
 COUNTER_WORDS = 300_000
+SHORT = 3  # letters of a token that may be a part of a spaced word
+COMMON_WORDS, COMMON_SHARE = 4096, 0.01  # short words in that share of the documents are common
 
 # Letters that a character may stand for.
 LOOKS_LIKE = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "aeiou",
 }
-# Costs in nats: reading a character as a letter, dropping copies, dropping a run.
-READ, FEWER, DROP_SYMBOL, DROP_DIGIT, DROP_LETTER = 0.5, 1.0, 1.0, 4.0, 9.0
+# Costs in nats: reading a character as a letter, dropping copies, dropping a run
+# (of symbols, of symbols that look like letters, of digits, of letters).
+READ, FEWER, DROP_SYMBOL, DROP_ALIKE, DROP_DIGIT, DROP_LETTER = 0.5, 1.0, 1.0, 2.5, 4.0, 9.0
 EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$") + "…“”‘’«»–—¡¿·•"
 CLASSES = 64
+# Ends that are never read as letters, and symbols that cost nothing to drop at a word's start and end.
+MARKS = "".join(c for c in EDGE if c not in LOOKS_LIKE)
+FREE_START, FREE_END = "(*", "!*"
+JOIN = 0.5  # dropping a space
+LITERAL = math.log(CLASSES)  # a character of a word without letters, read as it is
 
 
 def words_of(text: str | None) -> list[str]:
@@ -72,6 +82,27 @@ def words_of(text: str | None) -> list[str]:
     return out[:-1]
 
 
+def spaced_runs(text: str | None, common: frozenset[str]) -> list[str]:
+    """Runs of two or more short tokens, one of them uncommon: what may be spaced-out words."""
+    words = (text or "").lower().split()
+    near = np.fromiter(map(len, words), np.int64, len(words)) <= SHORT + 2  # with punctuation
+    if not (near[1:] & near[:-1]).any():
+        return []
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], near.view(np.int8), [0]])))
+    out, run = [], []
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+        if b - a < 2 or common.issuperset(words[a:b]):
+            continue
+        for w in [*(w.strip(MARKS) for w in words[a:b]), " " * (SHORT + 1)]:
+            if len(w) <= SHORT:
+                run += [w] * bool(w)
+                continue
+            if len(run) >= 2 and not common.issuperset(run) and any(map(str.isalpha, "".join(run))):
+                out.append(" ".join(run))
+            run = []
+    return out
+
+
 def stripped(word: str) -> str:
     """Without punctuation at the ends; @ and $ stay unless there are three."""
     word = word.strip(EDGE)
@@ -86,7 +117,7 @@ _TRIPLE = re.compile(r"(.)\1\1")
 def looks_disguised(word: str) -> bool:
     if word.isalpha():
         return _TRIPLE.search(word) is not None
-    return any(c.isalpha() for c in word)
+    return any(c.isalpha() or c in LOOKS_LIKE for c in word)
 
 
 def _class(c: str) -> int:
@@ -94,51 +125,82 @@ def _class(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % (CLASSES - 27)
 
 
-def restore(word: str, trigrams: np.ndarray) -> str:
-    """The Viterbi path through the lattice of a stripped word. ``trigrams``:
-    log-probabilities by two classes before and the class itself."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+def _best(word: str, trigrams: np.ndarray) -> tuple[float, str]:
+    """The Viterbi path through the lattice of a word, or of tokens with spaces
+    between, and its score. ``trigrams``: log-probabilities by two classes
+    before and the class itself."""
+    # Of each two letters before: the score, and the path as (path before, letters).
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    drop_digit = DROP_DIGIT if any(map(str.isalpha, word)) else DROP_LETTER
     k = 0
     while k < len(word):
         c, n = word[k], 1
         while k + n < len(word) and word[k + n] == c:
             n += 1
+        starts, ends = k == 0, k + n == len(word)
         k += n
         letters = LOOKS_LIKE.get(c, "")
-        if c.isalpha():
+        if c == " ":
+            options = [("", JOIN), (" ", 0.0)]
+        elif c.isalpha():
             options = [(c * min(n, 2), FEWER * (n > 2)), (c, FEWER * (n > 1))]
             options += [("", DROP_LETTER)]
         else:
-            options = [("", DROP_DIGIT if c.isdigit() else DROP_SYMBOL)]
+            free = (starts and c in FREE_START) or (ends and c in FREE_END)
+            options = [("", 0.0 if free else drop_digit if c.isdigit() else DROP_ALIKE if letters else DROP_SYMBOL)]
             for x in letters:
                 options.append((x, READ + FEWER * (n > 1)))
                 if n > 1:
                     options.append((x * 2, 2 * READ + FEWER * (n > 2)))
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (score, path) in states.items():
             for read, cost in options:
                 s, x, y = score - cost, a, b
-                for letter in read:
-                    z = _class(letter)
-                    s += trigrams[x, y, z]
-                    x, y = y, z
+                if read == " ":
+                    s, x, y = s + trigrams[x, y, 0], 0, 0
+                else:
+                    for letter in read:
+                        z = _class(letter)
+                        s += trigrams[x, y, z]
+                        x, y = y, z
                 if (x, y) not in after or s > after[x, y][0]:
-                    after[x, y] = (s, text + read)
+                    after[x, y] = (s, (path, read) if read else path)
         states = after
-    return max((score + trigrams[a, b, 0], text) for (a, b), (score, text) in states.items())[1]
+    score, path = max(((s + trigrams[a, b, 0], path) for (a, b), (s, path) in states.items()), key=lambda x: x[0])
+    read = []
+    while path:
+        path, letters = path
+        read.append(letters)
+    return float(score), "".join(reversed(read))
+
+
+def restore(word: str, trigrams: np.ndarray) -> str:
+    return _best(word, trigrams)[1]
 
 
 def clear_word(word: str, trigrams: np.ndarray) -> str:
-    word = stripped(word)
-    return restore(word, trigrams) if looks_disguised(word) else word
+    """The restored word, or words with spaces between for a run of tokens."""
+    if " " in word:
+        return restore(word, trigrams)
+    plain = stripped(word)
+    seen = word.strip(MARKS)
+    if seen[-3:] in ("$$$", "@@@"):
+        seen = plain
+    if not looks_disguised(seen):
+        return plain
+    score, read = _best(seen, trigrams)
+    if not any(map(str.isalpha, seen)) and score <= -LITERAL * max(1, len(plain)):
+        return plain  # a number or punctuation
+    return read
 
 
 def features_of(word: str) -> list[str]:
-    """The word, and its beginnings marked by a trailing -."""
-    return [word] + [word[:n] + "-" for n in BEGINNINGS if len(word) > n]
+    """The word, and its beginnings marked by a trailing -; of every word of a run."""
+    return [f for w in word.split(" ") for f in [w, *(w[:n] + "-" for n in BEGINNINGS if len(w) > n)]]
 
 
-def _count_words(docs: DataFrame, id_text_label: tuple[str, str]) -> DataFrame:
+def _count_words(docs: DataFrame, id_text_label: tuple[str, str],
+                 split: Callable[[str | None], list[str]] = words_of) -> DataFrame:
     """(word, docs, bad, good): documents that hold each raw word, all, and
     labelled 1 and 0; counted in each task first, in bounded memory."""
 
@@ -155,7 +217,7 @@ def _count_words(docs: DataFrame, id_text_label: tuple[str, str]) -> DataFrame:
 
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = set(words_of(text))
+                own = set(split(text))
                 total.update(own)
                 if label is not None:
                     (bad if label else good).update(own)
@@ -207,6 +269,12 @@ def _trigrams(words: DataFrame) -> np.ndarray:
     return np.log(p3)
 
 
+def _common(words: DataFrame, n_docs: int) -> frozenset[str]:
+    """Short words that many documents hold; at most COMMON_WORDS."""
+    best = words.filter((F.length("word") <= SHORT) & (F.col("docs") >= max(MIN_DOCS, COMMON_SHARE * n_docs)))
+    return frozenset(r["word"] for r in best.orderBy(F.desc("docs"), "word").limit(COMMON_WORDS).collect())
+
+
 def _lexicon(words: DataFrame, trigrams: np.ndarray, n_bad: int, n_good: int) -> dict[str, float]:
     """Log-odds of the most telling features of restored words."""
 
@@ -214,7 +282,7 @@ def _lexicon(words: DataFrame, trigrams: np.ndarray, n_bad: int, n_good: int) ->
         for batch in batches:
             out: dict[str, list] = {"feature": [], "bad": [], "good": []}
             for word, bad, good in zip(*(batch.column(c).to_pylist() for c in ("word", "bad", "good")), strict=True):
-                for f in features_of(clear_word(word, trigrams)):
+                for f in set(features_of(clear_word(word, trigrams))):
                     if f and f != "-":
                         out["feature"].append(f)
                         out["bad"].append(bad)
@@ -241,8 +309,8 @@ class _Odds(dict):
     def __missing__(self, word: str) -> float:
         clear = clear_word(word, self.trigrams)
         # Every feature of a word starts with the word's first three letters.
-        odds = 0.0 if clear[:3] not in self.starts else \
-            max(self.lexicon.get(f, 0.0) for f in features_of(clear))
+        odds = max((self.lexicon.get(f, 0.0) for w in clear.split(" ") if w[:3] in self.starts for f in features_of(w)),
+                   default=0.0)
         if len(self) < CACHE_WORDS and len(word) <= 64:
             self[word] = odds
         return odds
@@ -256,14 +324,15 @@ def _evidence(docs: DataFrame, text_col: str, shared: Shared, keep_text: bool =
     kept = [f for f in docs.schema if keep_text or f.name != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        trigrams, lexicon = shared.value
+        trigrams, lexicon, common = shared.value
         look_up = process_cache("toxicity", shared.id, lambda: _Odds(trigrams, lexicon)).__getitem__
 
         for batch in batches:
             out: dict[str, list] = {s: [] for s in STATS}
             for text in batch.column(text_col).to_pylist():
                 own = set(words_of(text))
-                found = sorted(filter(None, map(look_up, own)), reverse=True)
+                spaced = set(spaced_runs(text, common)) - own
+                found = sorted(filter(None, map(look_up, own | spaced)), reverse=True)
                 strong = sum(s >= STRONG_ODDS for s in found)
                 for name, v in zip(STATS, (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0,
                                            math.log1p(strong), math.log1p(len(found)),
@@ -318,8 +387,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
     tagged = docs.join(F.broadcast(lexical), docs[id_col] == F.col("_id"), "left").select(text_col, "_label")
     words = materialise(_count_words(tagged, (text_col, "_label")), "words")
     trigrams = _trigrams(words)
-    lexicon = _lexicon(words, trigrams, size.get(1, 0), size.get(0, 0)) if len(size) == 2 else {}
-    shared = Shared(spark, (trigrams, lexicon))
+    common = _common(words, docs.count())
+    lexicon = {}
+    if len(size) == 2:
+        spaced = _count_words(tagged.filter("_label is not null"), (text_col, "_label"), lambda text: spaced_runs(text, common))
+        lexicon = _lexicon(words.unionByName(spaced), trigrams, size[1], size[0])
+    shared = Shared(spark, (trigrams, lexicon, common))
 
     chosen = usable.filter(fits).orderBy(F.xxhash64("_id")).limit(MAX_FIT_ROWS)
     labelled = docs.select(id_col, text_col).join(F.broadcast(chosen), docs[id_col] == F.col("_id"))

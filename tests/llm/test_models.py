@@ -244,6 +244,23 @@ def test_restore_finds_plain_words():
         assert toxicity.clear_word(seen, trigrams) == plain, seen
 
 
+def test_restore_reads_edges_bare_symbols_and_spaces():
+    text = ["idiot", "stupid", "shit", "loser", "ass", "the", "and", "to", "are", "an", "you", "is", "it", "in", "u", "r", "a"] * 5
+    counts = np.zeros((toxicity.CLASSES,) * 3)
+    for w in text:
+        codes = [0, 0, *map(toxicity._class, w), 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
+            counts[a, b, c] += 1
+    trigrams = np.log((counts + 0.01) / (counts.sum(axis=2, keepdims=True) + 0.64))
+    for seen, plain in [("!d!ot", "idiot"), ("|oser", "loser"), ("5h1+", "shit"), ("(the", "the"), ("you!!", "you"),
+                        ("@$$", "ass"), ("455", "ass"), ("2024", "2024"), ("***", ""), ("!!!", ""), ("u r a n i d i o t", "u r an idiot"),
+                        ("id iot", "idiot"), ("st up id", "stupid"), ("l o s e r i d i o t", "loser idiot"), ("it is in", "it is in")]:
+        assert toxicity.clear_word(seen, trigrams) == plain, seen
+    common = frozenset(["it", "is", "in", "a"])
+    assert toxicity.spaced_runs("Well it is in a book, id IOT; yes letter", common) == ["id iot yes"]
+    assert toxicity.spaced_runs("1 2 3 4", common) == toxicity.spaced_runs(None, common) == []
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op5_toxicity(spark, sf).join(table(spark, sf, "labels"), "doc_id").filter("held_out").collect()
