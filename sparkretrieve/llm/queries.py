@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.llm import ann, bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, toxicity, url_filter
+from sparkretrieve.llm import align, ann, bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, toxicity, url_filter
 from sparkretrieve.llm.common import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -25,6 +25,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    """The model file of the public tokenizer of pieces with byte fallback."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _sha256(text: str) -> Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
@@ -87,7 +94,14 @@ def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = align.token_groups(docs, tokenizer_path(), piece_model_path())
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(_sha256("groups"))
+    return align.score_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_url_filter, op3_lm_score, op4_maglev_sharding, op5_toxicity, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing,
-        op10_multiprobe_lsh)
+        op10_multiprobe_lsh, op11_tokenizer_alignment)
 }
