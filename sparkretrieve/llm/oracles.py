@@ -107,9 +107,60 @@ SELECT doc_id, slot, ([{names}])[([{slots}])[slot + 1]] AS shard FROM placed
 """
 
 
+OP12 = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM d)
+  GROUP BY lang, term HAVING count(*) >= 3),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+found AS (
+  SELECT lang, source, term, count(*) AS n
+  FROM (SELECT lang, source, unnest(words) AS term FROM d) JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, v, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total,
+         sum(coalesce(n, 0)) OVER (PARTITION BY lang, term) AS n_lang, sum(coalesce(n, 0)) OVER (PARTITION BY lang) AS total_lang
+  FROM groups JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN found USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 1)) // (total + v)::BIGINT AS p,
+         (1 + (1000000000 * (n_lang + 1)) // (total_lang + v))::BIGINT AS q
+  FROM cells),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE "binary")::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+OP13 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> original THEN original END AS refers_to
+FROM f
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_url_filter": _op2(),
     "op4_maglev_sharding": _op4(),
     "op7_exact_dedup": OP7,
     "op8_line_dedup": OP8,
+    "op12_source_divergence": OP12,
+    "op13_warc": OP13,
 }

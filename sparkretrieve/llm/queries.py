@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkretrieve.llm import align, ann, bpe, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, toxicity, url_filter
-from sparkretrieve.llm.common import table
+from sparkretrieve.llm import align, ann, bpe, divergence, exact_dedup, line_dedup, lm_score, packing, sharding, simhash, toxicity, url_filter, warc
+from sparkretrieve.llm.common import materialise, table
+from sparkretrieve.session import scratch_path
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 SLOTS = 16_381
@@ -101,7 +102,21 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.score_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return divergence.source_divergence(docs, min_docs=3, ranks=200)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    plain, deduplicated = scratch_path(spark, "warc"), scratch_path(spark, "warc_deduplicated")
+    warc.write_responses(pages, plain)
+    warc.dedupe_archives(spark, plain, deduplicated, min_bytes=100)
+    back = materialise(warc.read_archives(spark, deduplicated, payloads=False), "warc_back")
+    return warc.resolve_revisits(back).select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_url_filter, op3_lm_score, op4_maglev_sharding, op5_toxicity, op6_bpe, op7_exact_dedup, op8_line_dedup, op9_packing,
-        op10_multiprobe_lsh, op11_tokenizer_alignment)
+        op10_multiprobe_lsh, op11_tokenizer_alignment, op12_source_divergence, op13_warc)
 }
