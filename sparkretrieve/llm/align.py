@@ -28,9 +28,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,64 +41,41 @@ from sparkretrieve.llm.common import Shared, free_name, map_batches, materialise
 
 CACHE_SEGMENTS = 400_000
 PAIRS_PER_BLOCK = 2_000_000
-# How many new segments go to the libraries in one call, and how many
-# characters of text are cut at a time.
-CALL_SEGMENTS = 4096
+# How many new segments go to the libraries in one call, how many segments
+# wait for one look-up, and how many characters of text are cut at a time.
+CALL_SEGMENTS = 2048
+WAITING_SEGMENTS = 40_000
 SLICE = 1 << 18
 
 _VISIBLE = "!-~À-ÖØ-öø-ÿ"
+_JOINABLE = re.compile(f"[{_VISIBLE}](?s:.*[{_VISIBLE}])?")
 _BORDER = re.compile(f"(?<=[{_VISIBLE}]) (?=[{_VISIBLE}])")
 
 
-def token_ends(coarse: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Byte end of each token of many texts, laid one after the other.
-
-    ``coarse`` are the coarse ends, ``sizes`` the decoded bytes of the tokens
-    and ``first`` marks the first token of each text. A coarse end strictly
-    between its neighbours' is a cut of the text; a token whose coarse end a
-    neighbour shares ends where its decoded bytes end."""
+def token_ends(coarse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Byte end of each token of a text from its coarse end and the size of its
+    decoded bytes. A coarse end strictly between its neighbours' is a cut of
+    the text; a token whose coarse end a neighbour shares ends where its
+    decoded bytes end."""
     decoded = np.cumsum(sizes)
     if not len(coarse):
         return decoded
-    after = np.append(coarse[:-1] < coarse[1:], True)
-    before = np.append(True, coarse[:-1] < coarse[1:])
-    own = (before | first) & (after | np.append(first[1:], True)) & (coarse == decoded)
+    rises = coarse[:-1] < coarse[1:]
+    own = np.append(True, rises) & np.append(rises, True) & (coarse == decoded)
     return np.where(own, coarse, decoded)
 
 
-class _Tokens:
-    """The tokens of many segments: ids, sizes in bytes, and coarse ends counted
-    from the first segment on."""
-
-    def __init__(self, ids: list[list[int]], ends: list[list[int]], table: list[bytes], starts: np.ndarray) -> None:
-        self.count = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, int(self.count.sum()))
-        self.bytes = list(map(table.__getitem__, self.ids.tolist()))
-        self.size = np.fromiter(map(len, self.bytes), np.int64, len(self.ids))
-        self.coarse = np.fromiter(chain.from_iterable(ends), np.int64, len(self.ids)) + np.repeat(starts, self.count)
-        self.stop = np.cumsum(self.count)
-        self.first = np.zeros(len(self.ids), bool)
-        begins = (self.stop - self.count)[self.count > 0]
-        self.first[begins] = True
-
-    def equal(self, raw: list[bytes]) -> np.ndarray:
-        """Which segments the joined token bytes give back."""
-        whole = np.add.reduceat(np.append(self.size, 0), np.minimum(self.stop - self.count, len(self.size)))
-        whole[self.count == 0] = 0
-        same = whole == np.fromiter(map(len, raw), np.int64, len(raw))
-        if same.all() and b"".join(self.bytes) == b"".join(raw):
-            return same
-        return np.asarray([b"".join(self.bytes[e - n:e]) == r for e, n, r in
-                           zip(self.stop.tolist(), self.count.tolist(), raw, strict=True)], bool)
-
-    def ends(self) -> np.ndarray:
-        return token_ends(self.coarse, self.size, self.first)
+def _byte_ends(text: str) -> np.ndarray:
+    """The byte at which the first k characters of a text end, for each k."""
+    code = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    return np.append(0, np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)))
 
 
 class Aligner:
     """The two tokenizers and the groups of the segments seen so far. A
-    segment's entry is (n_a, n_b, groups, ends, pairs) or None where the
-    joined token bytes of A or B are not a space and the segment."""
+    segment's entry is (n_a, n_b, groups, pairs, ends) or None where the
+    joined token bytes of A or B are not a space and the segment; pairs and
+    ends are packed, eight bytes each."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -125,72 +101,85 @@ class Aligner:
         n = max(len(self.bytes_a), len(self.bytes_b))
         self.inside, self.between, self.behind, self.plain = (
             np.asarray([f"{i}{mark}" for i in range(n)], object) for mark in (",", "|", ";", ""))
+        self.size_a, self.size_b = (np.asarray([len(t) for t in table]) for table in (self.bytes_a, self.bytes_b))
+        # What was used lately, and what was used before that.
         self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode("utf-8")
 
-    def _protos(self, segments: list[str]) -> list:
-        """One result proto per segment; older versions call them immutable."""
+    def _proto(self, text: str):
+        """The result proto of a text; older versions call it immutable."""
         try:
-            return self.b.encode(segments, return_type="proto")
+            return self.b.encode(text, return_type="proto")
         except TypeError:
-            return self.b.encode(segments, out_type="immutable_proto")
+            return self.b.encode(text, out_type="immutable_proto")
 
     def learn(self, segments: list[str]) -> None:
-        """Encode those of ``segments`` that are not known yet."""
-        new = [s for s in dict.fromkeys(segments) if s not in self.known]
-        if len(self.known) + len(new) > CACHE_SEGMENTS:  # forget the older half
-            for s in list(islice(self.known, len(self.known) // 2)):
-                del self.known[s]
-            new = [s for s in dict.fromkeys(segments) if s not in self.known]
-        for k in range(0, len(new), CALL_SEGMENTS):
-            part = new[k:k + CALL_SEGMENTS]
+        """Have entries for all of ``segments`` in ``known``."""
+        new = []
+        for s in dict.fromkeys(segments):
+            if s not in self.known:
+                if s in self.before:
+                    self.known[s] = self.before.pop(s)
+                else:
+                    new.append(s)
+        # Segments between visible characters can be encoded in one text.
+        joined = [s for s in new if _JOINABLE.fullmatch(s)]
+        for k in range(0, len(joined), CALL_SEGMENTS):
+            part = joined[k:k + CALL_SEGMENTS]
             self.known.update(zip(part, self._align(part), strict=True))
+        for s in new:
+            if s not in self.known:
+                self.known[s] = self._align([s])[0]
+
+    def forget(self) -> None:
+        """Keep to ``CACHE_SEGMENTS``: what was not used since the last time goes."""
+        if len(self.known) > CACHE_SEGMENTS // 2:
+            self.known, self.before = {}, self.known
 
     def _align(self, segments: list[str]) -> list[tuple | None]:
-        spaced = [" " + s for s in segments]
-        raw = [s.encode("utf-8") for s in spaced]
-        length = np.fromiter(map(len, raw), np.int64, len(raw))
-        starts = np.cumsum(length) - length
-        ids_a, ends_a, ids_b, ends_b = [], [], [], []
-        for enc in self.a.encode_batch(spaced, add_special_tokens=False):
-            ids_a.append(enc.ids)
-            ends_a.append([e for _, e in enc.offsets])
-        for proto in self._protos(segments):
-            pieces = proto.pieces
-            ids_b.append([p.id for p in pieces])
-            ends_b.append([p.end + 1 for p in pieces])
-        for k, (s, r) in enumerate(zip(spaced, raw, strict=True)):
-            if len(s) != len(r):  # from characters to bytes
-                byte_end = [0, *accumulate(len(c.encode("utf-8")) for c in s)]
-                ends_a[k] = [byte_end[e] for e in ends_a[k]]
-                if ends_b[k] and ends_b[k][-1] != len(r):  # spans of older versions count characters, too
-                    ends_b[k] = [byte_end[e] for e in ends_b[k]]
-        a, b = _Tokens(ids_a, ends_a, self.bytes_a, starts), _Tokens(ids_b, ends_b, self.bytes_b, starts)
-        good = a.equal(raw) & b.equal(raw)
-        if not good.all():  # those that are not given back have no tokens
-            found = iter(self._align([s for s, ok in zip(segments, good, strict=True) if ok]) if good.any() else [])
-            return [next(found) if ok else None for ok in good]
-        at, in_a, in_b = np.intersect1d(a.ends(), b.ends(), assume_unique=True, return_indices=True)
+        text = " ".join(segments)
+        spaced = " " + text
+        raw = spaced.encode("utf-8")
+        enc, pieces = self.a.encode(spaced, add_special_tokens=False), self._proto(text).pieces
+        ids_a, ids_b = enc.ids, [p.id for p in pieces]
+        if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
+            if len(segments) == 1:
+                return [None]
+            half = len(segments) // 2
+            return self._align(segments[:half]) + self._align(segments[half:])
+        coarse_a, coarse_b = np.asarray([e for _, e in enc.offsets], np.int64), np.asarray([p.end for p in pieces], np.int64) + 1
+        if len(raw) != len(spaced):
+            byte_end = _byte_ends(spaced)
+            coarse_a = byte_end[coarse_a]
+            if len(coarse_b) and coarse_b[-1] != len(raw):  # spans of older versions count characters, too
+                coarse_b = byte_end[coarse_b]
+        ids_a, ids_b = np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64)
+        at, in_a, in_b = np.intersect1d(token_ends(coarse_a, self.size_a[ids_a]), token_ends(coarse_b, self.size_b[ids_b]),
+                                        assume_unique=True, return_indices=True)
         # Token t of a group stands behind all tokens of the groups before and,
         # where it is B's, behind the group's A tokens.
         size_a, size_b = np.diff(in_a, prepend=-1), np.diff(in_b, prepend=-1)
-        end = np.searchsorted(at, starts + length, side="right")  # groups up to and with each segment
-        text = np.empty(len(a.ids) + len(b.ids), object)
-        text[np.arange(len(a.ids)) + np.repeat(np.cumsum(size_b) - size_b, size_a)] = self.inside[a.ids]
-        text[np.arange(len(b.ids)) + np.repeat(np.cumsum(size_a), size_b)] = self.inside[b.ids]
-        last_a, last_b = a.ids[in_a], b.ids[in_b]
-        text[in_a + np.cumsum(size_b) - size_b] = self.between[last_a]
+        length = np.fromiter((len(s.encode("utf-8")) + 1 for s in segments), np.int64, len(segments))
+        stops = np.cumsum(length)
+        end = np.searchsorted(at, stops, side="right")  # groups up to and with each segment
+        notes = np.empty(len(ids_a) + len(ids_b), object)
+        notes[np.arange(len(ids_a)) + np.repeat(np.cumsum(size_b) - size_b, size_a)] = self.inside[ids_a]
+        notes[np.arange(len(ids_b)) + np.repeat(np.cumsum(size_a), size_b)] = self.inside[ids_b]
+        last_a, last_b = ids_a[in_a], ids_b[in_b]
+        notes[in_a + np.cumsum(size_b) - size_b] = self.between[last_a]
         marks = self.behind[last_b]
         marks[end - 1] = self.plain[last_b[end - 1]]
-        text[in_b + np.cumsum(size_a)] = marks
-        text, pairs = text.tolist(), (last_a << 32 | last_b).tolist()
-        at = (at - np.repeat(starts, np.diff(end, prepend=0))).tolist()
+        notes[in_b + np.cumsum(size_a)] = marks
+        notes, pairs = notes.tolist(), (last_a << 32 | last_b).astype("<i8").tobytes()
+        at = (at - np.repeat(stops - length, np.diff(end, prepend=0))).astype("<i8").tobytes()
         found, t, g = [], 0, 0
-        for n_a, n_b, stop in zip(a.count.tolist(), b.count.tolist(), end.tolist(), strict=True):
-            found.append((n_a, n_b, "".join(text[t:t + n_a + n_b]), tuple(at[g:stop]), tuple(pairs[g:stop])))
+        for n_a, n_b, stop in zip(np.diff(in_a[end - 1], prepend=-1).tolist(), np.diff(in_b[end - 1], prepend=-1).tolist(),
+                                  (8 * end).tolist(), strict=True):
+            found.append((n_a, n_b, "".join(notes[t:t + n_a + n_b]), pairs[g:stop], at[g:stop]))
             t, g = t + n_a + n_b, stop
         return found
 
@@ -201,29 +190,29 @@ class _Document:
     def __init__(self, spans: bool) -> None:
         self.spans, self.good, self.n_a, self.n_b, self.shift = spans, True, 0, 0, 0
         self.groups: list[str] = []
-        self.ends: list[int] = []
-        self.pairs: Counter = Counter()
+        self.pairs: list[bytes] = []
+        self.ends: list[np.ndarray] = []
 
     def add(self, entries: list[tuple | None]) -> None:
         self.good = self.good and None not in entries
-        if not self.good:
+        if not self.good or not entries:
             return
-        for n_a, n_b, _, _, _ in entries:
-            self.n_a += n_a
-            self.n_b += n_b
-        self.groups.append(";".join([e[2] for e in entries]))
-        self.pairs.update(chain.from_iterable([e[4] for e in entries]))
+        n_a, n_b, groups, pairs, ends = zip(*entries, strict=True)
+        self.n_a += sum(n_a)
+        self.n_b += sum(n_b)
+        self.groups.append(";".join(groups))
+        self.pairs.append(b"".join(pairs))
         if self.spans:
-            for e in entries:
-                self.ends.extend([self.shift + k for k in e[3]])
-                self.shift += e[3][-1]
+            for e in ends:
+                self.ends.append(np.frombuffer(e, "<i8") + self.shift)
+                self.shift = int(self.ends[-1][-1])
 
     def row(self) -> dict:
         if not self.good:
             self.__init__(self.spans)
-        n = list(self.pairs.values())
-        return {"n_a": self.n_a, "n_b": self.n_b, "n_groups": sum(n), "groups": ";".join(self.groups),
-                "pairs": list(self.pairs), "pair_n": n, "ends": self.ends}
+        pairs, n = np.unique(np.frombuffer(b"".join(self.pairs), "<i8"), return_counts=True)
+        return {"n_a": self.n_a, "n_b": self.n_b, "n_groups": int(n.sum()), "groups": ";".join(self.groups),
+                "pairs": pairs, "pair_n": n, "ends": np.concatenate(self.ends) if self.ends else np.zeros(0, np.int64)}
 
 
 def align_texts(aligner: Aligner, texts: list[str | None], spans: bool = False) -> list[dict]:
@@ -237,12 +226,13 @@ def align_texts(aligner: Aligner, texts: list[str | None], spans: bool = False)
         for i, segments in waiting:
             documents[i].add(list(map(aligner.known.__getitem__, segments)))
         waiting.clear()
+        aligner.forget()
 
     for i, text in enumerate(texts):
         for segments in _slices(text or ""):
             waiting.append((i, segments))
             size += len(segments)
-            if size > CACHE_SEGMENTS // 8:
+            if size > WAITING_SEGMENTS:
                 settle()
                 size = 0
     settle()

@@ -58,18 +58,18 @@ def test_alignment_equals_brute_force(aligner):
 
 def test_slices_and_forgotten_segments_change_nothing(aligner, monkeypatch):
     texts = ["some words, and more words; é à la carte " * 60, "no border here" * 3, None]
-    whole = align.align_texts(aligner, texts)
+    whole = str(align.align_texts(aligner, texts))
     monkeypatch.setattr(align, "SLICE", 7)
     monkeypatch.setattr(align, "CACHE_SEGMENTS", 5)
     aligner.known.clear()
-    assert align.align_texts(aligner, texts) == whole
+    assert str(align.align_texts(aligner, texts)) == whole
 
 
 def test_coarse_ends_are_refined_where_shared():
     # A letter of two bytes in two tokens: both report the letter's end.
-    assert align.token_ends(np.asarray([1, 3, 3]), np.asarray([1, 1, 1]), np.asarray([True, False, False])).tolist() == [1, 2, 3]
+    assert align.token_ends(np.asarray([1, 3, 3]), np.asarray([1, 1, 1])).tolist() == [1, 2, 3]
     # Byte pieces report the letter's begin, but for the last.
-    assert align.token_ends(np.asarray([1, 1, 3]), np.asarray([1, 1, 1]), np.asarray([True, False, False])).tolist() == [1, 2, 3]
+    assert align.token_ends(np.asarray([1, 1, 3]), np.asarray([1, 1, 1])).tolist() == [1, 2, 3]
 
 
 @pytest.mark.parametrize("per_block", [2_000_000, 7])
