@@ -30,10 +30,14 @@ def _field_bytes(name: str, kind: T.DataType) -> Column:
     return F.lit(8)
 
 
+def row_bytes(schema: T.StructType) -> Column:
+    """About how many bytes a row has."""
+    return sum((_field_bytes(f.name, f.dataType) for f in schema), F.lit(16)).cast("bigint")
+
+
 def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
     """(rows, bytes) of at most ``max_rows + 1`` rows."""
-    size = sum((_field_bytes(f.name, f.dataType) for f in df.schema), F.lit(16))
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("b")).first()
     return int(row["n"]), int(row["b"])
 
 

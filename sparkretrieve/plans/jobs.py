@@ -1,11 +1,8 @@
 """Batch jobs with sinks (B1-B6, E3, G6, ingest).
 
-A sink is a Parquet table of records, partitioned by a hash bucket of the
-record id. An upsert replaces exactly the ids of its batch: the buckets they
-fall into are read, rows with an incoming id are dropped, the batch is added,
-and those buckets are swapped. All other ids, and all other buckets, stay as
-they are. The merged buckets are complete in the shared folder before the
-table is touched, so a failed job can be run again.
+A sink is a table of records with upserts by id (``sources.sinks``): each run
+publishes a new version of it, in which exactly the ids of the run's batch are
+replaced or added.
 
 A batch is written once; the table, the counts and the manifest all come from
 that copy, so a manifest lists what its run wrote and nothing else.
@@ -20,10 +17,9 @@ from pyspark.sql import functions as F
 
 from sparkretrieve.functions.metadata import chunk_record_columns
 from sparkretrieve.operators import chunking, embedding
-from sparkretrieve.session import path_exists, remove_path, scratch_path
+from sparkretrieve.session import scratch_path
 from sparkretrieve.sources import dump
-
-DEFAULT_BUCKETS = 64
+from sparkretrieve.sources.sinks import read_table, upsert_table  # noqa: F401 - part of this module's surface
 
 
 @dataclass(frozen=True)
@@ -42,36 +38,6 @@ def one_per_id(df: DataFrame, id_col: str, order_col: str | None = None) -> Data
     return df.groupBy(id_col).agg(best.alias("_r")).select(id_col, "_r.*").select(*df.columns)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A sink's rows, or None before its first write."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
-
-
-def upsert_table(batch: DataFrame, path: str, id_col: str, *, buckets: int = DEFAULT_BUCKETS) -> None:
-    """Replace or add the rows of ``batch`` (one per id) in the table.
-
-    ``buckets`` is fixed by the first write; it bounds what a small batch has
-    to rewrite and should put some hundred MB into a bucket."""
-    spark = batch.sparkSession
-    old = read_table(spark, path)
-    if old is not None:
-        known = spark.read.parquet(path).select("bucket", "n_buckets").first()
-        buckets = known["n_buckets"] if known is not None else buckets
-    new = batch.withColumn("n_buckets", F.lit(buckets)) \
-        .withColumn("bucket", F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int"))
-    merged = new
-    if old is not None:
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most `buckets`
-        stay = old.filter(F.col("bucket").isin(touched)).join(new.select(id_col).distinct(), id_col, "left_anti")
-        merged = stay.select(*new.columns).unionByName(new)
-    staged = scratch_path(spark, "upsert")
-    # A bucket's rows come from one shuffle partition: one file a bucket.
-    merged.repartition("bucket").write.parquet(staged)
-    (spark.read.schema(merged.schema).parquet(staged).write.mode("overwrite").partitionBy("bucket")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
-    remove_path(spark, staged)
-
-
 def append_manifest(manifest: DataFrame, path: str) -> None:
     """Manifests are append-only JSON lines."""
     manifest.write.mode("append").json(path)
@@ -87,7 +53,8 @@ def _batch(df: DataFrame, name: str) -> DataFrame:
 def ingest_dump(spark: SparkSession, dump_path: str, output_dir: str, manifest_path: str,
                 limit: int | None = None) -> int:
     """Dump -> canonical documents table (+ manifest). Returns pages saved. Of
-    several pages with one id the last in dump order stays."""
+    several pages with one id the last in dump order (file path, then place in
+    the file) stays."""
     pages = dump.read_pages(spark, dump_path, limit, with_position=True)
     batch = _batch(dump.pages_to_documents(pages, "pos"), "ingest")
     upsert_table(one_per_id(batch, "document_id", "pos").drop("pos"), output_dir, "document_id")

@@ -70,20 +70,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its form."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table location exists, in the file system that Spark uses for it."""
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     return fs.exists(target)
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a table location, in the file system that Spark uses for it."""
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     return fs.delete(target, True)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkretrieve.operators import vectors
+from sparkretrieve.sources import sinks, snapshots
 
 _S = T.StringType()
 _MAP = T.MapType(T.StringType(), T.StringType())
@@ -38,7 +39,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, missin
         if fmt == "json":
             return (spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
                     .option("pathGlobFilter", "*.json").json(path))
-        # Sinks are partitioned; only the record's own columns are read.
+        if snapshots.versions(spark, path):
+            return sinks.RecordTable(spark, path).rows().select(*schema.fieldNames())
         return spark.read.schema(schema).format(fmt).load(path).select(*schema.fieldNames())
     except AnalysisException as exc:
         raise FileNotFoundError(f"{missing_message}: {path}") from exc

@@ -95,18 +95,19 @@ def test_guards(spark):
 def test_search_reads_the_buckets_of_its_terms(spark):
     chunks = _chunks(spark, ["a x b", "a y", "a z z", "b b x", "q r s"])
     index = bm25.build_bm25_index(chunks, term_buckets=40)
-    found = bm25.bm25_matches(index, _queries(spark, "q"), top_k=2)
+    found = bm25.bm25_matches(index, _queries(spark, "q"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(term_bucket" in plan or "PartitionFilters: [(term_bucket" in plan
     assert [(r.chunk_id, r.overlap) for r in found.collect()] == [("chunk_5", 1)]
 
 
 def test_late_fetch_reads_the_buckets_of_its_ids(spark, tmp_path):
-    from sparkretrieve.plans import jobs
+    from sparkretrieve.sources.sinks import RecordTable, upsert_table
 
     chunks = _chunks(spark, [f"word{i} common" for i in range(30)])
-    jobs.upsert_table(chunks, str(tmp_path / "chunks"), "chunk_id", buckets=8)
-    table = jobs.read_table(spark, str(tmp_path / "chunks"))
+    upsert_table(chunks, str(tmp_path / "chunks"), "chunk_id", bucket_bytes=400)
+    table = RecordTable(spark, str(tmp_path / "chunks"))
+    assert len(table.buckets) >= 8
     res = bm25.bm25_search(table, _queries(spark, "word7"), top_k=1, index=bm25.build_bm25_index(chunks))
     assert "dynamicpruning" in res._jdf.queryExecution().executedPlan().toString().lower()
     assert [(r.chunk_id, r.text) for r in res.collect()] == [("chunk_8", "word7 common")]
