@@ -243,23 +243,24 @@ def _reject_repeated_ids(blocks: DataFrame) -> None:
         raise ValueError(f"duplicate chunk_id: {same['chunk_id']}")
 
 
-def _live_totals(index: BM25Index) -> tuple[int, int]:
-    """(chunks, tokens) over the live places."""
+def _live_totals(index: BM25Index) -> tuple[int, int, int]:
+    """(chunks, tokens) over the live places, and the number of blocks."""
     blocks = index.blocks.select("block", "lengths")
     if index.tombstones is not None:
         blocks = blocks.join(index.tombstones, "block", "left").select(F.when(F.col("dead").isNull(), F.col("lengths")).otherwise(
             F.filter("lengths", lambda _, k: ~F.array_contains("dead", k))).alias("lengths"))
     row = blocks.agg(F.coalesce(F.sum(F.size("lengths")), F.lit(0)).alias("n"), F.coalesce(
-        F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)), F.lit(0)).alias("total")).first()
-    return int(row["n"]), int(row["total"])
+        F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)), F.lit(0)).alias("total"),
+        F.count(F.lit(1)).alias("blocks")).first()
+    return int(row["n"]), int(row["total"]), int(row["blocks"])
 
 
 def _publish(index: BM25Index, frequencies: DataFrame, after: int) -> BM25Index:
     """Write the terms of the new version and its statistics, and publish it."""
     terms = f"terms/{uuid.uuid4().hex}"
-    frequencies.write.partitionBy("term_bucket").parquet(f"{index.path}/{terms}")
-    n_chunks, total = _live_totals(index)
-    index.content |= {"terms": terms, "n_chunks": n_chunks, "total_tokens": total}
+    frequencies.hint("rebalance", "term_bucket").write.partitionBy("term_bucket").parquet(f"{index.path}/{terms}")
+    n_chunks, total, n_blocks = _live_totals(index)
+    index.content |= {"terms": terms, "n_chunks": n_chunks, "total_tokens": total, "n_blocks": n_blocks}
     raw = _idf_columns(index.document_frequencies, n_chunks, None, index.epsilon)
     facts = raw.agg(F.avg("raw_idf").alias("mean_idf"), F.count(F.lit(1)).alias("vocabulary")).first()
     index.content |= {"vocabulary": facts["vocabulary"], "mean_idf": facts["mean_idf"]}
@@ -502,7 +503,7 @@ class _QueryBlock:
         control = self.spark.createDataFrame([], "block bigint, asked array<bigint>, dead array<int>")
         if pairs is not None:
             asked = pairs.groupBy("block").agg(F.collect_list("q").alias("asked"))  # at most the block of queries
-            here, _ = broadcast_if_bounded(pairs.select("block").distinct())
+            here, _ = broadcast_if_bounded(pairs.select("block").distinct(), upper_bound=self.index.content["n_blocks"])
             rows = rows.join(here, "block", "left_semi")
             control = asked.select("block", "asked", none.alias("dead"))
         if self.index.tombstones is not None:
@@ -542,7 +543,6 @@ def _pruned(block: _QueryBlock, top_k: int) -> tuple[DataFrame, DataFrame]:
     floor = first.withColumn("r", F.row_number().over(order)).filter(F.col("r") == top_k).select("q", F.col("score").alias("floor"))
     decided = bounds.join(floor, "q", "left").select("q", "block", "bound", "seed", (
         F.col("seed") | F.col("floor").isNull() | (F.col("bound") >= F.col("floor") - BOUND_SLACK)).alias("scored"))
-    decided = _written(decided, "bm25-decided")
     more = block.score(_best_places(top_k), _PLACES, decided.filter("scored and not seed"))
     # Ties stay for now: they are broken by chunk id.
     best = Window.partitionBy("q").orderBy(F.round("score", SCORE_RANK_DIGITS).desc(), F.col("overlap").desc())

@@ -105,57 +105,18 @@ def q_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- M2: chunking ------------------------------------------------------------
 
 def q_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The splitter at its defaults (1200/200), one row per document: what must
-    hold for its chunks. A text of at most 1200 characters gives its stripped
-    self, exactly. Of every text all chunks are parts of it, in order, at most
-    1200 characters long, together hold all its non-blank characters, and
-    repeat at most 200 characters per neighbour."""
-    docs = _documents(spark, sf_dir).select("document_id", F.col("text").alias("whole"))
-    split = chunking.split_documents(_documents(spark, sf_dir))
-    size, overlap = chunking.DEFAULT_CHUNK_SIZE, chunking.DEFAULT_CHUNK_OVERLAP
-    joined = split.select("document_id", "chunks").join(docs, "document_id")
-    solid = lambda c: F.length(F.regexp_replace(c, WHITESPACE_RE, ""))
-    # Each chunk is looked for from where the one before was found.
-    found = F.aggregate("chunks", F.lit(1), lambda at, c: F.when(at > 0, F.position(c, F.col("whole"), at)).otherwise(at))
-    total = F.aggregate("chunks", F.lit(0), lambda n, c: n + F.length(c))
-    kept = F.aggregate("chunks", F.lit(0), lambda n, c: n + solid(c))
-    return joined.select(
-        "document_id",
-        F.when(F.length("whole") <= size, F.md5(F.array_join("chunks", "|"))).alias("short_digest"),
-        F.forall("chunks", lambda c: F.contains(F.col("whole"), c)).alias("parts"),
-        F.forall("chunks", lambda c: (F.length(c) <= size) & (F.length(c) > 0)).alias("within_size"),
-        (found > 0).alias("in_order"),
-        (kept >= solid(F.col("whole"))).alias("covered"),
-        (total <= F.length("whole") + overlap * F.greatest(F.size("chunks") - 1, F.lit(0))).alias("little_repeated"),
-    )
+    """Every chunk of every document at the splitter's defaults (1200/200)."""
+    return chunking.chunk_documents(_documents(spark, sf_dir)).select(
+        "chunk_id", "document_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), "title",
+        F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest"))
 
 
 def q_chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents processed, chunks of the short ones, and bounds on all chunks."""
-    docs = _documents(spark, sf_dir)
-    size, overlap = chunking.DEFAULT_CHUNK_SIZE, chunking.DEFAULT_CHUNK_OVERLAP
-    facts = docs.agg(F.sum(F.ceil(F.length(py_strip("text")) / size)).alias("least"),
-                     F.sum(1 + F.ceil(F.length("text") / overlap)).alias("most"))
-    short = chunking.chunk_summary(chunking.split_documents(docs.filter(F.length("text") <= size)))
-    whole = chunking.chunk_summary(chunking.split_documents(docs))
-    return whole.join(short.select(F.col("chunks_saved").alias("short_chunks"))).join(facts).select(
-        "documents_processed", "short_chunks", (F.col("chunks_saved") >= F.col("least")).alias("at_least"),
-        (F.col("chunks_saved") <= F.col("most")).alias("at_most"))
+    return chunking.chunk_summary(chunking.split_documents(_documents(spark, sf_dir)))
 
 
 def q_chunk_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest by document: its first chunk, and whether paths, ids,
-    numbering and status of all its rows are as they should be."""
-    manifest = chunking.chunk_manifest(chunking.chunk_documents(_documents(spark, sf_dir)), "chunks")
-    number = F.element_at(F.split("chunk_id", "_chunk_"), -1).cast("bigint")
-    path = F.concat(F.lit("chunks/"), F.col("chunk_id"), F.lit(".json"))
-    return manifest.groupBy("document_id").agg(
-        F.min_by("chunk_id", number).alias("first_chunk"), F.min_by("output_path", number).alias("first_path"),
-        F.bool_and(F.col("output_path") == path).alias("paths"),
-        F.bool_and(F.col("chunk_id") == F.concat("document_id", F.lit("_chunk_"), number)).alias("ids"),
-        ((F.min(number) == 0) & (F.max(number) == F.count(F.lit(1)) - 1)
-         & (F.count_distinct(number) == F.count(F.lit(1)))).alias("numbering"),
-        F.bool_and(F.col("status") == "saved").alias("saved"))
+    return chunking.chunk_manifest(chunking.chunk_documents(_documents(spark, sf_dir)), "chunks")
 
 
 def _lossless(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
@@ -177,38 +138,29 @@ def _real_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(chunks.schema).parquet(path)
 
 
-def _plain_bm25(chunks: DataFrame, queries: DataFrame) -> DataFrame:
-    """BM25 written out as joins and aggregates on exploded tokens, to hold the
-    index and its search against."""
-    toks = chunks.select("chunk_id", F.explode(tokenize("text")).alias("term"))
-    tf = toks.groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    dl = chunks.select("chunk_id", F.size(tokenize("text")).alias("dl"))
-    facts = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = df.withColumn("raw", F.log(F.lit(facts["n"]) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-    mean = raw.agg(F.avg("raw").alias("m")).first()["m"]
-    idf = raw.select("term", F.when(F.col("raw") < 0, F.lit(bm25.EPSILON * (mean or 0.0))).otherwise(F.col("raw")).alias("idf"))
-    asked = queries.select("query_id", F.explode(tokenize("query")).alias("term")) \
-        .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qf"))
-    norm = bm25.K1 * (1 - bm25.B + bm25.B * F.col("dl") / F.lit(facts["avgdl"]))
-    part = F.col("qf") * F.col("idf") * F.col("tf") * (bm25.K1 + 1) / (F.col("tf") + norm)
-    scores = tf.join(asked, "term").join(idf, "term").join(dl, "chunk_id") \
-        .groupBy("query_id", "chunk_id").agg(F.sum(part).alias("score"), F.count(F.lit(1)).alias("overlap"))
-    return bm25.rank_matches(scores, TOP_K)
-
-
 def q_bm25_chunk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BM25 top-k over the real chunks, as the studied search command runs it,
-    beside the same ranking from ``_plain_bm25``: per query, whether they agree."""
-    chunks, queries = _real_chunks(spark, sf_dir), _queries(spark, sf_dir)
-    found = bm25.bm25_search(chunks, queries, top_k=TOP_K, columns=("document_id",))
-    key = F.struct(F.col("rank").cast("bigint").alias("rank"), "chunk_id", F.round("score", SCORE_DIGITS).alias("score"),
-                   F.col("overlap").cast("bigint").alias("overlap"))
-    ours = found.groupBy("query_id").agg(F.array_sort(F.collect_list(key)).alias("a"),
-                                         F.bool_and(F.col("chunk_id").startswith(F.concat("document_id", F.lit("_chunk_")))).alias("own"))
-    plain = _plain_bm25(chunks, queries).groupBy("query_id").agg(F.array_sort(F.collect_list(key)).alias("b"))
-    return queries.select("query_id").join(ours, "query_id", "left").join(plain, "query_id", "left").select(
-        "query_id", F.col("a").eqNullSafe(F.col("b")).alias("agrees"), F.coalesce("own", F.lit(True)).alias("fetched"))
+    """BM25 top-k over the splitter's chunks."""
+    res = bm25.bm25_search(_real_chunks(spark, sf_dir), _queries(spark, sf_dir), top_k=TOP_K, columns=("document_id",))
+    return res.select("query_id", F.col("rank").cast("bigint").alias("rank"), "chunk_id", "document_id", _round("score"),
+                      F.col("overlap").cast("bigint").alias("overlap"))
+
+
+def q_bm25_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of three quarters of the chunks, a third of them with old texts,
+    and of some that will go; then the update that replaces the old, adds the
+    rest and withdraws what is gone. The search is that of an index built anew."""
+    chunks = _chunks(spark, sf_dir).select("chunk_id", "text", F.col("source_id").cast("bigint").alias("k"))
+    old = F.when(F.col("k") % 3 == 0, F.substring("text", 1, 300)).otherwise(F.col("text"))
+    first = chunks.filter("k % 4 != 3").select("chunk_id", old.alias("text"))
+    leaving = chunks.filter("k % 5 = 0").select(F.concat(F.lit("gone_"), "chunk_id").alias("chunk_id"), "text")
+    index = bm25.build_bm25_index(first.unionByName(leaving))
+    index = bm25.update_bm25_index(index, chunks.filter("k % 4 = 3 or k % 3 = 0").select("chunk_id", "text"),
+                                   removed=leaving.select("chunk_id"))
+    matches = bm25.bm25_matches(index, _queries(spark, sf_dir), top_k=TOP_K)
+    facts = index.stats.select("n_chunks", "vocabulary")
+    return bm25.rank_matches(matches, TOP_K).crossJoin(F.broadcast(facts)).select(
+        "query_id", F.col("rank").cast("bigint").alias("rank"), "chunk_id", _round("score"),
+        F.col("overlap").cast("bigint").alias("overlap"), "n_chunks", "vocabulary")
 
 
 def q_chunk_lossless(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -567,7 +519,7 @@ def q_stream_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     _documents(spark, sf_dir).write.parquet(landing)
     chunks, _ = run_chunk_stream(spark, landing, scratch_path(spark, "stream-out"),
                                  chunk_size=chunking.DEFAULT_CHUNK_SIZE, chunk_overlap=0,
-                                 max_files_per_trigger=1)
+                                 max_files_per_trigger=4)
     per_doc = chunks.groupBy("document_id").agg(
         F.array_sort(F.collect_list(F.struct("chunk_index", "text"))).alias("parts"),
         F.max(F.length("text")).alias("longest"))
@@ -581,6 +533,24 @@ def q_stream_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("within_size", F.lit(True)).alias("within_size"))
 
 
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some documents land, then all of them, every third with a shorter text;
+    one stream takes both landings in turn. Per document: the digest of its
+    chunks now, and in how many batches it was emitted."""
+    from sparkretrieve.streaming.ingest import run_chunk_stream
+
+    landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "stream-out", "stream-ckpt"))
+    docs = _documents(spark, sf_dir).withColumn("k", F.col("source_id").cast("bigint"))
+    shorter = F.when(F.col("k") % 3 == 0, F.substring("text", F.lit(1), F.floor(F.length("text") / 2).cast("int"))).otherwise(F.col("text"))
+    for rows in (docs.filter("k % 2 = 0 or k % 10 = 1"), docs.withColumn("text", shorter)):
+        rows.drop("k").write.mode("append").parquet(landing)
+        chunks, manifest = run_chunk_stream(spark, landing, out, chunk_overlap=0, checkpoint=checkpoint)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))), lambda p: p["text"]), "")
+    now = chunks.groupBy("document_id").agg(F.md5(F.regexp_replace(joined, WHITESPACE_RE, "")).alias("digest"))
+    emitted = manifest.select("document_id", "stream", "batch_id").distinct().groupBy("document_id").agg(F.count(F.lit(1)).alias("emitted"))
+    return now.join(emitted, "document_id")
+
+
 QUERIES: dict[str, QueryBuilder] = {
     "canonical_documents": q_canonical_documents,
     "tokenize_terms": q_tokenize_terms,
@@ -624,6 +594,8 @@ QUERIES: dict[str, QueryBuilder] = {
     "ann_ivf": q_ann_ivf,
     "ann_recall": q_ann_recall,
     "stream_chunk": q_stream_chunk,
+    "stream_upsert": q_stream_upsert,
+    "bm25_update": q_bm25_update,
 }
 
 

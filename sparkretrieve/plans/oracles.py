@@ -16,6 +16,52 @@ WHITESPACE_RE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A
 def _strip(c: str) -> str:
     return f"regexp_replace({c}, '^{WHITESPACE_RE}+|{WHITESPACE_RE}+$', '', 'g')"
 
+def _split_ctes(size: int, overlap: int) -> str:
+    """The recursive character split in SQL, over positions in the text: split(document_id,
+    chunk_index, text). Level k cuts the spans that hold separator k; spans of at
+    least ``size`` go on to the next level, runs of shorter ones are merged. A
+    window of pieces that begins at b is emitted before the first piece that
+    ends beyond b + size; the next begins at the first piece within the overlap
+    that leaves room for that one."""
+    levels = ["""
+n0 AS (SELECT document_id, 0::BIGINT AS s, text AS t FROM docs WHERE text <> '')"""]
+    separators = ("chr(10)||chr(10)", "chr(10)", "'. '", "' '", "''")
+    for k, sep in enumerate(separators):
+        has = "TRUE" if k == 4 else f"contains(t, {sep})"
+        levels.append(f"""
+c{k} AS MATERIALIZED (
+  SELECT document_id, s, j, at, n, p, sum((n >= {size})::INT) OVER (PARTITION BY document_id, s ORDER BY j) AS longs
+  FROM (SELECT document_id, s, j, p, length(p) AS n,
+               s + coalesce(sum(length(p)) OVER (PARTITION BY document_id, s ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+        FROM (SELECT document_id, s, j, CASE WHEN j > 1 THEN {sep} || x ELSE x END AS p
+              FROM (SELECT document_id, s, unnest(string_split(t, {sep})) AS x, generate_subscripts(string_split(t, {sep}), 1) AS j
+                    FROM n{k} WHERE {has})))
+  WHERE n > 0)""")
+        if k < 4:
+            levels.append(f"""
+n{k + 1} AS MATERIALIZED (
+  SELECT document_id, s, t FROM n{k} WHERE NOT contains(t, {sep})
+  UNION ALL SELECT document_id, at AS s, p AS t FROM c{k} WHERE n >= {size})""")
+    pieces = " UNION ALL ".join(f"SELECT document_id || '|{k}|' || s || '|' || longs AS g, document_id, at, at + n AS e FROM c{k} WHERE n < {size}"
+                                for k in range(5))
+    return "," + ",".join(levels) + f""",
+pieces AS MATERIALIZED ({pieces}),
+runs AS (SELECT g, document_id, min(at) AS first, max(e) AS last FROM pieces GROUP BY g, document_id),
+stops AS (
+  SELECT b.g, b.at AS b, e.at AS stop, least(e.at, greatest(e.at - {overlap}, e.e - {size})) AS since
+  FROM (SELECT g, at, at + {size} AS reach FROM pieces) b ASOF JOIN pieces e ON b.g = e.g AND b.reach < e.e),
+steps AS MATERIALIZED (SELECT x.g, x.b, x.stop, p.at AS again FROM stops x ASOF JOIN pieces p ON x.g = p.g AND x.since <= p.at),
+walk AS (
+  SELECT g, first AS b FROM runs
+  UNION ALL SELECT w.g, n.again AS b FROM walk w JOIN steps n ON n.g = w.g AND n.b = w.b),
+parts AS (
+  SELECT r.document_id, w.b, {_strip("substring(d.text, w.b + 1, coalesce(n.stop, r.last) - w.b)")} AS text
+  FROM walk w JOIN runs r ON r.g = w.g LEFT JOIN steps n ON n.g = w.g AND n.b = w.b JOIN docs d ON d.document_id = r.document_id),
+split AS MATERIALIZED (
+  SELECT document_id, row_number() OVER (PARTITION BY document_id ORDER BY b) - 1 AS chunk_index, text
+  FROM parts WHERE text <> '')"""
+
+
 DOCS = """
 docs AS (
   SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS document_id, source,
@@ -30,6 +76,19 @@ chunks AS (
          0 AS chunk_index, text
   FROM docs)"""
 
+# The splitter's chunks (1200/200) in the place of whole documents.
+SPLIT = DOCS + _split_ctes(1200, 200)
+REAL_CHUNKS = SPLIT + """,
+chunks AS MATERIALIZED (
+  SELECT document_id || '_chunk_' || s.chunk_index AS chunk_id, document_id, d.source, d.source_id, d.title,
+         s.chunk_index, s.text
+  FROM split s JOIN docs d USING (document_id))"""
+
+
+def _over_real_chunks(ctes: str) -> str:
+    return ctes.replace(CHUNKS, REAL_CHUNKS)
+
+
 CTOKS = CHUNKS + f""",
 ctoks AS (
   SELECT chunk_id, list_transform(regexp_extract_all(text, '{TOKEN_RE}'), lambda t: lower(t)) AS toks
@@ -73,7 +132,7 @@ ranked AS (
 
 
 def _with(ctes: str, body: str) -> str:
-    return "WITH " + ctes.strip() + "\n" + body.strip()
+    return ("WITH RECURSIVE " if "walk AS" in ctes else "WITH ") + ctes.strip() + "\n" + body.strip()
 
 
 def _hash_cells(name: str, source: str) -> str:
@@ -347,21 +406,28 @@ SELECT 'wikipedia_' || page_id AS document_id, 'wikipedia' AS source, page_id AS
 FROM pages_ok"""),
 })
 ORACLES.update({
-    "chunk_documents": _with(DOCS, f"""
-SELECT document_id,
-       CASE WHEN length(text) <= 1200 THEN md5({_strip("text")}) END AS short_digest,
-       TRUE AS parts, TRUE AS within_size, TRUE AS in_order, TRUE AS covered, TRUE AS little_repeated
-FROM docs"""),
-    "chunk_summary": _with(DOCS, f"""
-SELECT count(*) AS documents_processed,
-       count(*) FILTER (WHERE length(text) <= 1200 AND {_strip("text")} <> '') AS short_chunks,
-       TRUE AS at_least, TRUE AS at_most
-FROM docs"""),
-    "chunk_manifest": _with(DOCS, f"""
-SELECT document_id, document_id || '_chunk_0' AS first_chunk, 'chunks/' || document_id || '_chunk_0.json' AS first_path,
-       TRUE AS paths, TRUE AS ids, TRUE AS numbering, TRUE AS saved
-FROM docs WHERE {_strip("text")} <> ''"""),
-    "bm25_chunk_search": "SELECT item_id AS query_id, TRUE AS agrees, TRUE AS fetched FROM benchmark",
+    "chunk_documents": _with(REAL_CHUNKS, """
+SELECT chunk_id, document_id, chunk_index, title, length(text) AS n_chars, md5(text) AS digest FROM chunks"""),
+    "chunk_summary": _with(SPLIT, """
+SELECT (SELECT count(*) FROM docs) AS documents_processed, (SELECT count(*) FROM split) AS chunks_saved"""),
+    "chunk_manifest": _with(REAL_CHUNKS, """
+SELECT document_id, chunk_id, 'chunks/' || chunk_id || '.json' AS output_path, 'saved' AS status FROM chunks"""),
+    "bm25_chunk_search": _with(_over_real_chunks(BM25_RANKED), f"""
+SELECT r.query_id, r.rank, r.chunk_id, c.document_id, round(r.score, 6) AS score, r.overlap
+FROM ranked r JOIN chunks c ON c.chunk_id = r.chunk_id WHERE r.rank <= {TOP_K}"""),
+    "eval_real_chunks": _with(_over_real_chunks(EVAL_HYBRID), EVAL_ROWS),
+    "bm25_update": _with(BM25_RANKED, f"""
+SELECT query_id, rank, chunk_id, round(score, 6) AS score, overlap, n AS n_chunks, (SELECT count(*) FROM idf) AS vocabulary
+FROM ranked, cstats WHERE rank <= {TOP_K}"""),
+    "stream_upsert": f"""
+WITH d AS (
+  SELECT 'doc_' || doc_id AS document_id, coalesce(text, '') AS old,
+         CASE WHEN doc_id % 3 = 0 THEN substring(coalesce(text, ''), 1, length(coalesce(text, '')) // 2) ELSE coalesce(text, '') END AS new,
+         doc_id % 2 = 0 OR doc_id % 10 = 1 AS early
+  FROM documents)
+SELECT document_id, md5(regexp_replace(new, '{WHITESPACE_RE}', '', 'g')) AS digest,
+       ((early AND {_strip("old")} <> '')::INT + (NOT early OR old <> new)::INT)::BIGINT AS emitted
+FROM d WHERE {_strip("new")} <> ''""",
     "page_validity": _with(PAGES, """
 SELECT title, page_id, revision_id, timestamp, text FROM pages_ok WHERE page_id::BIGINT % 5 > 1"""),
     "ingest_upsert": _with(PAGES, """

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkretrieve.operators.sizing import broadcast_if_bounded, row_bytes
-from sparkretrieve.session import remove_path, scratch_path
+from sparkretrieve.session import path_exists, remove_path, scratch_path
 from sparkretrieve.sources import snapshots
 
 BUCKET_BYTES = 256 << 20
@@ -135,13 +135,13 @@ def upsert_table(batch: DataFrame, path: str, id_col: str, *, bucket_bytes: int
         stay = old._read(touched).drop("batch", "bucket").join(new.select(id_col), id_col, "left_anti")
         if remove is not None:
             stay = stay.join(remove.select(id_col), id_col, "left_anti")
-        # What stays decides whether a bucket must be split, so it is measured.
         stay = stay.select(*new.columns)
-        left = scratch_path(spark, "upsert-stay")
-        stay.write.parquet(left)
-        stay = spark.read.schema(new.schema).parquet(left)
-        for r in stay.groupBy(_slot(id_col, depth).alias("slot")).agg(F.sum(_SIZE).alias("b")).collect():
-            sizes[of_slot[r["slot"]]] += r["b"]
+        most = {k: n + known.get(k, {"bytes": 0})["bytes"] for k, n in sizes.items()}
+        if max(most.values()) > limit:  # whether a bucket must be split depends on what stays
+            for r in stay.groupBy(_slot(id_col, depth).alias("slot")).agg(F.sum(_SIZE).alias("b")).collect():
+                sizes[of_slot[r["slot"]]] += r["b"]
+        else:
+            sizes = most
         merged = stay.unionByName(new)
 
     targets = [t for (d, s), n in sizes.items() for t in _split(s, d, n, limit)]
@@ -152,12 +152,13 @@ def upsert_table(batch: DataFrame, path: str, id_col: str, *, bucket_bytes: int
     # A bucket's rows come from one task, and a bucket is bounded.
     (merged.withColumn("_slot", _slot(id_col, width)).join(side, "_slot").drop("_slot").repartition("bucket")
      .write.partitionBy("bucket").parquet(f"{path}/data/{folder}"))
-    written = spark.read.schema(T.StructType([T.StructField(_SIZE, T.LongType()), T.StructField("bucket", T.StringType())])) \
-        .parquet(f"{path}/data/{folder}") if not merged.isEmpty() else None
     buckets = [b for k, b in known.items() if k not in sizes]
-    for r in written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(_SIZE).alias("b")).collect() if written is not None else []:
-        d, s = map(int, r["bucket"].split("-"))
-        buckets.append({"depth": d, "suffix": s, "rows": r["n"], "bytes": r["b"], "folder": f"{folder}/bucket={r['bucket']}"})
+    if path_exists(spark, f"{path}/data/{folder}") and sizes:
+        written = spark.read.schema(T.StructType([T.StructField(_SIZE, T.LongType()), T.StructField("bucket", T.StringType())])) \
+            .parquet(f"{path}/data/{folder}")
+        for r in written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(_SIZE).alias("b")).collect():
+            d, s = map(int, r["bucket"].split("-"))
+            buckets.append({"depth": d, "suffix": s, "rows": r["n"], "bytes": r["b"], "folder": f"{folder}/bucket={r['bucket']}"})
     content = {"schema": batch.schema.jsonValue(), "bucket_bytes": limit, "buckets": buckets}
     version = snapshots.publish(spark, path, content, old.version if old else 0)
     remove_path(spark, staged)

@@ -83,7 +83,7 @@ def apply_documents(docs: DataFrame, output_dir: str, chunk_size: int = chunking
     states = changed.select("document_id", "content", "_had").join(counted, "document_id")
     gone = states.filter(F.col("_had") > F.col("n_chunks")).select(F.explode(F.sequence(
         F.col("n_chunks"), F.col("_had") - 1)).alias("k"), "document_id").select(F.concat("document_id", F.lit("_chunk_"), F.col("k").cast("string")).alias("chunk_id"))
-    upsert_table(chunks, chunks_path, "chunk_id", remove=gone)
+    upsert_table(chunks, chunks_path, "chunk_id", remove=None if gone.isEmpty() else gone)
     if manifest is not None:
         chunking.chunk_manifest(chunks, chunks_path).write.mode("overwrite").parquet(manifest)
     upsert_table(states.select("document_id", "content", "n_chunks"), states_path, "document_id")
