@@ -30,9 +30,9 @@ n0 AS (SELECT document_id, 0::BIGINT AS s, text AS t FROM docs WHERE text <> '')
         has = "TRUE" if k == 4 else f"contains(t, {sep})"
         levels.append(f"""
 c{k} AS MATERIALIZED (
-  SELECT document_id, s, j, at, n, p, sum((n >= {size})::INT) OVER (PARTITION BY document_id, s ORDER BY j) AS longs
+  SELECT document_id, s, j, pos, n, p, sum((n >= {size})::INT) OVER (PARTITION BY document_id, s ORDER BY j) AS longs
   FROM (SELECT document_id, s, j, p, length(p) AS n,
-               s + coalesce(sum(length(p)) OVER (PARTITION BY document_id, s ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+               s + coalesce(sum(length(p)) OVER (PARTITION BY document_id, s ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
         FROM (SELECT document_id, s, j, CASE WHEN j > 1 THEN {sep} || x ELSE x END AS p
               FROM (SELECT document_id, s, unnest(string_split(t, {sep})) AS x, generate_subscripts(string_split(t, {sep}), 1) AS j
                     FROM n{k} WHERE {has})))
@@ -41,16 +41,16 @@ c{k} AS MATERIALIZED (
             levels.append(f"""
 n{k + 1} AS MATERIALIZED (
   SELECT document_id, s, t FROM n{k} WHERE NOT contains(t, {sep})
-  UNION ALL SELECT document_id, at AS s, p AS t FROM c{k} WHERE n >= {size})""")
-    pieces = " UNION ALL ".join(f"SELECT document_id || '|{k}|' || s || '|' || longs AS g, document_id, at, at + n AS e FROM c{k} WHERE n < {size}"
+  UNION ALL SELECT document_id, pos AS s, p AS t FROM c{k} WHERE n >= {size})""")
+    pieces = " UNION ALL ".join(f"SELECT document_id || '|{k}|' || s || '|' || longs AS g, document_id, pos, pos + n AS e FROM c{k} WHERE n < {size}"
                                 for k in range(5))
     return "," + ",".join(levels) + f""",
 pieces AS MATERIALIZED ({pieces}),
-runs AS (SELECT g, document_id, min(at) AS first, max(e) AS last FROM pieces GROUP BY g, document_id),
+runs AS (SELECT g, document_id, min(pos) AS first, max(e) AS last FROM pieces GROUP BY g, document_id),
 stops AS (
-  SELECT b.g, b.at AS b, e.at AS stop, least(e.at, greatest(e.at - {overlap}, e.e - {size})) AS since
-  FROM (SELECT g, at, at + {size} AS reach FROM pieces) b ASOF JOIN pieces e ON b.g = e.g AND b.reach < e.e),
-steps AS MATERIALIZED (SELECT x.g, x.b, x.stop, p.at AS again FROM stops x ASOF JOIN pieces p ON x.g = p.g AND x.since <= p.at),
+  SELECT b.g, b.pos AS b, e.pos AS stop, least(e.pos, greatest(e.pos - {overlap}, e.e - {size})) AS since
+  FROM (SELECT g, pos, pos + {size} AS reach FROM pieces) b ASOF JOIN pieces e ON b.g = e.g AND b.reach < e.e),
+steps AS MATERIALIZED (SELECT x.g, x.b, x.stop, p.pos AS again FROM stops x ASOF JOIN pieces p ON x.g = p.g AND x.since <= p.pos),
 walk AS (
   SELECT g, first AS b FROM runs
   UNION ALL SELECT w.g, n.again AS b FROM walk w JOIN steps n ON n.g = w.g AND n.b = w.b),

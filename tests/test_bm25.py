@@ -167,3 +167,71 @@ def test_index_saved_once_and_reloaded(spark):
     assert loaded.stats.first().asDict() == built.stats.first().asDict()
     assert loaded.term_buckets == 3 and loaded.stats.first().n_chunks == 5
     assert _rows(loaded, queries) == _rows(built, queries)
+
+
+def _many(spark, n=400):
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    texts = [" ".join(words[:1 + i % 5]) + f" {'filler ' * (i % 7)}" + (" zygote" * (1 + i % 3) if 150 <= i < 165 else "") for i in range(n)]
+    return _chunks(spark, texts).select("chunk_id", "text").repartitionByRange(4, F.length("chunk_id"), "chunk_id")
+
+
+def _top(index, queries, k):
+    found = bm25.rank_matches(bm25.bm25_matches(index, queries, top_k=k), k)
+    return sorted((r.query_id, r.rank, r.chunk_id, round(r.score, 9), r.overlap) for r in found.collect())
+
+
+def _top_of_all(index, queries, k):
+    found = bm25.rank_matches(bm25.bm25_matches(index, queries), k)
+    return sorted((r.query_id, r.rank, r.chunk_id, round(r.score, 9), r.overlap) for r in found.collect())
+
+
+def test_blocks_that_cannot_hold_a_result_are_skipped(spark):
+    index = bm25.build_bm25_index(_many(spark), block_chunks=20)
+    queries = _queries(spark, "zygote alpha", "alpha", "omega filler", "zygote", "unknown")
+    assert _top(index, queries, 5) == _top_of_all(index, queries, 5)
+    seen = bm25.search_blocks(index, queries, 5).collect()
+    rare = [r for r in seen if r.query_id == 0]
+    assert len(rare) >= 20 and sum(not r.scored for r in rare) > len(rare) / 2
+    # A query asks only for blocks that hold one of its terms.
+    assert len([r for r in seen if r.query_id == 3]) <= 3 and not [r for r in seen if r.query_id == 4]
+
+
+def test_ids_are_looked_up_in_the_blocks_of_the_result(spark):
+    index = bm25.build_bm25_index(_many(spark), block_chunks=20)
+    found = bm25.bm25_matches(index, _queries(spark, "zygote"), top_k=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    blocks = plan[plan.index("ids#"):]
+    assert "In(block" in plan or "EqualTo(block" in plan
+    assert "Exchange hashpartitioning(block" not in blocks
+
+
+def test_updated_index_equals_one_built_anew(spark):
+    chunks = _many(spark)
+    n = F.regexp_extract("chunk_id", r"(\d+)", 1).cast("int")
+    first = chunks.filter(n % 4 != 0).withColumn("text", F.when(n % 3 == 0, F.lit("old words zygote")).otherwise(F.col("text")))
+    extra = spark.createDataFrame([("gone_1", "alpha zygote zygote"), ("gone_2", "")], "chunk_id string, text string")
+    old = bm25.build_bm25_index(first.union(extra), block_chunks=30)
+    queries = _queries(spark, "zygote alpha", "old words", "omega delta beta")
+    before = _top(old, queries, 7)
+    index = bm25.update_bm25_index(old, chunks.filter((n % 4 == 0) | (n % 3 == 0)), removed=extra.select("chunk_id"))
+    fresh = bm25.build_bm25_index(chunks, block_chunks=50)
+    assert index.stats.first() == fresh.stats.first()
+    terms = lambda i: sorted((r.term, r.df, round(r.idf, 9)) for r in i.terms.collect())
+    assert terms(index) == terms(fresh)
+    for k in (1, 7, 500):
+        assert _top(index, queries, k) == _top(fresh, queries, k)
+    assert _rows(index, queries) == _rows(fresh, queries)
+    pairs = lambda i: sorted(map(tuple, bm25.term_chunks(i).collect()))
+    assert pairs(index) == pairs(fresh)
+
+    # The first segment was not rewritten, and its version can still be read.
+    assert index.content["segments"][0] == old.content["segments"][0]
+    assert _top(bm25.load_bm25_index(spark, old.path, version=old.version), queries, 7) == before
+    again = bm25.update_bm25_index(index, chunks.filter(n == 8))  # a replaced chunk of the second segment
+    compact = bm25.compact_bm25_index(again)
+    assert len(compact.content["segments"]) == 1 and compact.tombstones is None
+    again = bm25.load_bm25_index(spark, old.path)  # versions follow each other
+    part = bm25.compact_bm25_index(again, [again.content["segments"][0]["name"]])
+    assert len(part.content["segments"]) == 1
+    for i in (again, compact, bm25.load_bm25_index(spark, old.path)):
+        assert i.stats.first() == fresh.stats.first() and _top(i, queries, 7) == _top(fresh, queries, 7)

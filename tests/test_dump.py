@@ -100,3 +100,45 @@ def test_bz2_dump_split_into_many_tasks_keeps_every_page_once(spark, tmp_path):
     assert len(rows) == 3000
     assert {r.page_id for r in rows} == {str(i) for i in range(1, 3001)}
     assert all(r.revision_id == str(10 * int(r.page_id)) for r in rows)
+
+
+def _revisions(spark, path):
+    return [(r.page_id, r.revision_id) for r in dump.read_pages(spark, path, with_position=True).orderBy("pos").collect()]
+
+
+def test_order_is_path_then_offset_whatever_the_sizes(spark, tmp_path):
+    from sparkretrieve.plans import jobs
+    from sparkretrieve.sources import records
+
+    for small, large in ((1, 2), (2, 1)):
+        folder = tmp_path / f"dump{small}"
+        folder.mkdir()
+        for part in (1, 2):
+            text = "x" * (50 if part == small else 50_000)
+            (folder / f"part-{part}.xml").write_text(HEADER + PAGE.format(title="T", pid="7", rev=REV.format(rid=str(part), text=text)) + "</mediawiki>")
+        assert _revisions(spark, str(folder)) == [("7", "1"), ("7", "2")]
+        assert [r.revision_id for r in dump.read_pages(spark, str(folder), 1).collect()] == ["1"]
+        jobs.ingest_dump(spark, str(folder), str(tmp_path / f"docs{small}"), str(tmp_path / f"man{small}"))
+        assert [r.version for r in records.read_documents(spark, str(tmp_path / f"docs{small}"), fmt="parquet").collect()] == ["2"]
+
+
+def test_a_limit_reads_a_few_splits_of_a_large_file(spark, tmp_path):
+    path = tmp_path / "large.xml"
+    path.write_text(HEADER + "".join(PAGE.format(title=f"T{i}", pid=str(i), rev=REV.format(rid="1", text="word " * 40)) for i in range(1000)) + "</mediawiki>")
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert dump.read_pages(spark, str(path)).rdd.getNumPartitions() > 40
+        assert _revisions(spark, str(path)) == [(str(i), "1") for i in range(1000)]
+        tracker = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("few-splits", "limit")
+        got = dump.read_pages(spark, str(path), 5)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tasks = sum(tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("few-splits") for s in tracker.getJobInfo(j).stageIds)
+        assert [r.page_id for r in got.collect()] == ["0", "1", "2", "3", "4"] and tasks <= 6
+        many = dump.read_pages(spark, str(path), 300)
+        assert sorted(int(r.page_id) for r in many.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", keep[1])

@@ -129,3 +129,48 @@ def test_stream_chunks_equal_batch(spark, tmp_path):
     key = ["chunk_id", "text"]
     assert sorted(chunks.select(*key).collect()) == sorted(batch.select(*key).collect())
     assert manifest.count() == chunks.count()
+
+
+def test_stream_replaces_and_withdraws_chunks_and_survives_replays(spark, tmp_path):
+    from sparkretrieve.operators import chunking
+    from sparkretrieve.streaming import ingest
+
+    landing, out, ckpt = (str(tmp_path / n) for n in ("landing", "out", "ckpt"))
+
+    def doc(i, text):
+        return (f"d{i}", "s", str(i), "T", "1", "", text, {"a": "1", "b": "2"})
+
+    def run():
+        return ingest.run_chunk_stream(spark, landing, out, chunk_size=40, chunk_overlap=0, checkpoint=ckpt)
+
+    def land(*docs):
+        frame = spark.createDataFrame(list(docs), records.DOCUMENT_SCHEMA)
+        frame.coalesce(1).write.mode("append").parquet(landing)
+        return frame
+
+    first = {i: f"some words of document {i}. " * (4 if i == 1 else 1) for i in range(4)}
+    land(*[doc(i, t) for i, t in first.items()])
+    chunks, manifest = run()
+    emitted = manifest.count()
+    assert emitted == chunks.count() > 4
+    # The same again, one shorter, one new, one now blank.
+    land(doc(0, first[0]), doc(1, "short."), doc(9, "new words"), doc(2, "  "))
+    chunks, manifest = run()
+    want = {**first, 1: "short.", 9: "new words", 2: "  "}
+    batch = chunking.chunk_documents(spark.createDataFrame([doc(i, t) for i, t in want.items()], records.DOCUMENT_SCHEMA), 40, 0)
+    assert sorted(chunks.select("chunk_id", "text").collect()) == sorted(batch.select("chunk_id", "text").collect())
+    assert manifest.count() == emitted + 2  # unchanged documents emit nothing
+    versions = [ingest.RecordTable(spark, f"{out}/{n}").version for n in ("chunks", "states")]
+    # A batch that is run once more finds nothing to do.
+    again = spark.createDataFrame([doc(1, "short."), doc(9, "new words")], records.DOCUMENT_SCHEMA) \
+        .selectExpr("*", "current_timestamp() as _time", "'p' as _path")
+    assert ingest.apply_documents(again, out, 40, 0, f"{out}/manifest/stream=x/batch_id=1") == 0
+    assert [ingest.RecordTable(spark, f"{out}/{n}").version for n in ("chunks", "states")] == versions
+    # One that died after the chunks, before the state, is repeated with the same result.
+    states = ingest.RecordTable(spark, f"{out}/states")
+    (tmp_path / "out" / "states" / "_versions" / f"{states.version:010d}.json").unlink()
+    repeat = spark.createDataFrame([doc(0, first[0]), doc(1, "short."), doc(9, "new words"), doc(2, "  ")], records.DOCUMENT_SCHEMA) \
+        .selectExpr("*", "current_timestamp() as _time", "'p' as _path")
+    assert ingest.apply_documents(repeat, out, 40, 0) == 3
+    assert sorted(ingest.RecordTable(spark, f"{out}/chunks").rows().select("chunk_id", "text").collect()) == \
+        sorted(batch.select("chunk_id", "text").collect())
