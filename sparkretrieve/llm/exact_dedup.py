@@ -11,9 +11,9 @@ Skew: a text that alone would overfill a range is *hot*. Hot hashes are found
 by a pre-aggregated count; their rows get a salt, which is part of the range
 key, so their copies are sorted and compared in several ranges. What holds
 over all runs of a hot text (which identifier stays, how many copies) comes
-from an aggregation on the whole text with partial combine. At most
+from an aggregation on the text's SHA-256 digest with partial combine. At most
 ``partitions / HOT_SHARE`` texts can be hot, which bounds both tables that are
-broadcast.
+broadcast, in bytes as well: they hold hashes and digests, no texts.
 """
 
 from __future__ import annotations
@@ -69,12 +69,14 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .withColumn(run_keep, F.first(id_col).over(same.orderBy(order))) \
         .withColumn(run_n, F.count(F.lit(1)).over(same))
 
-    # Hot texts over all their runs: pre-aggregated per task, one row per hot
-    # text, so bounded like `hot`.
-    whole = salted.filter(F.col(salts).isNotNull()).groupBy(F.col(t).alias(all_t)) \
+    # Hot texts over all their runs: compared in full within each run, and over
+    # the runs by a 256-bit digest, computed on texts with a hot hash only. One
+    # row per hot text and no text in it, so bounded like `hot`.
+    digest = F.when(F.col(salts).isNotNull(), F.sha2(F.col(t).cast("binary"), 256))
+    whole = salted.filter(F.col(salts).isNotNull()).groupBy(digest.alias(all_t)) \
         .agg(pick(id_col).alias(all_keep), F.count(F.lit(1)).alias(all_n))
     keep_id = F.when(F.col(all_n).isNull(), F.col(run_keep)).otherwise(F.col(all_keep))
-    return runs.join(F.broadcast(whole), F.col(salts).isNotNull() & (F.col(t) == F.col(all_t)), "left").select(
+    return runs.join(F.broadcast(whole), digest == F.col(all_t), "left").select(
         *docs.columns,
         keep_id.alias("keep_id"),
         F.coalesce(F.col(all_n), F.col(run_n)).alias("group_size"),

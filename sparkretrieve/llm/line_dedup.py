@@ -10,8 +10,8 @@
 3. For each confirmed key the document that keeps it is chosen, and each
    document gets the digests of the keys it loses.
 
-A key that very many documents hold is joined by broadcast; the number of
-such keys is bounded by the number of partitions.
+A key that very many documents hold is joined by broadcast of its digest; the
+number of such keys is bounded by the number of partitions.
 
 The filters grow with the number of lines up to ``MAX_BITS`` (64 MB), the
 proven bound of what is broadcast. Beyond about 5e7 distinct lines per filter
@@ -161,21 +161,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .filter(F.col("n") >= min_docs)
     confirmed = materialise(confirmed, "confirmed")
     # Keys of very many documents are looked up where their rows are: there are
-    # at most HOT_KEYS of them per partition, whatever the data. The others meet
-    # their rows in a shuffle.
+    # at most HOT_KEYS of them per partition, whatever the data, and only their
+    # 128-bit digests are sent. The others meet their rows in a shuffle.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = max(100, suspects.count() // (HOT_KEYS * parts))
-    hot = confirmed.filter(F.col("n") > limit).select("key", F.col("keeper").alias("hot_keeper"), F.lit(True).alias("hot"))
-    marked = suspects.join(F.broadcast(hot), "key", "left")
-    cold = marked.filter(F.col("hot").isNull()).select("key", "id") \
+    digest = F.unhex(F.substring(F.sha2("key", 256), 1, 32))
+    hot = confirmed.filter(F.col("n") > limit).select(digest.alias("digest"), F.col("keeper").alias("hot_keeper"), F.lit(True).alias("hot"))
+    marked = suspects.withColumn("digest", digest).join(F.broadcast(hot), "digest", "left")
+    cold = marked.filter(F.col("hot").isNull()).select("key", "id", "digest") \
         .join(confirmed.filter(F.col("n") <= limit).select("key", "keeper"), "key")
-    losers = marked.filter("hot").select("key", "id", F.col("hot_keeper").alias("keeper")).unionByName(cold) \
+    losers = marked.filter("hot").select("digest", "id", F.col("hot_keeper").alias("keeper")).unionByName(cold.drop("key")) \
         .filter(~F.col("id").eqNullSafe(F.col("keeper")))
-    lost = free_name(docs, "_lost")
+    lost, drop_id = free_name(docs, "_lost"), free_name(docs, "_drop_id")
     # The digests of a document's own lines: bounded by that document.
-    drops = losers.groupBy(F.col("id").alias("_drop_id")) \
-        .agg(F.collect_set(F.unhex(F.substring(F.sha2("key", 256), 1, 32))).alias(lost))
-    joined = docs.join(drops, docs[id_col].eqNullSafe(drops["_drop_id"]), "left").drop("_drop_id")
+    drops = losers.groupBy(F.col("id").alias(drop_id)) \
+        .agg(F.collect_set("digest").alias(lost))
+    joined = docs.join(drops, F.col(f"`{id_col}`").eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         from hashlib import sha256

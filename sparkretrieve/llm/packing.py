@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -28,9 +29,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkretrieve.llm.bpe import WORD_PATTERN, codec
-from sparkretrieve.llm.common import map_batches, materialise, process_cache
+from sparkretrieve.llm.common import free_name, map_batches, materialise, process_cache
 
 MAX_TOKENS = 2048
+# From so long a run without a change from white space to other characters on, a
+# text goes to the codec of ``bpe``: the library's splitting gives up on it.
+LONG_RUN = re.compile(r"\s{65536}|\S{65536}")
 END_ID = 0
 FIT_STEPS = 150
 
@@ -52,6 +56,12 @@ def _encoder(path: str):
     return process_cache("packing", path, make)
 
 
+def _ids(encoding, path: str, text: str) -> np.ndarray:
+    if len(text) >= 65536 and LONG_RUN.search(text):
+        return np.asarray(codec(path).encode(text), "<u4")
+    return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4")
+
+
 def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                  max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
     """(id_col, piece int, start, length, ids_crc32 long): the pieces of each
@@ -64,7 +74,7 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             rows, at, cols = [], 0, ([], [], [], [])
             for text in batch.column(1).to_pylist():
-                ids = np.concatenate([encoding.encode_to_numpy(text or "", allowed_special="all").astype("<u4"), end])
+                ids = np.concatenate([_ids(encoding, path, text or ""), end])
                 first = len(ids) % max_tokens or max_tokens
                 for piece, stop in enumerate(range(first, len(ids) + 1, max_tokens)):
                     start = max(0, stop - max_tokens) if piece else 0
@@ -217,7 +227,8 @@ def pack_pieces(pieces: DataFrame, size: int = MAX_TOKENS) -> DataFrame:
     """``pieces`` (any columns, with length from 1 to ``size``) and
     sequence_id, offset (long): where each piece stands. ``pieces`` should be
     a written table, as it is read several times. Rows that are alike are
-    packed one by one; an empty table stays empty."""
+    packed one by one; an empty table stays empty; columns named like a result
+    are replaced."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in
               pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `size` rows
@@ -232,19 +243,20 @@ def pack_pieces(pieces: DataFrame, size: int = MAX_TOKENS) -> DataFrame:
     # the groups before hold.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = max(parts, int(histogram.sum()) >> 16)
+    pieces = pieces.drop(*[c for c in pieces.columns if c.lower() in ("sequence_id", "offset")])
     columns = pieces.columns
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
-    shifts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n")) \
-        .withColumn("_shift", F.sum("_n").over(Window.partitionBy("length").orderBy("_salt")) - F.col("_n")) \
-        .drop("_n")
-    number = F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*columns))
-    numbered = salted.withColumn("_i", number).join(shifts, ["length", "_salt"]) \
-        .select(*columns, (F.col("_i") - 1 + F.col("_shift")).alias("_i"))
+    salt, n, shift, place_no = (free_name(pieces, c) for c in ("_salt", "_n", "_shift", "_i"))
+    salted = pieces.withColumn(salt, F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
+    shifts = salted.groupBy("length", salt).agg(F.count(F.lit(1)).alias(n)) \
+        .withColumn(shift, F.sum(n).over(Window.partitionBy("length").orderBy(salt)) - F.col(n)).drop(n)
+    number = F.row_number().over(Window.partitionBy("length", salt).orderBy(*columns))
+    numbered = salted.withColumn(place_no, number).join(shifts, ["length", salt]) \
+        .select(*columns, (F.col(place_no) - 1 + F.col(shift)).alias(place_no))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
-            i = batch.column("_i").to_numpy(zero_copy_only=False).astype(np.int64)
+            i = batch.column(place_no).to_numpy(zero_copy_only=False).astype(np.int64)
             run = np.searchsorted(keys, length << 40 | i, side="right") - 1
             yield {c: batch.column(c) for c in columns} | {
                 "sequence_id": pa.array(bases[run] + i - (keys[run] & ((1 << 40) - 1))),

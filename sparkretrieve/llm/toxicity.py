@@ -15,9 +15,13 @@
    by its strongest evidence, and a logistic regression, fitted on labelled
    rows that the lexicon has not seen, turns that into a probability.
 
-Only distinct words are shuffled. The lexicon, the trigram model and the
-labels used (at most ``MAX_LABELS``, chosen by a hash of the identifier) are
-bounded by parameters, and only they and the common short words are broadcast.
+Only distinct words are shuffled. The classifier is fitted on a bounded sample
+of labelled rows: at most ``MAX_LABELS`` (a million) tell the words and at most
+``MAX_FIT_ROWS`` (20,000) fit the regression, both chosen by a hash of the
+identifier. Its lexicon has at most ``LEXICON`` (50,000) features, the most
+telling ones; runs of tokens of which all are among the ``COMMON_WORDS`` (4096)
+most common short words are not decoded. These, the trigram model and the
+labels are all that is broadcast.
 """
 
 from __future__ import annotations
@@ -66,10 +70,12 @@ LITERAL = math.log(CLASSES)  # a character of a word without letters, read as it
 def words_of(text: str | None) -> list[str]:
     """Lower-case words; three or more single letters, digits or symbols in a row are joined."""
     words = (text or "").lower().split()
-    if len(words) < 3:
-        return words
-    one = np.fromiter(map(len, words), np.int64, len(words)) == 1
-    if not (one[2:] & one[1:-1] & one[:-2]).any():
+    return _joined(words, np.fromiter(map(len, words), np.int64, len(words)))
+
+
+def _joined(words: list[str], size: np.ndarray) -> list[str]:
+    one = size == 1
+    if len(words) < 3 or not (one[2:] & one[1:-1] & one[:-2]).any():
         return words
     out, run = [], []
     for w in [*words, ""]:
@@ -85,7 +91,11 @@ def words_of(text: str | None) -> list[str]:
 def spaced_runs(text: str | None, common: frozenset[str]) -> list[str]:
     """Runs of two or more short tokens, one of them uncommon: what may be spaced-out words."""
     words = (text or "").lower().split()
-    near = np.fromiter(map(len, words), np.int64, len(words)) <= SHORT + 2  # with punctuation
+    return _runs(words, np.fromiter(map(len, words), np.int64, len(words)), common)
+
+
+def _runs(words: list[str], size: np.ndarray, common: frozenset[str]) -> list[str]:
+    near = size <= SHORT + 2  # with punctuation
     if not (near[1:] & near[:-1]).any():
         return []
     edge = np.flatnonzero(np.diff(np.concatenate([[0], near.view(np.int8), [0]])))
@@ -93,9 +103,10 @@ def spaced_runs(text: str | None, common: frozenset[str]) -> list[str]:
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
         if b - a < 2 or common.issuperset(words[a:b]):
             continue
-        for w in [*(w.strip(MARKS) for w in words[a:b]), " " * (SHORT + 1)]:
+        for w in [*[w.strip(MARKS) for w in words[a:b]], " " * (SHORT + 1)]:
             if len(w) <= SHORT:
-                run += [w] * bool(w)
+                if w:
+                    run.append(w)
                 continue
             if len(run) >= 2 and not common.issuperset(run) and any(map(str.isalpha, "".join(run))):
                 out.append(" ".join(run))
@@ -103,6 +114,14 @@ def spaced_runs(text: str | None, common: frozenset[str]) -> list[str]:
     return out
 
 
+def words_and_runs(text: str | None, common: frozenset[str]) -> tuple[set[str], set[str]]:
+    """``words_of`` and, beside them, ``spaced_runs``; the text is split once."""
+    words = (text or "").lower().split()
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    own = set(_joined(words, size))
+    return own, set(_runs(words, size, common)) - own
+
+
 def stripped(word: str) -> str:
     """Without punctuation at the ends; @ and $ stay unless there are three."""
     word = word.strip(EDGE)
@@ -125,14 +144,20 @@ def _class(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % (CLASSES - 27)
 
 
-def _best(word: str, trigrams: np.ndarray) -> tuple[float, str]:
-    """The Viterbi path through the lattice of a word, or of tokens with spaces
-    between, and its score. ``trigrams``: log-probabilities by two classes
-    before and the class itself."""
-    # Of each two letters before: the score, and the path as (path before, letters).
-    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+class Letters:
+    """The trigram model as plain numbers, which single look-ups read faster:
+    log-probabilities by two classes before and the class itself, and the
+    highest of each class."""
+
+    def __init__(self, trigrams: np.ndarray) -> None:
+        self.p, self.most = trigrams.ravel().tolist(), trigrams.max(axis=(0, 1)).tolist()
+
+
+def _lattice(word: str) -> list[list[tuple[str, float, int, int]]]:
+    """Of each run of a character: what it may be read as, its cost, and the
+    class and number of the letters read. The last option of a letter drops it."""
     drop_digit = DROP_DIGIT if any(map(str.isalpha, word)) else DROP_LETTER
-    k = 0
+    runs, k = [], 0
     while k < len(word):
         c, n = word[k], 1
         while k + n < len(word) and word[k + n] == c:
@@ -143,8 +168,8 @@ def _best(word: str, trigrams: np.ndarray) -> tuple[float, str]:
         if c == " ":
             options = [("", JOIN), (" ", 0.0)]
         elif c.isalpha():
-            options = [(c * min(n, 2), FEWER * (n > 2)), (c, FEWER * (n > 1))]
-            options += [("", DROP_LETTER)]
+            options = [(c * min(n, 2), FEWER * (n > 2)), (c, FEWER)] if n > 1 else [(c, 0.0)]
+            options.append(("", DROP_LETTER))
         else:
             free = (starts and c in FREE_START) or (ends and c in FREE_END)
             options = [("", 0.0 if free else drop_digit if c.isdigit() else DROP_ALIKE if letters else DROP_SYMBOL)]
@@ -152,43 +177,72 @@ def _best(word: str, trigrams: np.ndarray) -> tuple[float, str]:
                 options.append((x, READ + FEWER * (n > 1)))
                 if n > 1:
                     options.append((x * 2, 2 * READ + FEWER * (n > 2)))
-        after: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for (a, b), (score, path) in states.items():
-            for read, cost in options:
-                s, x, y = score - cost, a, b
+        runs.append([(read, cost, 0 if read in ("", " ") else _class(read[0]), len(read)) for read, cost in options])
+    return runs
+
+
+def _walk(runs: list, letters: Letters, least: float, ahead: list[float]) -> tuple[float, tuple]:
+    """The best path: its score, and its parts as (path before, letters). A state
+    that cannot reach ``least`` with the best that is ``ahead`` is left."""
+    p = letters.p
+    # Of each two letters before (as one number): the score, and the path.
+    states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+    for options, rest in zip(runs, ahead, strict=True):
+        after: dict[int, tuple[float, tuple]] = {}
+        need = least - rest
+        for two, (score, path) in states.items():
+            for read, cost, z, size in options:
+                s, to = score - cost, two
                 if read == " ":
-                    s, x, y = s + trigrams[x, y, 0], 0, 0
+                    s, to = s + p[to << 6], 0
                 else:
-                    for letter in read:
-                        z = _class(letter)
-                        s += trigrams[x, y, z]
-                        x, y = y, z
-                if (x, y) not in after or s > after[x, y][0]:
-                    after[x, y] = (s, (path, read) if read else path)
+                    for _ in range(size):
+                        s += p[to << 6 | z]
+                        to = (to & 63) << 6 | z
+                if s >= need and (to not in after or s > after[to][0]):
+                    after[to] = (s, (path, read) if read else path)
         states = after
-    score, path = max(((s + trigrams[a, b, 0], path) for (a, b), (s, path) in states.items()), key=lambda x: x[0])
+    return max(((s + p[two << 6], path) for two, (s, path) in states.items()), key=lambda x: x[0])
+
+
+def _best(word: str, letters: Letters) -> tuple[float, str]:
+    """The Viterbi path through the lattice of a word, or of tokens with spaces
+    between, and its score. The best path that drops no letter comes first; no
+    state that cannot reach its score is followed after that."""
+    runs = _lattice(word)
+    most = letters.most
+    ahead, rest = [], most[0]
+    for options in reversed(runs):
+        ahead.append(rest)
+        rest += max(most[z] * (size if read != " " else 1) - cost if size else -cost for read, cost, z, size in options)
+    ahead.reverse()
+    whole = [[o for o in options if o[1] != DROP_LETTER] or options for options in runs]
+    least = _walk(whole, letters, -math.inf, ahead)[0]
+    score, path = _walk(runs, letters, least - 1e-9 * (1 - least), ahead)
     read = []
     while path:
-        path, letters = path
-        read.append(letters)
-    return float(score), "".join(reversed(read))
+        path, part = path
+        read.append(part)
+    return score, "".join(reversed(read))
 
 
-def restore(word: str, trigrams: np.ndarray) -> str:
-    return _best(word, trigrams)[1]
+def restore(word: str, letters: Letters) -> str:
+    return _best(word, letters)[1]
 
 
-def clear_word(word: str, trigrams: np.ndarray) -> str:
+def clear_word(word: str, letters: Letters) -> str:
     """The restored word, or words with spaces between for a run of tokens."""
     if " " in word:
-        return restore(word, trigrams)
+        return restore(word, letters)
+    if word.isalpha() and _TRIPLE.search(word) is None:
+        return word
     plain = stripped(word)
     seen = word.strip(MARKS)
     if seen[-3:] in ("$$$", "@@@"):
         seen = plain
     if not looks_disguised(seen):
         return plain
-    score, read = _best(seen, trigrams)
+    score, read = _best(seen, letters)
     if not any(map(str.isalpha, seen)) and score <= -LITERAL * max(1, len(plain)):
         return plain  # a number or punctuation
     return read
@@ -196,7 +250,14 @@ def clear_word(word: str, trigrams: np.ndarray) -> str:
 
 def features_of(word: str) -> list[str]:
     """The word, and its beginnings marked by a trailing -; of every word of a run."""
-    return [f for w in word.split(" ") for f in [w, *(w[:n] + "-" for n in BEGINNINGS if len(w) > n)]]
+    found = []
+    for w in word.split(" "):
+        found.append(w)
+        for n in BEGINNINGS:
+            if len(w) <= n:
+                break
+            found.append(w[:n] + "-")
+    return found
 
 
 def _count_words(docs: DataFrame, id_text_label: tuple[str, str],
@@ -279,10 +340,11 @@ def _lexicon(words: DataFrame, trigrams: np.ndarray, n_bad: int, n_good: int) ->
     """Log-odds of the most telling features of restored words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        letters = Letters(trigrams)
         for batch in batches:
             out: dict[str, list] = {"feature": [], "bad": [], "good": []}
             for word, bad, good in zip(*(batch.column(c).to_pylist() for c in ("word", "bad", "good")), strict=True):
-                for f in set(features_of(clear_word(word, trigrams))):
+                for f in set(features_of(clear_word(word, letters))):
                     if f and f != "-":
                         out["feature"].append(f)
                         out["bad"].append(bad)
@@ -303,14 +365,17 @@ class _Odds(dict):
 
     def __init__(self, trigrams: np.ndarray, lexicon: dict[str, float]) -> None:
         super().__init__()
-        self.trigrams, self.lexicon = trigrams, lexicon
+        self.letters, self.lexicon = Letters(trigrams), lexicon
         self.starts = {f[:3] for f in lexicon}
 
     def __missing__(self, word: str) -> float:
-        clear = clear_word(word, self.trigrams)
+        clear = clear_word(word, self.letters)
         # Every feature of a word starts with the word's first three letters.
-        odds = max((self.lexicon.get(f, 0.0) for w in clear.split(" ") if w[:3] in self.starts for f in features_of(w)),
-                   default=0.0)
+        odds, get = 0.0, self.lexicon.get
+        for w in clear.split(" ") if " " in clear else (clear,):
+            if w[:3] in self.starts:
+                for f in features_of(w):
+                    odds = max(odds, get(f, 0.0))
         if len(self) < CACHE_WORDS and len(word) <= 64:
             self[word] = odds
         return odds
@@ -330,8 +395,7 @@ def _evidence(docs: DataFrame, text_col: str, shared: Shared, keep_text: bool =
         for batch in batches:
             out: dict[str, list] = {s: [] for s in STATS}
             for text in batch.column(text_col).to_pylist():
-                own = set(words_of(text))
-                spaced = set(spaced_runs(text, common)) - own
+                own, spaced = words_and_runs(text, common)
                 found = sorted(filter(None, map(look_up, own | spaced)), reverse=True)
                 strong = sum(s >= STRONG_ODDS for s in found)
                 for name, v in zip(STATS, (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0,
@@ -372,6 +436,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
     """
     spark = docs.sparkSession
     docs = docs.drop(*[c for c in docs.columns if c.lower() in {*STATS, "score", "predicted"}])
+    known = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").alias("_text"))
     usable = labels.filter(learn & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()) \
         .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
     usable = materialise(usable, "labels")
@@ -384,19 +449,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
     sizes = lexical.groupBy("_label").agg(F.count(F.lit(1)).alias("n"))
     size = {r["_label"]: r["n"] for r in sizes.collect()}  # two rows
 
-    tagged = docs.join(F.broadcast(lexical), docs[id_col] == F.col("_id"), "left").select(text_col, "_label")
-    words = materialise(_count_words(tagged, (text_col, "_label")), "words")
+    tagged = known.join(F.broadcast(lexical), F.col("_doc") == F.col("_id"), "left").select("_text", "_label")
+    words = materialise(_count_words(tagged, ("_text", "_label")), "words")
     trigrams = _trigrams(words)
     common = _common(words, docs.count())
     lexicon = {}
     if len(size) == 2:
-        spaced = _count_words(tagged.filter("_label is not null"), (text_col, "_label"), lambda text: spaced_runs(text, common))
+        spaced = _count_words(tagged.filter("_label is not null"), ("_text", "_label"), lambda text: spaced_runs(text, common))
         lexicon = _lexicon(words.unionByName(spaced), trigrams, size[1], size[0])
     shared = Shared(spark, (trigrams, lexicon, common))
 
     chosen = usable.filter(fits).orderBy(F.xxhash64("_id")).limit(MAX_FIT_ROWS)
-    labelled = docs.select(id_col, text_col).join(F.broadcast(chosen), docs[id_col] == F.col("_id"))
-    sample = _evidence(labelled.select(text_col, "_label"), text_col, shared).collect() if lexicon else []
+    labelled = known.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    sample = _evidence(labelled.select("_text", "_label"), "_text", shared).collect() if lexicon else []
     y = np.asarray([r["_label"] for r in sample], float)
     if lexicon and 0 < y.sum() < len(y):
         w = fit_logistic(np.asarray([[r[s] for s in STATS] for r in sample]), y)

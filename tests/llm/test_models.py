@@ -201,7 +201,7 @@ def test_lm_score_does_not_depend_on_blocks(spark, monkeypatch):
     want = dict(zip(keys.tolist(), n.tolist(), strict=True))
     monkeypatch.setattr(lm_score, "BLOCK_BYTES", 4096)
     monkeypatch.setattr(lm_score, "SHARD_BYTES", 8192)
-    blocks = lm_score.materialise(lm_score._blocks(spark.createDataFrame(words).repartition(4).sortWithinPartitions("word")), "words")
+    blocks = lm_score.materialise(lm_score._blocks(spark.createDataFrame(words).repartitionByRange(4, "word").sortWithinPartitions("word")), "words")
     told = lm_score._bit_counts(blocks, sum(map(len, tokens))).toArrow()
     assert len(set(told.column("block").to_pylist())) > 10
     got = [x for k, c in lm_score._entries(told) for x in zip(k.tolist(), c.tolist(), strict=True)]
@@ -237,7 +237,7 @@ def test_restore_finds_plain_words():
         codes = [0, 0, *map(toxicity._class, w), 0]
         for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
             counts[a, b, c] += 1
-    trigrams = np.log((counts + 0.01) / (counts.sum(axis=2, keepdims=True) + 0.64))
+    trigrams = toxicity.Letters(np.log((counts + 0.01) / (counts.sum(axis=2, keepdims=True) + 0.64)))
     for seen, plain in [("1d10t", "idiot"), ("stup1d", "stupid"), ("$tupid", "stupid"), ("tr@sh", "trash"),
                         ("i.d.i.o.t", "idiot"), ("idiiiooot", "idiot"), ("l0ooser", "loser"), ("7rash!!", "trash"),
                         ("letter", "letter"), ("sillyyy", "silly"), ("w0r+hl3ss", "worthless"), ("2024", "2024")]:
@@ -251,7 +251,7 @@ def test_restore_reads_edges_bare_symbols_and_spaces():
         codes = [0, 0, *map(toxicity._class, w), 0]
         for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
             counts[a, b, c] += 1
-    trigrams = np.log((counts + 0.01) / (counts.sum(axis=2, keepdims=True) + 0.64))
+    trigrams = toxicity.Letters(np.log((counts + 0.01) / (counts.sum(axis=2, keepdims=True) + 0.64)))
     for seen, plain in [("!d!ot", "idiot"), ("|oser", "loser"), ("5h1+", "shit"), ("(the", "the"), ("you!!", "you"),
                         ("@$$", "ass"), ("455", "ass"), ("2024", "2024"), ("***", ""), ("!!!", ""), ("u r a n i d i o t", "u r an idiot"),
                         ("id iot", "idiot"), ("st up id", "stupid"), ("l o s e r i d i o t", "loser idiot"), ("it is in", "it is in")]:
@@ -346,3 +346,61 @@ def test_query_blocks_and_copies(spark, monkeypatch):
     for r in ann.nearest_neighbours(df, F.col("vec_id") % 2 == 0, k=3, success=0.999999).orderBy("query_id", "rank").collect():
         got[r.query_id].append(r.vec_id)
     assert got == {i: _nearest(vectors, i, 3)[0] for i in vectors if i % 2 == 0}
+
+
+def test_viterbi_equals_all_paths():
+    import itertools
+    import random
+
+    rng = np.random.default_rng(4)
+    trigrams = np.log(rng.dirichlet(np.full(toxicity.CLASSES, 0.05), (toxicity.CLASSES, toxicity.CLASSES)) + 1e-9)
+    letters = toxicity.Letters(trigrams)
+    pick = random.Random(4)
+    for _ in range(300):
+        word = "".join(pick.choice("aab!1 @*.i5") for _ in range(pick.randint(1, 7))).strip()
+        best = -np.inf
+        for path in itertools.product(*toxicity._lattice(word)):
+            score, x, y = -sum(o[1] for o in path), 0, 0
+            for read, _, _, _ in path:
+                for c in read:
+                    z = 0 if c == " " else toxicity._class(c)
+                    score += trigrams[x, y, z]
+                    x, y = (0, 0) if c == " " else (y, z)
+            best = max(best, score + trigrams[x, y, 0])
+        score, read = toxicity._best(word, letters)
+        assert abs(score - best) < 1e-9, word
+
+
+def test_clashing_names_and_long_white_space(spark):
+    from sparkretrieve.llm import bpe, exact_dedup, line_dedup, packing
+
+    names = ["_id", "_label", "_doc", "_text", "_drop_id", "_lost", "digest", "_salt", "_n", "_shift", "_i", "length2"]
+    rows = [(i, f"a line that is long enough {i % 3}\nidiot {i}", *range(len(names))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, toxic int")
+    scored = toxicity.score_toxicity(docs, labels, F.lit(True), keep_text=True)
+    assert scored.count() == 12 and set(names) < set(scored.columns)
+    cut = line_dedup.drop_repeated_lines(docs, min_chars=20, min_docs=3).collect()
+    assert sum(r.n_dropped for r in cut) == 9 and {r["_drop_id"] for r in cut} == {names.index("_drop_id")}
+    assert exact_dedup.duplicate_groups(docs).count() == 12
+    pieces = docs.select("doc_id", *names, F.lit(5).cast("long").alias("length"))
+    packed = packing.pack_pieces(pieces, 10).collect()
+    assert {r["_salt"] for r in packed} == {names.index("_salt")} and {r["_i"] for r in packed} == {names.index("_i")}
+    assert len({(r.sequence_id, r.offset) for r in packed}) == 12 and len({r.sequence_id for r in packed}) == 6
+
+    codec = bpe.codec(queries.tokenizer_path())
+    for text in (" " * 1_000_000, "a" * 200_000, "word" + "\n" * 300_000 + " \t" * 100_000 + "end " + "é" * 70_000):
+        one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        got = packing.token_pieces(one, queries.tokenizer_path()).agg(F.sum("length")).first()[0]
+        assert got == len(codec.encode(text)) + 1
+
+
+def test_copies_of_long_texts_and_lines(spark):
+    from sparkretrieve.llm import exact_dedup, line_dedup
+
+    long = "x" * 2_000_000
+    docs = spark.createDataFrame([(i, long if i < 40 else f"other {i}") for i in range(60)], "doc_id long, text string")
+    got = exact_dedup.duplicate_groups(docs, keep="max").select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert sorted(map(tuple, got)) == [(i, 39, 40, i == 39) if i < 40 else (i, i, 1, True) for i in range(60)]
+    cut = line_dedup.drop_repeated_lines(docs, min_chars=20, min_docs=3).select("doc_id", "n_dropped").collect()
+    assert {r.doc_id: r.n_dropped for r in cut} == {i: int(i < 39) for i in range(60)}
