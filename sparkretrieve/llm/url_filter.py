@@ -44,7 +44,7 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits, else nulls. ``rules``:
     (verdict, 'host/path'); a rule fits its host and all subdomains where the
-    path starts with the rule's. Of equally long rules the first wins."""
+    path starts with the rule's. Of equally long rules the last wins."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for action, text in sorted(rules, key=lambda r: len(r[1])):  # the longest is asked first
         if action not in ("allow", "block") or "/" not in text:
