@@ -7,6 +7,7 @@ lost executor never takes the only copy of a result with it.
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
@@ -95,6 +96,19 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatc
     return df.mapInArrow(run, spark_schema)
 
 
+@contextlib.contextmanager
+def rows_per_arrow_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Actions inside send at most ``rows`` rows at once to Python: for tables
+    whose rows are megabytes each, so that a worker holds one and not a split."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
