@@ -404,3 +404,22 @@ def test_copies_of_long_texts_and_lines(spark):
     assert sorted(map(tuple, got)) == [(i, 39, 40, i == 39) if i < 40 else (i, i, 1, True) for i in range(60)]
     cut = line_dedup.drop_repeated_lines(docs, min_chars=20, min_docs=3).select("doc_id", "n_dropped").collect()
     assert {r.doc_id: r.n_dropped for r in cut} == {i: int(i < 39) for i in range(60)}
+
+
+def test_evidence_of_several_classes_fills_the_counts():
+    rng = np.random.default_rng(3)
+    words = sorted({bytes(rng.choice(list(b"abcde"), rng.integers(1, 9)).tolist()) for _ in range(500)})
+    counts = rng.integers(0, 3, (lm_score.MAX_CLASSES, len(words))) * (rng.random((lm_score.MAX_CLASSES, len(words))) < 0.3)
+    counts[5:] = 0
+    code = mixing.prefix_code(np.bincount(np.frombuffer(b" ".join(words), np.uint8), minlength=256))
+    want = mixing.empty_tables()
+    for g in range(5):
+        own = np.flatnonzero(counts[g])
+        mixing.count_bits(want, mixing.decisions([words[i] for i in own], code), counts[g][own].astype(float), g)
+
+    def held(table):
+        there = np.flatnonzero(table.keys)
+        return {int(k): tuple(n) for k, n in zip(table.keys[there], table.counts[there].tolist(), strict=True)}
+
+    for got, exact in zip(mixing.fill(*mixing.evidence(words, counts), code), want, strict=True):
+        assert held(got) == held(exact) and held(got)
