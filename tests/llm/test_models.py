@@ -348,6 +348,64 @@ def test_query_blocks_and_copies(spark, monkeypatch):
     assert got == {i: _nearest(vectors, i, 3)[0] for i in vectors if i % 2 == 0}
 
 
+def test_probes_come_in_order_of_success():
+    import itertools
+
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        position, spread = rng.uniform(-3, 3, 3), rng.uniform(0.2, 1.5)
+        chances = {}
+        for steps in itertools.product(range(-9, 10), repeat=3):
+            p = 1.0
+            for at, step in zip(position, steps):
+                low = (np.floor(at) + step - at) / spread
+                p *= ann._normal_below(low + 1 / spread) - ann._normal_below(low)
+            chances[steps] = p
+        ranked = sorted(chances.values(), reverse=True)
+        got = ann.probe_sequence(position, spread, 0.9, 10 ** 6)
+        assert len({s for _, s in got}) == len(got)
+        assert [p for p, _ in got] == pytest.approx(ranked[:len(got)], rel=1e-9)
+        assert all(p == pytest.approx(chances[s], rel=1e-9) for p, s in got)
+        assert sum(p for p, _ in got) >= 0.9 > sum(p for p, _ in got[:-1])
+        assert ann.probe_sequence(position, spread, 0.9, len(got) - 1) is None
+    assert ann.probe_sequence(np.array([0.5, 2.0 ** 60]), 1.0, 0.5, 10) is None
+    assert ann.probe_sequence(np.array([0.5, 0.5]), 100.0, 0.5, 10) is None
+
+
+def test_scores_of_a_block_equal_brute_force():
+    rng = np.random.default_rng(6)
+    x = rng.integers(-2, 3, (40, 3)).astype(float)  # many ties
+    ids = rng.permutation(40)
+    radii = np.array([np.nan, 1.5, 0.0, 100.0])
+    found, near, d = ann.score_block(ids, x, ids[:4], x[:4], radii, 5)
+    got = collections.defaultdict(list)
+    for q, i, s in zip(found, near, d):
+        got[q].append((s, i))
+    for j in range(4):
+        want = sorted((float(np.sqrt(((x[i] - x[j]) ** 2).sum())), ids[i]) for i in range(40) if i != j)
+        want = [w for w in want if not w[0] > radii[j]][:5]
+        assert got[ids[j]] == [(pytest.approx(s, abs=1e-12), i) for s, i in want]
+
+
+@pytest.mark.parametrize("most", [0, 65_536])
+def test_outliers_and_hot_buckets(spark, monkeypatch, most):
+    """A third of the vectors in one bucket, outliers that meet no candidate,
+    and (without any visits) every query on the exact way."""
+    monkeypatch.setattr(ann, "CHUNK", 8)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(ann, "MAX_VISITS", most)
+    rng = np.random.default_rng(7)
+    vectors = {k: np.ones(3) + 1e-3 * rng.standard_normal(3) for k in range(40)}
+    vectors |= {k: rng.standard_normal(3) for k in range(40, 110)}
+    vectors |= {110: np.array([1e5, 0, 0]), 111: np.array([0, -1e5, 1.0]), 112: np.array([1e5, 1, 0])}
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in vectors.items()], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    asked = (F.col("vec_id") % 10 == 0) | (F.col("vec_id") >= 110)
+    for r in ann.nearest_neighbours(df, asked, k=4, success=0.9999).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == {i: _nearest(vectors, i, 4)[0] for i in vectors if i % 10 == 0 or i >= 110}
+
+
 def test_viterbi_equals_all_paths():
     import itertools
     import random
