@@ -437,12 +437,12 @@ FROM (SELECT *, (page_id::BIGINT % 2 = 0 OR page_id::BIGINT % 10 = 1)::INT AS fi
              (page_id::BIGINT % 2 = 1 OR page_id::BIGINT % 10 = 2)::INT AS second FROM pages_ok)"""),
 })
 ORACLES["ann_full_probe"] = ORACLES["knn_cosine"]
-ORACLES["ann_ivf"] = _with(IVF_CELLS + _knn_ctes("cosine", _probed(2)), _KNN_ROWS)
+ORACLES["ann_ivf"] = _with(IVF_CELLS + _knn_ctes("cosine", _probed(7)), _KNN_ROWS)
 ORACLES["ann_recall"] = _with(IVF_CELLS + f""",
 scored AS (SELECT q.query_id, e.record_id, {KNN_SCORE["cosine"]} AS score, turn
            FROM qd q, ev e JOIN cell_of USING (record_id) JOIN probes ON probes.cell = cell_of.cell
            WHERE probes.query_id = q.query_id),
-widths AS (SELECT unnest([1, 2, 8])::BIGINT AS nprobe),
+widths AS (SELECT unnest([1, 2, 4, 7, 8])::BIGINT AS nprobe),
 probed AS (SELECT nprobe, query_id, record_id, row_number() OVER (
              PARTITION BY nprobe, query_id ORDER BY round(score, 9) DESC, record_id) AS rank
            FROM scored, widths WHERE turn <= nprobe),
