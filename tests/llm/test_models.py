@@ -214,6 +214,27 @@ def test_lm_score_does_not_depend_on_blocks(spark, monkeypatch):
     assert {c for c, times in asked.items() if times > 1} <= {k >> 11 for k, _ in got}
 
 
+def test_lm_score_reads_across_spaces(spark):
+    """The same words in another order have another score, and the word before is a context."""
+    docs = [(i, "red cat blue dog " * 5, "en") for i in range(40)] + [(100, "red cat blue dog", "en"), (101, "red dog blue cat", "en")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in lm_score.score_texts(docs, F.col("doc_id") < 100).collect()}
+    assert got[100].base_score == pytest.approx(got[101].base_score) and got[100].n_known == got[101].n_known == 5
+    assert got[100].score > got[101].score + 1
+    assert lm_score.pairs_of([b"a", b"b", b"\n"]) == [b"a", b"b a", b"\n b"]
+
+
+def test_places_share_only_what_has_the_same_contexts():
+    """Units in any order have the contexts that each has alone, and a unit is coded from its own word on."""
+    keys = [b"the", b"x the", b"there the", b"then the", b"cat the", b"cat a", b"\n cat", b"the", b"the cat"]
+    word, place, symbol, contexts = mixing._places(keys)
+    for i, k in enumerate(keys):
+        at = place[word == i]
+        assert bytes(symbol[at]) == k.partition(b" ")[0] + b" "
+        _, one, _, alone = mixing._places([k])
+        assert all((contexts[o][at] == alone[o][one]).all() for o in mixing.ORDERS)
+
+
 def test_prefix_code_is_complete():
     start, size, node, bit = mixing.prefix_code(np.random.default_rng(0).integers(0, 10_000, 256))
     assert sum(2.0 ** -s for s in size) == 1
