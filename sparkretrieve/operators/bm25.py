@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkretrieve.checks import require_positive, require_rows
+from sparkretrieve.functions.batches import release_free_memory
 from sparkretrieve.functions.text import tokenize
 from sparkretrieve.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_count, broadcast_if_bounded
 from sparkretrieve.session import remove_path, scratch_path
@@ -204,6 +205,7 @@ def _packer(segment: int, block_chunks: int):
                 yield pa.RecordBatch.from_pylist([{"block": block, "lens": lengths, "ids": part.column("chunk_id").to_pylist()}],
                                                  schema=_PACKED_ARROW)
                 block += 1
+            release_free_memory()
 
     return pack
 
@@ -214,6 +216,27 @@ def _idf_columns(terms: DataFrame, n_chunks: int, mean_idf: float | None, epsilo
                           .otherwise(F.col("raw_idf")))
 
 
+def _masks(dead: DataFrame) -> DataFrame:
+    """(block, mask): a byte per place of the block up to its last dead place, 1
+    where it is dead, so that looking a place up takes the same time however many are dead."""
+
+    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masks = []
+            for places in batch.column("dead").to_pylist():
+                marks = np.zeros(max(places, default=-1) + 1, np.uint8)
+                marks[places] = 1
+                masks.append(marks.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(masks, pa.binary())], names=["block", "mask"])
+
+    return dead.select("block", "dead").mapInArrow(mask, "block bigint, mask binary")
+
+
+def _is_dead(place: Column) -> Column:
+    """Whether ``place`` is dead by the column ``mask``; false beyond its end."""
+    return F.substring(F.col("mask"), place.cast("int") + 1, 1) == F.lit(b"\x01")
+
+
 def _write_segment(rows: DataFrame, path: str, number: int, term_buckets: int, block_chunks: int) -> dict[str, Any]:
     """Write ``rows`` (chunk_id, dl, terms, tfs) as a new segment; its entry."""
     name = f"{number}-{uuid.uuid4().hex[:8]}"
@@ -247,8 +270,8 @@ def _live_totals(index: BM25Index) -> tuple[int, int, int]:
     """(chunks, tokens) over the live places, and the number of blocks."""
     blocks = index.blocks.select("block", "lengths")
     if index.tombstones is not None:
-        blocks = blocks.join(index.tombstones, "block", "left").select(F.when(F.col("dead").isNull(), F.col("lengths")).otherwise(
-            F.filter("lengths", lambda _, k: ~F.array_contains("dead", k))).alias("lengths"))
+        blocks = blocks.join(_masks(index.tombstones), "block", "left").select(F.when(F.col("mask").isNull(), F.col("lengths")).otherwise(
+            F.filter("lengths", lambda _, k: ~_is_dead(k))).alias("lengths"))
     row = blocks.agg(F.coalesce(F.sum(F.size("lengths")), F.lit(0)).alias("n"), F.coalesce(
         F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)), F.lit(0)).alias("total"),
         F.count(F.lit(1)).alias("blocks")).first()
@@ -332,9 +355,9 @@ def update_bm25_index(index: BM25Index, chunks: DataFrame, *, removed: DataFrame
         places = places.join(before.select("block", F.explode("dead").alias("place")), ["block", "place"], "left_anti")
     dead = _written(_by_block(places.select("block", "place")), "bm25-dead")
     added = new._segments("postings", _POSTINGS_TABLE, [segment["name"]]).select("term_bucket", "term", F.col("n").cast("bigint").alias("df"))
-    side, _ = broadcast_if_bounded(dead)
+    side, _ = broadcast_if_bounded(_written(_masks(dead), "bm25-masks"))
     lost = index.postings.select("term_bucket", "term", "block", "places").join(side, "block") \
-        .select("term_bucket", "term", (-F.size(F.array_intersect("places", "dead"))).cast("bigint").alias("df")).filter("df < 0")
+        .select("term_bucket", "term", (-F.size(F.filter("places", _is_dead))).cast("bigint").alias("df")).filter("df < 0")
     counts = index.document_frequencies.select("term_bucket", "term", "df").union(added).union(lost) \
         .groupBy("term_bucket", "term").agg(F.sum("df").alias("df")).filter("df > 0")
     all_dead = dead if before is None else _by_block(before.union(dead).select("block", F.explode("dead").alias("place")))

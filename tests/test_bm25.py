@@ -235,3 +235,13 @@ def test_updated_index_equals_one_built_anew(spark):
     assert len(part.content["segments"]) == 1
     for i in (again, compact, bm25.load_bm25_index(spark, old.path)):
         assert i.stats.first() == fresh.stats.first() and _top(i, queries, 7) == _top(fresh, queries, 7)
+
+
+def test_dead_places_are_looked_up_in_a_mask(spark):
+    """A place's look-up does not go through the dead ones, whose number grows with the block."""
+    dead = [(0, [0, 5, 4095]), (1, list(range(0, 4096, 3))), (2, [7])]
+    masks = bm25._masks(spark.createDataFrame(dead, "block long, dead array<int>"))
+    assert {r.block: len(r.mask) for r in masks.collect()} == {0: 4096, 1: 4096, 2: 8}
+    places = masks.select("block", "mask", F.sequence(F.lit(0), F.lit(4999)).alias("p"))
+    got = {r.block: r.p for r in places.select("block", F.filter("p", bm25._is_dead).alias("p")).collect()}
+    assert got == {b: sorted(p) for b, p in dead}
