@@ -1,9 +1,9 @@
 """Chunking (E1-E4, C2, C3, B5).
 
 The recursive character split is the one step Spark SQL cannot express (a
-recursive, stateful merge), so a small Python helper runs inside an
-Arrow-batched ``pandas_udf``: one document per row, whole text, one call per
-batch. Everything around it (metadata flattening, numbering, ids, summary,
+recursive, stateful merge), so a small Python helper runs over Arrow batches:
+one document per row, whole text, a bounded part of a batch at a time, so that
+a worker never holds the chunks of a whole batch. Everything around it (metadata flattening, numbering, ids, summary,
 manifest) is native Spark.
 
 Split rule, with separators tried in order:
@@ -22,13 +22,15 @@ Split rule, with separators tried in order:
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkretrieve.checks import check_chunking
+from sparkretrieve.functions.batches import parts_of, release_free_memory
 from sparkretrieve.functions.metadata import chunk_record_columns, flatten_document_metadata
 
 # Default chunk size / overlap (characters) and separator order.
@@ -106,21 +108,33 @@ def split_text_column(text: Column | str, chunk_size: int = DEFAULT_CHUNK_SIZE,
     """ARRAY<STRING> of chunks, computed in Arrow batches."""
     check_chunking(chunk_size, chunk_overlap)
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _split_batch(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, chunk_size, chunk_overlap))
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def _split_batch(texts: pa.Array) -> pa.Array:
+        return _chunks_of(texts, chunk_size, chunk_overlap)
 
     return _split_batch(F.col(text) if isinstance(text, str) else text)
 
 
+def _chunks_of(texts: pa.Array, chunk_size: int, chunk_overlap: int) -> pa.Array:
+    return pa.array([split_text(t, chunk_size, chunk_overlap) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+
 def split_documents(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                     chunk_overlap: int = DEFAULT_CHUNK_OVERLAP) -> DataFrame:
     """One row per document: (document_id, flat metadata, chunks array)."""
-    return documents.select(
-        "document_id",
-        flatten_document_metadata().alias("flat"),
-        split_text_column("text", chunk_size, chunk_overlap).alias("chunks"),
-    )
+    check_chunking(chunk_size, chunk_overlap)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, n in parts_of(batch.column("text")):
+                part = batch.slice(first, n)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("document_id"), part.column("flat"), _chunks_of(part.column("text"), chunk_size, chunk_overlap)],
+                    names=["document_id", "flat", "chunks"])
+            release_free_memory()
+
+    rows = documents.select("document_id", flatten_document_metadata().alias("flat"), "text")
+    return rows.mapInArrow(split, T.StructType([*rows.schema.fields[:2], T.StructField("chunks", T.ArrayType(T.StringType()))]))
 
 
 def chunk_documents(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,

@@ -2,9 +2,9 @@
 
 An *encoder* is a small picklable object with ``info`` and
 ``encode(list[str]) -> ndarray``. The embedding job runs it in a scalar
-``pandas_udf``: Spark hands over Arrow batches of texts, the UDF cuts each
-batch into ``max_batch_size`` slices (G2), and every other column stays in
-the JVM. The model is loaded once per Python worker and reused (G3).
+``arrow_udf``: Spark hands over Arrow batches of texts, the UDF takes a bounded
+part of one at a time and cuts it into ``max_batch_size`` slices (G2), and every
+other column stays in the JVM. The model is loaded once per Python worker and reused (G3).
 
 Two encoders ship:
 
@@ -23,12 +23,13 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkretrieve.checks import check_model_name, require_positive
+from sparkretrieve.functions.batches import parts_of, release_free_memory
 from sparkretrieve.functions.metadata import embedding_request_metadata, empty_string_map
 from sparkretrieve.functions.text import TOKEN_PATTERN, py_strip, safe_record_id
 
@@ -175,10 +176,15 @@ def encode_checked(encoder, texts: list[str]) -> np.ndarray:
 def embed_column(text: Column | str, encoder) -> Column:
     """ARRAY<FLOAT> vector per text, computed in Arrow batches."""
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _embed(texts: pd.Series) -> pd.Series:
-        vecs = encode_checked(encoder, ["" if t is None else str(t) for t in texts])
-        return pd.Series(list(vecs))
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def _embed(texts: pa.Array) -> pa.Array:
+        # A part at a time: the texts of a whole batch are not made Python objects.
+        found = [encode_checked(encoder, ["" if t is None else t for t in texts.slice(first, n).to_pylist()])
+                 for first, n in parts_of(texts)]
+        release_free_memory()
+        vecs = np.concatenate(found) if found else np.zeros((0, encoder.info.dimensions), np.float32)
+        offsets = np.arange(len(vecs) + 1, dtype=np.int32) * encoder.info.dimensions
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(vecs.reshape(-1)))
 
     return _embed(F.col(text) if isinstance(text, str) else text)
 

@@ -97,3 +97,23 @@ def test_manifest(spark):
 def test_short_text_is_one_stripped_chunk():
     text = "  A short document.\nWith two lines.  "
     assert split_text(text, 1200, 200) == [text.strip()]
+
+
+def test_long_batches_are_split_in_parts(spark):
+    """A worker makes Python objects of about a megabyte of text at a time, whatever the batch."""
+    import pyarrow as pa
+
+    from sparkretrieve.functions.batches import PART_BYTES, parts_of
+
+    texts = pa.array(["x" * 300_000] * 10 + [None, "", "y" * 3_000_000] + ["z"] * 100)
+    parts = list(parts_of(texts))
+    assert [a for a, _ in parts] == [0, *[a + n for a, n in parts][:-1]] and sum(n for _, n in parts) == len(texts)
+    sizes = [sum(len(t or "") for t in texts.slice(a, n).to_pylist()) for a, n in parts]
+    assert max(s for s, (_, n) in zip(sizes, parts, strict=True) if n > 1) < PART_BYTES + 3_000_100 and len(parts) == 4
+    assert list(parts_of(pa.array([], pa.string()))) == []
+    rows = [(f"d{i}", f"a {i} b. " * (i * 400) if i % 7 else None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "document_id string, text string").coalesce(1).selectExpr(
+        "document_id", "'s' as source", "document_id as source_id", "'t' as title", "'1' as version", "'' as updated_at", "text",
+        "map('k', 'v') as metadata")
+    got = {r.document_id: r.chunks for r in chunking.split_documents(docs).collect()}
+    assert got == {i: chunking.split_text(t) for i, t in rows}
