@@ -120,8 +120,8 @@ def _chunks_of(texts: pa.Array, chunk_size: int, chunk_overlap: int) -> pa.Array
 
 
 def split_documents(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
-                    chunk_overlap: int = DEFAULT_CHUNK_OVERLAP) -> DataFrame:
-    """One row per document: (document_id, flat metadata, chunks array)."""
+                    chunk_overlap: int = DEFAULT_CHUNK_OVERLAP, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: (document_id, flat metadata, chunks array) and the columns to ``keep``."""
     check_chunking(chunk_size, chunk_overlap)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,12 +129,12 @@ def split_documents(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
             for first, n in parts_of(batch.column("text")):
                 part = batch.slice(first, n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("document_id"), part.column("flat"), _chunks_of(part.column("text"), chunk_size, chunk_overlap)],
-                    names=["document_id", "flat", "chunks"])
+                    [part.column("document_id"), part.column("flat"), _chunks_of(part.column("text"), chunk_size, chunk_overlap),
+                     *[part.column(c) for c in keep]], names=["document_id", "flat", "chunks", *keep])
             release_free_memory()
 
-    rows = documents.select("document_id", flatten_document_metadata().alias("flat"), "text")
-    return rows.mapInArrow(split, T.StructType([*rows.schema.fields[:2], T.StructField("chunks", T.ArrayType(T.StringType()))]))
+    rows = documents.select("document_id", flatten_document_metadata().alias("flat"), "text", *keep)
+    return rows.mapInArrow(split, T.StructType([*rows.schema.fields[:2], T.StructField("chunks", T.ArrayType(T.StringType())), *rows.schema.fields[3:]]))
 
 
 def chunk_documents(documents: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,

@@ -72,21 +72,20 @@ def apply_documents(docs: DataFrame, output_dir: str, chunk_size: int = chunking
             .filter(~F.col("_was").eqNullSafe(F.col("content")))
     else:
         latest = latest.withColumn("_was", F.lit(None).cast("string")).withColumn("_had", F.lit(0))
-    changed = _written(latest, "stream-changed")
-    n = changed.count()
+    # The one copy of the batch's texts: all that follows is read from it.
+    split = _written(chunking.split_documents(latest.drop("_was"), chunk_size, chunk_overlap, keep=("content", "_had")), "stream-split")
+    n = split.count()
     if not n:
         return 0
-    split = _written(chunking.split_documents(changed.select(*_CONTENT), chunk_size, chunk_overlap), "stream-split")
-    chunks = _written(split.select("document_id", "flat", F.posexplode("chunks").alias("chunk_index", "text")).select(
-        *chunk_record_columns(F.col("flat"), F.col("document_id"), F.col("chunk_index"), F.col("text"))), "stream-chunks")
-    counted = split.select("document_id", F.size("chunks").alias("n_chunks"))
-    states = changed.select("document_id", "content", "_had").join(counted, "document_id")
+    chunks = split.select("document_id", "flat", F.posexplode("chunks").alias("chunk_index", "text")).select(
+        *chunk_record_columns(F.col("flat"), F.col("document_id"), F.col("chunk_index"), F.col("text")))
+    states = split.select("document_id", "content", "_had", F.size("chunks").alias("n_chunks"))
     gone = states.filter(F.col("_had") > F.col("n_chunks")).select(F.explode(F.sequence(
         F.col("n_chunks"), F.col("_had") - 1)).alias("k"), "document_id").select(F.concat("document_id", F.lit("_chunk_"), F.col("k").cast("string")).alias("chunk_id"))
-    upsert_table(chunks, chunks_path, "chunk_id", remove=None if gone.isEmpty() else gone)
+    upsert_table(chunks, chunks_path, "chunk_id", remove=None if gone.isEmpty() else gone, written=True)
     if manifest is not None:
         chunking.chunk_manifest(chunks, chunks_path).write.mode("overwrite").parquet(manifest)
-    upsert_table(states.select("document_id", "content", "n_chunks"), states_path, "document_id")
+    upsert_table(states.select("document_id", "content", "n_chunks"), states_path, "document_id", written=True)
     return n
 
 

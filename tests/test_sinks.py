@@ -87,3 +87,29 @@ def test_removal_empty_batches_and_other_columns(spark, tmp_path):
     assert read_table(spark, path).count() == 1
     with pytest.raises(ValueError, match="columns"):
         upsert_table(_rows(spark, [1]).withColumn("more", F.lit(1)), path, "id")
+
+
+def test_new_ids_are_added_without_writing_old_rows_again(spark, tmp_path, monkeypatch):
+    """Batches of new ids cost what they hold: what a bucket has stays where it is until it has many folders and has doubled."""
+    path = str(tmp_path / "t")
+    upsert_table(_rows(spark, range(50)), path, "id", bucket_bytes=1 << 20)
+    first = RecordTable(spark, path).buckets[0]["folder"]
+    for k in range(1, 4):
+        upsert_table(_rows(spark, range(k * 50, k * 50 + 50)), path, "id")
+        bucket, = RecordTable(spark, path).buckets
+        assert bucket["folder"] == first and len(bucket["runs"]) == k and bucket["rows"] == (k + 1) * 50
+    assert _content(read_table(spark, path)) == {f"id{i}": "x" for i in range(200)}
+    # Ids that are not there: nothing is written anew. One that is: the bucket is one folder again.
+    upsert_table(_rows(spark, []), path, "id", remove=spark.createDataFrame([("none",)], "id string"))
+    assert RecordTable(spark, path).buckets == [bucket]
+    upsert_table(_rows(spark, [7], "new"), path, "id", remove=spark.createDataFrame([("id8",)], "id string"))
+    again, = RecordTable(spark, path).buckets
+    assert again["runs"] == [] and again["folder"] != first and again["rows"] == 199
+    assert _content(read_table(spark, path)) == {f"id{i}": "new" if i == 7 else "x" for i in range(200) if i != 8}
+    monkeypatch.setattr(sinks, "MAX_RUNS", 1)
+    upsert_table(_rows(spark, range(200, 210)), path, "id")
+    upsert_table(_rows(spark, range(210, 500)), path, "id")  # one folder more, though there are enough: not doubled yet
+    assert len(RecordTable(spark, path).buckets[0]["runs"]) == 2
+    upsert_table(_rows(spark, [500]), path, "id")
+    assert RecordTable(spark, path).buckets[0]["runs"] == [] and read_table(spark, path).count() == 500
+    assert sinks.drop_old_versions(spark, path) >= 6 and read_table(spark, path).count() == 500
