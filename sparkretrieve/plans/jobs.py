@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkretrieve.functions.metadata import chunk_record_columns
 from sparkretrieve.operators import chunking, embedding
+from sparkretrieve.operators.sizing import broadcast_if_bounded
 from sparkretrieve.session import scratch_path
 from sparkretrieve.sources import dump
 from sparkretrieve.sources.sinks import read_table, upsert_table  # noqa: F401 - part of this module's surface
@@ -38,6 +39,19 @@ def one_per_id(df: DataFrame, id_col: str, order_col: str | None = None) -> Data
     return df.groupBy(id_col).agg(best.alias("_r")).select(id_col, "_r.*").select(*df.columns)
 
 
+def last_written_per_id(batch: DataFrame, id_col: str, order_col: str) -> DataFrame:
+    """``one_per_id`` of a written table whose ``order_col`` is never null or
+    repeated: only ids and order are shuffled, whole rows stay where they are
+    (unless very many ids are repeated)."""
+    last = batch.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n"), F.max(order_col).alias("_last"))
+    repeated = _batch(last.filter("_n > 1").select("_id", "_last"), "repeated")
+    if repeated.isEmpty():
+        return batch
+    side, _ = broadcast_if_bounded(repeated)
+    joined = batch.join(side, F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    return joined.filter(F.col("_last").isNull() | (F.col("_last") == F.col(order_col))).select(*batch.columns)
+
+
 def append_manifest(manifest: DataFrame, path: str) -> None:
     """Manifests are append-only JSON lines."""
     manifest.write.mode("append").json(path)
@@ -57,7 +71,7 @@ def ingest_dump(spark: SparkSession, dump_path: str, output_dir: str, manifest_p
     the file) stays."""
     pages = dump.read_pages(spark, dump_path, limit, with_position=True)
     batch = _batch(dump.pages_to_documents(pages, "pos"), "ingest")
-    upsert_table(one_per_id(batch, "document_id", "pos").drop("pos"), output_dir, "document_id")
+    upsert_table(last_written_per_id(batch, "document_id", "pos").drop("pos"), output_dir, "document_id", written=True)
     append_manifest(dump.ingest_manifest(batch, output_dir), manifest_path)
     return batch.count()
 

@@ -174,3 +174,12 @@ def test_stream_replaces_and_withdraws_chunks_and_survives_replays(spark, tmp_pa
     assert ingest.apply_documents(repeat, out, 40, 0) == 3
     assert sorted(ingest.RecordTable(spark, f"{out}/chunks").rows().select("chunk_id", "text").collect()) == \
         sorted(batch.select("chunk_id", "text").collect())
+
+
+def test_last_of_repeated_pages_without_shuffling_whole_rows(spark):
+    rows = [("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 4, "x"), (None, 5, "x"), (None, 6, "y")]
+    batch = spark.createDataFrame(rows, "id string, pos int, text string")
+    want = [("a", 3, "y"), ("b", 4, "x"), (None, 6, "y")]
+    assert sorted(map(tuple, jobs.last_written_per_id(batch, "id", "pos").collect()), key=str) == sorted(want, key=str)
+    alone = batch.filter("pos in (1, 4, 5)")
+    assert sorted(map(tuple, jobs.last_written_per_id(alone, "id", "pos").collect()), key=str) == sorted([rows[0], rows[3], rows[4]], key=str)
