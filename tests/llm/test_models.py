@@ -2,16 +2,19 @@
 
 import collections
 import math
+import os
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sparkretrieve.llm import ann, lm_score, mixing, queries, toxicity, url_filter
 from sparkretrieve.llm.common import table
+from sparkretrieve.session import checkpoint_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -214,6 +217,32 @@ def test_lm_score_does_not_depend_on_blocks(spark, monkeypatch):
     assert {c for c, times in asked.items() if times > 1} <= {k >> 11 for k, _ in got}
 
 
+def test_lm_score_leaves_only_tables_that_are_still_read(spark):
+    docs = spark.createDataFrame([(i, f"red cat {i} blue dog", "en") for i in range(40)], "doc_id long, text string, lang string")
+    folder = os.path.join(checkpoint_root(spark).removeprefix("file:"), "tables")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    scored = lm_score.score_texts(docs, F.col("doc_id") < 30)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left and not left & {"counts", "words", "blocks"}
+    assert scored.count() == 40 and scored.filter("score < 0").count() == 40
+
+
+def test_block_answers_are_whole_and_small():
+    """Keys and counts come back as they were, and take less room than side by side."""
+    rng = np.random.default_rng(5)
+    words = sorted({bytes(rng.choice(list(b"aeinorst"), rng.integers(1, 9)).tolist()) for _ in range(5000)})
+    counts = np.zeros((lm_score.MAX_CLASSES, len(words)), np.int64)
+    counts[0] = rng.geometric(0.5, len(words))
+    keys, n = mixing.evidence(words, counts)
+    told = lm_score._told(keys, n)
+    back = lm_score._heard(*told)
+    assert back[0].tolist() == keys.tolist() and back[1].tolist() == n.tolist()
+    assert [x.tolist() for x in lm_score._heard(*lm_score._told(keys[:0], n[:0]))] == [[], []]
+    assert lm_score._from_bytes(lm_score._to_bytes(counts.reshape(-1), "<i8"), "<i8").tolist() == counts.reshape(-1).tolist()
+    size = [sum(len(pa.compress(x, "lz4", asbytes=True)) for x in rows) for rows in (told, (keys.tobytes(), n.astype(np.float32).tobytes()))]
+    assert size[0] < 0.9 * size[1]
+
+
 def test_lm_score_reads_across_spaces(spark):
     """The same words in another order have another score, and the word before is a context."""
     docs = [(i, "red cat blue dog " * 5, "en") for i in range(40)] + [(100, "red cat blue dog", "en"), (101, "red dog blue cat", "en")]
