@@ -30,6 +30,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,9 @@ MIN_DOCS = 3
 MIN_ODDS = 1.0
 STRONG_ODDS = 3.0
 BEGINNINGS = (3, 4, 5, 6)
+BEAM, LONG = 6, 12  # of a word of so many runs, a good path through so many states is looked for before the best
 CACHE_WORDS = 300_000
+CACHE_PARTS = 100_000
 COUNTER_WORDS = 300_000
 SHORT = 3  # letters of a token that may be a part of a spaced word
 COMMON_WORDS, COMMON_SHARE = 4096, 0.01  # short words in that share of the documents are common
@@ -69,13 +72,14 @@ LITERAL = math.log(CLASSES)  # a character of a word without letters, read as it
 
 def words_of(text: str | None) -> list[str]:
     """Lower-case words; three or more single letters, digits or symbols in a row are joined."""
-    words = (text or "").lower().split()
-    return _joined(words, np.fromiter(map(len, words), np.int64, len(words)))
+    return _joined((text or "").lower().split())
 
 
-def _joined(words: list[str], size: np.ndarray) -> list[str]:
-    one = size == 1
-    if len(words) < 3 or not (one[2:] & one[1:-1] & one[:-2]).any():
+def _joined(words: list[str]) -> list[str]:
+    if list(map(len, words)).count(1) < 3:
+        return words
+    one = [k for k, w in enumerate(words) if len(w) == 1]
+    if not any(c - a == 2 for a, c in zip(one, one[2:], strict=False)):
         return words
     out, run = [], []
     for w in [*words, ""]:
@@ -88,38 +92,67 @@ def _joined(words: list[str], size: np.ndarray) -> list[str]:
     return out[:-1]
 
 
-def spaced_runs(text: str | None, common: frozenset[str]) -> list[str]:
+class _Parts(dict):
+    """What a token is in runs of short tokens: no part (0), a part (1) or an
+    uncommon part (2); short tokens are remembered, in bounded number."""
+
+    def __init__(self, common: frozenset[str]) -> None:
+        super().__init__()
+        self.common = common
+
+    def __missing__(self, word: str) -> int:
+        if len(word) > SHORT + 2:  # with punctuation
+            return 0
+        part = word.strip(MARKS)
+        kind = 0 if len(part) > SHORT else 2 if part and part not in self.common else 1
+        if len(self) < CACHE_PARTS:
+            self[word] = kind
+        return kind
+
+
+def spaced_runs(text: str | None, common: frozenset[str] | _Parts) -> list[str]:
     """Runs of two or more short tokens, one of them uncommon: what may be spaced-out words."""
     words = (text or "").lower().split()
-    return _runs(words, np.fromiter(map(len, words), np.int64, len(words)), common)
+    return _runs(words, set(words), common if isinstance(common, _Parts) else _Parts(common))
 
 
-def _runs(words: list[str], size: np.ndarray, common: frozenset[str]) -> list[str]:
-    near = size <= SHORT + 2  # with punctuation
-    if not (near[1:] & near[:-1]).any():
+def _runs(words: list[str], own: set[str], parts: _Parts) -> list[str]:
+    """``own``: the distinct words. A run is found from its first uncommon part."""
+    uncommon = {w for w in own if len(w) <= SHORT + 2 and parts[w] == 2}
+    if not uncommon:
         return []
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], near.view(np.int8), [0]])))
-    out, run = [], []
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        if b - a < 2 or common.issuperset(words[a:b]):
+    out, a, b = [], 0, 0
+    for k in [k for k, w in enumerate(words) if w in uncommon]:
+        if k < b:
             continue
-        for w in [*[w.strip(MARKS) for w in words[a:b]], " " * (SHORT + 1)]:
-            if len(w) <= SHORT:
-                if w:
-                    run.append(w)
-                continue
-            if len(run) >= 2 and not common.issuperset(run) and any(map(str.isalpha, "".join(run))):
-                out.append(" ".join(run))
-            run = []
+        a, b = k, k + 1
+        while a and parts[words[a - 1]]:
+            a -= 1
+        while b < len(words) and parts[words[b]]:
+            b += 1
+        run = [p for w in words[a:b] if (p := w.strip(MARKS))]
+        if len(run) >= 2 and any(map(str.isalpha, "".join(run))) and not _all_common(words, a, b, parts.common):
+            out.append(" ".join(run))
     return out
 
 
-def words_and_runs(text: str | None, common: frozenset[str]) -> tuple[set[str], set[str]]:
+def _all_common(words: list[str], a: int, b: int, common: frozenset[str]) -> bool:
+    """Whether all short tokens from a to b and around them, with punctuation, are common."""
+    if not common.issuperset(words[a:b]):
+        return False
+    while a and len(words[a - 1]) <= SHORT + 2:
+        a -= 1
+    while b < len(words) and len(words[b]) <= SHORT + 2:
+        b += 1
+    return common.issuperset(words[a:b])
+
+
+def words_and_runs(text: str | None, common: frozenset[str] | _Parts) -> tuple[set[str], set[str]]:
     """``words_of`` and, beside them, ``spaced_runs``; the text is split once."""
     words = (text or "").lower().split()
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    own = set(_joined(words, size))
-    return own, set(_runs(words, size, common)) - own
+    own, joined = set(words), _joined(words)
+    runs = set(_runs(words, own, common if isinstance(common, _Parts) else _Parts(common)))
+    return own if joined is words else set(joined), runs
 
 
 def stripped(word: str) -> str:
@@ -146,11 +179,12 @@ def _class(c: str) -> int:
 
 class Letters:
     """The trigram model as plain numbers, which single look-ups read faster:
-    log-probabilities by two classes before and the class itself, and the
-    highest of each class."""
+    log-probabilities by two classes before and the class itself, the highest
+    by the class before and the class, and the highest of each class."""
 
     def __init__(self, trigrams: np.ndarray) -> None:
-        self.p, self.most = trigrams.ravel().tolist(), trigrams.max(axis=(0, 1)).tolist()
+        self.p, self.after = trigrams.ravel().tolist(), trigrams.max(axis=0).ravel().tolist()
+        self.most = trigrams.max(axis=(0, 1)).tolist()
 
 
 def _lattice(word: str) -> list[list[tuple[str, float, int, int]]]:
@@ -181,44 +215,104 @@ def _lattice(word: str) -> list[list[tuple[str, float, int, int]]]:
     return runs
 
 
-def _walk(runs: list, letters: Letters, least: float, ahead: list[float]) -> tuple[float, tuple]:
-    """The best path: its score, and its parts as (path before, letters). A state
-    that cannot reach ``least`` with the best that is ``ahead`` is left."""
+def _walk(runs: list, letters: Letters, least: float = -math.inf, ahead: list | None = None,
+          widest: int | None = None) -> tuple[float, tuple, list[dict]]:
+    """The best path: its score, its parts as (path before, letters), and the states
+    before each run and at the end. A state that cannot reach ``least`` with the
+    best that is ``ahead`` is left. With ``widest``, a good path: only so many
+    states, those with the best scores, are followed at each step."""
     p = letters.p
     # Of each two letters before (as one number): the score, and the path.
-    states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
-    for options, rest in zip(runs, ahead, strict=True):
+    steps: list[dict[int, tuple[float, tuple]]] = [{0: (0.0, ())}]
+    for k, options in enumerate(runs):
         after: dict[int, tuple[float, tuple]] = {}
-        need = least - rest
-        for two, (score, path) in states.items():
+        by_two, by_last, rest = ahead[k + 1] if ahead else ({}, {}, math.inf)
+        for two, (score, path) in steps[-1].items():
             for read, cost, z, size in options:
                 s, to = score - cost, two
-                if read == " ":
-                    s, to = s + p[to << 6], 0
-                else:
-                    for _ in range(size):
+                if z:
+                    s += p[to << 6 | z]
+                    to = (to & 63) << 6 | z
+                    if size == 2:
                         s += p[to << 6 | z]
-                        to = (to & 63) << 6 | z
-                if s >= need and (to not in after or s > after[to][0]):
+                        to = z << 6 | z
+                elif size:
+                    s, to = s + p[to << 6], 0
+                if to in after and s <= after[to][0]:
+                    continue
+                if s + (by_two[to] if to in by_two else by_last.get(to & 63, rest)) >= least:
                     after[to] = (s, (path, read) if read else path)
-        states = after
-    return max(((s + p[two << 6], path) for two, (s, path) in states.items()), key=lambda x: x[0])
+        if widest and len(after) > widest:
+            after = dict(sorted(after.items(), key=lambda x: x[1][0], reverse=True)[:widest])
+        steps.append(after)
+    score, path = max(((s + p[two << 6], path) for two, (s, path) in steps[-1].items()), key=lambda x: x[0])
+    return score, path, steps
+
+
+def _ahead(runs: list, letters: Letters, steps: list[dict]) -> list[tuple[dict[int, float], dict[int, float], float]]:
+    """No path scores more than this before each run and at the end: by the two
+    letters before it, by the last letter, and after any letters. ``steps``: the
+    states of the paths that drop no letter; to others the last two apply."""
+    p, after, most = letters.p, letters.after, letters.most
+    by_two = {two: p[two << 6] for two in steps[-1]}
+    by_last = {two & 63: after[(two & 63) << 6] for two in steps[-1]}
+    rest = most[0]
+    out = [(by_two, by_last, rest)]
+    for options, states in zip(reversed(runs), reversed(steps[:-1]), strict=True):
+        two_next, last_next, rest_next = by_two, by_last, rest
+        by_two, by_last, rest = {}, {}, -math.inf
+        for _, cost, z, size in options:
+            if z:
+                s = most[z] - cost + (last_next[z] if size == 1 else after[z << 6 | z] + two_next[z << 6 | z])
+            else:
+                s = (most[0] + two_next[0] if size else rest_next) - cost
+            rest = max(rest, s)
+        for two in states:
+            last = two & 63
+            best, best_last = -math.inf, by_last.get(last)
+            own = best_last is None
+            if own:
+                best_last = -math.inf
+            for _, cost, z, size in options:
+                if z:
+                    to = last << 6 | z
+                    s = -cost
+                    if size == 2:
+                        s += p[to << 6 | z]
+                        to = z << 6 | z
+                    s += two_next[to]
+                    seen, any_two = s + p[two << 6 | z], s + after[last << 6 | z]
+                elif size:
+                    s = two_next[0] - cost
+                    seen, any_two = s + p[two << 6], s + after[last << 6]
+                else:
+                    any_two = last_next.get(last, rest_next) - cost
+                    seen = two_next[two] - cost if two in two_next else any_two
+                if seen > best:
+                    best = seen
+                if own and any_two > best_last:
+                    best_last = any_two
+            by_two[two] = best
+            by_last[last] = best_last
+        out.append((by_two, by_last, rest))
+    out.reverse()
+    return out
 
 
 def _best(word: str, letters: Letters) -> tuple[float, str]:
     """The Viterbi path through the lattice of a word, or of tokens with spaces
-    between, and its score. The best path that drops no letter comes first; no
-    state that cannot reach its score is followed after that."""
+    between, and its score. The best path that drops no letter comes first; only
+    if one that does may score more, all that can reach its score are followed."""
     runs = _lattice(word)
-    most = letters.most
-    ahead, rest = [], most[0]
-    for options in reversed(runs):
-        ahead.append(rest)
-        rest += max(most[z] * (size if read != " " else 1) - cost if size else -cost for read, cost, z, size in options)
-    ahead.reverse()
     whole = [[o for o in options if o[1] != DROP_LETTER] or options for options in runs]
-    least = _walk(whole, letters, -math.inf, ahead)[0]
-    score, path = _walk(runs, letters, least - 1e-9 * (1 - least), ahead)
+    score, path, steps = _walk(whole, letters)
+    ahead = _ahead(runs, letters, steps)
+    slack = 1e-9 * (1 - score)
+    if ahead[0][0][0] > score + slack:
+        good = score
+        if len(runs) > LONG:  # the higher the score, the more states are left
+            good = max(score, _walk(runs, letters, widest=BEAM)[0])
+        score, path, _ = _walk(runs, letters, good - slack, ahead)
     read = []
     while path:
         path, part = path
@@ -366,20 +460,26 @@ class _Odds(dict):
     def __init__(self, trigrams: np.ndarray, lexicon: dict[str, float]) -> None:
         super().__init__()
         self.letters, self.lexicon = Letters(trigrams), lexicon
-        self.starts = {f[:3] for f in lexicon}
+        self.starts = {f[:n] for f in lexicon for n in BEGINNINGS}
 
     def __missing__(self, word: str) -> float:
         clear = clear_word(word, self.letters)
-        # Every feature of a word starts with the word's first three letters.
-        odds, get = 0.0, self.lexicon.get
-        for w in clear.split(" ") if " " in clear else (clear,):
-            if w[:3] in self.starts:
-                for f in features_of(w):
-                    odds = max(odds, get(f, 0.0))
+        odds = max(map(self.strongest, clear.split(" "))) if " " in clear else self.strongest(clear)
         if len(self) < CACHE_WORDS and len(word) <= 64:
             self[word] = odds
         return odds
 
+    def strongest(self, word: str) -> float:
+        """The highest log-odds of ``features_of`` a word without spaces, or 0."""
+        odds, get = 0.0, self.lexicon.get
+        for n in BEGINNINGS:
+            if word[:n] not in self.starts:  # nor does a longer feature begin like this
+                return odds
+            if len(word) <= n:
+                break
+            odds = max(odds, get(word[:n] + "-", 0.0))
+        return max(odds, get(word, 0.0))
+
 
 STATS = ("most", "second", "strong", "weak", "share")
 
@@ -390,13 +490,14 @@ def _evidence(docs: DataFrame, text_col: str, shared: Shared, keep_text: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         trigrams, lexicon, common = shared.value
-        look_up = process_cache("toxicity", shared.id, lambda: _Odds(trigrams, lexicon)).__getitem__
+        odds, parts = process_cache("toxicity", shared.id, lambda: (_Odds(trigrams, lexicon), _Parts(common)))
+        look_up = odds.__getitem__
 
         for batch in batches:
             out: dict[str, list] = {s: [] for s in STATS}
             for text in batch.column(text_col).to_pylist():
-                own, spaced = words_and_runs(text, common)
-                found = sorted(filter(None, map(look_up, own | spaced)), reverse=True)
+                own, spaced = words_and_runs(text, parts)
+                found = sorted(filter(None, map(look_up, chain(own, spaced))), reverse=True)
                 strong = sum(s >= STRONG_ODDS for s in found)
                 for name, v in zip(STATS, (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0,
                                            math.log1p(strong), math.log1p(len(found)),
@@ -455,7 +556,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
     common = _common(words, docs.count())
     lexicon = {}
     if len(size) == 2:
-        spaced = _count_words(tagged.filter("_label is not null"), ("_text", "_label"), lambda text: spaced_runs(text, common))
+        parts = _Parts(common)
+        spaced = _count_words(tagged.filter("_label is not null"), ("_text", "_label"), lambda text: spaced_runs(text, parts))
         lexicon = _lexicon(words.unionByName(spaced), trigrams, size[1], size[0])
     shared = Shared(spark, (trigrams, lexicon, common))
 

@@ -479,6 +479,37 @@ def test_viterbi_equals_all_paths():
         assert abs(score - best) < 1e-9, word
 
 
+def test_no_second_search_where_no_dropped_letter_can_help(monkeypatch):
+    text = ["idiot", "stupid", "trash", "loser", "letter", "silly", "book", "the", "and", "hello", "you"] * 5
+    counts = np.zeros((toxicity.CLASSES,) * 3)
+    for w in text:
+        codes = [0, 0, *map(toxicity._class, w), 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
+            counts[a, b, c] += 1
+    letters = toxicity.Letters(np.log((counts + 0.01) / (counts.sum(axis=2, keepdims=True) + 0.64)))
+    walk, walks = toxicity._walk, []
+
+    def counted(*args, **options):
+        walks.append(walk(*args, **options))
+        return walks[-1]
+
+    monkeypatch.setattr(toxicity, "_walk", counted)
+    for seen, plain in [("hello!!", "hello"), ("id iot", "idiot"), ("stup1d", "stupid"), ("tr@sh***", "trash")]:
+        walks.clear()
+        assert toxicity._best(seen, letters)[1] == plain
+        assert len(walks) == 1, seen
+
+
+def test_spaced_runs_around_marks_and_common_words():
+    common = frozenset(["it", "is", "a,", "no"])
+    assert toxicity.spaced_runs("it is a, no", common) == []  # all as they stand are common
+    assert toxicity.spaced_runs("it is a, xy", common) == ["it is a xy"]
+    assert toxicity.spaced_runs("ab ... cd word! ef gh. letters ij", common) == ["ab cd", "ef gh"]
+    assert toxicity.words_and_runs("a b c de longer", common) == ({"abc", "de", "longer"}, {"a b c de"})
+    parts = toxicity._Parts(common)
+    assert toxicity.spaced_runs("it is a, xy", parts) == ["it is a xy"] and "xy" in parts and "longer" not in parts
+
+
 def test_clashing_names_and_long_white_space(spark):
     from sparkretrieve.llm import bpe, exact_dedup, line_dedup, packing
 
