@@ -1,10 +1,13 @@
 """URL filter, LM scoring, toxicity and nearest neighbours."""
 
 import collections
+import glob
 import math
 import os
 import random
 import re
+import tempfile
+import time
 import zlib
 
 import numpy as np
@@ -243,6 +246,52 @@ def test_block_answers_are_whole_and_small():
     assert size[0] < 0.9 * size[1]
 
 
+def test_neighbouring_blocks_show_their_contexts_as_one(spark, monkeypatch):
+    """Ranges of blocks: far fewer keys are sent, and every block has the same tables as if all were counted at once."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    words = lm_score.count_words(docs, "text", F.col("doc_id") % 3 > 0, F.when(F.col("lang") == "en", 0).otherwise(1)).toArrow()
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 4096)
+    monkeypatch.setattr(lm_score, "SHARD_BYTES", 65536)
+    rows = lm_score._blocks(spark.createDataFrame(words).repartitionByRange(3, "word").sortWithinPartitions("word"))
+    n_bytes, sent = sum(map(len, words.column("word").to_pylist())), {}
+    for blocks in (1, 8):
+        ranges = lm_score.materialise(lm_score._ranges(rows, blocks), "words")
+        answers = lm_score.materialise(lm_score._bit_counts(ranges, n_bytes), "answers")
+        sent[blocks] = sum(len(k) for k, _ in lm_score._entries(answers.toArrow()))
+    assert 0 < 2 * sent[8] < sent[1]
+
+    tokens, counts = lm_score._weights(words)
+    code = mixing.prefix_code(np.bincount(np.frombuffer(b" ".join(tokens), np.uint8), minlength=256))
+    exact = mixing.fill(*mixing.evidence(tokens, counts), code)
+    at, total = {w: i for i, w in enumerate(tokens)}, words.column("total").to_pylist()
+    seen = []
+    for k, (own, n, times, tables) in enumerate(lm_score._each_block(lm_score._packed(ranges, answers).toArrow().to_batches(), code)):
+        there = [at[w] for w in own]
+        assert n.tolist() == counts[:, there].tolist() and times == [total[i] for i in there]
+        assert sum(map(len, own)) <= 4096 and own == sorted(own, key=mixing.in_text_order)
+        seen += own
+        d = mixing.decisions(own, code) if k % 10 == 0 else None
+        for j, (got, want) in enumerate(zip(tables, exact, strict=True)):
+            for g in (0, 1) if d else ():
+                key = mixing._keys(d, j, g)
+                assert (got.counts[got.find(key)] == want.counts[want.find(key)]).all()
+    assert sorted(seen) == sorted(tokens)
+
+
+def test_lm_score_keeps_no_shuffle_files_of_written_tables(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    shuffles = os.path.join(spark.conf.get("spark.local.dir", tempfile.gettempdir()), "blockmgr-*", "*", "shuffle_*.data")
+    there = set(glob.glob(shuffles))
+    docs = spark.createDataFrame([(i, f"red cat {i} blue dog") for i in range(40)], "doc_id long, text string")
+    scored = lm_score.score_texts(docs, F.col("doc_id") < 30, class_col=None)
+    deadline = time.time() + 10
+    while (left := set(glob.glob(shuffles)) - there) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name) == before
+    assert scored.count() == 40
+
+
 def test_lm_score_reads_across_spaces(spark):
     """The same words in another order have another score, and the word before is a context."""
     docs = [(i, "red cat blue dog " * 5, "en") for i in range(40)] + [(100, "red cat blue dog", "en"), (101, "red dog blue cat", "en")]
