@@ -52,17 +52,18 @@ PAIRS_AT_ONCE = 16_384
 FAR = 2.0 ** 50  # cell numbers beyond it are not exact
 
 
-def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v array<double>): one row per identifier that can take part. Null
-    identifiers, null and zero vectors, and vectors with a null or non-finite
-    component have no part, nor have those that are not of the most frequent
-    length. Of an identifier's different vectors the smallest counts."""
+def valid_vectors(rows: DataFrame, id_col: str, vector_col: str, queries: Column) -> DataFrame:
+    """(id, v array<double>, asked): one row per identifier that can take part;
+    ``asked``: whether ``queries`` holds for any row of it. Null identifiers,
+    null and zero vectors, and vectors with a null or non-finite component have
+    no part, nor have those that are not of the most frequent length. Of an
+    identifier's different vectors the smallest counts."""
     v = F.col(vector_col).cast("array<double>")
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) \
         & F.exists("v", lambda x: x != 0)
-    found = rows.select(F.col(id_col).cast("long").alias("id"), v.alias("v")) \
-        .filter(F.col("id").isNotNull() & F.col("v").isNotNull()).filter(sound) \
-        .groupBy("id").agg(F.min("v").alias("v"))
+    found = rows.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asked")) \
+        .filter(F.col("id").isNotNull()) \
+        .groupBy("id").agg(F.min(F.when(sound, F.col("v"))).alias("v"), F.max("asked").alias("asked")).filter(F.col("v").isNotNull())
     found = materialise(found, "vectors")
     size = found.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c")) \
         .orderBy(F.desc("c"), "n").first()
@@ -277,9 +278,16 @@ def _as_queries(packed: DataFrame) -> DataFrame:
     return packed.withColumnsRenamed({"ids": "query_ids", "vs": "qs"})
 
 
+def _never_broadcast(packed: DataFrame) -> DataFrame:
+    """Spark takes a written table for as large as its files, in which a vector
+    that many probes carry is stored once, and exploded rows for as large as the
+    rows before; so it would send tables of any size through the driver."""
+    return packed.hint("merge")
+
+
 def _visited(index: DataFrame, probes: DataFrame, dim: int, k: int, name: str) -> DataFrame:
     packed = _as_queries(_packed(probes.filter("bucket is not null"), QUERY_BLOCK))
-    return _scored(index.join(packed, ["tbl", "bucket"]), dim, k, name)
+    return _scored(index.join(_never_broadcast(packed), ["tbl", "bucket"]), dim, k, name)
 
 
 def _compared_with_all(index: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
@@ -290,7 +298,7 @@ def _compared_with_all(index: DataFrame, queries: DataFrame, dim: int, k: int) -
     packed = _as_queries(_packed(entries, QUERY_BLOCK)).drop("tbl", "bucket")
     packed = packed.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
     rows = index.filter("tbl = 0").select("ids", "vs", F.pmod(F.xxhash64("ids"), F.lit(deals)).cast("int").alias("deal"))
-    return _scored(rows.join(packed, "deal"), dim, k, "compared")
+    return _scored(rows.join(_never_broadcast(packed), "deal"), dim, k, "compared")
 
 
 def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id",
@@ -304,7 +312,7 @@ def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, id_col: st
     candidates. Equal vectors are neighbours at distance 0. Other columns are
     not read. An empty table gives an empty result."""
     spark = rows.sparkSession
-    vectors = valid_vectors(rows, id_col, vector_col)
+    vectors = valid_vectors(rows, id_col, vector_col, queries)
     facts = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim"), F.avg(F.aggregate(
         "v", F.lit(0.0), lambda a, x: a + x * x)).alias("power")).first()
     if facts["dim"] is None:
@@ -313,7 +321,7 @@ def nearest_neighbours(rows: DataFrame, queries: Column, k: int = 10, id_col: st
     scale = math.sqrt(facts["power"]) if 0 < facts["power"] < math.inf else 1.0
     hashing = Hashing(dim, projections_for(facts["n"]), WIDTH * scale)
     index = index_vectors(vectors, k, hashing)
-    asked = vectors.join(rows.filter(queries).select(F.col(id_col).cast("long").alias("id")).distinct(), "id")
+    asked = vectors.filter("asked").select("id", "v")
 
     first = _probes(asked.withColumn("radius", F.lit(None).cast("double")), hashing, FIRST_SUCCESS, scale)
     early = materialise(_nearest(_visited(index, first, dim, k, "first"), k), "early")

@@ -505,6 +505,40 @@ def test_outliers_and_hot_buckets(spark, monkeypatch, most):
     assert got == {i: _nearest(vectors, i, 4)[0] for i in vectors if i % 10 == 0 or i >= 110}
 
 
+@pytest.mark.parametrize("most", [0, 65_536])
+def test_no_vectors_are_broadcast(spark, monkeypatch, most):
+    """However small Spark takes probes, exploded queries or vectors to be, they are
+    joined by shuffles: equal vectors take almost no room in a file."""
+    plans, scored, write = [], ann._scored, ann.materialise
+
+    def joined(pairs, *args):
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        return scored(pairs, *args)
+
+    def wrote(frame, name):
+        if name != "asked":  # joins queries' distances
+            assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString(), name
+        return write(frame, name)
+
+    monkeypatch.setattr(ann, "MAX_VISITS", most)
+    monkeypatch.setattr(ann, "_scored", joined)
+    monkeypatch.setattr(ann, "materialise", wrote)
+    df = spark.createDataFrame([(k, [1.0, 2.0, float(k % 3)]) for k in range(60)], "vec_id long, embedding array<double>")
+    got = ann.nearest_neighbours(df, F.col("vec_id") % 10 == 0, k=3)
+    found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()}
+    assert len(plans) == 3 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+    assert found == {(q, n + 1): (x, 0.0) for q in range(0, 60, 10)
+                     for n, x in enumerate([x for x in range(q % 3, 60, 3) if x != q][:3])}
+
+
+def test_asked_by_any_row_of_an_identifier(spark):
+    """A query's condition may hold for a row whose vector has no part, while its identifier's other row has one."""
+    df = spark.createDataFrame([(1, None, True), (1, [1.0, 0.0], False), (2, [0.0, 1.0], None), (3, [0.0, 0.0], True), (4, [1.0, 1.0], False),
+                                (None, [1.0, 2.0], True)], "vec_id long, embedding array<double>, ask boolean")
+    got = ann.nearest_neighbours(df, F.col("ask"), k=2).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in got] == [(1, 4, 1.0), (1, 2, pytest.approx(2 ** 0.5))]
+
+
 def test_viterbi_equals_all_paths():
     import itertools
     import random
